@@ -74,3 +74,65 @@ def violations(table: str, df: DataFrame, rules: Rules) -> DataFrame:
 def all_violations(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> DataFrame:
     parts = [violations(name, df, rules[name]) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def reference_report(
+    tables: dict[str, DataFrame], links: tuple[tuple[str, str, str, str], ...]
+) -> DataFrame:
+    """Orphan values and rows per declared reference between the given tables."""
+    parts = []
+    for child, column, parent, parent_column in links:
+        if child in tables and parent in tables:
+            lost = orphans(tables[child], column, tables[parent], parent_column)
+            parts.append(
+                lost.agg(
+                    F.lit(child).alias("child_table"),
+                    F.lit(column).alias("child_column"),
+                    F.lit(parent).alias("parent_table"),
+                    F.count(F.lit(1)).alias("n_values"),
+                    F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_losses(
+    rides: DataFrame, ratings: DataFrame, dim_user: DataFrame, dim_driver: DataFrame
+) -> DataFrame:
+    """Rows the fact load leaves out, by reason. A ride can have several reasons."""
+    unset = rides.agg(
+        *[
+            _count_if(F.col(name).isNull()).alias(name)
+            for name in ("ride_start_time", "user_id", "driver_id")
+        ]
+    ).select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(f"ride without {name}").alias("reason"), F.col(name).alias("n_rows"))
+                    for name in ("ride_start_time", "user_id", "driver_id")
+                ]
+            )
+        ).alias("found")
+    ).select("found.*")
+
+    def total(name: str, lost: DataFrame, rows: Column) -> DataFrame:
+        return lost.agg(
+            F.lit(name).alias("reason"), F.coalesce(F.sum(rows), F.lit(0)).alias("n_rows")
+        )
+
+    parts = [
+        unset,
+        total("ride of an unknown user", orphans(rides, "user_id", dim_user, "user_id"), F.col("n_rows")),
+        total(
+            "ride of an unknown driver",
+            orphans(rides, "driver_id", dim_driver, "driver_id"),
+            F.col("n_rows"),
+        ),
+        total(
+            "further rating of a ride",
+            duplicate_keys(ratings.where(F.col("ride_id").isNotNull()), ["ride_id"]),
+            F.col("n_rows") - 1,
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)

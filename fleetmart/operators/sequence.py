@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from fleetmart.operators.joins import join_unique
 from fleetmart.operators.scale import (
     DEFAULT,
     DETECT,
@@ -75,11 +76,11 @@ def sequence(
         return _append(df, _window_columns(window, *wanted))
 
     flags = F.broadcast(hot.select(key))
-    plain = _append(df.join(flags, key, "left_anti"), _window_columns(window, *wanted))
+    rest = df.join(flags, key, "left_anti").select(*df.columns)
+    plain = _append(rest, _window_columns(window, *wanted))
     hot_total = hot.agg(F.sum("n")).first()[0]
-    split = _split_sequence(
-        df.join(flags, key, "left_semi"), key, order, tasks_for(hot_total, limits), *wanted
-    )
+    large = df.join(flags, key, "left_semi").select(*df.columns)
+    split = _split_sequence(large, key, order, tasks_for(hot_total, limits), *wanted)
     return plain.unionByName(split.select(*plain.columns))
 
 
@@ -140,3 +141,33 @@ def _split_sequence(
     for name, source in first.items():
         result[name] = F.col(f"_first.{source}")
     return joined.select(*df.columns, *[value.alias(name) for name, value in result.items()])
+
+
+def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The last row of each key. Catalyst drops all other rows before the shuffle."""
+    window = Window.partitionBy(key).orderBy(*[F.col(name).desc() for name in order])
+    return df.withColumn("_n", F.row_number().over(window)).where(F.col("_n") == 1).drop("_n")
+
+
+def with_group_values(
+    df: DataFrame,
+    key: str,
+    columns: dict[str, Column],
+    *,
+    spread_by: str,
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """``df`` plus one aggregate value per group on each of its rows.
+
+    Gives what a window over a whole partition gives (COUNT, AVG, LAST_VALUE …)
+    without holding a partition in one task: the groups are aggregated with map-side
+    combine and joined back, hot groups spread by ``spread_by``.
+    """
+    groups = df.groupBy(key).agg(*[value.alias(name) for name, value in columns.items()])
+    joined = join_unique(df, groups, key, "left", spread_by=spread_by, limits=limits)
+    return joined.select(*df.columns, *columns)
+
+
+def last_value(column: str, order: list[str]) -> Column:
+    """For ``with_group_values``: the value in the last row of the group."""
+    return F.max_by(column, F.struct(*order))

@@ -9,52 +9,120 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+TEXT, INTEGER, KEY = StringType(), IntegerType(), LongType()
+DATE, TIME, FLAG = DateType(), TimestampNTZType(), BooleanType()
+AMOUNT, RATING = DecimalType(10, 2), DecimalType(3, 2)
+
+
+def _table(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
+
 
 RAW: dict[str, StructType] = {
-    "users": StructType.fromDDL(
-        "user_id string, name string, email string, phone_number string, "
-        "registration_date date, age int, gender string, location string"
-    ),
-    "drivers": StructType.fromDDL(
-        "driver_id string, name string, vehicle_id string, rating decimal(3,2), "
-        "total_rides int, available boolean"
-    ),
-    "vehicles": StructType.fromDDL(
-        "vehicle_id string, make string, model string, year int, capacity int"
-    ),
-    "rides": StructType.fromDDL(
-        "ride_id string, user_id string, start_location string, end_location string, "
-        "ride_start_time timestamp_ntz, ride_end_time timestamp_ntz, "
-        "distance_km decimal(10,2), fare_amount decimal(10,2), driver_id string"
-    ),
-    "ratings": StructType.fromDDL(
-        "rating_id string, ride_id string, user_id string, rating_value int, "
-        "comments string, rating_date date"
+    "users": _table(
+        user_id=TEXT,
+        name=TEXT,
+        email=TEXT,
+        phone_number=TEXT,
+        registration_date=DATE,
+        age=INTEGER,
+        gender=TEXT,
+        location=TEXT,
+    ),
+    "drivers": _table(
+        driver_id=TEXT,
+        name=TEXT,
+        vehicle_id=TEXT,
+        rating=RATING,
+        total_rides=INTEGER,
+        available=FLAG,
+    ),
+    "vehicles": _table(
+        vehicle_id=TEXT,
+        make=TEXT,
+        model=TEXT,
+        year=INTEGER,
+        capacity=INTEGER,
+    ),
+    "rides": _table(
+        ride_id=TEXT,
+        user_id=TEXT,
+        start_location=TEXT,
+        end_location=TEXT,
+        ride_start_time=TIME,
+        ride_end_time=TIME,
+        distance_km=AMOUNT,
+        fare_amount=AMOUNT,
+        driver_id=TEXT,
+    ),
+    "ratings": _table(
+        rating_id=TEXT,
+        ride_id=TEXT,
+        user_id=TEXT,
+        rating_value=INTEGER,
+        comments=TEXT,
+        rating_date=DATE,
     ),
 }
 
 STAR: dict[str, StructType] = {
-    "dim_user": StructType.fromDDL(
-        "user_key bigint, user_id string, masked_name string, masked_email_hash string, "
-        "masked_phone_hash string, registration_date date, age int, gender string, "
-        "location_city string, is_active_subscriber boolean"
-    ),
-    "dim_driver": StructType.fromDDL(
-        "driver_key bigint, driver_id string, driver_name string, vehicle_make string, "
-        "vehicle_model string, vehicle_year int, vehicle_capacity int, "
-        "is_available_flag boolean"
-    ),
-    "dim_date": StructType.fromDDL(
-        "date_key int, full_date date, day_of_week int, day_name string, "
-        "month_name string, year int, is_weekend boolean"
-    ),
-    "fact_rides": StructType.fromDDL(
-        "ride_id string, user_key bigint, driver_key bigint, start_date_key int, "
-        "start_time timestamp_ntz, end_time timestamp_ntz, "
-        "ride_duration_minutes decimal(10,2), distance_km decimal(10,2), "
-        "fare_amount decimal(10,2), time_to_next_ride_minutes decimal(10,2), "
-        "is_peak_hour boolean, average_driver_rating decimal(3,2)"
+    "dim_user": _table(
+        user_key=KEY,
+        user_id=TEXT,
+        masked_name=TEXT,
+        masked_email_hash=TEXT,
+        masked_phone_hash=TEXT,
+        registration_date=DATE,
+        age=INTEGER,
+        gender=TEXT,
+        location_city=TEXT,
+        is_active_subscriber=FLAG,
+    ),
+    "dim_driver": _table(
+        driver_key=KEY,
+        driver_id=TEXT,
+        driver_name=TEXT,
+        vehicle_make=TEXT,
+        vehicle_model=TEXT,
+        vehicle_year=INTEGER,
+        vehicle_capacity=INTEGER,
+        is_available_flag=FLAG,
+    ),
+    "dim_date": _table(
+        date_key=INTEGER,
+        full_date=DATE,
+        day_of_week=INTEGER,
+        day_name=TEXT,
+        month_name=TEXT,
+        year=INTEGER,
+        is_weekend=FLAG,
+    ),
+    "fact_rides": _table(
+        ride_id=TEXT,
+        user_key=KEY,
+        driver_key=KEY,
+        start_date_key=INTEGER,
+        start_time=TIME,
+        end_time=TIME,
+        ride_duration_minutes=AMOUNT,
+        distance_km=AMOUNT,
+        fare_amount=AMOUNT,
+        time_to_next_ride_minutes=AMOUNT,
+        is_peak_hour=FLAG,
+        average_driver_rating=RATING,
     ),
 }
 

@@ -52,6 +52,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .csv(path)
