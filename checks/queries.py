@@ -41,10 +41,15 @@ def built(spark: SparkSession, sf_dir: str, rides: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir, rides)
     if key not in _BUILT:
         root = f"{scratch_dir(spark)}/warehouse-{uuid.uuid4().hex}"
-        _BUILT[key] = warehouse.build(raw_tables(spark, sf_dir, rides), root)
+        _BUILT[key] = build_from(raw_tables(spark, sf_dir, rides), root, rides)
     return _BUILT[key]
 
 
+def build_from(raw: dict[str, DataFrame], root: str, rides: str) -> Warehouse:
+    # Rides from order lines come out of a join, so they are stored before use.
+    return warehouse.build(warehouse.stage(raw, root) if rides == "orders" else raw, root)
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Types every engine has: 64-bit integers, doubles (long averages to 6 places)."""
     columns = []

@@ -31,6 +31,7 @@ def with_surrogate_key(
     natural: str,
     *,
     start: int = 1,
+    sized_by: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``df`` with ``key`` = start, start+1, … in order of the natural key.
@@ -44,7 +45,12 @@ def with_surrogate_key(
     else:
         numbered, order = df, [(natural, "asc")]
     keyed = ranking.ranked(
-        numbered, order, [], {key: ranking.row_number() + F.lit(start - 1)}, limits=limits
+        numbered,
+        order,
+        [],
+        {key: ranking.row_number() + F.lit(start - 1)},
+        sized_by=sized_by,
+        limits=limits,
     )
     return keyed.select(key, *df.columns)
 
@@ -56,6 +62,7 @@ def insert_if_absent(
     natural: str,
     order: list[str] | None = None,
     *,
+    sized_by: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Rows to append to ``target``: incoming rows whose natural key is new.
@@ -69,4 +76,6 @@ def insert_if_absent(
     if target is not None:
         fresh = fresh.join(target.select(natural), natural, "left_anti").select(*fresh.columns)
         start = (target.agg(F.max(key)).first()[0] or 0) + 1
-    return with_surrogate_key(fresh, key, natural, start=start, limits=limits)
+    return with_surrogate_key(
+        fresh, key, natural, start=start, sized_by=sized_by, limits=limits
+    )

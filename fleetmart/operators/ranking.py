@@ -2,9 +2,9 @@
 
 Three ways to the same numbers:
 
+* small input: the built-in window.
 * ``limit`` given: the first rows are found by a distributed top-k and only they
   are ranked; what depends on the rest (row count, ties at the cut) is a scalar.
-* small input: the built-in window.
 * otherwise: the rows are range-partitioned by the order, ranked inside each part,
   and shifted by per-part totals. Equal values may span parts, so a value that a
   third of all rows share is split too.
@@ -66,17 +66,21 @@ def ranked(
     columns: dict[str, Column],
     *,
     limit: int | None = None,
+    sized_by: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``df`` plus rank ``columns`` (built from the functions of this module).
 
     ``order`` decides rank and ties; ``order + tie`` must be total and decides
-    row numbers, tiles and which rows a ``limit`` keeps.
+    row numbers, tiles and which rows a ``limit`` keeps. ``sized_by`` names a frame
+    that is at least as large, for a ``df`` whose joins hide its size from Catalyst.
     """
-    if limit is not None:
-        placed = _place_top(df, order, tie, limit)
-    elif is_small(df, limits):
+    if is_small(df if sized_by is None else sized_by, limits):
         placed = _place_window(df, order, tie)
+        if limit is not None:
+            placed = placed.orderBy(*sort_columns(order + tie)).limit(limit)
+    elif limit is not None:
+        placed = _place_top(df, order, tie, limit)
     else:
         stored = materialize(df, "ranked")
         rows = stored.count()

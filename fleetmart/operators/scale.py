@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+T = TypeVar("T")
+
+
 @dataclass(frozen=True)
 class Limits:
     """What one task is allowed to hold.
@@ -94,6 +100,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(*actions: Callable[[], T]) -> list[T]:
+    """Results of independent Spark actions, submitted at the same time.
+
+    A small job leaves most of a cluster idle; its neighbours fill it.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(actions)))) as pool:
+        return list(pool.map(lambda action: action(), actions))
+
+
 def sort_column(name: str, direction: str) -> Column:
     """Ascending puts NULLs last, descending puts them first."""
     if direction == "asc":

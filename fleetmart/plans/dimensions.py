@@ -83,7 +83,9 @@ def new_drivers(
 ) -> DataFrame:
     """Rows to add to dim_driver."""
     drivers = drivers_with_vehicles(raw_drivers, raw_vehicles, limits)
-    return insert_if_absent(existing, drivers, "driver_key", "driver_id", limits=limits)
+    return insert_if_absent(
+        existing, drivers, "driver_key", "driver_id", sized_by=raw_drivers, limits=limits
+    )
 
 
 def new_dates(raw_rides: DataFrame, existing: DataFrame | None = None) -> DataFrame:

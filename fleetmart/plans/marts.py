@@ -173,6 +173,7 @@ def leaderboard(
         [(by, "asc")],
         {"efficiency_rank": ranking.row_number()},
         limit=limit,
+        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -198,6 +199,7 @@ def revenue_rank(
         [(by, "asc")],
         {"revenue_rank": ranking.rank()},
         limit=limit,
+        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -249,6 +251,7 @@ def quality_tiers(
         [(by, "asc")],
         {"quality_tier": ranking.dense_rank()},
         limit=limit,
+        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -282,6 +285,7 @@ def commission(
         [(by, "asc")],
         {"revenue_percentile": _thousandths(ranking.percent_rank())},
         limit=limit,
+        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -310,6 +314,7 @@ def efficiency_quartiles(
         [(by, "asc")],
         {"efficiency_cume_dist": _thousandths(ranking.cume_dist())},
         limit=limit,
+        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -339,6 +344,7 @@ def value_segments(
         [(by, "asc")],
         {"customer_value_quartile": ranking.ntile(4)},
         limit=limit,
+        sized_by=wh.fact_rides,
         limits=limits,
     )
     quartile = F.col("customer_value_quartile")

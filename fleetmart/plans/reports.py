@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmart.functions import labels
-from fleetmart.operators.scale import sort_columns
+from fleetmart.operators.scale import sort_columns, together
 from fleetmart.plans import marts
 from fleetmart.plans.warehouse import Warehouse
 
@@ -170,21 +170,28 @@ def write_reports(
     reports: dict[str, Callable[[], DataFrame]], folder: str, fmt: str = "parquet"
 ) -> DataFrame:
     """Write every report and return the manifest; a failing report is noted and skipped."""
-    written: dict[str, DataFrame] = {}
-    failed: list[tuple[str, int, str]] = []
-    spark = None
-    for name, make in reports.items():
+    def produce(name: str, make: Callable[[], DataFrame]) -> DataFrame | str:
         path = f"{folder}/{name}"
         try:
             df = make()
-            spark = df.sparkSession
             df.write.mode("overwrite").format(fmt).save(path)
-            written[name] = spark.read.schema(df.schema).format(fmt).load(path)
+            return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
         except Exception as error:  # the other reports are still wanted
-            failed.append((name, 0, f"FAILED: {type(error).__name__}"))
-    if spark is None:
+            return f"FAILED: {type(error).__name__}"
+
+    outcome = dict(
+        zip(
+            reports,
+            together(*[partial(produce, name, make) for name, make in reports.items()]),
+            strict=True,
+        )
+    )
+    written = {name: df for name, df in outcome.items() if isinstance(df, DataFrame)}
+    failed = [(name, 0, text) for name, text in outcome.items() if isinstance(text, str)]
+    if not written:
         raise RuntimeError(f"no report could be written: {failed}")
     result = manifest(written)
     if failed:
-        result = result.unionByName(spark.createDataFrame(failed, result.schema))
+        lost = result.sparkSession.createDataFrame(failed, result.schema)
+        result = result.unionByName(lost)
     return result

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmart.operators.scale import DEFAULT, Limits, materialize
+from fleetmart.operators.scale import DEFAULT, Limits, materialize, together
 from fleetmart.plans import dimensions, facts
 from fleetmart.sources import tables
 
@@ -27,19 +28,32 @@ class Warehouse:
         driver_daily_utilization(self).createOrReplaceTempView("v_driver_daily_utilization")
 
 
+def stage(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Store the raw tables as columns, so that the build reads only what it needs.
+
+    For raw text and for raw tables that are themselves the result of a join.
+    """
+    stored = together(
+        *[partial(tables.recreate, df, f"{root}/raw_{name}") for name, df in raw.items()]
+    )
+    return dict(zip(raw, stored, strict=True))
+
+
 def build(raw: dict[str, DataFrame], root: str, *, limits: Limits = DEFAULT) -> Warehouse:
     """Drop and rebuild all four tables under ``root``.
 
     Dimensions are stored first: their keys are allocated once, and the fact then
     joins tables of known size.
     """
-    dim_date = tables.recreate(dimensions.new_dates(raw["rides"]), f"{root}/dim_date")
-    dim_user = tables.recreate(
-        dimensions.new_users(raw["users"], limits=limits), f"{root}/dim_user"
-    )
-    dim_driver = tables.recreate(
-        dimensions.new_drivers(raw["drivers"], raw["vehicles"], limits=limits),
-        f"{root}/dim_driver",
+    dim_date, dim_user, dim_driver = together(
+        lambda: tables.recreate(dimensions.new_dates(raw["rides"]), f"{root}/dim_date"),
+        lambda: tables.recreate(
+            dimensions.new_users(raw["users"], limits=limits), f"{root}/dim_user"
+        ),
+        lambda: tables.recreate(
+            dimensions.new_drivers(raw["drivers"], raw["vehicles"], limits=limits),
+            f"{root}/dim_driver",
+        ),
     )
     fact = facts.fact_rides(
         raw["rides"], raw["ratings"], dim_user, dim_driver, dim_date, limits=limits
@@ -73,7 +87,7 @@ def refresh_dimensions(
             raw["drivers"], raw["vehicles"], old.dim_driver, limits=limits
         ),
     }
-    written = {name: materialize(df, f"new-{name}") for name, df in fresh.items()}
-    for name, df in written.items():
+    aside = together(*[partial(materialize, df, f"new-{name}") for name, df in fresh.items()])
+    for name, df in zip(fresh, aside, strict=True):
         tables.append(df, f"{root}/{name}")
     return open_warehouse(spark, root)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetmart.functions.scalars import date_key
+
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -17,6 +19,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _rows(spark: SparkSession, sf_dir: str, name: str) -> Column:
+    return read_table(spark, sf_dir, name).agg(F.count(F.lit(1))).scalar()
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
@@ -47,7 +53,7 @@ def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vehicles = read_table(spark, sf_dir, "part").count()
+    vehicles = _rows(spark, sf_dir, "part")
     key = F.col("s_suppkey")
     namesake = key - F.when(key % 10 == 9, 1).otherwise(0)
     return read_table(spark, sf_dir, "supplier").select(
@@ -63,11 +69,11 @@ def raw_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _after(start: Column, seconds: Column) -> Column:
-    return start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.timestamp_add("SECOND", seconds, start)
 
 
 def _event_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drivers = read_table(spark, sf_dir, "supplier").count()
+    drivers = _rows(spark, sf_dir, "supplier")
     ride = F.col("event_id")
     return read_table(spark, sf_dir, "events").select(
         ride.alias("ride_id"),
@@ -106,7 +112,12 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("l_shipdate").cast("timestamp_ntz")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format(day, "yyyyMMdd")
+            "-",
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            date_key(F.to_date(day)).cast("string"),
         ).alias("ride_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_suppkey").alias("driver_id"),

@@ -74,7 +74,7 @@ def test_parts_equal_windows(spark, case, direction):
 @pytest.mark.parametrize("case", _cases())
 def test_top_equals_windows(spark, case, direction, limit):
     df = _frame(spark, _cases()[case])
-    got = ranking.ranked(df, [("v", direction)], [("id", "asc")], _columns(), limit=limit)
+    got = ranking.ranked(df, [("v", direction)], [("id", "asc")], _columns(), limit=limit, limits=TINY)
     want = _expected(df, direction).where(F.col("rn") <= limit)
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(
         want.collect(), key=lambda r: r.id
@@ -89,7 +89,9 @@ def test_two_order_columns(spark):
     columns = {name: _columns()[name] for name in ("rk", "dr", "cd")}
     small = ranking.ranked(df, order, [("id", "asc")], columns)
     parts = ranking.ranked(df, order, [("id", "asc")], columns, limits=TINY)
-    top = ranking.ranked(df, order, [("id", "asc")], columns, limit=70)
+    top = ranking.ranked(df, order, [("id", "asc")], columns, limit=70, limits=TINY)
+    first = ranking.ranked(df, order, [("id", "asc")], columns, limit=9)
+    assert first.count() == 9 and first.exceptAll(small).isEmpty()
     expected = sorted(small.collect())
     assert sorted(parts.collect()) == expected
     assert sorted(top.collect()) == expected
