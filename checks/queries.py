@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, ShortType
 
+from fleetmart.functions.scalars import elapsed_seconds
 from fleetmart.operators import keys, quality, ranking
 from fleetmart.operators.scale import scratch_dir
 from fleetmart.operators.sequence import (
@@ -211,13 +212,12 @@ def win_lag_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
         lag={"previous_end": "end_time"},
         lead={"next_start": "start_time"},
     )
-    gap = partial(marts.elapsed_seconds)
     return linked.select(
         "ride_id",
         "previous_end",
         "next_start",
-        gap(F.col("previous_end"), F.col("start_time")).alias("seconds_since"),
-        gap(F.col("end_time"), F.col("next_start")).alias("seconds_until"),
+        elapsed_seconds(F.col("previous_end"), F.col("start_time")).alias("seconds_since"),
+        elapsed_seconds(F.col("end_time"), F.col("next_start")).alias("seconds_until"),
     )
 
 

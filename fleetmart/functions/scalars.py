@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,11 +36,19 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    return (elapsed_seconds(start, end) / 60).cast("decimal(10,2)")
+    """Minutes with two places, rounded half up.
+
+    Dividing an interval by a whole number rounds half up on its 64-bit microseconds:
+    600,000 of them are a hundredth of a minute, shown as 10,000 to read as minutes.
+    """
+    hundredths = (end - start) / 600_000
+    return (hundredths * 10_000).cast("interval second").cast("decimal(10,2)")
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    return elapsed_seconds(start, end) / 3600
+    """Hours with one place, rounded half up."""
+    tenths = (end - start) / 360_000_000
+    return (tenths * 100_000).cast("interval second").cast("decimal(10,1)")
 
 
 def exact_ratio(total: Column, count: Column, scale: int = 16) -> Column:
@@ -50,9 +60,19 @@ def exact_ratio(total: Column, count: Column, scale: int = 16) -> Column:
     return F.round(total / F.nullif(count.cast("decimal(20,0)"), F.lit(0)), scale)
 
 
+def exact_sum(value: Column) -> Column:
+    """Sum of a two-decimal column within a group.
+
+    Added up as 64-bit hundredths: a decimal sum this wide would leave the fixed-width
+    aggregation buffers.
+    """
+    hundredths = F.sum((value * 100).cast("bigint")).cast("decimal(20,0)")
+    return (hundredths * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+
+
 def exact_avg(value: Column, scale: int = 16) -> Column:
     """Mean of a two-decimal column within a group, NULLs skipped."""
-    return exact_ratio(F.sum(value).cast("decimal(22,2)"), F.count(value), scale)
+    return exact_ratio(exact_sum(value).cast("decimal(22,2)"), F.count(value), scale)
 
 
 def first_match(rules: list[tuple[Column, str]], otherwise: str | None = None) -> Column:

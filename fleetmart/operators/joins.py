@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.operators.scale import DEFAULT, DETECT, Limits, hot_keys, tasks_for
+from fleetmart.operators.scale import (
+    DEFAULT,
+    DETECT,
+    HotKeys,
+    Limits,
+    hot_keys,
+    tasks_for,
+)
 
 _SALT = "_salt"
 
@@ -17,7 +24,7 @@ def join_unique(
     how: str = "inner",
     *,
     spread_by: str | None = None,
-    hot: DataFrame | str | None = DETECT,
+    hot: HotKeys | str | None = DETECT,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``left`` joined to ``right`` (unique on ``key``), inner or left outer.
@@ -37,9 +44,8 @@ def join_unique(
     if spread_by is None:
         raise ValueError("hot keys need a column to spread them by")
 
-    largest = hot.agg(F.max("n")).first()[0]
-    salts = min(4096, tasks_for(largest, limits))
-    flags = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    salts = min(4096, tasks_for(hot.largest, limits))
+    flags = F.broadcast(hot.keys.withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
     spread = F.col("_hot").isNotNull() | F.col(key).isNull()
     fact = (

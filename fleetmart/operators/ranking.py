@@ -20,6 +20,7 @@ from fleetmart.operators.scale import (
     Limits,
     is_small,
     materialize,
+    settle,
     sort_columns,
     tasks_for,
 )
@@ -74,20 +75,17 @@ def ranked(
     ``order`` decides rank and ties; ``order + tie`` must be total and decides
     row numbers, tiles and which rows a ``limit`` keeps. ``sized_by`` names a frame
     that is at least as large, for a ``df`` whose joins hide its size from Catalyst.
+    A frame not known to be small is written first: its size is known from then on.
     """
-    if is_small(df if sized_by is None else sized_by, limits):
-        placed = _place_window(df, order, tie)
+    settled = settle(df, sized_by, limits)
+    if settled is df or is_small(settled, limits):
+        placed = _place_window(settled, order, tie)
         if limit is not None:
             placed = placed.orderBy(*sort_columns(order + tie)).limit(limit)
     elif limit is not None:
-        placed = _place_top(df, order, tie, limit)
+        placed = _place_top(settled, order, tie, limit)
     else:
-        stored = materialize(df, "ranked")
-        rows = stored.count()
-        if rows <= limits.hot_rows:
-            placed = _place_window(stored, order, tie)
-        else:
-            placed = _place_parts(stored, order, tie, rows, limits)
+        placed = _place_parts(settled, order, tie, settled.count(), limits)
     return placed.select(*df.columns, *[value.alias(name) for name, value in columns.items()])
 
 

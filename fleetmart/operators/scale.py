@@ -21,12 +21,14 @@ class Limits:
     """What one task is allowed to hold.
 
     ``small_bytes``  an input whose planned size is below this needs no splitting
+    ``broadcast_bytes``  a table whose planned size is below this may be broadcast
     ``hot_rows``     rows of one key that a single task may sort
     ``max_hot``      how many of the largest keys get special treatment; every
                      other key then holds at most 1/max_hot of all rows
     """
 
     small_bytes: int = 64 << 20
+    broadcast_bytes: int = 16 << 20
     hot_rows: int = 5_000_000
     max_hot: int = 10_000
 
@@ -51,26 +53,41 @@ def is_small(df: DataFrame, limits: Limits = DEFAULT) -> bool:
     return size is not None and size <= limits.small_bytes
 
 
-def hot_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> DataFrame | None:
-    """Keys too large for one task, as a frame ``(key, n)``; None if there are none.
+def can_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
+    size = planned_bytes(df)
+    return size is not None and size <= limits.broadcast_bytes
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys too large for one task: a one-column frame, their rows, the largest's rows."""
+
+    keys: DataFrame
+    rows: int
+    largest: int
+
+
+def hot_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> HotKeys | None:
+    """The hot keys of ``df``; None if there are none. NULL is never a hot key.
 
     Reads one column, counts with map-side combine and brings back at most
-    ``max_hot`` rows, largest first. NULL is never a hot key.
+    ``max_hot`` rows, largest first: a bounded frame that may be broadcast.
     """
     if is_small(df, limits):
         return None
-    rows = (
+    found = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > limits.hot_rows)
         .orderBy(F.col("n").desc(), F.col(key))
         .limit(limits.max_hot)
+        .toArrow()
     )
-    found = rows.collect()
-    if not found:
+    if found.num_rows == 0:
         return None
-    return df.sparkSession.createDataFrame(found, rows.schema)
+    counts = found.column("n").to_pylist()
+    return HotKeys(df.sparkSession.createDataFrame(found.select([key])), sum(counts), counts[0])
 
 
 def tasks_for(rows: int, limits: Limits = DEFAULT) -> int:
@@ -100,6 +117,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle(
+    df: DataFrame, sized_by: DataFrame | None = None, limits: Limits = DEFAULT
+) -> DataFrame:
+    """``df`` itself when small, else written: for a result that is read repeatedly.
+
+    ``sized_by`` names a frame that is at least as large, for a ``df`` whose joins
+    hide its size from Catalyst. A written frame is planned by its real size.
+    """
+    if is_small(df if sized_by is None else sized_by, limits):
+        return df
+    return materialize(df, "settled")
+
+
 def together(*actions: Callable[[], T]) -> list[T]:
     """Results of independent Spark actions, submitted at the same time.
 

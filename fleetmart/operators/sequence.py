@@ -15,6 +15,7 @@ from fleetmart.operators.joins import join_unique
 from fleetmart.operators.scale import (
     DEFAULT,
     DETECT,
+    HotKeys,
     Limits,
     hot_keys,
     materialize,
@@ -26,20 +27,20 @@ _SEGMENT = "_segment"
 
 def _window_columns(
     window: WindowSpec,
-    row_number: str | None,
-    lag: dict[str, str],
-    lead: dict[str, str],
-    first: dict[str, str],
+    row_number: str | None = None,
+    lag: dict[str, str] | None = None,
+    lead: dict[str, str] | None = None,
+    first: dict[str, str] | None = None,
 ) -> dict[str, Column]:
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns: dict[str, Column] = {}
     if row_number:
         columns[row_number] = F.row_number().over(window).cast("bigint")
-    for name, source in lag.items():
+    for name, source in (lag or {}).items():
         columns[name] = F.lag(source).over(window)
-    for name, source in lead.items():
+    for name, source in (lead or {}).items():
         columns[name] = F.lead(source).over(window)
-    for name, source in first.items():
+    for name, source in (first or {}).items():
         # The first value is the same in a running frame, which does not buffer.
         columns[name] = F.first(source).over(so_far)
     return columns
@@ -58,7 +59,7 @@ def sequence(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     first: dict[str, str] | None = None,
-    hot: DataFrame | str | None = DETECT,
+    hot: HotKeys | str | None = DETECT,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``df`` plus sequence columns over ``key`` ordered by ``order``.
@@ -67,33 +68,36 @@ def sequence(
     must be total within a key, so end it with a unique column. Pass ``hot`` when
     the hot keys are already known (None: there are none).
     """
-    lag, lead, first = lag or {}, lead or {}, first or {}
-    wanted = (row_number, lag, lead, first)
+    wanted = {"row_number": row_number, "lag": lag, "lead": lead, "first": first}
     if isinstance(hot, str):
         hot = hot_keys(df, key, limits)
     window = Window.partitionBy(key).orderBy(*order)
     if hot is None:
-        return _append(df, _window_columns(window, *wanted))
+        return _append(df, _window_columns(window, **wanted))
 
-    flags = F.broadcast(hot.select(key))
+    flags = F.broadcast(hot.keys)
     rest = df.join(flags, key, "left_anti").select(*df.columns)
-    plain = _append(rest, _window_columns(window, *wanted))
-    hot_total = hot.agg(F.sum("n")).first()[0]
+    plain = _append(rest, _window_columns(window, **wanted))
     large = df.join(flags, key, "left_semi").select(*df.columns)
-    split = _split_sequence(large, key, order, tasks_for(hot_total, limits), *wanted)
-    return plain.unionByName(split.select(*plain.columns))
+    split = split_sequence(large, key, order, hot.rows, **wanted, limits=limits)
+    return plain.unionByName(split)
 
 
-def _split_sequence(
+def split_sequence(
     df: DataFrame,
     key: str,
     order: list[str],
-    tasks: int,
-    row_number: str | None,
-    lag: dict[str, str],
-    lead: dict[str, str],
-    first: dict[str, str],
+    rows: int,
+    *,
+    row_number: str | None = None,
+    lag: dict[str, str] | None = None,
+    lead: dict[str, str] | None = None,
+    first: dict[str, str] | None = None,
+    limits: Limits = DEFAULT,
 ) -> DataFrame:
+    """``sequence`` for a frame of about ``rows`` rows that all belong to hot keys."""
+    lag, lead, first = lag or {}, lead or {}, first or {}
+    tasks = tasks_for(rows, limits)
     # Segment ids must not change between the two readers, hence the written table.
     segmented = materialize(
         df.repartitionByRange(tasks, key, *order)
@@ -128,7 +132,7 @@ def _split_sequence(
     )
 
     window = Window.partitionBy(key, _SEGMENT).orderBy(*order)
-    local = _append(segmented, _window_columns(window, "_local", lag, lead, {}))
+    local = _append(segmented, _window_columns(window, "_local", lag, lead))
     joined = local.join(edges, [key, _SEGMENT])
     starts, ends = F.col("_local") == 1, F.col("_local") == F.col("_rows")
     result = {}

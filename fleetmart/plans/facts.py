@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from fleetmart.functions.labels import PEAK_HOURS
 from fleetmart.functions.scalars import date_key, minutes_between
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import DEFAULT, DETECT, Limits, hot_keys
-from fleetmart.operators.sequence import sequence
+from fleetmart.operators.scale import DEFAULT, DETECT, HotKeys, Limits, hot_keys
+from fleetmart.operators.sequence import sequence, split_sequence
 
 
 def rating_per_ride(raw_ratings: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def keyed_rides(
     dim_driver: DataFrame,
     dim_date: DataFrame,
     *,
-    hot_drivers: DataFrame | str | None = DETECT,
+    hot_drivers: HotKeys | str | None = DETECT,
+    hot_users: HotKeys | str | None = DETECT,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Rides with their three dimension keys; rides without a match are dropped."""
@@ -48,18 +49,63 @@ def keyed_rides(
         dim_user.select("user_id", "user_key"),
         "user_id",
         spread_by="ride_id",
-        hot=hot_keys(raw_rides, "user_id", limits),
+        hot=hot_users,
         limits=limits,
     )
     return with_user.join(dim_date.select("date_key"), "date_key")
 
 
-def _as_driver_keys(hot: DataFrame | None, dim_driver: DataFrame) -> DataFrame | None:
-    if hot is None:
-        return None
-    keys = dim_driver.select("driver_id", "driver_key").join(F.broadcast(hot), "driver_id")
-    found = keys.select("driver_key", "n").collect()
-    return hot.sparkSession.createDataFrame(found, "driver_key bigint, n bigint") if found else None
+def _with_previous_end(
+    raw_rides: DataFrame,
+    ratings: DataFrame,
+    dim_user: DataFrame,
+    dim_driver: DataFrame,
+    dim_date: DataFrame,
+    limits: Limits,
+) -> DataFrame:
+    """Keyed and rated rides with the end of the driver's previous ride.
+
+    Hot drivers are told apart on the raw table, where that reads one column, so
+    every ride passes through the joins once.
+    """
+    hot_drivers = hot_keys(raw_rides, "driver_id", limits)
+    hot_users = hot_keys(raw_rides, "user_id", limits)
+    order, lag = ["start_time", "ride_id"], {"previous_end": "end_time"}
+
+    def rated(rides: DataFrame, drivers: DataFrame) -> DataFrame:
+        keyed = keyed_rides(
+            rides,
+            dim_user,
+            drivers,
+            dim_date,
+            hot_drivers=None,
+            hot_users=hot_users,
+            limits=limits,
+        )
+        return keyed.join(ratings, "ride_id", "left").select(
+            "ride_id",
+            "user_key",
+            "driver_key",
+            F.col("date_key").alias("start_date_key"),
+            F.col("ride_start_time").alias("start_time"),
+            F.col("ride_end_time").alias("end_time"),
+            "distance_km",
+            "fare_amount",
+            "average_driver_rating",
+        )
+
+    if hot_drivers is None:
+        return sequence(rated(raw_rides, dim_driver), "driver_key", order, lag=lag, hot=None)
+
+    flags = F.broadcast(hot_drivers.keys)
+    few = F.broadcast(dim_driver.join(flags, "driver_id", "left_semi"))
+    many_rides = raw_rides.join(flags, "driver_id", "left_semi")
+    other_rides = raw_rides.join(flags, "driver_id", "left_anti")
+    other = sequence(rated(other_rides, dim_driver), "driver_key", order, lag=lag, hot=None)
+    many = split_sequence(
+        rated(many_rides, few), "driver_key", order, hot_drivers.rows, lag=lag, limits=limits
+    )
+    return other.unionByName(many)
 
 
 def fact_rides(
@@ -73,33 +119,10 @@ def fact_rides(
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """The fact in its stored layout. Unrated rides and first rides keep NULLs."""
-    # Counted on the raw table, where it reads a single column.
-    hot_drivers = hot_keys(raw_rides, "driver_id", limits)
-    keyed = keyed_rides(
-        raw_rides, dim_user, dim_driver, dim_date, hot_drivers=hot_drivers, limits=limits
-    )
-    rated = keyed.join(rating_per_ride(raw_ratings), "ride_id", "left")
-    rides = rated.select(
-        "ride_id",
-        "user_key",
-        "driver_key",
-        F.col("date_key").alias("start_date_key"),
-        F.col("ride_start_time").alias("start_time"),
-        F.col("ride_end_time").alias("end_time"),
-        "distance_km",
-        "fare_amount",
-        "average_driver_rating",
-    )
-    ordered = sequence(
-        rides,
-        "driver_key",
-        ["start_time", "ride_id"],
-        lag={"previous_end": "end_time"},
-        hot=_as_driver_keys(hot_drivers, dim_driver),
-        limits=limits,
-    )
+    ratings = rating_per_ride(raw_ratings)
+    linked = _with_previous_end(raw_rides, ratings, dim_user, dim_driver, dim_date, limits)
     peak = F.hour("start_time").isin(peak_hours or PEAK_HOURS)
-    return ordered.select(
+    return linked.select(
         "ride_id",
         "user_key",
         "driver_key",

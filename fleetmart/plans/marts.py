@@ -3,7 +3,8 @@
 Each mart takes a ``Warehouse`` and returns a DataFrame. Where a report groups by
 an attribute of a dimension (a name, an initial, a weekday), the fact is first
 reduced to one row per dimension key and only that result meets the dimension, so
-no join carries the fact itself and a busy key costs one row. ``by`` switches the
+no join carries the fact itself and a busy key costs one row. (The daily rows are
+the exception, see ``_daily``.) ``by`` switches the
 grouping from the attribute to the key behind it.
 """
 
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions import labels
 from fleetmart.functions.scalars import (
-    elapsed_seconds,
     exact_avg,
     exact_ratio,
+    exact_sum,
     first_match,
     hours_between,
     tier,
@@ -24,7 +25,14 @@ from fleetmart.functions.scalars import (
 from fleetmart.operators import ranking
 from fleetmart.operators.joins import join_unique
 from fleetmart.operators.ranking import ranked
-from fleetmart.operators.scale import DEFAULT, Limits, sort_columns
+from fleetmart.operators.scale import (
+    DEFAULT,
+    Limits,
+    can_broadcast,
+    is_small,
+    settle,
+    sort_columns,
+)
 from fleetmart.operators.sequence import sequence
 from fleetmart.plans.warehouse import Warehouse
 
@@ -39,38 +47,75 @@ def _top(df: DataFrame, order: list[tuple[str, str]], limit: int | None) -> Data
 
 
 def _mean(total: str, count: str) -> Column:
-    return exact_ratio(F.sum(total).cast("decimal(22,2)"), F.sum(count))
+    return exact_ratio(exact_sum(F.col(total)).cast("decimal(22,2)"), F.sum(count))
 
 
 # --- reductions of the fact -------------------------------------------------
 
 
-def driver_daily_utilization(wh: Warehouse, by: str = "driver_name") -> DataFrame:
-    """Wait, rides and revenue per driver and day, first ride of each driver left out."""
-    per_key = (
-        wh.fact_rides.where(F.col("time_to_next_ride_minutes").isNotNull())
-        .groupBy("driver_key", "start_date_key")
-        .agg(
-            F.sum("time_to_next_ride_minutes").alias("wait"),
-            F.count("time_to_next_ride_minutes").alias("waits"),
-            F.count("ride_id").alias("rides"),
-            F.sum("fare_amount").alias("revenue"),
+def _daily(wh: Warehouse, by: str, limits: Limits = DEFAULT) -> DataFrame:
+    """One row per driver and date key, first ride of each driver left out.
+
+    Nearly every ride can be the only one of its driver and day, so reducing by
+    driver key before the names come in would shuffle twice. It is done only where
+    the names are too many to broadcast.
+    """
+    rides = wh.fact_rides.where(F.col("time_to_next_ride_minutes").isNotNull())
+    names = wh.dim_driver.select("driver_key", "driver_name")
+    named = by != "driver_key"
+    if named and can_broadcast(names, limits):
+        rides, named = rides.join(F.broadcast(names), "driver_key"), False
+        key = by
+    else:
+        key = "driver_key"
+    days = rides.groupBy(key, "start_date_key").agg(
+        exact_sum(F.col("time_to_next_ride_minutes")).alias("wait"),
+        F.count("time_to_next_ride_minutes").alias("waits"),
+        F.count("ride_id").alias("rides"),
+        exact_sum(F.col("fare_amount")).alias("revenue"),
+    )
+    if named:
+        days = (
+            join_unique(days, names, "driver_key")
+            .groupBy(by, "start_date_key")
+            .agg(
+                exact_sum(F.col("wait")).alias("wait"),
+                F.sum("waits").alias("waits"),
+                F.sum("rides").alias("rides"),
+                exact_sum(F.col("revenue")).alias("revenue"),
+            )
         )
+    return days.select(
+        by,
+        "start_date_key",
+        exact_ratio(F.col("wait").cast("decimal(22,2)"), F.col("waits")).alias(
+            "avg_wait_time_minutes"
+        ),
+        F.col("rides").alias("total_rides_that_day"),
+        F.col("revenue").alias("total_revenue_that_day"),
     )
+
+
+def driver_daily_utilization(
+    wh: Warehouse, by: str = "driver_name", limits: Limits = DEFAULT
+) -> DataFrame:
+    """Wait, rides and revenue per driver and day, first ride of each driver left out."""
     days = wh.dim_date.select(F.col("date_key").alias("start_date_key"), "full_date")
-    named = join_unique(per_key, wh.dim_driver.select("driver_key", "driver_name"), "driver_key")
-    dated = join_unique(named, days, "start_date_key")
-    return dated.groupBy(by, "full_date").agg(
-        _mean("wait", "waits").alias("avg_wait_time_minutes"),
-        F.sum("rides").alias("total_rides_that_day"),
-        F.sum("revenue").alias("total_revenue_that_day"),
+    return join_unique(_daily(wh, by, limits), days, "start_date_key").select(
+        by,
+        "full_date",
+        "avg_wait_time_minutes",
+        "total_rides_that_day",
+        "total_revenue_that_day",
     )
 
 
-def driver_waits(wh: Warehouse, by: str = "driver_name") -> DataFrame:
+def driver_waits(
+    wh: Warehouse, by: str = "driver_name", limits: Limits = DEFAULT
+) -> DataFrame:
     """Unweighted mean of the daily mean waits, and rides, per driver."""
     return (
-        driver_daily_utilization(wh, by)
+        _daily(wh, by, limits)
         .where(F.col("total_rides_that_day") > 0)
         .groupBy(by)
         .agg(
@@ -84,20 +129,20 @@ def driver_waits(wh: Warehouse, by: str = "driver_name") -> DataFrame:
 
 def driver_revenue(wh: Warehouse, by: str = "driver_name") -> DataFrame:
     per_key = wh.fact_rides.groupBy("driver_key").agg(
-        F.count("ride_id").alias("rides"), F.sum("fare_amount").alias("revenue")
+        F.count("ride_id").alias("rides"), exact_sum(F.col("fare_amount")).alias("revenue")
     )
     return (
         join_unique(per_key, wh.dim_driver.select("driver_key", "driver_name"), "driver_key")
         .groupBy(by)
-        .agg(F.sum("rides").alias("total_rides"), F.sum("revenue").alias("total_revenue"))
+        .agg(F.sum("rides").alias("total_rides"), exact_sum(F.col("revenue")).alias("total_revenue"))
     )
 
 
 def customer_spend(wh: Warehouse, by: str = "masked_name") -> DataFrame:
     per_key = wh.fact_rides.groupBy("user_key").agg(
         F.count("ride_id").alias("rides"),
-        F.sum("fare_amount").alias("fare"),
-        F.sum("distance_km").alias("km"),
+        exact_sum(F.col("fare_amount")).alias("fare"),
+        exact_sum(F.col("distance_km")).alias("km"),
         F.count("distance_km").alias("kms"),
     )
     return (
@@ -105,7 +150,7 @@ def customer_spend(wh: Warehouse, by: str = "masked_name") -> DataFrame:
         .groupBy(by)
         .agg(
             F.sum("rides").alias("total_rides"),
-            F.sum("fare").alias("total_fare_spent"),
+            exact_sum(F.col("fare")).alias("total_fare_spent"),
             _mean("km", "kms").alias("avg_km"),
         )
     )
@@ -133,12 +178,12 @@ def peak_hours(wh: Warehouse, *, limit: int | None = 20) -> DataFrame:
     """q2: revenue by weekday and hour."""
     per_key = wh.fact_rides.groupBy(
         "start_date_key", F.hour("start_time").alias("hour_of_day")
-    ).agg(F.count("ride_id").alias("rides"), F.sum("fare_amount").alias("revenue"))
+    ).agg(F.count("ride_id").alias("rides"), exact_sum(F.col("fare_amount")).alias("revenue"))
     days = wh.dim_date.select(F.col("date_key").alias("start_date_key"), "day_name")
     slots = (
         join_unique(per_key, days, "start_date_key")
         .groupBy("day_name", "hour_of_day")
-        .agg(F.sum("rides").alias("total_rides"), F.sum("revenue").alias("total_revenue"))
+        .agg(F.sum("rides").alias("total_rides"), exact_sum(F.col("revenue")).alias("total_revenue"))
     )
     order = [("total_revenue", "desc"), ("day_name", "asc"), ("hour_of_day", "asc")]
     return _top(slots, order, limit)
@@ -165,7 +210,8 @@ def leaderboard(
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q4: unique positions by mean wait, beside the mean of the whole fleet."""
-    waits = driver_waits(wh, by)
+    # Read twice, for the board and for the fleet.
+    waits = settle(driver_waits(wh, by, limits), wh.fact_rides, limits)
     fleet = waits.agg(F.round(exact_ratio(F.sum("avg_wait"), F.count("avg_wait")), 2)).scalar()
     board = ranked(
         waits,
@@ -173,7 +219,7 @@ def leaderboard(
         [(by, "asc")],
         {"efficiency_rank": ranking.row_number()},
         limit=limit,
-        sized_by=wh.fact_rides,
+        sized_by=wh.fact_rides if is_small(wh.fact_rides, limits) else None,
         limits=limits,
     )
     return board.select(
@@ -232,7 +278,7 @@ def quality_tiers(
         .groupBy("driver_key")
         .agg(
             F.count("ride_id").alias("rides"),
-            F.sum("average_driver_rating").alias("stars"),
+            exact_sum(F.col("average_driver_rating")).alias("stars"),
             F.count("average_driver_rating").alias("ratings"),
         )
     )
@@ -309,7 +355,7 @@ def efficiency_quartiles(
 ) -> DataFrame:
     """q8: cumulative share of drivers by mean wait, cut into quartiles."""
     board = ranked(
-        driver_waits(wh, by),
+        driver_waits(wh, by, limits),
         [("avg_wait", "asc")],
         [(by, "asc")],
         {"efficiency_cume_dist": _thousandths(ranking.cume_dist())},
@@ -389,12 +435,12 @@ def idle_gaps(
     first = _top(
         named, [("driver_name", "asc"), ("start_time", "asc"), ("ride_id", "asc")], limit
     )
-    idle_seconds = elapsed_seconds(F.col("end_time"), F.col("next_ride_start"))
+    idle = F.col("next_ride_start") - F.col("end_time")
     has_next = F.col("next_ride_start").isNotNull()
     flag = first_match(
         [
             *[
-                (has_next & (idle_seconds > hours * 3600), label)
+                (has_next & (idle > F.make_dt_interval(hours=F.lit(hours))), label)
                 for hours, label in labels.IDLE_FLAGS
             ],
             (has_next, labels.IDLE_NORMAL),
@@ -407,7 +453,7 @@ def idle_gaps(
         F.hour("start_time").alias("start_hour"),
         F.col("fare_amount").alias("current_fare"),
         "next_ride_start",
-        F.round(hours_between(F.col("end_time"), F.col("next_ride_start")), 1).alias(
+        hours_between(F.col("end_time"), F.col("next_ride_start")).alias(
             "idle_hours_until_next_ride"
         ),
         flag.alias("retention_risk_flag"),

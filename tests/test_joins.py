@@ -5,7 +5,7 @@ import random
 import pytest
 
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import Limits
+from fleetmart.operators.scale import HotKeys, Limits
 
 TINY = Limits(small_bytes=0, hot_rows=10)
 
@@ -44,6 +44,6 @@ def test_other_joins_are_refused(spark):
 
 def test_known_hot_keys_need_a_spread_column(spark):
     left, right = _frames(spark)
-    hot = spark.createDataFrame([(1, 50)], "k int, n bigint")
+    hot = HotKeys(spark.createDataFrame([(1,)], "k int"), 50, 50)
     with pytest.raises(ValueError):
         join_unique(left, right, "k", hot=hot)
