@@ -10,11 +10,13 @@ from fleetmart.operators.scale import (
     DETECT,
     HotKeys,
     Limits,
+    can_broadcast,
     hot_keys,
     tasks_for,
 )
 
-_SALT = "_salt"
+_SALT, _HOT = "_salt", "_hot"
+_SALTS = 16
 
 
 def join_unique(
@@ -29,34 +31,37 @@ def join_unique(
 ) -> DataFrame:
     """``left`` joined to ``right`` (unique on ``key``), inner or left outer.
 
-    Without a hot key this is the plain equi-join: Catalyst broadcasts the right
-    side when its size allows and shuffles otherwise. Hot keys, and NULL keys of
-    an outer join, are spread over salts taken from ``spread_by`` (a column with
-    many values); only the few matching right rows are repeated per salt. Leave
-    ``spread_by`` out where ``left`` cannot have hot keys, as after an aggregate.
+    A right side of known small size is broadcast, and keys then do not matter.
+    Beyond that both sides are shuffled, and hot keys, as well as NULL keys of an
+    outer join, are spread over salts taken from ``spread_by`` (a column with many
+    values); only the few matching right rows are repeated per salt. Leave
+    ``spread_by`` out where ``left`` cannot have hot keys, as after an aggregate,
+    and pass ``hot`` where looking for them in ``left`` would compute it twice.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
+    if can_broadcast(right, limits):
+        return left.join(F.broadcast(right), key, how)
     if isinstance(hot, str):
         hot = hot_keys(left, key, limits) if spread_by else None
-    if hot is None:
-        return left.join(right, key, how)
-    if spread_by is None:
+    if hot is not None and spread_by is None:
         raise ValueError("hot keys need a column to spread them by")
+    if spread_by is None or (hot is None and how == "inner"):
+        return left.join(right, key, how)
 
-    salts = min(4096, tasks_for(hot.largest, limits))
-    flags = F.broadcast(hot.keys.withColumn("_hot", F.lit(True)))
+    salts = _SALTS if hot is None else min(4096, max(_SALTS, tasks_for(hot.largest, limits)))
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    fact = (
-        left.join(flags, key, "left")
-        .withColumn(_SALT, F.when(spread, salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
-    dimension = (
-        right.join(flags, key, "left")
-        .withColumn(_SALT, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    spread = F.col(key).isNull()
+    dimension = right.withColumn(_SALT, F.lit(0))
+    if hot is not None:
+        flags = F.broadcast(hot.keys.withColumn(_HOT, F.lit(True)))
+        left = left.join(flags, key, "left")
+        spread = spread | F.col(_HOT).isNotNull()
+        copies = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
+        dimension = (
+            right.join(flags, key, "left")
+            .withColumn(_SALT, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+            .drop(_HOT)
+        )
+    fact = left.withColumn(_SALT, F.when(spread, salt).otherwise(F.lit(0))).drop(_HOT)
     return fact.join(dimension, [key, _SALT], how).drop(_SALT)

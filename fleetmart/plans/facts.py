@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from fleetmart.functions.labels import PEAK_HOURS
 from fleetmart.functions.scalars import date_key, minutes_between
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import DEFAULT, DETECT, HotKeys, Limits, hot_keys
+from fleetmart.operators.scale import (
+    DEFAULT,
+    DETECT,
+    HotKeys,
+    Limits,
+    can_broadcast,
+    hot_keys,
+)
 from fleetmart.operators.sequence import sequence, split_sequence
 
 
@@ -69,7 +76,8 @@ def _with_previous_end(
     every ride passes through the joins once.
     """
     hot_drivers = hot_keys(raw_rides, "driver_id", limits)
-    hot_users = hot_keys(raw_rides, "user_id", limits)
+    few_users = can_broadcast(dim_user.select("user_id", "user_key"), limits)
+    hot_users = None if few_users else hot_keys(raw_rides, "user_id", limits)
     order, lag = ["start_time", "ride_id"], {"previous_end": "end_time"}
 
     def rated(rides: DataFrame, drivers: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from fleetmart.operators.scale import (
     DEFAULT,
     Limits,
     can_broadcast,
+    hot_keys,
     is_small,
     settle,
     sort_columns,
@@ -422,14 +423,21 @@ def idle_gaps(
     rides = wh.fact_rides.select("driver_key", "ride_id", "start_time", "end_time", "fare_amount")
     if driver_keys is not None:
         rides = rides.where(F.col("driver_key").isin(driver_keys))
+    hot = hot_keys(rides, "driver_key", limits)
     followed = sequence(
-        rides, "driver_key", RIDE_ORDER, lead={"next_ride_start": "start_time"}, limits=limits
+        rides,
+        "driver_key",
+        RIDE_ORDER,
+        lead={"next_ride_start": "start_time"},
+        hot=hot,
+        limits=limits,
     ).where(F.col("next_ride_start").isNotNull())
     named = join_unique(
         followed,
         wh.dim_driver.select("driver_key", "driver_name"),
         "driver_key",
         spread_by="ride_id",
+        hot=hot,
         limits=limits,
     )
     first = _top(
@@ -477,15 +485,19 @@ def progression(
     if driver_names is not None:
         drivers = drivers.where(F.col("driver_name").isin(driver_names))
         rides = rides.join(drivers.select("driver_key"), "driver_key", "left_semi")
+    hot = hot_keys(rides, "driver_key", limits)
     numbered = sequence(
         rides,
         "driver_key",
         RIDE_ORDER,
         row_number="ride_number",
         first={"first_ever_fare": "fare_amount"},
+        hot=hot,
         limits=limits,
     )
-    named = join_unique(numbered, drivers, "driver_key", spread_by="ride_id", limits=limits)
+    named = join_unique(
+        numbered, drivers, "driver_key", spread_by="ride_id", hot=hot, limits=limits
+    )
     first = _top(
         named, [("driver_name", "asc"), ("ride_number", "asc"), ("driver_key", "asc")], limit
     )

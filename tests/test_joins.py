@@ -7,7 +7,7 @@ import pytest
 from fleetmart.operators.joins import join_unique
 from fleetmart.operators.scale import HotKeys, Limits
 
-TINY = Limits(small_bytes=0, hot_rows=10)
+TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=10)
 
 
 def _frames(spark):
@@ -47,3 +47,16 @@ def test_known_hot_keys_need_a_spread_column(spark):
     hot = HotKeys(spark.createDataFrame([(1,)], "k int"), 50, 50)
     with pytest.raises(ValueError):
         join_unique(left, right, "k", hot=hot)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_null_keys_are_spread_without_hot_keys(spark, how):
+    left, right = _frames(spark)
+    rare = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=1000)
+    joined = join_unique(left, right, "k", how, spread_by="id", limits=rare)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_salt" in plan) == (how == "left")
+    plain = left.join(right, "k", how).select("id", "k", "name")
+    assert sorted(joined.select("id", "k", "name").collect(), key=str) == sorted(
+        plain.collect(), key=str
+    )

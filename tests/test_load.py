@@ -22,7 +22,7 @@ from fleetmart.schemas import RAW, RULES, STAR
 from fleetmart.sources import raw as raw_files
 from fleetmart.sources import tables
 
-TINY = Limits(small_bytes=0, hot_rows=3)
+TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=3)
 
 
 def _time(text):

@@ -9,7 +9,7 @@ from fleetmart.operators.scale import Limits
 from fleetmart.plans import marts, reports
 from fleetmart.plans.warehouse import Warehouse
 
-TINY = Limits(small_bytes=0, hot_rows=20)
+TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=20)
 
 
 def _same(left, right):

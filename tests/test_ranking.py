@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetmart.operators import ranking
 from fleetmart.operators.scale import Limits
 
-TINY = Limits(small_bytes=0, hot_rows=7)
+TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=7)
 
 
 def _columns():

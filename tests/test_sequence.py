@@ -14,7 +14,7 @@ from fleetmart.operators.sequence import (
     with_group_values,
 )
 
-TINY = Limits(small_bytes=0, hot_rows=6)
+TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=6)
 WANTED = {
     "row_number": "n",
     "lag": {"prior_end": "finish", "prior_fare": "fare"},
@@ -52,13 +52,13 @@ def test_hot_driver_is_spread(spark):
     rides = _rides(spark)
     hot = hot_keys(rides, "driver", TINY)
     assert [row.driver for row in hot.keys.collect()][0] == 1 and hot.largest == 60
-    rare = hot_keys(rides, "driver", Limits(small_bytes=0, hot_rows=1000))
+    rare = hot_keys(rides, "driver", Limits(small_bytes=0, broadcast_bytes=0, hot_rows=1000))
     assert rare is None
     assert hot_keys(rides, "driver") is None  # small input: not even counted
 
 
 def test_many_hot_keys_only_the_largest_are_split(spark):
-    limits = Limits(small_bytes=0, hot_rows=3, max_hot=2)
+    limits = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=3, max_hot=2)
     rides = _rides(spark)
     assert hot_keys(rides, "driver", limits).keys.count() == 2
     plain = sequence(rides, "driver", ["begin", "id"], **WANTED)
