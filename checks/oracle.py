@@ -691,14 +691,22 @@ def _tier_counts() -> str:
 SELECT tier_name, count(*) AS drivers FROM tiers GROUP BY tier_name"""
 
 
+def _dollars(column: str) -> str:
+    return f"'$' || format('{{:,}}', CAST(round_even({column}, 0) AS BIGINT))"
+
+
 def _segment_stats() -> str:
     return f"""{_steps("events", _spend("masked_name"), _segments("masked_name", None))}
-SELECT segment_name, {_money("min(fare100)")} AS min_fare, {_money("max(fare100)")} AS max_fare,
+SELECT *, concat_ws(' | ', segment_name, 'Customers: ' || customer_count,
+    'Fare Range: ' || {_dollars("min_fare")} || ' - ' || {_dollars("max_fare")},
+    'Avg Fare: ' || {_dollars("avg_fare")}, 'Total Spent: ' || {_dollars("total_fare")},
+    'Top Examples: ' || top_customers) AS caption
+FROM (SELECT segment_name, {_money("min(fare100)")} AS min_fare, {_money("max(fare100)")} AS max_fare,
        {_places(_half_up("sum(fare100)", "(100 * count(*))", 6), 6, 6)} AS avg_fare,
        {_money("sum(fare100)")} AS total_fare, count(*) AS customer_count,
        array_to_string(list(masked_name ORDER BY fare100 DESC, masked_name)[1:3], ', ')
          AS top_customers
-FROM segments GROUP BY segment_name"""
+FROM segments GROUP BY segment_name)"""
 
 
 def _reports() -> dict[str, str]:

@@ -74,7 +74,7 @@ def tier_averages(tiers: DataFrame) -> DataFrame:
 
 
 def segment_stats(segments: DataFrame, examples: int = 3) -> DataFrame:
-    """Spend statistics per segment and the names of its best customers.
+    """Spend statistics per segment, the names of its best customers, and a caption.
 
     The names come from a row-number filter, so a segment brings at most
     ``examples`` rows together, whatever its size.
@@ -102,7 +102,20 @@ def segment_stats(segments: DataFrame, examples: int = 3) -> DataFrame:
         F.sum("total_fare_spent").alias("total_fare"),
         F.count("masked_name").alias("customer_count"),
     )
-    return stats.join(names, "segment_name")
+
+    def dollars(name: str) -> Column:
+        return F.concat(F.lit("$"), F.format_number(name, 0))
+
+    caption = F.concat_ws(
+        " | ",
+        "segment_name",
+        F.concat(F.lit("Customers: "), F.col("customer_count").cast("string")),
+        F.concat(F.lit("Fare Range: "), dollars("min_fare"), F.lit(" - "), dollars("max_fare")),
+        F.concat(F.lit("Avg Fare: "), dollars("avg_fare")),
+        F.concat(F.lit("Total Spent: "), dollars("total_fare")),
+        F.concat(F.lit("Top Examples: "), F.col("top_customers")),
+    )
+    return stats.join(names, "segment_name").withColumn("caption", caption)
 
 
 def milestone_funnel(

@@ -115,6 +115,24 @@ def test_fact_rows(built):
     assert rows["r3"].average_driver_rating is None
 
 
+def test_fact_is_stored_in_driver_and_time_order(spark, built):
+    order = ["driver_key", "start_time", "ride_id"]
+    for path in built.fact_rides.inputFiles():
+        rows = [tuple(row) for row in spark.read.parquet(path).select(*order).collect()]
+        assert rows == sorted(rows)
+
+
+def test_layout_adds_no_sort_and_star_joins_broadcast(spark, built):
+    raw = _raw(spark)
+    fact = facts.fact_rides(
+        raw["rides"], raw["ratings"], built.dim_user, built.dim_driver, built.dim_date
+    )
+    plan = tables.fact_layout(fact)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [driver_key") == 1
+    assert plan.count("Exchange hashpartitioning(driver_key") == 1
+    assert plan.count("BroadcastHashJoin") >= 3
+
+
 def test_dates_only_where_rides_start(built):
     rows = {r.date_key: r for r in built.dim_date.collect()}
     assert set(rows) == {20240101, 20240102, 20240103}
