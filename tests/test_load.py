@@ -17,7 +17,7 @@ from fleetmart.functions.scalars import (
 )
 from fleetmart.operators import keys, quality
 from fleetmart.operators.scale import Limits
-from fleetmart.plans import dimensions, facts, warehouse
+from fleetmart.plans import facts, warehouse
 from fleetmart.schemas import RAW, RULES, STAR
 from fleetmart.sources import raw as raw_files
 from fleetmart.sources import tables
