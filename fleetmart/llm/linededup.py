@@ -54,7 +54,9 @@ def variant_hashes(line: str) -> np.ndarray:
     """
     values = _spread(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32))
     n = len(values)
-    powers = np.cumprod(np.concatenate([[1], np.full(n, 0x9E3779B97F4A7C15)]).astype(np.uint64))
+    powers = np.full(n + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers)
     before, after = np.zeros(n + 1, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
     np.cumsum(values * powers[:n], out=before[1:])
     np.cumsum(values[1:] * powers[: n - 1], out=after[1:])
