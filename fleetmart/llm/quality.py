@@ -56,7 +56,7 @@ def quality_rules(
     docs: DataFrame,
     trusted: DataFrame,
     *,
-    threshold: float = -0.25,
+    threshold: float = -0.4,
     min_words: int = 50,
     repeat_percent: int = 50,
 ) -> DataFrame:
