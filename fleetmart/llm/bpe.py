@@ -46,8 +46,6 @@ class Pairs(dict):
 
         None if its merges don't come in order of rank or don't end in the token.
         """
-        if token in self.edges:
-            return self.edges[token]
         parts, done = self.split(self.pieces[token]), []
         ranks = [0]
         first, last = [[parts[0], _NEVER]], [[parts[-1], _NEVER]]
@@ -68,7 +66,9 @@ class Pairs(dict):
         return found
 
     def _follows(self, left: int, right: int) -> bool:
-        ends, begins = self._edge(left), self._edge(right)
+        edges = self.edges
+        ends = edges[left] if left in edges else self._edge(left)
+        begins = edges[right] if right in edges else self._edge(right)
         if ends is None or begins is None:
             a, b = self.pieces[left], self.pieces[right]
             return merge(self.split(a + b), self.rank) == [a, b]

@@ -25,15 +25,40 @@ def byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+_HEAD = 6
+
+
+class _Odd(Exception):
+    """A chunk that white space joins to its neighbours."""
+
+
+class _Counts(dict):
+    """Chunk after a space to its number of tokens; filled on use, emptied when full."""
+
+    def __init__(self, counter: PrefixCounter, most: int):
+        super().__init__()
+        self.counter, self.most = counter, most
+
+    def __missing__(self, chunk: str) -> int:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Odd
+        n = self.counter.count_words(" " + chunk)
+        if len(self) >= self.most:
+            self.clear()
+        if len(chunk) <= 64:
+            self[chunk] = n
+        return n
+
+
 class PrefixCounter:
     """Counts tokens by dynamic programming over prefixes.
 
-    Texts fall into chunks whose counts add up; for each chunk the table holds the exact
-    token count of every one of its prefixes, so a truncation or a budget is looked up.
-    Chunks seen before are remembered, up to ``most`` of them.
+    Texts fall into chunks whose counts add up, and chunks into words; for each word the
+    table holds the exact token count of every one of its prefixes, so a truncation or a
+    budget is looked up. Chunks and words seen before are remembered, up to ``most`` each.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 400_000):
+    def __init__(self, tokenizer_json: str, most: int = 600_000):
         spec = json.loads(tokenizer_json)
         names = byte_names()
         as_bytes = lambda token: bytes(names[c] for c in token)
@@ -63,86 +88,139 @@ class PrefixCounter:
             if self.special else None
         )
         self.most = most
-        self.cache: dict[str, int] = {}
+        self.chunks = _Counts(self, most)
+        self.known: dict[str, int] = {}
+        self.heads: dict[bytes, tuple[list[int], list[int]]] = {}
 
-    def prefix_counts(self, word: bytes) -> list[int]:
-        """Tokens of word[:i] for every i, for a word that the pattern leaves whole."""
-        endings, pairs = self.endings, self.pairs
-        last, counts = [0] * (len(word) + 1), [0] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            fits, begin = [], end - 1
-            while begin >= 0:
-                token = endings.get(word[begin:end])
-                if token is None:
-                    break
+    def _table(self, word: bytes) -> tuple[list[int], list[int]]:
+        """For every prefix of a word: the last token of its encoding, and its tokens.
+
+        A prefix ends in the one token that may follow the last token of the shorter prefix
+        before it. Words share the tables of their first bytes.
+        """
+        endings, pairs, done = self.endings, self.pairs, 0
+        if len(word) > _HEAD:
+            head = word[:_HEAD]
+            if head not in self.heads:
+                if len(self.heads) >= self.most:
+                    self.heads.clear()
+                self.heads[head] = self._table(head)
+            (last, counts), done = self.heads[head], _HEAD
+            last, counts = last[:], counts[:]
+        else:
+            last, counts = [0], [0]
+        for end in range(done + 1, len(word) + 1):
+            begin, fits = end - 1, []
+            token = endings.get(word[begin:end])
+            while token is not None:
                 if token >= 0:
                     fits.append((begin, token))
+                if begin == 0:
+                    break
                 begin -= 1
-            for begin, token in reversed(fits):
+                token = endings.get(word[begin:end])
+            for begin, token in reversed(fits):  # the longest mostly is the one
                 if begin == 0 or pairs[last[begin] << 20 | token]:
-                    last[end], counts[end] = token, counts[begin] + 1
                     break
-        return counts
+            last.append(token)
+            counts.append(counts[begin] + 1)
+        return last, counts
 
-    def _count_chunk(self, chunk: str) -> int:
-        n = sum(self.prefix_counts(w.encode("utf-8"))[-1] for w in self.words.findall(chunk))
-        if len(self.cache) >= self.most:
-            self.cache.clear()
-        if len(chunk) <= 64:
-            self.cache[chunk] = n
-        return n
+    def prefix_counts(self, word: bytes) -> list[int]:
+        """Tokens of word[:i] for every i, for a word that the pattern leaves whole."""
+        return self._table(word)[1]
+
+    def count_words(self, text: str) -> int:
+        """Tokens of a text without special tokens, word by word."""
+        known, total = self.known, 0
+        for word in self.words.findall(text):
+            n = known.get(word)
+            if n is None:
+                raw = word.encode("utf-8")
+                n = 1 if self.endings.get(raw, -1) >= 0 else self.prefix_counts(raw)[-1]
+                if len(known) >= self.most:
+                    known.clear()
+                if len(word) <= 64:
+                    known[word] = n
+            total += n
+        return total
 
-    def _chunks(self, text: str) -> list[str]:
-        """Parts that the pattern never joins: cut before a space, but within runs of white space."""
-        if regex.search(r"\s\s", text):
-            return self.words.findall(text)
+    def _parts(self, text: str) -> tuple[list[str], list[int]]:
+        """Parts of a text that the pattern never joins, and their counts.
+
+        Cut before each space; where white space meets white space, into words instead.
+        """
+        if not text:
+            return [], []
         parts = text.split(" ")
-        return ([parts[0]] if parts[0] else []) + [" " + p for p in parts[1:]]
+        head = parts[0]
+        try:
+            if head and head[-1].isspace():
+                raise _Odd
+            counts = list(map(self.chunks.__getitem__, parts[1:]))
+        except _Odd:
+            parts = self.words.findall(text)
+            return parts, [self.count_words(p) for p in parts]
+        return [head, *(" " + p for p in parts[1:])], [self.count_words(head), *counts]
 
-    def _plain(self, text: str) -> int:
-        get, total = self.cache.get, 0
-        for chunk in self._chunks(text):
-            n = get(chunk)
-            total += self._count_chunk(chunk) if n is None else n
-        return total
+    def _pieces(self, text: str):
+        """Each special token's string, and the texts between them, in order."""
+        if self.splitter is None or not any(s in text for s in self.special):
+            yield text, False
+            return
+        for k, part in enumerate(self.splitter.split(text)):
+            yield part, k % 2 == 1
+
+    def _total(self, text: str) -> int:
+        head, _, rest = text.partition(" ")
+        if head and head[-1].isspace():
+            return self.count_words(text)
+        try:
+            more = sum(map(self.chunks.__getitem__, rest.split(" "))) if _ else 0
+        except _Odd:
+            return self.count_words(text)
+        return more + (self.count_words(head) if head else 0)
 
     def count(self, text: str) -> int:
         """Tokens of the whole text; a special token's string is that one token."""
-        if self.splitter is None or not any(s in text for s in self.special):
-            return self._plain(text)
-        parts = self.splitter.split(text)
-        return len(parts) // 2 + sum(self._plain(p) for p in parts[::2])
+        return sum(1 if special else self._total(part) for part, special in self._pieces(text))
 
     def within(self, text: str, limit: int) -> int:
-        """Characters of a longest prefix, in whole chunks and then characters, that has
+        """Characters of a longest prefix, in whole parts and then characters, that has
         at most ``limit`` tokens when it is encoded on its own."""
-        if limit <= 0:
-            return 0
-        at, used = 0, 0
-        parts = self.splitter.split(text) if self.splitter else [text]
-        cut = None
-        for k, part in enumerate(parts):
-            if k % 2:
-                if used + 1 > limit:
-                    cut = at
-                    break
-                at, used = at + len(part), used + 1
+        at, left = 0, limit
+        for part, special in self._pieces(text):
+            if special:
+                if left < 1:
+                    return at
+                at, left = at + len(part), left - 1
                 continue
-            for chunk in self._chunks(part):
-                n = self.cache.get(chunk)
-                n = self._count_chunk(chunk) if n is None else n
-                if used + n > limit:
-                    cut = at + self._fits(chunk, limit - used)
+            # No token is empty, so a part of the text decides unless its tokens are long.
+            size = 16 * left + 256
+            while True:
+                some = part[:size]
+                if len(some) < len(part):
+                    some = some[: some.rfind(" ")] if " " in some else part
+                parts, counts = self._parts(some)
+                if sum(counts) > left or len(some) == len(part):
                     break
-                at, used = at + len(chunk), used + n
-            if cut is not None:
-                break
-        if cut is None:
-            return len(text)
-        # A cut after white space or inside a contraction may be read otherwise: step back.
-        while cut and self.count(text[:cut]) > limit:
-            cut -= 1
-        return cut
+                size *= 4
+            if sum(counts) <= left:
+                at, left = at + len(part), left - sum(counts)
+                continue
+            k = 0
+            while counts[k] <= left:
+                at, left = at + len(parts[k]), left - counts[k]
+                k += 1
+            fit = self._fits(parts[k], left)
+            cut = at + fit
+            # A cut after white space or inside a contraction may be read otherwise.
+            if fit and not (parts[k][fit - 1].isspace() or "'" in parts[k]):
+                return cut
+            while cut and self.count(text[:cut]) > limit:
+                cut -= 1
+            return cut
+        return len(text)
 
     def _fits(self, chunk: str, budget: int) -> int:
         """Characters of ``chunk`` within ``budget`` tokens, from the stored prefix counts."""
