@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,25 @@ class PieceTable:
         self.ids = {self.names[i]: i for i in plain}
         self.bytes = [self.ids_of_byte(lib, b) for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.bytes)}
-        self.silent = {i for i in range(size) if lib.is_control(i)}
+        # What an id says on its own: bytes below 0x80 their character, control ids nothing.
+        self.texts = ["" if lib.is_control(i) else self.names[i] for i in range(size)]
+        self.wide = np.zeros(size, dtype=bool)
+        for i, b in self.byte_of.items():
+            if b < 0x80:
+                self.texts[i] = chr(b)
+            else:
+                self.wide[i] = True
         if max(map(len, self.ids)) > _WIDTH:
             raise ValueError(f"pieces of more than {_WIDTH} characters are not supported")
         self.chars = {c for piece in self.ids for c in piece}
-        self.barrier = {c for c in self.chars if c not in self.ids}
+        # Characters that follow each other inside some piece: only there can merges happen.
+        self.touching = {piece[k : k + 2] for piece in self.ids for k in range(len(piece) - 1)}
         rank = lambda a, b: -scores[self.ids[a + b]] if a + b in self.ids else float("inf")
         self.rank = rank
         self.pairs = Pairs(self.names, list, rank)
         # Pieces as rows of code points, longest first at each start of a match.
         order = [p for p in self.ids if set(p) != {SPACE} or p == SPACE]
+        self.widths = np.array([len(name) for name in self.names], dtype=np.int64)
         self.matrix = np.zeros((len(order), _WIDTH), dtype=np.uint32)
         for k, piece in enumerate(order):
             self.matrix[k, : len(piece)] = [ord(c) for c in piece]
@@ -118,33 +128,45 @@ class PieceTable:
             starts[by_position], ends[by_position], self.numbers[rows][which][by_position], begins
         )
 
-    def encode_segments(self, segments: list[str]) -> list[list[int]]:
-        """Ids of each segment, relaxing the edges from left to right.
+    def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments, one after another, and how many each has.
 
-        A position takes the one edge whose piece may follow the piece that the edge's
-        start took; then each segment is read off backwards.
+        Edges are relaxed from left to right, for all segments at once, position by
+        position: a position takes the one edge whose piece may follow the piece that the
+        edge's start took. Then the segments are read off backwards.
         """
         if not segments:
-            return []
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
         starts, ends, ids, begins = self.edges(segments)
-        last = [-1] * (sum(map(len, segments)) + len(segments) + 2)
-        for b in begins.tolist():
-            last[b] = -2
-        pairs, names = self.pairs, self.names
-        for s, e, t in zip(starts.tolist(), ends.tolist(), ids.tolist(), strict=True):
-            if last[e] == -1:
-                before = last[s]
-                if before == -2 or (before >= 0 and pairs[before << 20 | t]):
-                    last[e] = t
-        out = []
-        for b, segment in zip(begins.tolist(), segments, strict=True):
-            at, found = b + len(segment), []
-            while at > b:
-                token = last[at]
-                found.append(token)
-                at -= len(names[token])
-            out.append(found[::-1])
-        return out
+        sizes = np.array([len(s) for s in segments], dtype=np.int64)
+        last = np.full(int(sizes.sum()) + len(segments) + 2, -1, dtype=np.int64)
+        last[begins] = -2
+        step = ends - begins[np.searchsorted(begins, ends, side="left") - 1]
+        order = np.argsort(step, kind="stable")
+        starts, ends, ids = starts[order], ends[order], ids[order]
+        cuts = np.searchsorted(step[order], np.arange(1, int(sizes.max()) + 2))
+        pairs = self.pairs
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            before = last[starts[a:b]]
+            asked = np.flatnonzero(before >= 0)
+            fits = before == -2
+            wanted, back = np.unique(before[asked] << 20 | ids[a:b][asked], return_inverse=True)
+            known = np.fromiter(map(pairs.__getitem__, wanted.tolist()), dtype=bool, count=len(wanted))
+            fits[asked] = known[back]
+            last[ends[a:b][fits]] = ids[a:b][fits]
+        found, owners = [], []
+        at, who = begins + sizes, np.arange(len(segments))
+        while len(who):
+            token = last[at]
+            found.append(token)
+            owners.append(who)
+            at = at - self.widths[token]
+            more = at > begins[who]
+            at, who = at[more], who[more]
+        owner = np.concatenate(owners[::-1])
+        order = np.argsort(owner, kind="stable")
+        ids = np.concatenate(found[::-1])[order].astype(np.int32)
+        return ids, np.bincount(owner, minlength=len(segments))
 
 
 def _search(ranked: list[np.ndarray], wanted: list[np.ndarray], side: str) -> np.ndarray:
@@ -166,15 +188,48 @@ def _search(ranked: list[np.ndarray], wanted: list[np.ndarray], side: str) -> np
         high = np.where(open_ & ~right, middle, high)
 
 
+def _gather(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of all elements of lists that begin at ``begins`` in one array."""
+    total = int(counts.sum())
+    return np.repeat(begins - np.cumsum(counts) + counts, counts) + np.arange(total)
+
+
+class _Lists:
+    """Lists of integers by name, kept in one growing array."""
+
+    def __init__(self, kind: type):
+        self.number: dict[str, int] = {}
+        self.values = np.zeros(1 << 16, dtype=kind)
+        self.begins, self.counts = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def add(self, names: list[str], values: np.ndarray, counts: np.ndarray) -> None:
+        n, m = len(self.number), len(names)
+        while self.used + len(values) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        while n + m > len(self.begins):
+            self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        self.values[self.used : self.used + len(values)] = values
+        self.begins[n : n + m] = self.used + np.cumsum(counts) - counts
+        self.counts[n : n + m] = counts
+        self.number.update(zip(names, range(n, n + m), strict=True))
+        self.used += len(values)
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.counts[numbers]
+        return self.values[_gather(self.begins[numbers], counts)], counts
+
+
 class Encoder:
-    """Encodes texts in batches; remembers up to ``most`` segments."""
+    """Encodes texts in batches; remembers up to ``most`` words and the parts they fall into."""
 
-    def __init__(self, model: bytes, most: int = 300_000):
+    def __init__(self, model: bytes, most: int = 600_000):
         self.table, self.most = PieceTable(model), most
-        self.known: dict[str, list[int]] = {}
+        self.words, self.parts = _Lists(np.int32), _Lists(np.int32)
         self.odd = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
-    def _segments(self, text: str) -> list[str]:
+    def _split(self, text: str) -> list[str]:
         """Spaces are marked, one goes before the text, and no piece has a mark after
         another character: the text falls apart before each run of marks."""
         if not text:
@@ -183,75 +238,84 @@ class Encoder:
             return [SPACE + part for part in text.split(" ")]
         return self.odd.findall(SPACE + text.replace(" ", SPACE))
 
-    def _learn(self, segments: set[str]) -> None:
-        """Adds the segments' ids, cut further at characters that no piece has."""
-        table, parts_of, needed = self.table, {}, {}
-        chars = table.ids
-        for segment in segments:
-            run = len(segment) - len(segment.lstrip(SPACE))
-            head, body = (SPACE * (run - 1), segment[run - 1 :]) if run > 1 else ("", segment)
-            parts, begin = [], 0
-            for k, c in enumerate(body):
-                if c not in chars:
-                    if k > begin:
-                        parts.append(body[begin:k])
-                    parts.append(c)
-                    begin = k + 1
-            if begin < len(body):
-                parts.append(body[begin:])
-            parts_of[segment] = (len(head), parts)
-            needed.update(dict.fromkeys(p for p in parts if len(p) > 1 or p in chars))
-        found = dict(zip(needed, table.encode_segments(list(needed)), strict=True))
-        mark = table.ids[SPACE]
-        for segment, (spaces, parts) in parts_of.items():
-            ids: list[int] = []
-            for p in parts:
-                ids += found[p] if p in found else [table.bytes[b] for b in p.encode("utf-8")]
-            if spaces:  # a lone mark joins the run before it; merges of marks come last
-                if ids and ids[0] == mark:
-                    spaces, ids = spaces + 1, ids[1:]
-                ids = table.spaces(spaces) + ids
-            self.known[segment] = ids
+    def _parts_of(self, word: str) -> list[str]:
+        """Cuts a word between characters that no piece holds side by side."""
+        touching, out, begin = self.table.touching, [], 0
+        for k in range(1, len(word)):
+            if word[k - 1 : k + 1] not in touching:
+                out.append(word[begin:k])
+                begin = k
+        out.append(word[begin:])
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        split = [self._parts_of(w) for w in words]
+        known = self.parts.number
+        fresh = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in known]
+        # Runs of marks and characters outside the pieces go their own way.
+        plain = [p for p in fresh if len(p) > 1 and not p.startswith(SPACE + SPACE)]
+        self.parts.add(plain, *self.table.encode_segments(plain))
+        for p in fresh:
+            if p not in known:
+                ids = self._odd_part(p)
+                self.parts.add([p], np.array(ids, np.int32), np.array([len(ids)]))
+        flat = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), dtype=np.int32)
+        self.words.add(words, flat, np.array([len(parts) for parts in split], dtype=np.int64))
+
+    def _odd_part(self, part: str) -> list[int]:
+        table = self.table
+        if len(part) == 1:
+            return [table.ids[part]] if part in table.ids else [table.bytes[b] for b in part.encode("utf-8")]
+        run = len(part) - len(part.lstrip(SPACE))
+        if run == len(part):
+            return table.spaces(run)
+        ids = table.encode_segments([part[run - 1 :]])[0].tolist()
+        if ids[0] == table.ids[SPACE]:  # a lone mark joins the run; merges of marks come last
+            return table.spaces(run) + ids[1:]
+        return table.spaces(run - 1) + ids
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and how many each text has."""
-        split = [self._segments(t) for t in texts]
-        fresh = {s for segments in split for s in segments if s not in self.known}
-        if len(self.known) + len(fresh) > self.most:
-            self.known.clear()
-            fresh = {s for segments in split for s in segments}
+        split = [self._split(t) for t in texts]
+        number = self.words.number
+        distinct = dict.fromkeys(chain.from_iterable(split))
+        fresh = [w for w in distinct if w not in number]
+        if len(number) + len(fresh) > self.most:
+            self.words, self.parts = _Lists(np.int32), _Lists(np.int32)
+            number = self.words.number
+            fresh = list(distinct)
         if fresh:
             self._learn(fresh)
-        known, ids, counts = self.known, [], []
-        for segments in split:
-            before = len(ids)
-            for s in segments:
-                ids += known[s]
-            counts.append(len(ids) - before)
-        return np.array(ids, dtype=np.int32), np.array(counts, dtype=np.int64)
+        lengths = np.array([len(words) for words in split], dtype=np.int64)
+        numbers = np.fromiter(
+            map(number.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum())
+        )
+        parts, per_word = self.words.of(numbers)
+        ids, per_part = self.parts.of(parts)
+        sums = np.concatenate([[0], np.cumsum(per_part)])
+        ends = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], np.cumsum(lengths)])]
+        return ids, np.diff(sums[ends])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """Texts of id lists: marks become spaces, the first one goes, bytes are joined."""
-        names, byte_of, silent = self.table.names, self.table.byte_of, self.table.silent
-        out, at, values = [], 0, ids.tolist()
+        table = self.table
+        texts, wide, out, at = table.texts, table.wide[ids], [], 0
+        any_wide = np.concatenate([[0], np.cumsum(wide)])
+        values = ids.tolist()
         for n in counts.tolist():
             row = values[at : at + n]
-            at += n
-            if byte_of.keys().isdisjoint(row) and silent.isdisjoint(row):
-                text = "".join([names[i] for i in row])
-            else:
+            if any_wide[at + n] == any_wide[at]:
+                text = "".join(map(texts.__getitem__, row))
+            else:  # bytes of longer characters stand together
                 parts, raw = [], bytearray()
                 for i in row:
-                    if i in byte_of:
-                        raw.append(byte_of[i])
+                    if i in table.byte_of:
+                        raw.append(table.byte_of[i])
                         continue
-                    if raw:
-                        parts.append(raw.decode("utf-8", "replace"))
-                        raw = bytearray()
-                    if i not in silent:
-                        parts.append(names[i])
-                parts.append(raw.decode("utf-8", "replace"))
-                text = "".join(parts)
+                    parts += (raw.decode("utf-8", "replace"), texts[i])
+                    raw = bytearray()
+                text = "".join(parts) + raw.decode("utf-8", "replace")
+            at += n
             out.append(text.removeprefix(SPACE).replace(SPACE, " "))
         return out
 
