@@ -16,7 +16,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.queries import _marts, _variants, build_from, raw_tables
-from fleetmart.operators.scale import scratch_dir
+from fleetmart.operators.scale import remove_scratch, scratch_dir
 
 RUNS = 3
 
@@ -69,6 +69,7 @@ def main() -> None:
             }
         )
     )
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -441,6 +441,7 @@ def _variants() -> dict[str, str]:
         "q10_100": _q10(rides, 100, labels.SAMPLE_DRIVER_KEYS, with_next=False),
         "q10_all_drivers": _q10(rides, None, None),
         "q11_all_drivers": _q11(rides, None, None),
+        "q11_five_names": _q11(rides, None, DRIVER_NAMES),
         "q12_all": _q12(rides, None),
         "q13_all": _q13(rides, None),
     }
@@ -518,6 +519,99 @@ def _references() -> str:
     return _steps("events") + "\n" + "\nUNION ALL ".join(parts)
 
 
+# Table, key and the rule's columns, as the table definitions state them.
+_KEYS = [
+    ("users", "user_id"), ("drivers", "driver_id"), ("vehicles", "vehicle_id"),
+    ("rides", "ride_id"), ("ratings", "rating_id"), ("dim_user", "user_key"),
+    ("dim_user", "user_id"), ("dim_driver", "driver_key"), ("dim_driver", "driver_id"),
+    ("dim_date", "date_key"), ("dim_date", "full_date"), ("fact_rides", "ride_id"),
+]
+_FIRST_KEY = dict(reversed(_KEYS))
+
+
+def _declared_keys() -> str:
+    parts = [
+        f"SELECT '{table}' AS table_name, '{key}' AS key, count(*) AS n_keys, count(*) AS n_rows"
+        f" FROM {_CHECKED[table]} WHERE {_third(_FIRST_KEY[table])}"
+        for table, key in _KEYS
+    ]
+    return _steps("events") + "\n" + "\nUNION ALL ".join(parts)
+
+
+def _third(column: str) -> str:
+    return f"substr(md5(CAST({column} AS VARCHAR)), 1, 1) < '5'"
+
+
+def _broken_rows(tables: list[str] | None = None) -> str:
+    """Every rule is broken by as many rows as its table has, and by no other."""
+    parts = [
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule,"
+        f" count(*) AS n_rows FROM {_CHECKED[table]}"
+        for table, rules in _RULES.items()
+        if tables is None or table in tables
+        for column, rule in (x.split(" ") for x in rules.split(", "))
+    ]
+    return _steps("events") + "\n" + "\nUNION ALL ".join(parts)
+
+
+# The rules as the table definitions state them, and the types of what is not text.
+_RULES = {
+    "users": "user_id not_null, user_id varchar(50), name varchar(255), email varchar(255),"
+    " phone_number varchar(50), gender varchar(20), location varchar(255),"
+    " registration_date date, age int",
+    "drivers": "driver_id not_null, driver_id varchar(50), name varchar(255),"
+    " vehicle_id varchar(50), rating decimal(3,2), total_rides int, available boolean",
+    "vehicles": "vehicle_id not_null, vehicle_id varchar(50), make varchar(100),"
+    " model varchar(100), year int, capacity int",
+    "rides": "ride_id not_null, ride_id varchar(50), user_id varchar(50),"
+    " start_location varchar(255), end_location varchar(255), driver_id varchar(50),"
+    " distance_km decimal(10,2), fare_amount decimal(10,2),"
+    " ride_start_time timestamp_ntz, ride_end_time timestamp_ntz",
+    "ratings": "rating_id not_null, rating_id varchar(50), ride_id varchar(50),"
+    " user_id varchar(50), rating_value int, rating_date date",
+    "dim_user": "user_key not_null, user_id not_null, user_id varchar(50),"
+    " masked_name varchar(255), masked_email_hash varchar(32), masked_phone_hash varchar(32),"
+    " gender varchar(20), location_city varchar(100), user_key bigint, registration_date date,"
+    " age int, is_active_subscriber boolean",
+    "dim_driver": "driver_key not_null, driver_id not_null, driver_id varchar(50),"
+    " driver_name varchar(255), vehicle_make varchar(100), vehicle_model varchar(100),"
+    " driver_key bigint, vehicle_year int, vehicle_capacity int, is_available_flag boolean",
+    "dim_date": "date_key not_null, full_date not_null, day_name varchar(10),"
+    " month_name varchar(10), date_key int, full_date date, day_of_week int, year int,"
+    " is_weekend boolean",
+    "fact_rides": "ride_id not_null, ride_id varchar(50), ride_duration_minutes decimal(10,2),"
+    " distance_km decimal(10,2), fare_amount decimal(10,2),"
+    " time_to_next_ride_minutes decimal(10,2), average_driver_rating decimal(3,2),"
+    " user_key bigint, driver_key bigint, start_date_key int, start_time timestamp_ntz,"
+    " end_time timestamp_ntz, is_peak_hour boolean",
+}
+
+
+def _broken_references() -> str:
+    parts = [
+        f"SELECT '{child}' AS child_table, '{column}' AS child_column, '{parent}' AS parent_table,"
+        f" count(DISTINCT {column}) AS n_values, count(*) AS n_rows FROM {_CHECKED[child]}"
+        f" WHERE {column} IS NOT NULL AND ({_third(column)}"
+        f" OR {column} NOT IN (SELECT {parent_column} FROM {_CHECKED[parent]}))"
+        for child, column, parent, parent_column in FOREIGN_KEYS
+    ]
+    return _steps("events") + "\n" + "\nUNION ALL ".join(parts)
+
+
+def _broken_losses() -> str:
+    return f"""{_steps("events")},
+known AS (SELECT driver_id FROM raw_drivers WHERE available),
+kept AS (SELECT user_id FROM raw_users WHERE user_id % 5 <> 0)
+SELECT 'ride without ride_start_time' AS reason, count(*) AS n_rows FROM raw_rides WHERE ride_id % 17 = 0
+UNION ALL SELECT 'ride without user_id', count(*) FROM raw_rides WHERE ride_id % 19 = 0
+UNION ALL SELECT 'ride without driver_id', count(*) FROM raw_rides WHERE ride_id % 23 = 0
+UNION ALL SELECT 'ride of an unknown user', count(*) FROM raw_rides
+  WHERE ride_id % 19 <> 0 AND user_id NOT IN (SELECT user_id FROM kept)
+UNION ALL SELECT 'ride of an unknown driver', count(*) FROM raw_rides
+  WHERE ride_id % 23 <> 0 AND driver_id NOT IN (SELECT driver_id FROM known)
+UNION ALL SELECT 'further rating of a ride', count(*) FROM raw_ratings WHERE ride_id % 4 = 0"""
+
+
 def _load_losses() -> str:
     return f"""{_steps("events")}, known AS (SELECT driver_id FROM raw_drivers WHERE available)
 SELECT 'ride without ' || column_name AS reason, 0::BIGINT AS n_rows
@@ -538,7 +632,12 @@ def _load() -> dict[str, str]:
         "dq_duplicate_keys": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,"
         " count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
         "dq_violations": _violations(),
+        "dq_broken_rows": _broken_rows(),
+        "dq_text_rows": _broken_rows(["rides"]),
+        "dq_declared_keys": _declared_keys(),
         "dq_references": _references(),
+        "dq_broken_references": _broken_references(),
+        "dq_broken_losses": _broken_losses(),
         "dq_orphans": _steps("events")
         + """ SELECT driver_id, count(*) AS n_rows FROM raw_rides
             WHERE driver_id NOT IN (SELECT driver_id FROM raw_drivers WHERE available)
@@ -566,6 +665,9 @@ def _load() -> dict[str, str]:
             sha256('{SALT}' || phone_number) AS masked_phone_hash)
             FROM masked JOIN raw_users USING (user_id)""",
         "join_inner": _steps("events") + " SELECT ride_id, user_key, driver_key FROM fact",
+        "join_inner_dropping": _steps("events")
+        + """ SELECT ride_id, user_key, driver_key FROM fact
+            WHERE user_key % 5 <> 0 AND driver_key % 3 <> 0 AND start_date_key % 7 <> 0""",
         "join_computed_key": _steps("orders")
         + " SELECT ride_id, start_date_key AS date_key FROM fact",
         "join_left_ratings": _steps("events")
@@ -614,6 +716,11 @@ FROM fact WINDOW w AS (PARTITION BY driver_key ORDER BY ride_number {whole})""",
 SELECT ride_id, n_rides,
        CASE WHEN rated > 0 THEN {_places(_half_up("stars", "rated", 16), 16, 6)} END AS mean_rating,
        {_money("last100")} AS last_fare, CAST(last_stars AS DOUBLE) AS last_rating FROM per_ride""",
+        "win_null_partition": f"""{_steps("events")}
+SELECT ride_id, CAST(stars AS DOUBLE) AS average_driver_rating, count(*) OVER p AS n_rides,
+       {_money("last_value(fare100) OVER w")} AS last_fare
+FROM fact WINDOW p AS (PARTITION BY stars),
+                 w AS (PARTITION BY stars ORDER BY start_time, CAST(ride_id AS VARCHAR) {whole})""",
         "win_nth_value": f"""{_steps("events", _milestones(None, 1))}
 SELECT driver_key, rides AS total_rides_to_date, {_MILESTONE_FARES} FROM milestones""",
         "latest_per_driver": f"""{_steps("events")}
@@ -691,16 +798,15 @@ def _tier_counts() -> str:
 SELECT tier_name, count(*) AS drivers FROM tiers GROUP BY tier_name"""
 
 
-def _dollars(column: str) -> str:
-    return f"'$' || format('{{:,}}', CAST(round_even({column}, 0) AS BIGINT))"
+def _whole(column: str) -> str:
+    return f"format('{{:,}}', CAST(round_even({column}, 0) AS BIGINT))"
 
 
 def _segment_stats() -> str:
     return f"""{_steps("events", _spend("masked_name"), _segments("masked_name", None))}
-SELECT *, concat_ws(' | ', segment_name, 'Customers: ' || customer_count,
-    'Fare Range: ' || {_dollars("min_fare")} || ' - ' || {_dollars("max_fare")},
-    'Avg Fare: ' || {_dollars("avg_fare")}, 'Total Spent: ' || {_dollars("total_fare")},
-    'Top Examples: ' || top_customers) AS caption
+SELECT *, customer_count || ' in ' || segment_name || ' with ' || {_whole("min_fare")} || ' to '
+    || {_whole("max_fare")} || ' each, ' || {_whole("total_fare")} || ' together; first: '
+    || top_customers AS caption
 FROM (SELECT segment_name, {_money("min(fare100)")} AS min_fare, {_money("max(fare100)")} AS max_fare,
        {_places(_half_up("sum(fare100)", "(100 * count(*))", 6), 6, 6)} AS avg_fare,
        {_money("sum(fare100)")} AS total_fare, count(*) AS customer_count,
@@ -723,8 +829,8 @@ FROM slots""",
         "report_vip_share": f"""{_steps("events", _spend("masked_name"), vip)}
 SELECT masked_name, {_money("fare100")} AS total_fare_spent,
        {_places(_half_up("fare100", total, 6), 6, 6)} AS share,
-       masked_name || ' | Revenue: $' || {_two("fare100")} || ' | Rides: ' || total_rides
-         || ' | Avg Distance: ' || {_two(_half_up("km16", str(10**14), 0))} || ' km' AS caption
+       masked_name || ' spent ' || {_two("fare100")} || ' on ' || total_rides
+         || ' trips of ' || {_two(_half_up("km16", str(10**14), 0))} || ' km each' AS caption
 FROM vip""",
         "report_tier_counts": _tier_counts(),
         "report_tier_avg": f"""{_steps("events", _rated(None))}

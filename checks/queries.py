@@ -7,14 +7,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, ShortType
 
 from fleetmart.functions.scalars import elapsed_seconds
 from fleetmart.operators import keys, quality, ranking
+from fleetmart.operators.joins import join_unique
 from fleetmart.operators.scale import scratch_dir
 from fleetmart.operators.sequence import (
     last_value,
@@ -24,7 +25,7 @@ from fleetmart.operators.sequence import (
 )
 from fleetmart.plans import dimensions, facts, marts, reports, warehouse
 from fleetmart.plans.warehouse import Warehouse
-from fleetmart.schemas import FOREIGN_KEYS, RAW, RULES
+from fleetmart.schemas import FOREIGN_KEYS, RAW, RULES, STAR, value_kinds
 from fleetmart.sources import raw as raw_files
 from fleetmart.sources import tables
 from fleetmart.sources.fixtures import raw_tables, read_table
@@ -34,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The test drivers have generated names, so the name sample is theirs.
 DRIVER_NAMES = [f"Driver#{number}" for number in range(5)]
 SALT = "fleet"
+DECLARED = RAW | STAR
+STAR_NAMES = ("dim_user", "dim_driver", "dim_date", "fact_rides")
 
 _BUILT: dict[tuple[str, str, str], Warehouse] = {}
 
@@ -84,7 +87,7 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     wh = built(spark, sf_dir, "events")
-    star = {name: getattr(wh, name) for name in ("dim_user", "dim_driver", "dim_date", "fact_rides")}
+    star = {name: getattr(wh, name) for name in STAR_NAMES}
     return raw_tables(spark, sf_dir) | star
 
 
@@ -92,10 +95,72 @@ def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.all_violations(_all_tables(spark, sf_dir), RULES)
 
 
+def _third(column: str) -> Column:
+    """True for about a third of all values."""
+    return F.substring(F.md5(F.col(column).cast("string")), 1, 1) < "5"
+
+
+def _broken(name: str, df: DataFrame) -> DataFrame:
+    """All rows of a table as text, and again for each rule with a value that breaks it."""
+    rules = RULES[name]
+    text = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+    bad = [(c, F.lit(None).cast("string")) for c in rules.not_null]
+    bad += [(c, F.lit("x" * (size + 1))) for c, size in rules.max_length.items()]
+    bad += [(c, F.lit("9" * (p - s + 1))) for c, (p, s) in rules.decimals.items()]
+    bad += [(c, F.lit("no value")) for c in value_kinds(DECLARED[name]) if c in df.columns]
+    cases = text.withColumn("_case", F.explode(F.sequence(F.lit(0), F.lit(len(bad)))))
+    changed = {c: F.col(c) for c in df.columns}
+    for case, (column, value) in enumerate(bad, 1):
+        changed[column] = F.when(F.col("_case") == case, value).otherwise(changed[column])
+    return cases.select([value.alias(c) for c, value in changed.items()])
+
+
+def dq_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of every table, each broken by as many rows as the table has."""
+    tables_ = _all_tables(spark, sf_dir)
+    kinds = {name: value_kinds(DECLARED[name]) for name in tables_}
+    dirty = {name: _broken(name, df) for name, df in tables_.items()}
+    return quality.all_violations(dirty, RULES, kinds)
+
+
+def dq_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken rides written as text and read back without types."""
+    path = f"{scratch_dir(spark)}/text-{uuid.uuid4().hex}/rides.csv"
+    raw_files.write_csv(_broken("rides", raw_tables(spark, sf_dir)["rides"]), path)
+    text = raw_files.read_text(spark, path, RAW["rides"])
+    return quality.violations("rides", text, RULES["rides"], value_kinds(RAW["rides"]))
+
+
+def dq_declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared keys over all tables, of which a part of the rows comes twice."""
+    doubled = {
+        name: df.unionByName(df.where(_third(RULES[name].key[0])))
+        for name, df in _all_tables(spark, sf_dir).items()
+    }
+    return quality.declared_keys(doubled, RULES)
+
+
 def dq_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reference_report(_all_tables(spark, sf_dir), FOREIGN_KEYS)
 
 
+def dq_broken_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared reference, with children that point nowhere in a third of all rows."""
+    found = []
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        tables_ = _all_tables(spark, sf_dir)
+        value = F.col(column).cast("string")
+        lost = F.when(_third(column), F.concat(F.lit("x"), value)).otherwise(value)
+        tables_[child] = tables_[child].withColumn(column, lost)
+        tables_[parent] = tables_[parent].withColumn(
+            parent_column, F.col(parent_column).cast("string")
+        )
+        found.append(
+            quality.reference_report(tables_, ((child, column, parent, parent_column),))
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides of drivers who are not available, per driver."""
     raw = raw_tables(spark, sf_dir)
@@ -111,6 +176,18 @@ def dq_load_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_broken_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of rides of which some lack their time, user or driver, and of fewer users."""
+    raw = raw_tables(spark, sf_dir)
+    number = F.col("ride_id").cast("bigint")
+    rides = raw["rides"]
+    for column, every in (("ride_start_time", 17), ("user_id", 19), ("driver_id", 23)):
+        rides = rides.withColumn(column, F.when(number % every != 0, F.col(column)))
+    ratings = raw["ratings"].unionByName(raw["ratings"].where(number % 4 == 0))
+    users = raw["users"].where(F.col("user_id").cast("bigint") % 5 != 0)
+    return quality.load_losses(rides, ratings, users, raw["drivers"].where("available"))
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.new_dates(raw_tables(spark, sf_dir)["rides"])
 
@@ -155,6 +232,18 @@ def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.select("ride_id", "user_key", "driver_key")
 
 
+def join_inner_dropping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with dimensions that lack some drivers, users and dates."""
+    wh = built(spark, sf_dir, "events")
+    keyed = facts.keyed_rides(
+        raw_tables(spark, sf_dir)["rides"],
+        wh.dim_user.where("user_key % 5 <> 0"),
+        wh.dim_driver.where("driver_key % 3 <> 0"),
+        wh.dim_date.where("date_key % 7 <> 0"),
+    )
+    return keyed.select("ride_id", "user_key", "driver_key")
+
+
 def join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = built(spark, sf_dir, "orders")
     rides = raw_tables(spark, sf_dir, "orders")["rides"]
@@ -164,18 +253,27 @@ def join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_left_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_tables(spark, sf_dir)
-    return raw["rides"].select("ride_id").join(
-        facts.rating_per_ride(raw["ratings"]), "ride_id", "left"
-    )
+    return join_unique(
+        raw["rides"].select("ride_id", "ride_start_time"),
+        facts.rating_per_ride(raw["ratings"]),
+        "ride_id",
+        "left",
+        spread_by="ride_start_time",
+    ).drop("ride_start_time")
 
 
 def join_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = built(spark, sf_dir, "events")
     return (
-        wh.fact_rides.join(wh.dim_driver, "driver_key")
-        .join(wh.dim_date, F.col("start_date_key") == F.col("date_key"))
-        .join(wh.dim_user, "user_key")
-        .select("ride_id", "driver_name", "vehicle_make", "day_name", "masked_name")
+        join_unique(
+            join_unique(
+                join_unique(wh.fact_rides, wh.dim_driver, "driver_key"),
+                wh.dim_date.withColumnRenamed("date_key", "start_date_key"),
+                "start_date_key",
+            ),
+            wh.dim_user,
+            "user_key",
+        ).select("ride_id", "driver_name", "vehicle_make", "day_name", "masked_name")
     )
 
 
@@ -241,10 +339,18 @@ def win_partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
             "last_fare": last_value("fare_amount", marts.RIDE_ORDER),
             "last_rating": last_value("average_driver_rating", marts.RIDE_ORDER),
         },
-        spread_by="ride_id",
     ).select("ride_id", "n_rides", "mean_rating", "last_fare", "last_rating")
 
 
+def win_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups by rating, of which the largest is that of all unrated rides, NULL."""
+    return with_group_values(
+        _rides(spark, sf_dir),
+        "average_driver_rating",
+        {"n_rides": F.count(F.lit(1)), "last_fare": last_value("fare_amount", marts.RIDE_ORDER)},
+    ).select("ride_id", "average_driver_rating", "n_rides", "last_fare")
+
+
 def win_nth_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.milestone_fares(built(spark, sf_dir, "events"), [1, 10, 50, 100])
 
@@ -329,6 +435,7 @@ def _variants() -> dict[str, Query]:
         ).drop("next_ride_start"),
         "q10_all_drivers": mart(marts.idle_gaps, driver_keys=None, limit=None),
         "q11_all_drivers": mart(marts.progression, driver_names=None, limit=None),
+        "q11_five_names": mart(marts.progression, driver_names=DRIVER_NAMES, limit=None),
         "q12_all": mart(marts.quality_trend, limit=None),
         "q13_all": mart(marts.driver_milestones, limit=None),
     }
@@ -366,9 +473,14 @@ def registry() -> dict[str, Query]:
         for function in (
             dq_duplicate_keys,
             dq_violations,
+            dq_broken_rows,
+            dq_text_rows,
+            dq_declared_keys,
             dq_references,
+            dq_broken_references,
             dq_orphans,
             dq_load_losses,
+            dq_broken_losses,
             dim_date,
             dim_user,
             dim_driver,
@@ -377,6 +489,7 @@ def registry() -> dict[str, Query]:
             mask_pii,
             mask_pii_salted,
             join_inner,
+            join_inner_dropping,
             join_computed_key,
             join_left_ratings,
             join_star,
@@ -384,6 +497,7 @@ def registry() -> dict[str, Query]:
             win_lag_gap,
             win_numbering,
             win_partition_values,
+            win_null_partition,
             win_nth_value,
             latest_per_driver,
             win_fleet_avg,

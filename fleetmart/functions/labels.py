@@ -75,4 +75,5 @@ SAMPLE_DRIVER_NAMES = [
 ]
 MILESTONES = [1, 10, 50, 100]
 
+# English weekday names, Monday first.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]

@@ -5,18 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.operators.scale import (
-    DEFAULT,
-    DETECT,
-    HotKeys,
-    Limits,
-    can_broadcast,
-    hot_keys,
-    tasks_for,
-)
+from fleetmart.operators.scale import DEFAULT, HotKeys, Limits
 
-_SALT, _HOT = "_salt", "_hot"
-_SALTS = 16
+_SALT, _ROWS = "_salt", "_n"
 
 
 def join_unique(
@@ -26,42 +17,37 @@ def join_unique(
     how: str = "inner",
     *,
     spread_by: str | None = None,
-    hot: HotKeys | str | None = DETECT,
+    hot: HotKeys | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``left`` joined to ``right`` (unique on ``key``), inner or left outer.
 
-    A right side of known small size is broadcast, and keys then do not matter.
-    Beyond that both sides are shuffled, and hot keys, as well as NULL keys of an
-    outer join, are spread over salts taken from ``spread_by`` (a column with many
-    values); only the few matching right rows are repeated per salt. Leave
-    ``spread_by`` out where ``left`` cannot have hot keys, as after an aggregate,
-    and pass ``hot`` where looking for them in ``left`` would compute it twice.
+    Spark decides between broadcast and shuffle by the sizes it knows or measures. Where
+    it shuffles, adaptive execution splits uneven partitions. ``hot`` (from ``hot_keys``)
+    spreads known hot keys beforehand: each over as many salts as its own number of rows
+    needs, taken from ``spread_by`` (a column with many values), and only its one right row
+    is repeated that often. NULL keys of an outer join match nothing, so with ``spread_by``
+    their salt is a whole hash and they go everywhere. Nothing runs here.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    if can_broadcast(right, limits):
-        return left.join(F.broadcast(right), key, how)
-    if isinstance(hot, str):
-        hot = hot_keys(left, key, limits) if spread_by else None
     if hot is not None and spread_by is None:
         raise ValueError("hot keys need a column to spread them by")
     if spread_by is None or (hot is None and how == "inner"):
         return left.join(right, key, how)
 
-    salts = _SALTS if hot is None else min(4096, max(_SALTS, tasks_for(hot.largest, limits)))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    spread = F.col(key).isNull()
-    dimension = right.withColumn(_SALT, F.lit(0))
+    everywhere = F.xxhash64(spread_by)
+    # Always 0, but not a literal: Catalyst would take that out of the join keys.
+    zero = F.pmod(F.xxhash64(key), F.lit(1).cast("bigint"))
+    salt = F.lit(0).cast("bigint")
+    dimension = right.withColumn(_SALT, zero)
     if hot is not None:
-        flags = F.broadcast(hot.keys.withColumn(_HOT, F.lit(True)))
-        left = left.join(flags, key, "left")
-        spread = spread | F.col(_HOT).isNotNull()
-        copies = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
+        copies = F.ceil(F.col(_ROWS) / limits.hot_rows).cast("bigint")
+        left = left.join(hot.flags, key, "left")
+        salt = F.when(F.col(_ROWS).isNotNull(), F.pmod(everywhere, copies)).otherwise(salt)
+        salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(copies, F.lit(1)) - 1)
         dimension = (
-            right.join(flags, key, "left")
-            .withColumn(_SALT, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-            .drop(_HOT)
+            right.join(hot.flags, key, "left").withColumn(_SALT, F.explode(salts)).drop(_ROWS)
         )
-    fact = left.withColumn(_SALT, F.when(spread, salt).otherwise(F.lit(0))).drop(_HOT)
-    return fact.join(dimension, [key, _SALT], how).drop(_SALT)
+    fact = left.withColumn(_SALT, F.when(F.col(key).isNull(), everywhere).otherwise(salt))
+    return fact.drop(_ROWS).join(dimension, [key, _SALT], how).drop(_SALT)

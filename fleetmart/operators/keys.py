@@ -31,10 +31,9 @@ def with_surrogate_key(
     natural: str,
     *,
     start: int = 1,
-    sized_by: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """``df`` with ``key`` = start, start+1, … in order of the natural key.
+    """``df`` with ``key`` = start, start+1, … in order of the natural key; runs jobs.
 
     Text ids that are numbers are ordered as numbers (1, 2, 10); the rest follow
     in binary order.
@@ -49,7 +48,6 @@ def with_surrogate_key(
         order,
         [],
         {key: ranking.row_number() + F.lit(start - 1)},
-        sized_by=sized_by,
         limits=limits,
     )
     return keyed.select(key, *df.columns)
@@ -62,20 +60,18 @@ def insert_if_absent(
     natural: str,
     order: list[str] | None = None,
     *,
-    sized_by: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Rows to append to ``target``: incoming rows whose natural key is new.
+    """Rows to append to ``target``: incoming rows whose natural key is new; runs jobs.
 
-    Existing rows are never changed. Among incoming copies the first by ``order``
+    Known keys are dropped first, so only new rows are compared. Existing rows are never changed. Among incoming copies the first by ``order``
     wins. New keys continue after the largest existing one. NULL natural keys
     cannot be loaded and are left out.
     """
-    fresh = first_per_key(incoming.where(F.col(natural).isNotNull()), [natural], order)
-    start = 1
+    fresh, start = incoming.where(F.col(natural).isNotNull()), 1
     if target is not None:
         fresh = fresh.join(target.select(natural), natural, "left_anti").select(*fresh.columns)
         start = (target.agg(F.max(key)).first()[0] or 0) + 1
     return with_surrogate_key(
-        fresh, key, natural, start=start, sized_by=sized_by, limits=limits
+        first_per_key(fresh, [natural], order), key, natural, start=start, limits=limits
     )

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fleetmart.schemas import Rules
 
@@ -38,11 +39,36 @@ def _count_if(condition: Column) -> Column:
     return F.count_if(condition).cast("bigint")
 
 
-def violations(table: str, df: DataFrame, rules: Rules) -> DataFrame:
+def declared_keys(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> DataFrame:
+    """``(table_name, key, n_keys, n_rows)`` for every declared key and unique column set:
+    values that occur again, and the rows beyond the first of each.
+
+    Rows collapse to one per value before the shuffle. A value with a NULL part is no key
+    value; ``violations`` counts it.
+    """
+    parts = []
+    for name, df in tables.items():
+        for columns in (rules[name].key, *rules[name].unique):
+            again = duplicate_keys(df.dropna(subset=list(columns)), list(columns))
+            parts.append(
+                again.agg(
+                    F.lit(name).alias("table_name"),
+                    F.lit(", ".join(columns)).alias("key"),
+                    F.count(F.lit(1)).alias("n_keys"),
+                    F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n_rows"),
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def violations(
+    table: str, df: DataFrame, rules: Rules, kinds: dict[str, str] | None = None
+) -> DataFrame:
     """``(table_name, column_name, rule, n_rows)`` for every declared rule.
 
-    All rules of a table are counted in one scan. A decimal column may still be
-    text (as read from a file): a value that does not parse or does not fit counts.
+    All rules of a table are counted in one scan. Columns may still be text (as
+    ``read_text`` gives them): a value that does not parse or does not fit counts.
+    ``kinds`` names the types that text columns must parse as.
     """
     present = set(df.columns)
     checks: list[tuple[str, str, Column]] = []
@@ -54,6 +80,11 @@ def violations(table: str, df: DataFrame, rules: Rules) -> DataFrame:
         kind = f"decimal({precision},{scale})"
         misfit = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
         checks.append((name, kind, misfit))
+    texts = {field.name for field in df.schema if isinstance(field.dataType, StringType)}
+    for name, kind in (kinds or {}).items():
+        if name in texts:
+            unread = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+            checks.append((name, kind, unread))
     checks = [check for check in checks if check[0] in present]
     counted = df.agg(
         F.array(
@@ -71,8 +102,14 @@ def violations(table: str, df: DataFrame, rules: Rules) -> DataFrame:
     return counted.select(F.explode("found").alias("found")).select("found.*")
 
 
-def all_violations(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> DataFrame:
-    parts = [violations(name, df, rules[name]) for name, df in tables.items()]
+def all_violations(
+    tables: dict[str, DataFrame],
+    rules: dict[str, Rules],
+    kinds: dict[str, dict[str, str]] | None = None,
+) -> DataFrame:
+    parts = [
+        violations(name, df, rules[name], (kinds or {}).get(name)) for name, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

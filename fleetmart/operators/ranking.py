@@ -1,13 +1,13 @@
 """Ranks over a whole table (no PARTITION BY) without one task sorting it all.
 
-Three ways to the same numbers:
+Two forms, chosen by the caller and not by size:
 
-* small input: the built-in window.
-* ``limit`` given: the first rows are found by a distributed top-k and only they
+* with a ``limit``, the first rows are found by a distributed top-k and only they
   are ranked; what depends on the rest (row count, ties at the cut) is a scalar.
-* otherwise: the rows are range-partitioned by the order, ranked inside each part,
-  and shifted by per-part totals. Equal values may span parts, so a value that a
-  third of all rows share is split too.
+  Nothing runs before the result is read.
+* without one, the frame is written, range-partitioned by the order, ranked inside
+  each part, and shifted by per-part totals; these jobs run at once. Equal values may
+  span parts, so a value that a third of all rows share is split too.
 """
 
 from __future__ import annotations
@@ -18,9 +18,7 @@ from pyspark.sql import functions as F
 from fleetmart.operators.scale import (
     DEFAULT,
     Limits,
-    is_small,
     materialize,
-    settle,
     sort_columns,
     tasks_for,
 )
@@ -67,24 +65,18 @@ def ranked(
     columns: dict[str, Column],
     *,
     limit: int | None = None,
-    sized_by: DataFrame | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``df`` plus rank ``columns`` (built from the functions of this module).
 
     ``order`` decides rank and ties; ``order + tie`` must be total and decides
-    row numbers, tiles and which rows a ``limit`` keeps. ``sized_by`` names a frame
-    that is at least as large, for a ``df`` whose joins hide its size from Catalyst.
-    A frame not known to be small is written first: its size is known from then on.
+    row numbers, tiles and which rows a ``limit`` keeps. Without a ``limit`` this runs
+    jobs and stores the parts.
     """
-    settled = settle(df, sized_by, limits)
-    if settled is df or is_small(settled, limits):
-        placed = _place_window(settled, order, tie)
-        if limit is not None:
-            placed = placed.orderBy(*sort_columns(order + tie)).limit(limit)
-    elif limit is not None:
-        placed = _place_top(settled, order, tie, limit)
+    if limit is not None:
+        placed = _place_top(df, order, tie, limit)
     else:
+        settled = materialize(df, "ranked")
         placed = _place_parts(settled, order, tie, settled.count(), limits)
     return placed.select(*df.columns, *[value.alias(name) for name, value in columns.items()])
 

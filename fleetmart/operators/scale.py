@@ -1,8 +1,7 @@
-"""Size checks, hot keys and materialisation shared by the other operators."""
+"""Hot keys, stored intermediates and concurrent jobs, shared by the other operators."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -15,100 +14,73 @@ from pyspark.sql import functions as F
 
 T = TypeVar("T")
 
+# Rows of a frame of hot keys that may be broadcast: some 16 MB in memory.
+BROADCAST_KEYS = 250_000
+
 
 @dataclass(frozen=True)
 class Limits:
-    """What one task is allowed to hold.
-
-    ``small_bytes``  an input whose planned size is below this needs no splitting
-    ``broadcast_bytes``  a table whose planned size is below this may be broadcast
-    ``hot_rows``     rows of one key that a single task may sort
-    ``max_hot``      how many of the largest keys get special treatment; every
-                     other key then holds at most 1/max_hot of all rows
-    """
+    """``hot_rows``: rows of one key, or of one part of a ranking, for a single task."""
 
-    small_bytes: int = 64 << 20
-    broadcast_bytes: int = 16 << 20
     hot_rows: int = 5_000_000
-    max_hot: int = 10_000
 
 
 DEFAULT = Limits()
 
-# For a ``hot`` argument: look for hot keys. None means there are none.
-DETECT = "detect"
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def is_small(df: DataFrame, limits: Limits = DEFAULT) -> bool:
-    size = planned_bytes(df)
-    return size is not None and size <= limits.small_bytes
-
-
-def can_broadcast(df: DataFrame, limits: Limits = DEFAULT) -> bool:
-    size = planned_bytes(df)
-    return size is not None and size <= limits.broadcast_bytes
-
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys too large for one task: a one-column frame, their rows, the largest's rows."""
+    """Keys too large for one task: a stored frame (key, _n rows), their number and rows."""
 
-    keys: DataFrame
+    counts: DataFrame
+    number: int
     rows: int
-    largest: int
+
+    @property
+    def flags(self) -> DataFrame:
+        """The frame for a join; a broadcast as long as its known number of rows allows."""
+        return F.broadcast(self.counts) if self.number <= BROADCAST_KEYS else self.counts
 
 
 def hot_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> HotKeys | None:
-    """The hot keys of ``df``; None if there are none. NULL is never a hot key.
+    """All keys with more than ``hot_rows`` rows; None if there are none. NULL is never one.
 
-    Reads one column, counts with map-side combine and brings back at most
-    ``max_hot`` rows, largest first: a bounded frame that may be broadcast.
+    Runs a job: one column is read and counted with map-side combine, and the keys found,
+    at most rows / hot_rows, are stored with their counts. Only two totals reach the driver.
     """
-    if is_small(df, limits):
-        return None
-    found = (
+    counts = materialize(
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > limits.hot_rows)
-        .orderBy(F.col("n").desc(), F.col(key))
-        .limit(limits.max_hot)
-        .toArrow()
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > limits.hot_rows),
+        "hot-keys",
     )
-    if found.num_rows == 0:
-        return None
-    counts = found.column("n").to_pylist()
-    return HotKeys(df.sparkSession.createDataFrame(found.select([key])), sum(counts), counts[0])
+    number, rows = counts.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    return HotKeys(counts, number, rows) if number else None
 
 
 def tasks_for(rows: int, limits: Limits = DEFAULT) -> int:
-    return max(2, -(-rows // limits.hot_rows))
+    return max(1, -(-rows // limits.hot_rows))
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder for written intermediates: the one named in spark.checkpoint.dir.
+    """Folder for written intermediates, below the one named in spark.checkpoint.dir.
 
-    Only a local session may fall back to a temporary folder of its own machine.
+    Where that is unset, below the warehouse folder, which all nodes share as well.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
-        base = tempfile.mkdtemp(prefix="fleetmart-")
-        context.setCheckpointDir(base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base}/fleetmart/{context.applicationId}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes this application's intermediates; frames that read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, fixes partition ids."""
     spark = df.sparkSession
@@ -117,19 +89,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settle(
-    df: DataFrame, sized_by: DataFrame | None = None, limits: Limits = DEFAULT
-) -> DataFrame:
-    """``df`` itself when small, else written: for a result that is read repeatedly.
-
-    ``sized_by`` names a frame that is at least as large, for a ``df`` whose joins
-    hide its size from Catalyst. A written frame is planned by its real size.
-    """
-    if is_small(df if sized_by is None else sized_by, limits):
-        return df
-    return materialize(df, "settled")
-
-
 def together(*actions: Callable[[], T]) -> list[T]:
     """Results of independent Spark actions, submitted at the same time.
 

@@ -11,16 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import (
-    DEFAULT,
-    DETECT,
-    HotKeys,
-    Limits,
-    hot_keys,
-    materialize,
-    tasks_for,
-)
+from fleetmart.operators.scale import DEFAULT, HotKeys, Limits, materialize, tasks_for
 
 _SEGMENT = "_segment"
 
@@ -59,23 +50,21 @@ def sequence(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     first: dict[str, str] | None = None,
-    hot: HotKeys | str | None = DETECT,
+    hot: HotKeys | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``df`` plus sequence columns over ``key`` ordered by ``order``.
 
     ``lag``, ``lead`` and ``first`` map output names to source columns. ``order``
-    must be total within a key, so end it with a unique column. Pass ``hot`` when
-    the hot keys are already known (None: there are none).
+    must be total within a key, so end it with a unique column. The keys in ``hot``
+    (from ``hot_keys``) are cut into segments, which runs jobs; without it nothing runs.
     """
     wanted = {"row_number": row_number, "lag": lag, "lead": lead, "first": first}
-    if isinstance(hot, str):
-        hot = hot_keys(df, key, limits)
     window = Window.partitionBy(key).orderBy(*order)
     if hot is None:
         return _append(df, _window_columns(window, **wanted))
 
-    flags = F.broadcast(hot.keys)
+    flags = hot.flags
     rest = df.join(flags, key, "left_anti").select(*df.columns)
     plain = _append(rest, _window_columns(window, **wanted))
     large = df.join(flags, key, "left_semi").select(*df.columns)
@@ -157,18 +146,18 @@ def with_group_values(
     df: DataFrame,
     key: str,
     columns: dict[str, Column],
-    *,
-    spread_by: str,
-    limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``df`` plus one aggregate value per group on each of its rows.
 
-    Gives what a window over a whole partition gives (COUNT, AVG, LAST_VALUE …)
-    without holding a partition in one task: the groups are aggregated with map-side
-    combine and joined back, hot groups spread by ``spread_by``.
+    Gives what a window over a whole partition gives (COUNT, AVG, LAST_VALUE …), for the
+    NULL key too, without holding a partition in one task: the groups are aggregated with
+    map-side combine and joined back null-safe. That join has keys of its own, so both its
+    sides are shuffled for it and adaptive execution may split a large group.
     """
-    groups = df.groupBy(key).agg(*[value.alias(name) for name, value in columns.items()])
-    joined = join_unique(df, groups, key, "left", spread_by=spread_by, limits=limits)
+    groups = df.groupBy(F.col(key).alias("_key")).agg(
+        *[value.alias(name) for name, value in columns.items()]
+    )
+    joined = df.join(groups, F.col(key).eqNullSafe(F.col("_key")))
     return joined.select(*df.columns, *columns)
 
 

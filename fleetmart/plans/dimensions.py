@@ -27,7 +27,7 @@ def masked_users(raw_users: DataFrame, salt: str | None = None) -> DataFrame:
 
 
 def drivers_with_vehicles(
-    raw_drivers: DataFrame, raw_vehicles: DataFrame, limits: Limits = DEFAULT
+    raw_drivers: DataFrame, raw_vehicles: DataFrame
 ) -> DataFrame:
     vehicles = raw_vehicles.select(
         "vehicle_id",
@@ -43,7 +43,7 @@ def drivers_with_vehicles(
         F.col("available").alias("is_available_flag"),
     )
     return join_unique(
-        drivers, vehicles, "vehicle_id", "left", spread_by="driver_id", limits=limits
+        drivers, vehicles, "vehicle_id", "left", spread_by="driver_id"
     ).select(
         "driver_id",
         "driver_name",
@@ -82,9 +82,9 @@ def new_drivers(
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Rows to add to dim_driver."""
-    drivers = drivers_with_vehicles(raw_drivers, raw_vehicles, limits)
+    drivers = drivers_with_vehicles(raw_drivers, raw_vehicles)
     return insert_if_absent(
-        existing, drivers, "driver_key", "driver_id", sized_by=raw_drivers, limits=limits
+        existing, drivers, "driver_key", "driver_id", limits=limits
     )
 
 

@@ -6,16 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.labels import PEAK_HOURS
-from fleetmart.functions.scalars import date_key, minutes_between
+from fleetmart.functions.scalars import date_key, exact_sum, minutes_between
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import (
-    DEFAULT,
-    DETECT,
-    HotKeys,
-    Limits,
-    can_broadcast,
-    hot_keys,
-)
+from fleetmart.operators.scale import DEFAULT, HotKeys, Limits, hot_keys, together
 from fleetmart.operators.sequence import sequence, split_sequence
 
 
@@ -35,8 +28,8 @@ def keyed_rides(
     dim_driver: DataFrame,
     dim_date: DataFrame,
     *,
-    hot_drivers: HotKeys | str | None = DETECT,
-    hot_users: HotKeys | str | None = DETECT,
+    hot_drivers: HotKeys | None = None,
+    hot_users: HotKeys | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Rides with their three dimension keys; rides without a match are dropped."""
@@ -59,7 +52,7 @@ def keyed_rides(
         hot=hot_users,
         limits=limits,
     )
-    return with_user.join(dim_date.select("date_key"), "date_key")
+    return join_unique(with_user, dim_date.select("date_key"), "date_key")
 
 
 def _with_previous_end(
@@ -72,12 +65,13 @@ def _with_previous_end(
 ) -> DataFrame:
     """Keyed and rated rides with the end of the driver's previous ride.
 
-    Hot drivers are told apart on the raw table, where that reads one column, so
-    every ride passes through the joins once.
+    Hot drivers and users are counted on the raw table, one column each, before any
+    join; so every ride passes through the joins once.
     """
-    hot_drivers = hot_keys(raw_rides, "driver_id", limits)
-    few_users = can_broadcast(dim_user.select("user_id", "user_key"), limits)
-    hot_users = None if few_users else hot_keys(raw_rides, "user_id", limits)
+    hot_drivers, hot_users = together(
+        lambda: hot_keys(raw_rides, "driver_id", limits),
+        lambda: hot_keys(raw_rides, "user_id", limits),
+    )
     order, lag = ["start_time", "ride_id"], {"previous_end": "end_time"}
 
     def rated(rides: DataFrame, drivers: DataFrame) -> DataFrame:
@@ -90,7 +84,7 @@ def _with_previous_end(
             hot_users=hot_users,
             limits=limits,
         )
-        return keyed.join(ratings, "ride_id", "left").select(
+        return join_unique(keyed, ratings, "ride_id", "left", spread_by="ride_start_time").select(
             "ride_id",
             "user_key",
             "driver_key",
@@ -103,13 +97,13 @@ def _with_previous_end(
         )
 
     if hot_drivers is None:
-        return sequence(rated(raw_rides, dim_driver), "driver_key", order, lag=lag, hot=None)
+        return sequence(rated(raw_rides, dim_driver), "driver_key", order, lag=lag)
 
-    flags = F.broadcast(hot_drivers.keys)
-    few = F.broadcast(dim_driver.join(flags, "driver_id", "left_semi"))
+    flags = hot_drivers.flags
+    few = dim_driver.join(flags, "driver_id", "left_semi")
     many_rides = raw_rides.join(flags, "driver_id", "left_semi")
     other_rides = raw_rides.join(flags, "driver_id", "left_anti")
-    other = sequence(rated(other_rides, dim_driver), "driver_key", order, lag=lag, hot=None)
+    other = sequence(rated(other_rides, dim_driver), "driver_key", order, lag=lag)
     many = split_sequence(
         rated(many_rides, few), "driver_key", order, hot_drivers.rows, lag=lag, limits=limits
     )
@@ -126,10 +120,13 @@ def fact_rides(
     peak_hours: list[int] | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """The fact in its stored layout. Unrated rides and first rides keep NULLs."""
+    """The fact in its stored layout. Unrated rides and first rides keep NULLs.
+
+    Runs two jobs first that count drivers and users, see ``hot_keys``.
+    """
     ratings = rating_per_ride(raw_ratings)
     linked = _with_previous_end(raw_rides, ratings, dim_user, dim_driver, dim_date, limits)
-    peak = F.hour("start_time").isin(peak_hours or PEAK_HOURS)
+    peak = F.hour("start_time").isin(PEAK_HOURS if peak_hours is None else peak_hours)
     return linked.select(
         "ride_id",
         "user_key",
@@ -146,3 +143,17 @@ def fact_rides(
         F.coalesce(peak, F.lit(False)).alias("is_peak_hour"),
         "average_driver_rating",
     )
+
+
+def daily_rides(fact: DataFrame) -> DataFrame:
+    """One row per driver and date: sums that add up further, first rides left out."""
+    return (
+        fact.where(F.col("time_to_next_ride_minutes").isNotNull())
+        .groupBy("driver_key", "start_date_key")
+        .agg(
+            exact_sum(F.col("time_to_next_ride_minutes")).alias("wait"),
+            F.count("time_to_next_ride_minutes").alias("waits"),
+            F.count("ride_id").alias("rides"),
+            exact_sum(F.col("fare_amount")).alias("revenue"),
+        )
+    )

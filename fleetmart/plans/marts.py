@@ -3,9 +3,9 @@
 Each mart takes a ``Warehouse`` and returns a DataFrame. Where a report groups by
 an attribute of a dimension (a name, an initial, a weekday), the fact is first
 reduced to one row per dimension key and only that result meets the dimension, so
-no join carries the fact itself and a busy key costs one row. (The daily rows are
-the exception, see ``_daily``.) ``by`` switches the
-grouping from the attribute to the key behind it.
+no join carries the fact itself and a busy key costs one row. ``by`` switches the
+grouping from the attribute to the key behind it. Ranks without a limit run jobs at once,
+see ``ranking.ranked``.
 """
 
 from __future__ import annotations
@@ -28,16 +28,15 @@ from fleetmart.operators.ranking import ranked
 from fleetmart.operators.scale import (
     DEFAULT,
     Limits,
-    can_broadcast,
-    hot_keys,
-    is_small,
-    settle,
+    HotKeys,
     sort_columns,
 )
 from fleetmart.operators.sequence import sequence
 from fleetmart.plans.warehouse import Warehouse
 
 RIDE_ORDER = ["start_time", "ride_id"]
+# Keys that a filter on a scan may list.
+MOST_KEYS = 10_000
 
 
 def _top(df: DataFrame, order: list[tuple[str, str]], limit: int | None) -> DataFrame:
@@ -54,28 +53,14 @@ def _mean(total: str, count: str) -> Column:
 # --- reductions of the fact -------------------------------------------------
 
 
-def _daily(wh: Warehouse, by: str, limits: Limits = DEFAULT) -> DataFrame:
+def _daily(wh: Warehouse, by: str) -> DataFrame:
     """One row per driver and date key, first ride of each driver left out.
 
-    Nearly every ride can be the only one of its driver and day, so reducing by
-    driver key before the names come in would shuffle twice. It is done only where
-    the names are too many to broadcast.
+    Reads the stored sums per driver key and date; only their names are joined here.
     """
-    rides = wh.fact_rides.where(F.col("time_to_next_ride_minutes").isNotNull())
-    names = wh.dim_driver.select("driver_key", "driver_name")
-    named = by != "driver_key"
-    if named and can_broadcast(names, limits):
-        rides, named = rides.join(F.broadcast(names), "driver_key"), False
-        key = by
-    else:
-        key = "driver_key"
-    days = rides.groupBy(key, "start_date_key").agg(
-        exact_sum(F.col("time_to_next_ride_minutes")).alias("wait"),
-        F.count("time_to_next_ride_minutes").alias("waits"),
-        F.count("ride_id").alias("rides"),
-        exact_sum(F.col("fare_amount")).alias("revenue"),
-    )
-    if named:
+    days = wh.daily_rides
+    if by != "driver_key":
+        names = wh.dim_driver.select("driver_key", "driver_name")
         days = (
             join_unique(days, names, "driver_key")
             .groupBy(by, "start_date_key")
@@ -97,12 +82,10 @@ def _daily(wh: Warehouse, by: str, limits: Limits = DEFAULT) -> DataFrame:
     )
 
 
-def driver_daily_utilization(
-    wh: Warehouse, by: str = "driver_name", limits: Limits = DEFAULT
-) -> DataFrame:
+def driver_daily_utilization(wh: Warehouse, by: str = "driver_name") -> DataFrame:
     """Wait, rides and revenue per driver and day, first ride of each driver left out."""
     days = wh.dim_date.select(F.col("date_key").alias("start_date_key"), "full_date")
-    return join_unique(_daily(wh, by, limits), days, "start_date_key").select(
+    return join_unique(_daily(wh, by), days, "start_date_key").select(
         by,
         "full_date",
         "avg_wait_time_minutes",
@@ -111,12 +94,10 @@ def driver_daily_utilization(
     )
 
 
-def driver_waits(
-    wh: Warehouse, by: str = "driver_name", limits: Limits = DEFAULT
-) -> DataFrame:
+def driver_waits(wh: Warehouse, by: str = "driver_name") -> DataFrame:
     """Unweighted mean of the daily mean waits, and rides, per driver."""
     return (
-        _daily(wh, by, limits)
+        _daily(wh, by)
         .where(F.col("total_rides_that_day") > 0)
         .groupBy(by)
         .agg(
@@ -211,8 +192,8 @@ def leaderboard(
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q4: unique positions by mean wait, beside the mean of the whole fleet."""
-    # Read twice, for the board and for the fleet.
-    waits = settle(driver_waits(wh, by, limits), wh.fact_rides, limits)
+    # Read twice, for the board and for the fleet, from the stored daily sums.
+    waits = driver_waits(wh, by)
     fleet = waits.agg(F.round(exact_ratio(F.sum("avg_wait"), F.count("avg_wait")), 2)).scalar()
     board = ranked(
         waits,
@@ -220,7 +201,6 @@ def leaderboard(
         [(by, "asc")],
         {"efficiency_rank": ranking.row_number()},
         limit=limit,
-        sized_by=wh.fact_rides if is_small(wh.fact_rides, limits) else None,
         limits=limits,
     )
     return board.select(
@@ -246,7 +226,6 @@ def revenue_rank(
         [(by, "asc")],
         {"revenue_rank": ranking.rank()},
         limit=limit,
-        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -298,7 +277,6 @@ def quality_tiers(
         [(by, "asc")],
         {"quality_tier": ranking.dense_rank()},
         limit=limit,
-        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -332,7 +310,6 @@ def commission(
         [(by, "asc")],
         {"revenue_percentile": _thousandths(ranking.percent_rank())},
         limit=limit,
-        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -356,12 +333,11 @@ def efficiency_quartiles(
 ) -> DataFrame:
     """q8: cumulative share of drivers by mean wait, cut into quartiles."""
     board = ranked(
-        driver_waits(wh, by, limits),
+        driver_waits(wh, by),
         [("avg_wait", "asc")],
         [(by, "asc")],
         {"efficiency_cume_dist": _thousandths(ranking.cume_dist())},
         limit=limit,
-        sized_by=wh.fact_rides,
         limits=limits,
     )
     return board.select(
@@ -391,7 +367,6 @@ def value_segments(
         [(by, "asc")],
         {"customer_value_quartile": ranking.ntile(4)},
         limit=limit,
-        sized_by=wh.fact_rides,
         limits=limits,
     )
     quartile = F.col("customer_value_quartile")
@@ -414,16 +389,17 @@ def idle_gaps(
     *,
     driver_keys: list[int] | None = labels.SAMPLE_DRIVER_KEYS,
     limit: int | None = 30,
+    hot: HotKeys | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q10: hours until the driver's next ride and the retention risk they signal.
 
-    ``driver_keys=None`` covers every driver.
+    ``driver_keys=None`` covers every driver. ``hot`` names drivers to cut into segments
+    (``hot_keys(wh.fact_rides, "driver_key")``); with it jobs run at once.
     """
     rides = wh.fact_rides.select("driver_key", "ride_id", "start_time", "end_time", "fare_amount")
     if driver_keys is not None:
         rides = rides.where(F.col("driver_key").isin(driver_keys))
-    hot = hot_keys(rides, "driver_key", limits)
     followed = sequence(
         rides,
         "driver_key",
@@ -473,19 +449,24 @@ def progression(
     *,
     driver_names: list[str] | None = labels.SAMPLE_DRIVER_NAMES,
     limit: int | None = 50,
+    hot: HotKeys | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q11: each fare against the driver's first fare.
 
-    A name filter picks whole drivers, so it is applied to the drivers before the
-    sequence. ``driver_names=None`` covers every driver.
+    ``driver_names`` picks whole drivers: a small job looks up their keys, which then filter
+    the scan of the fact. Where more than ``MOST_KEYS`` drivers bear the names, the fact is
+    joined to them instead. ``driver_names=None`` covers every driver; ``hot`` as in q10.
     """
     drivers = wh.dim_driver.select("driver_key", "driver_name")
     rides = wh.fact_rides.select("driver_key", "ride_id", "start_time", "fare_amount")
     if driver_names is not None:
         drivers = drivers.where(F.col("driver_name").isin(driver_names))
-        rides = rides.join(drivers.select("driver_key"), "driver_key", "left_semi")
-    hot = hot_keys(rides, "driver_key", limits)
+        wanted = [row.driver_key for row in drivers.select("driver_key").take(MOST_KEYS + 1)]
+        if len(wanted) <= MOST_KEYS:
+            rides = rides.where(F.col("driver_key").isin(wanted))
+        else:
+            rides = rides.join(drivers.select("driver_key"), "driver_key", "left_semi")
     numbered = sequence(
         rides,
         "driver_key",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -46,13 +47,13 @@ def vip_share(customers: DataFrame) -> DataFrame:
     total = customers.agg(F.sum("total_fare_spent")).scalar()
     caption = F.concat(
         F.col("masked_name"),
-        F.lit(" | Revenue: $"),
+        F.lit(" spent "),
         _two_places(F.col("total_fare_spent")),
-        F.lit(" | Rides: "),
+        F.lit(" on "),
         F.col("total_rides").cast("string"),
-        F.lit(" | Avg Distance: "),
+        F.lit(" trips of "),
         _two_places(F.col("avg_ride_distance_km")),
-        F.lit(" km"),
+        F.lit(" km each"),
     )
     share = F.col("total_fare_spent").cast("decimal(22,2)") / F.nullif(
         total.cast("decimal(22,2)"), F.lit(0)
@@ -103,17 +104,18 @@ def segment_stats(segments: DataFrame, examples: int = 3) -> DataFrame:
         F.count("masked_name").alias("customer_count"),
     )
 
-    def dollars(name: str) -> Column:
-        return F.concat(F.lit("$"), F.format_number(name, 0))
-
-    caption = F.concat_ws(
-        " | ",
-        "segment_name",
-        F.concat(F.lit("Customers: "), F.col("customer_count").cast("string")),
-        F.concat(F.lit("Fare Range: "), dollars("min_fare"), F.lit(" - "), dollars("max_fare")),
-        F.concat(F.lit("Avg Fare: "), dollars("avg_fare")),
-        F.concat(F.lit("Total Spent: "), dollars("total_fare")),
-        F.concat(F.lit("Top Examples: "), F.col("top_customers")),
+    caption = F.concat(
+        F.col("customer_count").cast("string"),
+        F.lit(" in "),
+        F.col("segment_name"),
+        F.lit(" with "),
+        F.format_number("min_fare", 0),
+        F.lit(" to "),
+        F.format_number("max_fare", 0),
+        F.lit(" each, "),
+        F.format_number("total_fare", 0),
+        F.lit(" together; first: "),
+        F.col("top_customers"),
     )
     return stats.join(names, "segment_name").withColumn("caption", caption)
 
@@ -143,7 +145,10 @@ def catalog(
     *,
     driver_names: list[str] | None = labels.SAMPLE_DRIVER_NAMES,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """The reports in the order they are produced, each a function of no arguments."""
+    """The reports in the order they are produced, each a function of no arguments.
+
+    Fixed values: the names, which must match for the manifest to match.
+    """
     return {
         "01_driver_efficiency": lambda: marts.driver_efficiency(wh),
         "02_peak_hours_heatmap": lambda: peak_heatmap(marts.peak_hours(wh)),
@@ -182,15 +187,21 @@ def manifest(reports: dict[str, DataFrame]) -> DataFrame:
 def write_reports(
     reports: dict[str, Callable[[], DataFrame]], folder: str, fmt: str = "parquet"
 ) -> DataFrame:
-    """Write every report and return the manifest; a failing report is noted and skipped."""
+    """Write every report and return the manifest; a failing report is noted and skipped.
+
+    Each run writes to a folder of its own below ``folder``, named ``run-`` and an id, so no
+    table of an earlier run stands in for a report that failed.
+    """
+    run = f"{folder}/run-{uuid.uuid4().hex}"
+
     def produce(name: str, make: Callable[[], DataFrame]) -> DataFrame | str:
-        path = f"{folder}/{name}"
+        path = f"{run}/{name}"
         try:
             df = make()
             df.write.mode("overwrite").format(fmt).save(path)
             return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
         except Exception as error:  # the other reports are still wanted
-            return f"FAILED: {type(error).__name__}"
+            return f"FAILED: {type(error).__name__}: {error}"
 
     outcome = dict(
         zip(

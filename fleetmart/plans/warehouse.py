@@ -6,9 +6,12 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fleetmart.operators import quality
 from fleetmart.operators.scale import DEFAULT, Limits, materialize, together
 from fleetmart.plans import dimensions, facts
+from fleetmart.schemas import FOREIGN_KEYS, RAW, RULES, STAR, value_kinds
 from fleetmart.sources import tables
 
 
@@ -18,6 +21,7 @@ class Warehouse:
     dim_driver: DataFrame
     dim_date: DataFrame
     fact_rides: DataFrame
+    daily_rides: DataFrame
 
     def register_views(self) -> None:
         """Make the tables and the daily view available to SQL."""
@@ -39,50 +43,113 @@ def stage(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     return dict(zip(raw, stored, strict=True))
 
 
-def build(raw: dict[str, DataFrame], root: str, *, limits: Limits = DEFAULT) -> Warehouse:
-    """Drop and rebuild all four tables under ``root``.
+class LoadRefused(ValueError):
+    """The raw tables break rules that a load must not accept."""
 
-    Dimensions are stored first: their keys are allocated once, and the fact then
-    joins tables of known size.
+
+def load_report(raw: dict[str, DataFrame]) -> DataFrame:
+    """``(check, subject, n_rows)``: rows of the raw tables that break declared rules.
+
+    Repeated keys, NULL keys and other column rules, values without a parent, and rows that
+    the fact load leaves out.
+    """
+    names = [name for name in RAW if name in raw]
+    tables_ = {name: raw[name] for name in names}
+    keys = quality.declared_keys(tables_, RULES).select(
+        F.lit("key").alias("check"),
+        F.concat_ws(".", "table_name", "key").alias("subject"),
+        "n_rows",
+    )
+    rules = quality.all_violations(tables_, RULES, {n: value_kinds(RAW[n]) for n in names}).select(
+        F.when(F.col("rule") == "not_null", "null").otherwise("value").alias("check"),
+        F.concat_ws(" ", F.concat_ws(".", "table_name", "column_name"), "rule").alias("subject"),
+        "n_rows",
+    )
+    links = quality.reference_report(tables_, FOREIGN_KEYS).select(
+        F.lit("reference").alias("check"),
+        F.concat_ws(".", "child_table", "child_column").alias("subject"),
+        "n_rows",
+    )
+    losses = quality.load_losses(raw["rides"], raw["ratings"], raw["users"], raw["drivers"]).select(
+        F.lit("loss").alias("check"), F.col("reason").alias("subject"), "n_rows"
+    )
+    return keys.unionByName(rules).unionByName(links).unionByName(losses)
+
+
+def build(
+    raw: dict[str, DataFrame],
+    root: str,
+    *,
+    checks: str = "report",
+    salt: str | None = None,
+    peak_hours: list[int] | None = None,
+    limits: Limits = DEFAULT,
+) -> Warehouse:
+    """Drop and rebuild all tables under ``root``.
+
+    ``checks="report"`` stores ``load_report`` beside the tables and loads all the same;
+    ``"fail"`` stores it first and raises ``LoadRefused`` where a key is repeated or NULL;
+    ``"none"`` runs no check. Dimensions are stored first: their keys are allocated once,
+    and the fact then joins tables of known size.
     """
-    dim_date, dim_user, dim_driver = together(
+    if checks not in ("report", "fail", "none"):
+        raise ValueError(f"checks must be report, fail or none, got {checks!r}")
+    report = lambda: tables.recreate(load_report(raw), f"{root}/load_report")
+    if checks == "fail":
+        broken = report().where("n_rows > 0 and check in ('key', 'null')")
+        found = [f"{r.check} {r.subject}: {r.n_rows}" for r in broken.orderBy("subject").take(20)]
+        if found:
+            raise LoadRefused("; ".join(found))
+    made = together(
         lambda: tables.recreate(dimensions.new_dates(raw["rides"]), f"{root}/dim_date"),
         lambda: tables.recreate(
-            dimensions.new_users(raw["users"], limits=limits), f"{root}/dim_user"
+            dimensions.new_users(raw["users"], salt=salt, limits=limits), f"{root}/dim_user"
         ),
         lambda: tables.recreate(
             dimensions.new_drivers(raw["drivers"], raw["vehicles"], limits=limits),
             f"{root}/dim_driver",
         ),
+        *([report] if checks == "report" else []),
     )
+    dim_date, dim_user, dim_driver = made[:3]
     fact = facts.fact_rides(
-        raw["rides"], raw["ratings"], dim_user, dim_driver, dim_date, limits=limits
+        raw["rides"],
+        raw["ratings"],
+        dim_user,
+        dim_driver,
+        dim_date,
+        peak_hours=peak_hours,
+        limits=limits,
     )
-    return Warehouse(dim_user, dim_driver, dim_date, tables.write_fact(fact, f"{root}/fact_rides"))
+    stored = tables.write_fact(fact, f"{root}/fact_rides")
+    daily = tables.recreate(facts.daily_rides(stored), f"{root}/daily_rides")
+    return Warehouse(dim_user, dim_driver, dim_date, stored, daily)
+
+
+_TABLES = ("dim_user", "dim_driver", "dim_date", "fact_rides", "daily_rides")
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    return Warehouse(
-        *[
-            tables.load(spark, f"{root}/{name}")
-            for name in ("dim_user", "dim_driver", "dim_date", "fact_rides")
-        ]
-    )
+    return Warehouse(*[tables.load(spark, f"{root}/{name}", STAR[name]) for name in _TABLES])
 
 
 def refresh_dimensions(
-    raw: dict[str, DataFrame], root: str, *, limits: Limits = DEFAULT
+    raw: dict[str, DataFrame],
+    root: str,
+    *,
+    salt: str | None = None,
+    limits: Limits = DEFAULT,
 ) -> Warehouse:
     """Append to the dimensions what is new in ``raw``; a second run adds nothing.
 
     New rows are computed and written aside before any table is appended to, so
-    no table is read and written by the same job.
+    no table is read and written by the same job. ``salt`` must be that of the build.
     """
     spark = raw["users"].sparkSession
     old = open_warehouse(spark, root)
     fresh = {
         "dim_date": dimensions.new_dates(raw["rides"], old.dim_date),
-        "dim_user": dimensions.new_users(raw["users"], old.dim_user, limits=limits),
+        "dim_user": dimensions.new_users(raw["users"], old.dim_user, salt=salt, limits=limits),
         "dim_driver": dimensions.new_drivers(
             raw["drivers"], raw["vehicles"], old.dim_driver, limits=limits
         ),

@@ -24,7 +24,7 @@ from pyspark.sql.types import (
 
 TEXT, INTEGER, KEY = StringType(), IntegerType(), LongType()
 DATE, TIME, FLAG = DateType(), TimestampNTZType(), BooleanType()
-AMOUNT, RATING = DecimalType(10, 2), DecimalType(3, 2)
+AMOUNT, RATING, TOTAL = DecimalType(10, 2), DecimalType(3, 2), DecimalType(20, 2)
 
 
 def _table(**columns: DataType) -> StructType:
@@ -124,9 +124,27 @@ STAR: dict[str, StructType] = {
         is_peak_hour=FLAG,
         average_driver_rating=RATING,
     ),
+    # Sums per driver and date, stored with the fact that they come from.
+    "daily_rides": _table(
+        driver_key=KEY,
+        start_date_key=INTEGER,
+        wait=TOTAL,
+        waits=KEY,
+        rides=KEY,
+        revenue=TOTAL,
+    ),
 }
 
 
+def value_kinds(schema: StructType) -> dict[str, str]:
+    """Columns of which a text must parse as a whole number, date, time or flag."""
+    return {
+        f.name: f.dataType.simpleString()
+        for f in schema
+        if not isinstance(f.dataType, (StringType, DecimalType))
+    }
+
+
 @dataclass(frozen=True)
 class Rules:
     """Integrity rules of one table."""
@@ -135,6 +153,7 @@ class Rules:
     not_null: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
     decimals: dict[str, tuple[int, int]] = field(default_factory=dict)
+    unique: tuple[tuple[str, ...], ...] = ()
 
 
 RULES: dict[str, Rules] = {
@@ -189,6 +208,7 @@ RULES: dict[str, Rules] = {
             "gender": 20,
             "location_city": 100,
         },
+        unique=(("user_id",),),
     ),
     "dim_driver": Rules(
         ("driver_key",),
@@ -199,11 +219,13 @@ RULES: dict[str, Rules] = {
             "vehicle_make": 100,
             "vehicle_model": 100,
         },
+        unique=(("driver_id",),),
     ),
     "dim_date": Rules(
         ("date_key",),
         ("date_key", "full_date"),
         {"day_name": 10, "month_name": 10},
+        unique=(("full_date",),),
     ),
     "fact_rides": Rules(
         ("ride_id",),

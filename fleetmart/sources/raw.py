@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetmart.schemas import RAW
 
@@ -28,6 +28,24 @@ def read_csv(
     )
 
 
+def read_text(
+    spark: SparkSession, path: str, schema: StructType, *, multiline: bool = False
+) -> DataFrame:
+    """The same text with every column left as text, for checks before a typed read.
+
+    Nothing fails here: ``quality.violations`` counts what would not parse.
+    """
+    plain = StructType([StructField(f.name, StringType()) for f in schema])
+    return (
+        spark.read.schema(plain)
+        .option("header", True)
+        .option("nullValue", r"\N")
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .csv(path)
+    )
+
+
 def read_raw(
     spark: SparkSession, folder: str, fmt: str = "csv", *, multiline: bool = False
 ) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 FACT_ORDER = ["driver_key", "start_time", "ride_id"]
 
@@ -17,8 +18,8 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 def fact_layout(df: DataFrame) -> DataFrame:

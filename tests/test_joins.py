@@ -1,13 +1,14 @@
-"""join_unique: salted and plain forms give the same rows."""
+"""join_unique: salted and plain forms give the same rows, and no task gets a hot key whole."""
 
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import HotKeys, Limits
+from fleetmart.operators.scale import HotKeys, Limits, hot_keys
 
-TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=10)
+TINY = Limits(hot_rows=10)
 
 
 def _frames(spark):
@@ -18,22 +19,62 @@ def _frames(spark):
     return left, right
 
 
+def _rows(df):
+    return sorted(df.select("id", "k", "name").collect(), key=str)
+
+
+def _rows_per_task(df):
+    """Rows of each task of a shuffled join, for a session that neither broadcasts nor merges."""
+    spark = df.sparkSession
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, ("-1", "false", "40"), strict=True):
+            spark.conf.set(name, value)
+        found = df.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    return [row["count"] for row in found]
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_equals_plain(spark, how):
     left, right = _frames(spark)
-    plain = left.join(right, "k", how).select("id", "k", "name")
-    salted = join_unique(left, right, "k", how, spread_by="id", limits=TINY)
-    assert sorted(salted.select("id", "k", "name").collect(), key=str) == sorted(
-        plain.collect(), key=str
+    hot = hot_keys(left, "k", TINY)
+    assert hot.number >= 1
+    salted = join_unique(left, right, "k", how, spread_by="id", hot=hot, limits=TINY)
+    assert _rows(salted) == _rows(left.join(right, "k", how))
+
+
+def test_every_hot_key_is_found_and_split(spark):
+    # More hot keys than any former cap: each holds three times what a task may hold.
+    left = spark.range(36_000).select("id", (F.col("id") % 12_000).cast("int").alias("k"))
+    one = Limits(hot_rows=1)
+    hot = hot_keys(left, "k", one)
+    assert (hot.number, hot.rows) == (12_000, 36_000)
+    right = spark.range(12_000).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("name"))
+    joined = join_unique(left, right, "k", spread_by="id", hot=hot, limits=one)
+    assert joined.count() == 36_000
+
+
+def test_salts_follow_the_size_of_each_key(spark):
+    left = spark.range(4_000).select("id", F.when(F.col("id") < 3_000, 0).otherwise(F.col("id") % 50).alias("k"))
+    right = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    limits = Limits(hot_rows=50)
+    plain = _rows_per_task(join_unique(left, right, "k"))
+    salted = _rows_per_task(
+        join_unique(left, right, "k", spread_by="id", hot=hot_keys(left, "k", limits), limits=limits)
     )
+    assert max(plain) >= 3_000 and max(salted) < 400 and sum(salted) == 4_000
 
 
-def test_salts_reach_the_plan_only_for_hot_keys(spark):
-    left, right = _frames(spark)
-    salted = join_unique(left, right, "k", spread_by="id", limits=TINY)
-    plain = join_unique(left, right, "k", spread_by="id")
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+def test_null_keys_of_an_outer_join_go_everywhere(spark):
+    left = spark.range(3_000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 500).alias("k"))
+    right = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    plain = _rows_per_task(join_unique(left, right, "k", "left"))
+    spread = _rows_per_task(join_unique(left, right, "k", "left", spread_by="id"))
+    assert max(plain) >= 1_000 and max(spread) < 200 and sum(spread) == 3_000
 
 
 def test_other_joins_are_refused(spark):
@@ -44,19 +85,12 @@ def test_other_joins_are_refused(spark):
 
 def test_known_hot_keys_need_a_spread_column(spark):
     left, right = _frames(spark)
-    hot = HotKeys(spark.createDataFrame([(1,)], "k int"), 50, 50)
+    hot = HotKeys(spark.createDataFrame([(1, 50)], "k int, _n bigint"), 1, 50)
     with pytest.raises(ValueError):
         join_unique(left, right, "k", hot=hot)
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_null_keys_are_spread_without_hot_keys(spark, how):
+def test_nothing_runs_while_a_join_is_built(spark):
     left, right = _frames(spark)
-    rare = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=1000)
-    joined = join_unique(left, right, "k", how, spread_by="id", limits=rare)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_salt" in plan) == (how == "left")
-    plain = left.join(right, "k", how).select("id", "k", "name")
-    assert sorted(joined.select("id", "k", "name").collect(), key=str) == sorted(
-        plain.collect(), key=str
-    )
+    broken = left.where(F.raise_error(F.lit("read")).isNull())
+    join_unique(broken, right, "k", "left", spread_by="id")

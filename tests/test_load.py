@@ -18,11 +18,11 @@ from fleetmart.functions.scalars import (
 from fleetmart.operators import keys, quality
 from fleetmart.operators.scale import Limits
 from fleetmart.plans import facts, warehouse
-from fleetmart.schemas import RAW, RULES, STAR
+from fleetmart.schemas import RAW, RULES, STAR, value_kinds
 from fleetmart.sources import raw as raw_files
 from fleetmart.sources import tables
 
-TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=3)
+TINY = Limits(hot_rows=3)
 
 
 def _time(text):
@@ -76,6 +76,7 @@ def built(request, spark, tmp_path_factory):
 
 
 def test_tables_have_the_declared_columns(built):
+    assert set(STAR) == set(warehouse._TABLES)
     for name, schema in STAR.items():
         assert getattr(built, name).schema.simpleString() == schema.simpleString()
 
@@ -153,6 +154,54 @@ def test_load_losses(spark):
     }
 
 
+def test_repeated_ride_is_reported_or_refused(spark, tmp_path):
+    raw = _raw(spark)
+    raw["rides"] = raw["rides"].unionByName(raw["rides"].where("ride_id = 'r2'"))
+    warehouse.build(raw, str(tmp_path / "a"))
+    report = spark.read.parquet(str(tmp_path / "a" / "load_report"))
+    found = {(r.check, r.subject): r.n_rows for r in report.collect()}
+    assert found["key", "rides.ride_id"] == 1
+    assert found["key", "users.user_id"] == 0
+    assert found["reference", "rides.user_id"] == 1
+    assert found["reference", "drivers.vehicle_id"] == 1
+    assert found["loss", "further rating of a ride"] == 2
+    with pytest.raises(warehouse.LoadRefused, match="rides.ride_id: 1"):
+        warehouse.build(raw, str(tmp_path / "b"), checks="fail")
+    assert not (tmp_path / "b" / "fact_rides").exists()
+    warehouse.build(_raw(spark), str(tmp_path / "c"), checks="fail")
+
+
+def test_build_passes_its_options_on(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    wh = warehouse.build(_raw(spark), root, checks="none", salt="s", peak_hours=[])
+    assert not (tmp_path / "wh" / "load_report").exists()
+    assert {len(r.masked_email_hash) for r in wh.dim_user.collect() if r.masked_email_hash} == {64}
+    assert wh.fact_rides.where("is_peak_hour").count() == 0
+    newcomer = spark.createDataFrame([("3", "Kim", "k@x", "3", None, None, None, None)], RAW["users"])
+    after = warehouse.refresh_dimensions(_raw(spark) | {"users": newcomer}, root, salt="s")
+    assert {len(r.masked_email_hash) for r in after.dim_user.collect() if r.masked_email_hash} == {64}
+
+
+def test_text_reader_lets_every_bad_value_be_counted(spark, tmp_path):
+    path = tmp_path / "rides.csv"
+    path.write_text(
+        "ride_id,user_id,start_location,end_location,ride_start_time,ride_end_time,"
+        "distance_km,fare_amount,driver_id\n"
+        "1,1,,,soon,2024-01-01 10:00:00,1.0,far,1\n"
+        "2,1,,,2024-01-01 10:00:00,later,123456789.00,2.00,1\n"
+        ",1,,,2024-01-01 10:00:00,2024-13-01 10:00:00,1.0,2.00,1\n"
+    )
+    text = raw_files.read_text(spark, str(path), RAW["rides"])
+    found = quality.violations("rides", text, RULES["rides"], value_kinds(RAW["rides"])).collect()
+    assert {(r.column_name, r.rule): r.n_rows for r in found if r.n_rows} == {
+        ("ride_start_time", "timestamp_ntz"): 1,
+        ("ride_end_time", "timestamp_ntz"): 2,
+        ("distance_km", "decimal(10,2)"): 1,
+        ("fare_amount", "decimal(10,2)"): 1,
+        ("ride_id", "not_null"): 1,
+    }
+
+
 def test_refresh_adds_only_what_is_new(spark, tmp_path):
     raw, root = _raw(spark), str(tmp_path / "wh")
     before = warehouse.build(raw, root)
@@ -252,7 +301,7 @@ def test_append_and_recreate(spark, tmp_path):
     df = spark.range(3)
     tables.recreate(df, path)
     tables.append(df, path)
-    assert tables.load(spark, path).count() == 6
+    assert tables.load(spark, path, df.schema).count() == 6
     assert tables.recreate(df, path).count() == 3
 
 

@@ -14,7 +14,7 @@ from fleetmart.operators.sequence import (
     with_group_values,
 )
 
-TINY = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=6)
+TINY = Limits(hot_rows=6)
 WANTED = {
     "row_number": "n",
     "lag": {"prior_end": "finish", "prior_fare": "fare"},
@@ -41,7 +41,8 @@ def _rides(spark, seed=1, same_time=False):
 def test_split_equals_plain(spark, same_time):
     rides = _rides(spark, same_time=same_time)
     plain = sequence(rides, "driver", ["begin", "id"], **WANTED)
-    split = sequence(rides, "driver", ["begin", "id"], **WANTED, limits=TINY)
+    hot = hot_keys(rides, "driver", TINY)
+    split = sequence(rides, "driver", ["begin", "id"], **WANTED, hot=hot, limits=TINY)
     assert split.columns == plain.columns
     assert sorted(split.collect(), key=lambda r: r.id) == sorted(
         plain.collect(), key=lambda r: r.id
@@ -51,25 +52,30 @@ def test_split_equals_plain(spark, same_time):
 def test_hot_driver_is_spread(spark):
     rides = _rides(spark)
     hot = hot_keys(rides, "driver", TINY)
-    assert [row.driver for row in hot.keys.collect()][0] == 1 and hot.largest == 60
-    rare = hot_keys(rides, "driver", Limits(small_bytes=0, broadcast_bytes=0, hot_rows=1000))
-    assert rare is None
-    assert hot_keys(rides, "driver") is None  # small input: not even counted
+    assert (1, 60) in [tuple(row) for row in hot.counts.collect()]
+    assert hot_keys(rides, "driver", Limits(hot_rows=1000)) is None
 
 
-def test_many_hot_keys_only_the_largest_are_split(spark):
-    limits = Limits(small_bytes=0, broadcast_bytes=0, hot_rows=3, max_hot=2)
+def test_all_hot_keys_are_split(spark):
+    limits = Limits(hot_rows=2)
     rides = _rides(spark)
-    assert hot_keys(rides, "driver", limits).keys.count() == 2
+    hot = hot_keys(rides, "driver", limits)
+    assert hot.number == rides.groupBy("driver").count().where("count > 2").count() > 10
     plain = sequence(rides, "driver", ["begin", "id"], **WANTED)
-    split = sequence(rides, "driver", ["begin", "id"], **WANTED, limits=limits)
+    split = sequence(rides, "driver", ["begin", "id"], **WANTED, hot=hot, limits=limits)
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_lag_and_lead_are_inverse(spark):
     rides = _rides(spark)
     linked = sequence(
-        rides, "driver", ["begin", "id"], lag={"before": "id"}, lead={"after": "id"}, limits=TINY
+        rides,
+        "driver",
+        ["begin", "id"],
+        lag={"before": "id"},
+        lead={"after": "id"},
+        hot=hot_keys(rides, "driver", TINY),
+        limits=TINY,
     )
     pairs = {(r.before, r.id) for r in linked.collect() if r.before is not None}
     assert pairs == {(r.id, r.after) for r in linked.collect() if r.after is not None}
@@ -102,15 +108,14 @@ def test_latest_drops_rows_before_the_shuffle(spark, events):
     assert latest.count() == events.dim_driver.count()
 
 
-@pytest.mark.parametrize("limits", [Limits(), TINY])
-def test_group_values(spark, limits):
-    rides = _rides(spark)
+@pytest.mark.parametrize("unset", [0, 1])
+def test_group_values(spark, unset):
+    """``unset`` is a driver whose key is taken away: NULL is a group like any other."""
+    rides = _rides(spark).withColumn("driver", F.when(F.col("driver") != unset, F.col("driver")))
     got = with_group_values(
         rides,
         "driver",
         {"n": F.count(F.lit(1)), "last": last_value("fare", ["begin", "id"])},
-        spread_by="id",
-        limits=limits,
     )
     rows = rides.collect()
     assert got.count() == len(rows)
