@@ -174,11 +174,11 @@ def learn(
         .select("doc_id")
     )
     few = trusted.orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").limit(positives)
-    p = _sample(possible(plain, "doc_id", few).join(few, "doc_id", "left_semi"), positives, 1)
+    p = _sample(possible(plain, "doc_id", few).join(few, "doc_id"), positives, 1)
     # Documents with the lowest id hashes, found without their texts.
     ids = plain.select("doc_id").orderBy(F.xxhash64(F.lit(2), "doc_id"), "doc_id").limit(unlabelled)
     ids = ids.where("doc_id is not null").distinct()
-    u = _sample(possible(plain, "doc_id", ids).join(ids, "doc_id", "left_semi"), unlabelled, 2)
+    u = _sample(possible(plain, "doc_id", ids).join(ids, "doc_id"), unlabelled, 2)
     return fit(p, u)
 
 

@@ -353,8 +353,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     own = packed(docs, _id=F.col("doc_id").cast("long"))
     named = own.where("_id is not null")
     kept = (
+        # An outer join: an anti join would be moved below the bitmap, and all texts shuffled.
         possible(named, "_id", gone)
-        .join(gone, "_id", "left_anti")
+        .join(gone.withColumn("_gone", F.lit(True)), "_id", "left")
+        .where("_gone is null")
         .select("_row", "_id")
         .unionByName(possible(named, "_id", gone, inverse=True))
         .unionByName(own.where("_id is null"))
