@@ -1,12 +1,14 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the fleet part against its SQL on the smallest tables."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import compare, connect
+from checks.oracle import statements
+from checks.queries import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = registry(), statements()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
