@@ -108,7 +108,7 @@ def top_k(
     every: int = 100,
     scale: int = 1024,
     segment_rows: int = 8192,
-    chunk_rows: int = 256,
+    chunk_rows: int = 2048,
     block: int = 64,
 ) -> DataFrame:
     """Exact top-k: each row whose id is divisible by ``every`` against all other rows.
