@@ -7,6 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from fleetmart.llm.bpe import Pairs, merge
@@ -45,6 +46,7 @@ class PieceTable:
             raise ValueError(f"pieces of more than {_WIDTH} characters are not supported")
         self.chars = {c for piece in self.ids for c in piece}
         # Characters that follow each other inside some piece: only there can merges happen.
+        self.alone = {c for c in self.chars if c in self.ids}
         self.touching = {piece[k : k + 2] for piece in self.ids for k in range(len(piece) - 1)}
         rank = lambda a, b: -scores[self.ids[a + b]] if a + b in self.ids else float("inf")
         self.rank = rank
@@ -229,18 +231,24 @@ class Encoder:
         self.words, self.parts = _Lists(np.int32), _Lists(np.int32)
         self.odd = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
-    def _split(self, text: str) -> list[str]:
-        """Spaces are marked, one goes before the text, and no piece has a mark after
-        another character: the text falls apart before each run of marks."""
-        if not text:
-            return []
-        if "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
-            return [SPACE + part for part in text.split(" ")]
-        return self.odd.findall(SPACE + text.replace(" ", SPACE))
+    def _marked(self, text: str) -> list[str]:
+        """Words of any text: spaces become marks, one goes before the text, and it falls
+        apart before each run of marks, since no piece has a mark after another character."""
+        return self.odd.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def _parts_of(self, word: str) -> list[str]:
-        """Cuts a word between characters that no piece holds side by side."""
-        touching, out, begin = self.table.touching, [], 0
+        """Cuts a word between characters that no piece holds side by side.
+
+        Only characters outside all pieces must be cut off; the other cuts save work, and
+        in an ASCII word of known characters a look at the last one does.
+        """
+        touching = self.table.touching
+        if word[1:].isascii() and self.table.alone.issuperset(word):
+            if word[-1].isalnum() or word[-2:] in touching:
+                return [word]
+            if word[-3:-1] in touching:
+                return [word[:-1], word[-1]]
+        out, begin = [], 0
         for k in range(1, len(word)):
             if word[k - 1 : k + 1] not in touching:
                 out.append(word[begin:k])
@@ -274,28 +282,59 @@ class Encoder:
             return table.spaces(run) + ids[1:]
         return table.spaces(run - 1) + ids
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in one array, and how many each text has."""
-        split = [self._split(t) for t in texts]
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of distinct words, learning those that are new."""
         number = self.words.number
-        distinct = dict.fromkeys(chain.from_iterable(split))
-        fresh = [w for w in distinct if w not in number]
+        fresh = [w for w in words if w not in number]
         if len(number) + len(fresh) > self.most:
             self.words, self.parts = _Lists(np.int32), _Lists(np.int32)
-            number = self.words.number
-            fresh = list(distinct)
+            number, fresh = self.words.number, words
         if fresh:
             self._learn(fresh)
-        lengths = np.array([len(words) for words in split], dtype=np.int64)
-        numbers = np.fromiter(
-            map(number.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum())
-        )
+        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+    def _ids(self, numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts given as ``lengths`` words each, and how many each text has."""
         parts, per_word = self.words.of(numbers)
         ids, per_part = self.parts.of(parts)
         sums = np.concatenate([[0], np.cumsum(per_part)])
         ends = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], np.cumsum(lengths)])]
         return ids, np.diff(sums[ends])
 
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in one array, and how many each text has."""
+        easy = np.array(
+            [
+                bool(t) and t[0] != " " and t[-1] != " " and "  " not in t and SPACE not in t
+                for t in texts
+            ],
+            dtype=bool,
+        )
+        found = []
+        plain = [t for t, e in zip(texts, easy, strict=True) if e]
+        if plain:  # each space parts two words
+            lists_ = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+            coded = lists_.flatten().dictionary_encode()
+            numbers = self._numbers([SPACE + w for w in coded.dictionary.to_pylist()])
+            lengths = pc.list_value_length(lists_).to_numpy()
+            found.append(self._ids(numbers[coded.indices.to_numpy()], lengths))
+        others = [self._marked(t) for t, e in zip(texts, easy, strict=True) if not e]
+        if others:
+            distinct = list(dict.fromkeys(chain.from_iterable(others)))
+            place = dict(zip(distinct, self._numbers(distinct).tolist(), strict=True))
+            numbers = np.array([place[w] for words in others for w in words], dtype=np.int64)
+            found.append(self._ids(numbers, np.array([len(words) for words in others])))
+        if not found:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if len(found) == 1:
+            return found[0]
+        # Back into the order of the texts.
+        ids = np.concatenate([x[0] for x in found])
+        counts = np.concatenate([x[1] for x in found])
+        order = np.argsort(np.concatenate([np.flatnonzero(easy), np.flatnonzero(~easy)]))
+        begins = (np.cumsum(counts) - counts)[order]
+        return ids[_gather(begins, counts[order])], counts[order]
+
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """Texts of id lists: marks become spaces, the first one goes, bytes are joined."""
         table = self.table
