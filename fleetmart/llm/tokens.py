@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,12 +30,9 @@ def byte_names() -> dict[str, int]:
 _HEAD = 6
 
 
-class _Odd(Exception):
-    """A chunk that white space joins to its neighbours."""
-
-
 class _Counts(dict):
-    """Chunk after a space to its number of tokens; filled on use, emptied when full."""
+    """Chunk after a space to its number of tokens; -1 for a chunk that white space joins to
+    its neighbours. Filled on use, emptied when full."""
 
     def __init__(self, counter: PrefixCounter, most: int):
         super().__init__()
@@ -41,7 +40,7 @@ class _Counts(dict):
 
     def __missing__(self, chunk: str) -> int:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Odd
+            return -1
         n = self.counter.count_words(" " + chunk)
         if len(self) >= self.most:
             self.clear()
@@ -145,24 +144,6 @@ class PrefixCounter:
             total += n
         return total
 
-    def _parts(self, text: str) -> tuple[list[str], list[int]]:
-        """Parts of a text that the pattern never joins, and their counts.
-
-        Cut before each space; where white space meets white space, into words instead.
-        """
-        if not text:
-            return [], []
-        parts = text.split(" ")
-        head = parts[0]
-        try:
-            if head and head[-1].isspace():
-                raise _Odd
-            counts = list(map(self.chunks.__getitem__, parts[1:]))
-        except _Odd:
-            parts = self.words.findall(text)
-            return parts, [self.count_words(p) for p in parts]
-        return [head, *(" " + p for p in parts[1:])], [self.count_words(head), *counts]
-
     def _pieces(self, text: str):
         """Each special token's string, and the texts between them, in order."""
         if self.splitter is None or not any(s in text for s in self.special):
@@ -171,57 +152,70 @@ class PrefixCounter:
         for k, part in enumerate(self.splitter.split(text)):
             yield part, k % 2 == 1
 
-    def _total(self, text: str) -> int:
-        head, _, rest = text.partition(" ")
-        if head and head[-1].isspace():
-            return self.count_words(text)
-        try:
-            more = sum(map(self.chunks.__getitem__, rest.split(" "))) if _ else 0
-        except _Odd:
-            return self.count_words(text)
-        return more + (self.count_words(head) if head else 0)
-
     def count(self, text: str) -> int:
         """Tokens of the whole text; a special token's string is that one token."""
-        return sum(1 if special else self._total(part) for part, special in self._pieces(text))
+        return sum(
+            1 if special else self.count_words(part) for part, special in self._pieces(text)
+        )
 
     def within(self, text: str, limit: int) -> int:
-        """Characters of a longest prefix, in whole parts and then characters, that has
-        at most ``limit`` tokens when it is encoded on its own."""
+        """Characters of a longest prefix, in whole words and then characters, that has at
+        most ``limit`` tokens when it is encoded on its own."""
         at, left = 0, limit
         for part, special in self._pieces(text):
-            if special:
-                if left < 1:
-                    return at
-                at, left = at + len(part), left - 1
-                continue
-            # No token is empty, so a part of the text decides unless its tokens are long.
-            size = 16 * left + 256
-            while True:
-                some = part[:size]
-                if len(some) < len(part):
-                    some = some[: some.rfind(" ")] if " " in some else part
-                parts, counts = self._parts(some)
-                if sum(counts) > left or len(some) == len(part):
-                    break
-                size *= 4
-            if sum(counts) <= left:
-                at, left = at + len(part), left - sum(counts)
-                continue
-            k = 0
-            while counts[k] <= left:
-                at, left = at + len(parts[k]), left - counts[k]
-                k += 1
-            fit = self._fits(parts[k], left)
-            cut = at + fit
-            # A cut after white space or inside a contraction may be read otherwise.
-            if fit and not (parts[k][fit - 1].isspace() or "'" in parts[k]):
-                return cut
-            while cut and self.count(text[:cut]) > limit:
-                cut -= 1
-            return cut
+            for word in [part] if special else self.words.findall(part):
+                n = 1 if special else self.count_words(word)
+                if n > left:
+                    return self._settled(text, at + (0 if special else self._fits(word, left)), limit)
+                at, left = at + len(word), left - n
         return len(text)
 
+    def _settled(self, text: str, cut: int, limit: int) -> int:
+        """``cut``, or less where the prefix on its own is read otherwise than in the text:
+        after white space, and inside a contraction."""
+        while cut and self.count(text[:cut]) > limit:
+            cut -= 1
+        return cut
+
+    def count_batch(self, texts: list[str], limit: int) -> tuple[list[int], list[int]]:
+        """``count`` and, for texts beyond ``limit`` tokens, ``within`` (else their length).
+
+        The pattern never joins what stands before and after a single space. So the texts'
+        chunks between spaces meet in one dictionary, each distinct one is counted once, and
+        sums over a text's chunks give its count and the chunk that the limit falls into.
+        """
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        chunks, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        value = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))[place]
+        chars = np.fromiter(map(len, chunks), np.int64, len(chunks))[place] + 1
+        for k, begin in enumerate((ends - pc.list_value_length(split).to_numpy()).tolist()):
+            head = chunks[place[begin]]
+            value[begin] = -1 if head and head[-1].isspace() else self.count_words(head)
+        odd = np.concatenate([[0], np.cumsum(value < 0)])
+        sums = np.concatenate([[0], np.cumsum(value)])
+        counts, fits, begin = [], [], 0
+        for text, end in zip(texts, ends.tolist(), strict=True):
+            if odd[end] > odd[begin] or any(s in text for s in self.special):
+                n = self.count(text)
+                fit = self.within(text, limit) if n > limit else len(text)
+            else:
+                n, fit = int(sums[end] - sums[begin]), len(text)
+                if n > limit:
+                    k = int(np.searchsorted(sums[begin : end + 1], sums[begin] + limit, "right")) - 1
+                    chunk = chunks[place[begin + k]]
+                    chunk = " " + chunk if k else chunk
+                    at = int(chars[begin : begin + k].sum()) - (1 if k else 0)
+                    inside = self._fits(chunk, limit - int(sums[begin + k] - sums[begin]))
+                    fit = at + inside
+                    if not inside or "'" in chunk or chunk[inside - 1].isspace():
+                        fit = self._settled(text, fit, limit)
+            counts.append(n)
+            fits.append(fit)
+            begin = end
+        return counts, fits
+
     def _fits(self, chunk: str, budget: int) -> int:
         """Characters of ``chunk`` within ``budget`` tokens, from the stored prefix counts."""
         done = 0
@@ -258,20 +252,14 @@ def count_tokens(
         for batch in batches:
             for part in text_slices(batch):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                n = [counter.count(t) for t in texts]
+                n, fits = counter.count_batch(texts, limit)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()),
                         pa.array(n, pa.int64()),
                         pa.array([x > limit for x in n], pa.bool_()),
-                        pa.array(
-                            [
-                                counter.within(t, limit) if x > limit else len(t)
-                                for t, x in zip(texts, n, strict=True)
-                            ],
-                            pa.int64(),
-                        ),
+                        pa.array(fits, pa.int64()),
                     ],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars"],
                 )
