@@ -71,12 +71,12 @@ def _descend(positive, unlabelled, prior, steps, rate, decay):
     cost beyond prior · positives as negative, that part not below 0; where it is, the step
     goes against it instead.
     """
-    w, b = np.zeros(positive.shape[1]), 0.0
+    w, b = np.zeros(positive.shape[1], dtype=np.float32), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     soft = lambda z: np.logaddexp(0, z)
     for step in range(1, steps + 1):
-        zp, zu = positive @ w + b, unlabelled @ w + b
+        zp, zu = ((x @ w).astype(np.float64) + b for x in (positive, unlabelled))
         sp, su = sigmoid(zp), sigmoid(zu)
         negative = soft(zu).mean() - prior * soft(zp).mean()
         pull_p = prior * (sp - 1) / len(zp)  # positives as positive
@@ -85,10 +85,11 @@ def _descend(positive, unlabelled, prior, steps, rate, decay):
             gp, gu = -push_p, -push_u
         else:
             gp, gu = pull_p + push_p, push_u
-        g = np.append(positive.T @ gp + unlabelled.T @ gu + decay * w, gp.sum() + gu.sum())
+        pull = gp.astype(np.float32) @ positive + gu.astype(np.float32) @ unlabelled
+        g = np.append(pull + decay * w, gp.sum() + gu.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        w, b = w - change[:-1], b - change[-1]
+        w, b = (w - change[:-1]).astype(np.float32), b - change[-1]
     return w, b
 
 
@@ -113,19 +114,29 @@ def fit(
     positive: np.ndarray, unlabelled: np.ndarray, *, steps: int = 400, rate: float = 0.02,
     decay: float = 0.1,
 ) -> Model:
-    """Learn from feature rows of trusted positives and of unlabelled texts."""
+    """Learn from feature rows of trusted positives and of unlabelled texts.
+
+    Both arrays are scaled in place.
+    """
     width = 1 << BITS
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(width), np.zeros(_DENSE), 0.0, 0.5)
-    both = np.concatenate([positive, unlabelled]).astype(np.float64)
-    centre, spread = both.mean(axis=0), both.std(axis=0) + 1e-4
+    p, u = positive, unlabelled
+    n = len(p) + len(u)
+    centre = sum(x.sum(axis=0, dtype=np.float64) for x in (p, u)) / n
+    square = sum(
+        ((x[k : k + 512] - centre) ** 2).sum(axis=0) for x in (p, u) for k in range(0, len(x), 512)
+    )
+    spread = np.sqrt(square / n) + 1e-4
     spread[width:] /= _WEIGHT
-    p, u = ((x.astype(np.float64) - centre) / spread for x in (positive, unlabelled))
+    for x in (p, u):
+        x -= centre.astype(np.float32)
+        x /= spread.astype(np.float32)
     # Prior: positives against unlabelled on one half, read off on the other half.
     w, b = _descend(p[::2], u[::2], 0.5, steps // 2, rate, decay)
     prior = class_prior(p[1::2] @ w + b, u[1::2] @ w + b)
     w, b = _descend(p, u, prior, steps, rate, decay)
-    scaled = w / spread
+    scaled = w.astype(np.float64) / spread
     return Model(scaled[:width], scaled[width:], float(b - scaled @ centre), prior)
 
 
@@ -144,11 +155,12 @@ def _sample(docs: DataFrame, rows: int, seed: int) -> np.ndarray:
                 )
 
     found = map_batches(chosen.select("_order", "text"), run, "_order long, features binary")
-    rows_of = sorted((r["_order"], r["features"]) for r in found.toArrow().to_pylist())
-    out = np.zeros((len(rows_of), (1 << BITS) + _DENSE), dtype=np.float32)
-    for k, (_, features) in enumerate(rows_of):
-        out[k] = np.frombuffer(features, dtype=np.float32)
-    return out
+    table = found.toArrow()
+    width = (1 << BITS) + _DENSE
+    rows = [np.frombuffer(x.as_py(), dtype=np.float32) for x in table.column("features")]
+    out = np.concatenate(rows).reshape(-1, width) if rows else np.zeros((0, width), np.float32)
+    # In the order of the hashes, whatever the order of the tasks.
+    return out[np.lexsort((out[:, -3], out[:, 0], table.column("_order").to_numpy()))]
 
 
 def held_out(doc_id: str = "doc_id"):
