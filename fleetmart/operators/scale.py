@@ -75,16 +75,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base}/fleetmart/{context.applicationId}"
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Deletes this application's intermediates; frames that read them end with it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediates; frames that read them end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes all intermediates of this application."""
+    remove(spark, scratch_dir(spark))
+
+
+def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, fixes partition ids."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder or scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
