@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.operators.scale import materialize
+from fleetmart.operators.scale import materialize, remove, scratch_dir
 
 BATCH_BYTES = 2 << 20
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -19,9 +22,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once below spark.checkpoint.dir and read back: its lineage is cut."""
-    return materialize(df, label)
+_FOLDERS: ContextVar[tuple[str, ...]] = ContextVar("folders", default=())
+
+
+@contextmanager
+def steps(spark: SparkSession) -> Iterator[None]:
+    """What is ``stored`` inside goes at the end; results must be stored with ``keep``."""
+    folder = f"{scratch_dir(spark)}/steps-{uuid.uuid4().hex}"
+    token = _FOLDERS.set((*_FOLDERS.get(), folder))
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(token)
+        remove(spark, folder)
+
+
+def stored(df: DataFrame, label: str, *, keep: bool = False) -> DataFrame:
+    """``df`` written once below spark.checkpoint.dir and read back: its lineage is cut.
+
+    Within ``steps`` it goes with them; ``keep`` stores it where these steps leave it.
+    """
+    folders = _FOLDERS.get()[:-1] if keep else _FOLDERS.get()
+    return materialize(df, label, folders[-1] if folders else None)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

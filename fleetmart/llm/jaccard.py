@@ -14,6 +14,7 @@ from fleetmart.llm.common import (
     ngrams,
     packed,
     possible,
+    steps,
     stored,
     text_slices,
     unpacked,
@@ -232,6 +233,15 @@ def similar_documents(
     occurs. A unit counts the n-grams that its classes share exactly, over their full sets,
     and returns one row per linked class. Only the first band that a pair shares counts it.
     """
+    with steps(docs.sparkSession):
+        return stored(
+            _similar(docs, n, threshold, bands, rows, block), "similar-documents", keep=True
+        )
+
+
+def _similar(
+    docs: DataFrame, n: int, threshold: float, bands: int, rows: int, block: int
+) -> DataFrame:
     sign = stored(signatures(docs, n, bands, rows), "signatures")
     key = F.concat_ws("-", F.hex("h1"), F.hex("h2")).alias("cls")
     worded = sign.where("grams > 0").select(key, "doc_id", "bands")
@@ -346,10 +356,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Documents without words are classes of their own, and so is a row with a null id. Of
     rows that repeat an id, those of the smallest one's id are all kept.
     """
-    found = similar_documents(docs, **options)
-    gone = stored(
-        found.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct(), "gone"
-    )
+    with steps(docs.sparkSession):
+        found = similar_documents(docs, **options).where("doc_id <> class_id")
+        gone = stored(found.select(F.col("doc_id").alias("_id")).distinct(), "gone", keep=True)
     own = packed(docs, _id=F.col("doc_id").cast("long"))
     named = own.where("_id is not null")
     kept = (

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.common import map_batches, packed, possible, stored, text_key, unpacked
+from fleetmart.llm.common import map_batches, packed, possible, steps, stored, text_key, unpacked
 
 MIN_CHARS = 8
 _TRIM = " \t\x0b\x0c\r"
@@ -224,10 +224,10 @@ def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def _by_document(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, dropped): the sorted line numbers to drop in each document that has any."""
-    found = repeated_lines(docs, min_chars=min_chars)
-    return stored(
-        found.groupBy("doc").agg(F.sort_array(F.collect_set("no")).alias("dropped")), "dropped"
-    )
+    with steps(docs.sparkSession):
+        found = repeated_lines(docs, min_chars=min_chars)
+        dropped = found.groupBy("doc").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
+        return stored(dropped, "dropped", keep=True)
 
 
 def line_report(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
