@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import gzip
+import hashlib
 import io
+import re
 import struct
 import uuid
 import zipfile
@@ -118,9 +120,10 @@ def members(source, size: int) -> dict[str, tuple[int, int]]:
 
 
 def _folder(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (
-        fs.LocalFileSystem(), uri
-    )
+    """File system and path of a folder; file:/a, file:///a and /a are the same."""
+    if uri.startswith("file:") or "://" not in uri:
+        return fs.LocalFileSystem(), re.sub("^file:/*", "/", uri)
+    return fs.FileSystem.from_uri(uri)
 
 
 class _Archive:
@@ -225,8 +228,6 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     payload), record_type, refers_to, and payload (null for revisits). A response whose
     payload contradicts its digest raises an error.
     """
-    import hashlib
-
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():

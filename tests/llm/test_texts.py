@@ -284,6 +284,10 @@ def test_archives_read_back(spark, tmp_path, rows_of):
     assert warc.read_archives(none, str(tmp_path / "c")).count() == 0
 
 
+def test_folders_of_the_local_file_system():
+    assert {warc._folder(u)[1] for u in ("/a/b", "file:/a/b", "file:///a/b")} == {"/a/b"}
+
+
 def test_zip64_directories_are_read(monkeypatch):
     monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 100)
     monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 2)
