@@ -48,7 +48,8 @@ class PieceTable:
         # Characters that follow each other inside some piece: only there can merges happen.
         self.alone = {c for c in self.chars if c in self.ids}
         self.touching = {piece[k : k + 2] for piece in self.ids for k in range(len(piece) - 1)}
-        rank = lambda a, b: -scores[self.ids[a + b]] if a + b in self.ids else float("inf")
+        ranks = {self.names[i]: -scores[i] for i in plain}
+        rank = lambda a, b, get=ranks.get: get(a + b, float("inf"))
         self.rank = rank
         self.pairs = Pairs(self.names, list, rank)
         # Pieces as rows of code points, longest first at each start of a match.
@@ -72,9 +73,9 @@ class PieceTable:
     def edges(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Every occurrence of every piece in the segments: starts, ends, piece ids.
 
-        The segments are joined into one text, its suffixes sorted by their first 16
-        characters, and each piece searched in them: its occurrences are one range of the
-        suffix array. Edges come sorted by end, longest first; the last value returned
+        The segments are joined into one text and its suffixes sorted by their first
+        characters, as many as fit 64 bits. Each piece is searched in them: its occurrences
+        are one range of the suffix array, where of longer pieces the rest is compared. Edges come sorted by end, longest first; the last value returned
         holds where each segment starts.
         """
         text = np.frombuffer("\n".join(["", *segments, ""]).encode("utf-32-le"), dtype=np.uint32)
@@ -104,23 +105,29 @@ class PieceTable:
 
         places = np.flatnonzero(code[text] > 0)
         suffixes = keys(lambda k: coded[places + k], len(places))
-        order = np.lexsort(suffixes[::-1])
-        array = places[order]
-        ranked = [key[order] for key in suffixes]
+        order = np.argsort(suffixes[0])
+        array, ranked = places[order], suffixes[0][order]
 
         inside = np.isin(self.matrix, used) | (self.matrix == 0)
         rows = np.flatnonzero(inside.all(axis=1))
         pieces, lengths = self.matrix[rows], self.lengths[rows]
         low = keys(lambda k: code[pieces[:, k]], len(rows))
-        high = [key.copy() for key in low]
-        for k in range(_WIDTH):  # the last suffix that starts with the piece
-            part, shift = k // per, np.uint64(bits * (per - 1 - k % per))
-            high[part] |= np.where(k >= lengths, full << shift, np.uint64(0))
-        first, last = _search(ranked, low, "left"), _search(ranked, high, "right")
-        n = np.maximum(last - first, 0)
+        # Bits of each key that a piece's characters take.
+        masks = [np.zeros(len(rows), dtype=np.uint64) for _ in low]
+        for k in range(_WIDTH):
+            shift = np.uint64(bits * (per - 1 - k % per))
+            masks[k // per] |= np.where(k < lengths, full << shift, np.uint64(0))
+        first = np.searchsorted(ranked, low[0], side="left")
+        last = np.searchsorted(ranked, low[0] | ~masks[0], side="right")
+        n = last - first
         total = int(n.sum())
         which = np.repeat(np.arange(len(rows)), n)
         at = np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        same = np.ones(total, dtype=bool)  # what a long piece has beyond the first key
+        long = np.flatnonzero(lengths[which] > per)
+        for key, mask, wanted in list(zip(suffixes, masks, low, strict=True))[1:]:
+            same[long] &= key[order[at[long]]] & mask[which[long]] == wanted[which[long]]
+        which, at = which[same], at[same]
         starts = array[at]
         ends = starts + lengths[which]
         by_position = np.lexsort((starts, ends))
@@ -171,25 +178,6 @@ class PieceTable:
         return ids, np.bincount(owner, minlength=len(segments))
 
 
-def _search(ranked: list[np.ndarray], wanted: list[np.ndarray], side: str) -> np.ndarray:
-    """Places of ``wanted`` in sorted rows of several keys, by binary search of all at once."""
-    low = np.zeros(len(wanted[0]), dtype=np.int64)
-    high = np.full(len(wanted[0]), len(ranked[0]), dtype=np.int64)
-    while True:
-        open_ = low < high
-        if not open_.any():
-            return low
-        middle = np.minimum((low + high) // 2, len(ranked[0]) - 1)
-        less, same = np.zeros(len(low), dtype=bool), np.ones(len(low), dtype=bool)
-        for have, want in zip(ranked, wanted, strict=True):
-            value = have[middle]
-            less |= same & (value < want)
-            same &= value == want
-        right = (less | same) if side == "right" else less
-        low = np.where(open_ & right, middle + 1, low)
-        high = np.where(open_ & ~right, middle, high)
-
-
 def _gather(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Places of all elements of lists that begin at ``begins`` in one array."""
     total = int(counts.sum())
