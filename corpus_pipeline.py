@@ -39,7 +39,9 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """Token ids; few words are remembered, since earlier stages leave executors large heaps."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_documents(docs, model, remember=200_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

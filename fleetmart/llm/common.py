@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators.scale import materialize, remove, scratch_dir
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -84,14 +84,16 @@ def map_batches(df: DataFrame, function: Callable, schema: str, rows: int = 512)
     return df.mapInArrow(function, schema)
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cuts of ``batch`` with about BATCH_BYTES of text each; a longer text is one cut."""
+def text_slices(
+    batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cuts of ``batch`` with about ``limit`` characters of text each; a longer text is one cut."""
     sizes = np.asarray(
         [len(x) if x is not None else 0 for x in batch.column(column).to_pylist()], dtype=np.int64
     )
     start, total = 0, 0
     for row, size in enumerate(sizes):
-        if total and total + size > BATCH_BYTES:
+        if total and total + size > limit:
             yield batch.slice(start, row - start)
             start, total = row, 0
         total += int(size)

@@ -250,7 +250,7 @@ def count_tokens(
     def run(batches):
         counter = PrefixCounter(spec.value)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=2 << 20):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 n, fits = counter.count_batch(texts, limit)
                 yield pa.RecordBatch.from_arrays(
