@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.queries import _marts, _variants, build_from, raw_tables
 from fleetmart.operators.scale import remove_scratch, scratch_dir
+from fleetmart.plans import warehouse
 
 RUNS = 3
 
@@ -52,6 +53,10 @@ def main() -> None:
         build = lambda: build_from(raw_tables(spark, sf_dir, rides), root, rides)  # noqa: B023, E731
         build()
         seconds[f"{prefix}build"] = statistics.median(_timed(build) for _ in range(RUNS))
+        if rides == "events":
+            report = lambda: _run(warehouse.load_report(raw_tables(spark, sf_dir, rides)))  # noqa: B023, E731
+            report()
+            seconds["load_report"] = statistics.median(_timed(report) for _ in range(RUNS))
         queries = _marts(rides) | (_variants() if rides == "events" else {})
         for name, query in queries.items():
             run = partial(lambda query: _run(query(spark, sf_dir)), query)
