@@ -95,26 +95,39 @@ def _variants(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     )
 
 
+def _row_key(text: str = "text") -> tuple[Column, Column]:
+    """Beside its id, what tells a row from others: 128 bits of its text."""
+    t1, t2 = text_key(text)
+    return t1.alias("t1"), t2.alias("t2")
+
+
+def _same_row(*names: str) -> Column:
+    """Whether (doc, t1, t2) and the columns ``names`` are the same row; ids may be null."""
+    doc, t1, t2 = names
+    return F.col(doc).eqNullSafe(F.col("doc")) & (F.col(t1) == F.col("t1")) & (F.col(t2) == F.col("t2"))
+
+
 def _split(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, no, line) of every line that is compared.
+    """(doc, t1, t2, no, line) of every line that is compared.
 
     Lines are parted by \\n and compared without blanks at their ends; lines of fewer than
     ``min_chars`` characters are not compared.
     """
     return docs.select(
         F.col("doc_id").cast("long").alias("doc"),
+        *_row_key(),
         F.posexplode(F.transform(F.split("text", "\n"), _line)).alias("no", "line"),
     ).where(F.char_length("line") >= min_chars)
 
 
 def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc, no, h1, h2, halves) of every line that is compared, without its text."""
+    """(doc, t1, t2, no, h1, h2, halves) of every line that is compared, without its text."""
     return _split(docs, min_chars).select(
-        "doc", "no", *text_key("line"), _halves(F.col("line")).alias("halves")
+        "doc", "t1", "t2", "no", *text_key("line"), _halves(F.col("line")).alias("halves")
     )
 
 
-_PLACE = "struct(doc is null as late, doc, no)"
+_PLACE = "struct(doc is null as late, doc, t1, t2, no)"
 
 
 def _candidates(docs: DataFrame, lines: DataFrame, first: DataFrame, min_chars: int) -> DataFrame:
@@ -134,12 +147,14 @@ def _candidates(docs: DataFrame, lines: DataFrame, first: DataFrame, min_chars:
     owners = places.select(F.col("at.doc").alias("doc_id")).where("doc_id is not null").distinct()
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = possible(plain, "doc_id", owners).unionByName(plain.where("doc_id is null"))
-    texts = _split(texts, min_chars).select("doc", "no", "line", *text_key("line"))
-    wanted = places.select("h1", "h2", "at", F.col("at.doc").alias("_doc"), F.col("at.no").alias("_no"))
+    texts = _split(texts, min_chars).select("doc", "t1", "t2", "no", "line", *text_key("line"))
+    wanted = places.select(
+        "h1", "h2", "at", *(F.col(f"at.{name}").alias(f"_{name}") for name in ("doc", "t1", "t2", "no"))
+    )
     line_of = (
         texts.withColumnsRenamed({"h1": "k1", "h2": "k2"}).join(
             wanted,
-            F.col("doc").eqNullSafe(F.col("_doc"))
+            _same_row("_doc", "_t1", "_t2")
             & (F.col("no") == F.col("_no"))
             & (F.col("k1") == F.col("h1"))
             & (F.col("k2") == F.col("h2")),
@@ -177,11 +192,12 @@ def _partners(lines: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc, no): lines that an earlier line equals or differs from by one edit.
+    """(doc, t1, t2, no): lines that an earlier line equals or differs from by one edit.
 
     An edit inserts, deletes or replaces one character. Earlier is the smaller
-    (doc_id, line number), a null id last; lines at one such place, as of rows that repeat
-    an id, don't repeat each other. Every line is held against every earlier one, kept or
+    (doc_id, text hash, line number), a null id last, so rows of a null or repeated id are
+    told apart by their texts (t1, t2). Lines at one such place, of rows equal in id and
+    text, don't repeat each other. Every line is held against every earlier one, kept or
     not, so no line's verdict depends on others' verdicts.
 
     Equal lines meet first, by hash, in a map-side minimum. Different lines within one edit
@@ -215,39 +231,73 @@ def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
         "earliest-lines",
     )
     return (
-        possible(lines.select("doc", "no", "h1", "h2"), "h1", earliest)
+        possible(lines.select("doc", "t1", "t2", "no", "h1", "h2"), "h1", earliest)
         .join(earliest, ["h1", "h2"])
         .where(F.expr(f"at < {_PLACE}"))
-        .select("doc", "no")
+        .select("doc", "t1", "t2", "no")
     )
 
 
-def _by_document(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, dropped): the sorted line numbers to drop in each document that has any."""
+def _by_row(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(doc, t1, t2, dropped): the sorted line numbers to drop in each row that has any."""
     with steps(docs.sparkSession):
         found = repeated_lines(docs, min_chars=min_chars)
-        dropped = found.groupBy("doc").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
+        dropped = found.groupBy("doc", "t1", "t2").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
         return stored(dropped, "dropped", keep=True)
 
 
-def line_report(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
+def _copies(docs: DataFrame) -> DataFrame:
+    """(doc, t1, t2, copies) of the rows with lines that come more than once, id and text alike."""
+    rows = docs.where(F.btrim("text", F.lit(_TRIM + "\n")) != "").select(
+        F.col("doc_id").cast("long").alias("doc"), *_row_key()
+    )
+    counted = rows.groupBy("doc", "t1", "t2").agg(F.count("*").alias("copies"))
+    return stored(counted.where("copies > 1"), "copies")
+
+
+def line_report(
+    docs: DataFrame, *, min_chars: int = MIN_CHARS, repeats: bool = False
+) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) for every row of ``docs`` (doc_id, text).
 
     ``dropped`` holds the numbers, from 0, of the lines that repeat an earlier line (see
-    ``repeated_lines``). A null text has no lines. Rows that repeat an id each get the
-    verdicts of all rows of that id; other columns are ignored.
+    ``repeated_lines``). A null text has no lines. Rows that repeat an id, or have none, get
+    verdicts of their own; of rows equal in id and text each gets those of the first, or
+    with ``repeats`` all but one have all compared lines dropped. Other columns are ignored.
     """
-    drops = _by_document(docs, min_chars)
+    drops = _by_row(docs, min_chars)
+    none = F.expr("cast(array() as array<int>)")
     counts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"),
-        F.col("text").isNull().alias("_none"),
+        F.col("doc_id").cast("long").alias("_id"),
+        *(key.alias(f"_{name}") for name, key in zip(("t1", "t2"), _row_key(), strict=True)),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).alias("n_lines"),
+        "text",
     )
-    joined = counts.join(drops, F.col("doc_id").eqNullSafe(F.col("doc")), "left")
-    none = F.expr("cast(array() as array<int>)")
+    plain = counts.drop("text")
+    joined = plain.join(drops, _same_row("_id", "_t1", "_t2"), "left").drop("doc", "t1", "t2")
+    if repeats:
+        again = _copies(docs)
+        single = joined.join(again, _same_row("_id", "_t1", "_t2"), "left").where("copies is null")
+        # Rows equal in id and text differ in nothing here: one stands for all of them.
+        one = (
+            possible(counts, "_t1", again.select(F.col("t1").alias("_t1")))
+            .join(again, _same_row("_id", "_t1", "_t2"))
+            .groupBy("_id", "_t1", "_t2", "n_lines", "copies")
+            .agg(F.first("text").alias("text"))
+        )
+        every = F.transform(F.split("text", "\n"), lambda line, no: F.when(F.char_length(_line(line)) >= min_chars, no))
+        each = (
+            one.join(drops, _same_row("_id", "_t1", "_t2"), "left")
+            .withColumn("every", F.array_compact(every))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+            .withColumn("dropped", F.when(F.col("copy") == 1, F.col("dropped")).otherwise(F.col("every")))
+        )
+        joined = single.select("_id", "n_lines", "dropped").unionByName(
+            each.select("_id", "n_lines", "dropped")
+        )
     return joined.select(
-        "doc_id",
-        F.when(F.col("_none"), 0).otherwise(F.col("n_lines")).cast("long").alias("n_lines"),
+        F.col("_id").alias("doc_id"),
+        F.col("n_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce("dropped", none).alias("dropped"),
     )
@@ -257,17 +307,41 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the repeated lines taken out of its texts, all columns kept.
 
     Documents of which nothing but blanks is left go; those that had nothing to begin with
-    stay as they are.
+    stay as they are. Of rows equal in id and text one stays; which, their other columns decide.
     """
-    drops = _by_document(docs, min_chars)
-    own = packed(docs, _id=F.col("doc_id").cast("long"), _text=F.col("text"))
-    few = drops.select(F.col("doc").alias("_id")).where("_id is not null")
+    drops = _by_row(docs, min_chars)
+    copies = _copies(docs)
+    few = stored(
+        drops.select("doc", "t1", "t2", "dropped")
+        .join(copies.withColumnsRenamed({"doc": "_id", "t1": "_t1", "t2": "_t2"}), _same_row("_id", "_t1", "_t2"), "full")
+        .select(
+            F.coalesce("doc", "_id").alias("doc"),
+            F.coalesce("t1", "_t1").alias("t1"),
+            F.coalesce("t2", "_t2").alias("t2"),
+            "dropped",
+            F.coalesce("copies", F.lit(1)).alias("copies"),
+        ),
+        "verdicts",
+    )
+    t1, t2 = _row_key()
+    own = packed(docs, _id=F.col("doc_id").cast("long"), _t1=t1, _t2=t2, _text=F.col("text"))
     rest = "transform(filter(transform(split(_text, '\\n'), (line, no) -> struct(no, line)),"
     rest += " x -> not array_contains(dropped, x.no)), x -> x.line)"
+    key = few.select(F.col("t1").alias("_t1"))
+    # An outer join: an inner one would be moved below the bitmap.
+    met = possible(own, "_t1", key).join(few, _same_row("_id", "_t1", "_t2"), "left")
+    once = (
+        met.where("copies > 1")
+        .groupBy("_id", "_t1", "_t2")
+        .agg(
+            F.min_by(F.struct("_row", "_text", "dropped"), F.xxhash64(F.to_json("_row"))).alias("_one")
+        )
+        .select("_one.*")
+    )
     cut = (
-        possible(own, "_id", few)
-        .unionByName(own.where("_id is null"))
-        .join(drops, F.col("_id").eqNullSafe(F.col("doc")), "left")
+        met.where("copies is null or copies = 1")
+        .select("_row", "_text", "dropped")
+        .unionByName(once)
         .withColumn(
             "_left",
             F.when(F.col("dropped").isNull(), F.col("_text")).otherwise(
@@ -276,5 +350,5 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
         )
         .where("dropped is null or _text is null or trim(_left) <> ''")
     )
-    same = possible(own.where("_id is not null"), "_id", few, inverse=True)
+    same = possible(own, "_t1", key, inverse=True)
     return unpacked(cut, docs, text=F.col("_left")).unionByName(unpacked(same, docs))
