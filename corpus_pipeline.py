@@ -30,7 +30,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: word 5-grams, similarity 0.8 or more."""
-    return jaccard.keep_one(docs, n=5, threshold=0.8)
+    return jaccard.keep_one(docs, n=5, threshold=0.8, repeats=True)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -234,14 +236,28 @@ def similar_documents(
     and returns one row per linked class. Only the first band that a pair shares counts it.
     """
     with steps(docs.sparkSession):
-        return stored(
-            _similar(docs, n, threshold, bands, rows, block), "similar-documents", keep=True
+        worded, known, rest = _similar(docs, n, threshold, bands, rows, block)
+        found = (
+            stored(worded.select("cls", "doc_id"), "members-of")
+            .join(known, "cls")
+            .select("doc_id", "copy_id", "class_id", "n_links")
+            .unionByName(rest)
         )
+        return stored(found, "similar-documents", keep=True)
 
 
 def _similar(
-    docs: DataFrame, n: int, threshold: float, bands: int, rows: int, block: int
-) -> DataFrame:
+    docs: DataFrame,
+    n: int = 5,
+    threshold: float = 0.8,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = 256,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with words (cls, doc_id), their classes of equal texts, and the answer for the rest.
+
+    A class has its ``root``, one for all classes that links connect.
+    """
     sign = stored(signatures(docs, n, bands, rows), "signatures")
     key = F.concat_ws("-", F.hex("h1"), F.hex("h2")).alias("cls")
     worded = sign.where("grams > 0").select(key, "doc_id", "bands")
@@ -324,7 +340,7 @@ def _similar(
     roots = components(found.select(F.col("cls").alias("a"), F.col("other").alias("b")))
     ids = roots.join(classes.select("cls", "copy_id"), roots["node"] == classes["cls"])
     lowest = stored(ids.groupBy("root").agg(F.min("copy_id").alias("class_id")), "lowest-ids")
-    named = stored(roots.join(lowest, "root").select(F.col("node").alias("cls"), "class_id"), "named")
+    named = stored(roots.join(lowest, "root").select(F.col("node").alias("cls"), "root", "class_id"), "named")
     known = stored(
         classes.join(stored(linked, "linked"), "cls", "left")
         .join(named, "cls", "left")
@@ -332,6 +348,7 @@ def _similar(
             "cls",
             "copy_id",
             F.coalesce("class_id", "copy_id").alias("class_id"),
+            F.coalesce("root", "cls").alias("root"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         ),
         "known",
@@ -342,32 +359,59 @@ def _similar(
         F.col("doc_id").alias("class_id"),
         F.lit(0).cast("long").alias("n_links"),
     )
-    return (
-        stored(worded.select("cls", "doc_id"), "members-of")
-        .join(known, "cls")
-        .select("doc_id", "copy_id", "class_id", "n_links")
-        .unionByName(rest)
-    )
+    return worded, known, rest
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Of each class of similar documents the row of its smallest id, all columns kept.
+def keep_one(docs: DataFrame, *, repeats: bool = False, **options) -> DataFrame:
+    """Of each class of similar documents one row, all columns kept.
 
-    Documents without words are classes of their own, and so is a row with a null id. Of
-    rows that repeat an id, those of the smallest one's id are all kept.
+    It is the row of the smallest id, a null id last; among rows of one id the text hash
+    decides, and among null ids with one text the other columns. A row is told from others
+    by its id and text. Rows without words all stay. Rows equal in an id that isn't null and
+    in their text stay or go together; with ``repeats`` one of them stays.
     """
     with steps(docs.sparkSession):
-        found = similar_documents(docs, **options).where("doc_id <> class_id")
-        gone = stored(found.select(F.col("doc_id").alias("_id")).distinct(), "gone", keep=True)
-    own = packed(docs, _id=F.col("doc_id").cast("long"))
-    named = own.where("_id is not null")
-    kept = (
-        # An outer join: an anti join would be moved below the bitmap, and all texts shuffled.
-        possible(named, "_id", gone)
-        .join(gone.withColumn("_gone", F.lit(True)), "_id", "left")
-        .where("_gone is null")
-        .select("_row", "_id")
-        .unionByName(possible(named, "_id", gone, inverse=True))
-        .unionByName(own.where("_id is null"))
+        worded, known, _ = _similar(docs, **options)
+        linked = known.where("n_links > 0")
+        # A text of each class that stays, and the id of the row with it.
+        first = F.min(F.struct(F.col("copy_id").isNull().alias("late"), "copy_id", "cls"))
+        keepers = stored(linked.groupBy("root").agg(first.alias("keep")), "keepers")
+        verdicts = linked.join(keepers, "root").select(
+            "cls", F.expr("cls = keep.cls").alias("has"), F.col("keep.copy_id").alias("keep_id")
+        )
+        alike = worded.groupBy("cls", "doc_id").agg(F.count("*").alias("n"))
+        found = (
+            alike.join(stored(verdicts, "verdicts"), "cls")
+            .withColumn("stays", F.expr("has and doc_id <=> keep_id"))
+            .where(F.expr("not stays or n > 1") if repeats else F.expr("not stays or doc_id is null and n > 1"))
+        )
+        few = stored(
+            found.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls"), "stays"),
+            "verdicts-of-rows",
+            keep=True,
+        )
+    text_hash = F.concat_ws("-", F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text")))
+    own = packed(
+        docs,
+        _id=F.col("doc_id").cast("long"),
+        _cls=text_hash,
+        _words=F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)),
     )
-    return unpacked(kept, docs)
+    named, of_ids = own.where("_id is not null"), few.where("_id is not null")
+    # Null ids go by their text alone. Those of one text are one row before they are shuffled.
+    nobody = own.where("_id is null")
+    of_texts = few.where("_id is null").select("_cls", "stays")
+    one = F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")
+    # Outer joins: anti joins would be moved below the bitmap, and all texts shuffled.
+    met = possible(named, "_id", of_ids).join(of_ids, ["_id", "_cls"], "left")
+    alone = possible(nobody.where("_words"), "_cls", of_texts).groupBy("_cls").agg(one)
+    kept = [
+        met.where("stays is null").select("_row"),
+        possible(named, "_id", of_ids, inverse=True).select("_row"),
+        alone.join(of_texts, "_cls", "left").where("coalesce(stays, true)").select("_row"),
+        possible(nobody.where("_words"), "_cls", of_texts, inverse=True).select("_row"),
+        nobody.where("not _words").select("_row"),
+    ]
+    if repeats:
+        kept.append(met.where("stays").groupBy("_id", "_cls").agg(one).select("_row"))
+    return unpacked(reduce(DataFrame.unionByName, kept), docs)
