@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType, IntegerType, ShortType
 from fleetmart.functions.scalars import elapsed_seconds
 from fleetmart.operators import keys, quality, ranking
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import scratch_dir
+from fleetmart.operators.scale import HotKeys, hot_keys, scratch_dir
 from fleetmart.operators.sequence import (
     last_value,
     latest_per_key,
@@ -49,6 +49,17 @@ def built(spark: SparkSession, sf_dir: str, rides: str) -> Warehouse:
     return _BUILT[key]
 
 
+_HOT: dict[tuple[str, str, str], HotKeys | None] = {}
+
+
+def hot_drivers(spark: SparkSession, sf_dir: str, rides: str) -> HotKeys | None:
+    """Drivers with too many rides for one task, counted once per warehouse."""
+    key = (spark.sparkContext.applicationId, sf_dir, rides)
+    if key not in _HOT:
+        _HOT[key] = hot_keys(built(spark, sf_dir, rides).fact_rides, "driver_key")
+    return _HOT[key]
+
+
 def build_from(raw: dict[str, DataFrame], root: str, rides: str) -> Warehouse:
     # Rides from order lines come out of a join, so they are stored before use. The checks
     # of a load have queries of their own.
@@ -311,6 +322,7 @@ def win_lag_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
         marts.RIDE_ORDER,
         lag={"previous_end": "end_time"},
         lead={"next_start": "start_time"},
+        hot=hot_drivers(spark, sf_dir, "events"),
     )
     return linked.select(
         "ride_id",
@@ -328,6 +340,7 @@ def win_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
         marts.RIDE_ORDER,
         row_number="ride_number",
         first={"first_fare": "fare_amount"},
+        hot=hot_drivers(spark, sf_dir, "events"),
     ).select("ride_id", "ride_number", "first_fare")
 
 
@@ -398,6 +411,12 @@ def _mart(rides: str, function: Callable[..., DataFrame], **arguments: object) -
     return lambda spark, sf_dir: function(built(spark, sf_dir, rides), **arguments)
 
 
+def _mart_of_all_drivers(function: Callable[..., DataFrame], **arguments: object) -> Query:
+    return lambda spark, sf_dir: function(
+        built(spark, sf_dir, "events"), hot=hot_drivers(spark, sf_dir, "events"), **arguments
+    )
+
+
 def _marts(rides: str) -> dict[str, Query]:
     mart = partial(_mart, rides)
     return {
@@ -435,8 +454,8 @@ def _variants() -> dict[str, Query]:
         "q10_100": lambda spark, sf_dir: marts.idle_gaps(
             built(spark, sf_dir, "events"), limit=100
         ).drop("next_ride_start"),
-        "q10_all_drivers": mart(marts.idle_gaps, driver_keys=None, limit=None),
-        "q11_all_drivers": mart(marts.progression, driver_names=None, limit=None),
+        "q10_all_drivers": _mart_of_all_drivers(marts.idle_gaps, driver_keys=None, limit=None),
+        "q11_all_drivers": _mart_of_all_drivers(marts.progression, driver_names=None, limit=None),
         "q11_five_names": mart(marts.progression, driver_names=DRIVER_NAMES, limit=None),
         "q12_all": mart(marts.quality_trend, limit=None),
         "q13_all": mart(marts.driver_milestones, limit=None),
