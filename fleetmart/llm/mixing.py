@@ -68,6 +68,76 @@ def budgets(tokens: list[int], weights: list[float], total: int | None = None) -
     return [math.ceil(n * p - 1e-6) for n, p in zip(tokens, passes(tokens, weights), strict=True)]
 
 
+def _exact_sum(value: Column) -> Column:
+    """A sum to 18 places, which does not depend on the order of rows."""
+    return F.sum(value.cast("decimal(28,18)"))
+
+
+def _exponent_over(
+    totals: DataFrame, *, repetitions: float | None, target_entropy: float | None
+) -> float:
+    """``exponent_for`` over a frame of any number of sources (n tokens, none 0)."""
+    if (repetitions is None) == (target_entropy is None):
+        raise ValueError("give either repetitions or target_entropy")
+    if repetitions is not None:
+        # Passes are (n / largest) ** (exponent - 1): the smallest source is read most.
+        ends = totals.agg(F.min("n"), F.max("n")).first()
+        return exponent_for([ends[0], ends[1]], repetitions=repetitions)
+    whole = totals.agg(F.sum("n")).first()[0]
+
+    def met(exponents: list[float]) -> list[bool]:
+        # With p = share ** exponent the entropy is log(sum p) - exponent * sum(p log share) / sum p.
+        share = F.col("n") / F.lit(whole)
+        sums = []
+        for exponent in exponents:
+            power = F.pow(share, F.lit(exponent))
+            sums += [_exact_sum(power), _exact_sum(power * F.log(share))]
+        found = [float(x) for x in totals.agg(*sums).first()]
+        pairs = zip(exponents, found[::2], found[1::2], strict=True)
+        return [math.log(p) - e * q / p <= target_entropy for e, p, q in pairs]
+
+    low, high = 0.0, 1.0
+    if met([low])[0]:
+        return low
+    # Many cuts a job instead of two halves: the entropy falls as the exponent grows.
+    for _ in range(10):
+        cuts = [low + (high - low) * k / 64 for k in range(1, 64)]
+        first = next((k for k, ok in enumerate(met(cuts)) if ok), len(cuts))
+        low, high = ([low, *cuts][first], [*cuts, high][first])
+    return high
+
+
+def _plan(
+    totals: DataFrame,
+    *,
+    repetitions: float | None,
+    target_entropy: float | None,
+    total: int | None,
+    block_tokens: int,
+) -> DataFrame:
+    """(_name, _whole, _part, _blocks) of each source: ``budgets`` as a column of ``totals``."""
+    n = F.col("n")
+    full = totals.where("n > 0")
+    some = full.agg(F.max("n"), F.sum("n")).first()
+    if some[0] is None:
+        budget = F.lit(0).cast("long")
+    else:
+        most, whole = some
+        exponent = _exponent_over(full, repetitions=repetitions, target_entropy=target_entropy)
+        if total is not None:
+            power = F.pow(n / F.lit(whole), F.lit(exponent))
+            powers = float(full.agg(_exact_sum(power)).first()[0])
+            budget = F.floor(power / F.lit(powers) * F.lit(total)).cast("long")
+        else:
+            budget = F.ceil(n * F.pow(n / F.lit(most), F.lit(exponent - 1.0)) - 1e-6).cast("long")
+    return totals.withColumn("budget", budget).select(
+        F.col("_source").alias("_name"),
+        F.expr("if(n = 0, 1L, budget div n)").alias("_whole"),
+        F.expr("if(n = 0, 0L, budget % n)").alias("_part"),
+        F.expr(f"greatest(1L, (n + {block_tokens - 1}) div {block_tokens})").alias("_blocks"),
+    )
+
+
 def _block_order(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.lit("block"), "_block", "_epoch")
 
@@ -107,8 +177,8 @@ def mix(
     share a place and are taken together. An empty table gives no rows.
 
     No row moves for this but sums by block, and the rows of one block per source, in which
-    the last pass ends; totals by source reach the driver and are broadcast. More sources
-    than ``most_sources`` raise an error.
+    the last pass ends; totals by source are a stored table, which is broadcast up to
+    ``most_sources`` sources. Beyond that rows are shuffled by source to meet it.
     """
     spark = docs.sparkSession
     cost = word_tokens() if tokens is None else tokens
@@ -121,23 +191,23 @@ def mix(
         ),
         "sizes",
     )
-    counted = light.groupBy("_source").agg(F.sum("_tokens").alias("n")).limit(most_sources + 1).collect()
-    if len(counted) > most_sources:
-        raise ValueError(f"more than {most_sources} sources")
-    counted.sort(key=lambda r: (r["_source"] is not None, str(r["_source"])))
-    full = [r for r in counted if r["n"]]
-    plan = [(r["_source"], 1, 0, 1) for r in counted if not r["n"]]
-    if full:
-        n = [r["n"] for r in full]
-        exponent = exponent_for(n, repetitions=repetitions, target_entropy=target_entropy)
-        for r, have, budget in zip(full, n, budgets(n, weights_at(n, exponent), total), strict=True):
-            blocks = max(1, -(-have // block_tokens))
-            plan.append((r["_source"], budget // have, budget % have, blocks))
-    kind = dict(docs.dtypes)[source]
-    sources = spark.createDataFrame(plan, f"_name {kind}, _whole long, _part long, _blocks long")
+    totals = stored(light.groupBy("_source").agg(F.sum("_tokens").alias("n")), "totals")
+    plan = _plan(
+        totals,
+        repetitions=repetitions,
+        target_entropy=target_entropy,
+        total=total,
+        block_tokens=block_tokens,
+    )
+    sources = stored(plan, "sources")
+    # Broadcast while they are few; more sources than that are joined by a shuffle.
+    small = sources.count() <= most_sources
+
+    def near(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
 
     def planned(rows: DataFrame) -> DataFrame:
-        joined = rows.join(F.broadcast(sources), rows["_source"].eqNullSafe(sources["_name"]))
+        joined = rows.join(near(sources), rows["_source"].eqNullSafe(sources["_name"]))
         return joined.drop("_name").withColumn("_block", F.pmod("_key", "_blocks"))
 
     # Where the last pass of each source ends: the block, then the document in it.
@@ -157,7 +227,7 @@ def mix(
     )
     ends = stored(ends, "last-blocks")
     inside = last.join(
-        F.broadcast(ends),
+        near(ends),
         last["_source"].eqNullSafe(ends["_name"]) & (last["_block"] == ends["_cut_block"]),
     )
     by_doc = Window.partitionBy("_name").orderBy("_dorder", "_key")
@@ -171,7 +241,7 @@ def mix(
 
     rows = planned(packed(docs, _source=F.col(source), _key=key)).withColumn("_epoch", F.col("_whole"))
     rows = rows.withColumn("_border", _block_order(seed)).withColumn("_dorder", _doc_order(seed))
-    rows = rows.join(F.broadcast(cuts), rows["_source"].eqNullSafe(cuts["_name"]), "left")
+    rows = rows.join(near(cuts), rows["_source"].eqNullSafe(cuts["_name"]), "left")
     taken_last = F.expr(
         "_cut_key is not null and struct(_border, _block, _dorder, _key) <= "
         "struct(_cut_border, _cut_block, _cut_dorder, _cut_key)"
