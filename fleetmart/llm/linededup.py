@@ -120,13 +120,24 @@ def _split(docs: DataFrame, min_chars: int) -> DataFrame:
     ).where(F.char_length("line") >= min_chars)
 
 
-def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc, t1, t2, no, h1, h2, halves) of every line that is compared, without its text."""
-    return _split(docs, min_chars).select(
-        "doc", "t1", "t2", "no", *text_key("line"), _halves(F.col("line")).alias("halves")
+def lines_of(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_equal: int | None = None
+) -> DataFrame:
+    """(doc, t1, t2, no, h1, h2, halves) of every line that is compared, without its text.
+
+    Lines of ``min_equal`` characters (``min_chars`` if None) up to ``min_chars`` are only
+    compared for equality and have no halves.
+    """
+    halves = F.when(F.char_length("line") >= min_chars, _halves(F.col("line")))
+    return _split(docs, _floor(min_chars, min_equal)).select(
+        "doc", "t1", "t2", "no", *text_key("line"), halves.alias("halves")
     )
 
 
+def _floor(min_chars: int, min_equal: int | None) -> int:
+    return min_chars if min_equal is None else max(1, min(min_equal, min_chars))
+
+
 _PLACE = "struct(doc is null as late, doc, t1, t2, no)"
 
 
@@ -191,7 +202,9 @@ def _partners(lines: DataFrame) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, *, min_chars: int = MIN_CHARS, min_equal: int | None = None
+) -> DataFrame:
     """(doc, t1, t2, no): lines that an earlier line equals or differs from by one edit.
 
     An edit inserts, deletes or replaces one character. Earlier is the smaller
@@ -200,6 +213,9 @@ def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
     text, don't repeat each other. Every line is held against every earlier one, kept or
     not, so no line's verdict depends on others' verdicts.
 
+    Lines of fewer than ``min_chars`` characters are left alone, or with ``min_equal`` repeat
+    an equal line if they have that many; blank lines never do.
+
     Equal lines meet first, by hash, in a map-side minimum. Different lines within one edit
     agree in one half; lines that share no half with another line have no partner and go no
     further. For the others all variants with one character deleted are emitted as hashed
@@ -209,7 +225,7 @@ def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
     are formed, and a group of any size shrinks before it is shuffled. The partners found
     are verified by their edit distance.
     """
-    lines = stored(lines_of(docs, min_chars), "lines")
+    lines = stored(lines_of(docs, min_chars, min_equal), "lines")
     first = stored(
         lines.groupBy("h1", "h2").agg(F.min(F.expr(_PLACE)).alias("at"), F.count("*").alias("n")),
         "first-lines",
@@ -238,10 +254,10 @@ def repeated_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def _by_row(docs: DataFrame, min_chars: int) -> DataFrame:
+def _by_row(docs: DataFrame, min_chars: int, min_equal: int | None) -> DataFrame:
     """(doc, t1, t2, dropped): the sorted line numbers to drop in each row that has any."""
     with steps(docs.sparkSession):
-        found = repeated_lines(docs, min_chars=min_chars)
+        found = repeated_lines(docs, min_chars=min_chars, min_equal=min_equal)
         dropped = found.groupBy("doc", "t1", "t2").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
         return stored(dropped, "dropped", keep=True)
 
@@ -256,7 +272,11 @@ def _copies(docs: DataFrame) -> DataFrame:
 
 
 def line_report(
-    docs: DataFrame, *, min_chars: int = MIN_CHARS, repeats: bool = False
+    docs: DataFrame,
+    *,
+    min_chars: int = MIN_CHARS,
+    min_equal: int | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) for every row of ``docs`` (doc_id, text).
 
@@ -265,7 +285,7 @@ def line_report(
     verdicts of their own; of rows equal in id and text each gets those of the first, or
     with ``repeats`` all but one have all compared lines dropped. Other columns are ignored.
     """
-    drops = _by_row(docs, min_chars)
+    drops = _by_row(docs, min_chars, min_equal)
     none = F.expr("cast(array() as array<int>)")
     counts = docs.select(
         F.col("doc_id").cast("long").alias("_id"),
@@ -285,7 +305,7 @@ def line_report(
             .groupBy("_id", "_t1", "_t2", "n_lines", "copies")
             .agg(F.first("text").alias("text"))
         )
-        every = F.transform(F.split("text", "\n"), lambda line, no: F.when(F.char_length(_line(line)) >= min_chars, no))
+        every = F.transform(F.split("text", "\n"), lambda line, no: F.when(F.char_length(_line(line)) >= _floor(min_chars, min_equal), no))
         each = (
             one.join(drops, _same_row("_id", "_t1", "_t2"), "left")
             .withColumn("every", F.array_compact(every))
@@ -303,13 +323,15 @@ def line_report(
     )
 
 
-def dedup_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, *, min_chars: int = MIN_CHARS, min_equal: int | None = None
+) -> DataFrame:
     """``docs`` with the repeated lines taken out of its texts, all columns kept.
 
     Documents of which nothing but blanks is left go; those that had nothing to begin with
     stay as they are. Of rows equal in id and text one stays; which, their other columns decide.
     """
-    drops = _by_row(docs, min_chars)
+    drops = _by_row(docs, min_chars, min_equal)
     copies = _copies(docs)
     few = stored(
         drops.select("doc", "t1", "t2", "dropped")

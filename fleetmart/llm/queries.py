@@ -81,7 +81,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.line_report(table(spark, sf_dir, "documents"), repeats=True)
+    return linededup.line_report(table(spark, sf_dir, "documents"), min_equal=1, repeats=True)
 
 
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

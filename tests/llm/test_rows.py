@@ -72,3 +72,11 @@ def test_one_row_of_each_class_stays(spark):
     ]
     once = jaccard.keep_one(docs).where("doc_id = 5").count()
     assert once == 2  # rows that repeat an id and a text, unless asked for
+
+
+def test_equal_short_lines_are_found(spark):
+    rows = [(1, "Home\n\nLog in\na", "a"), (2, "Home\nLog on\n \nHom", "a"), (3, " Home \nb\na", "a")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r["dropped"] for r in linededup.line_report(docs, min_equal=1).collect()}
+    assert got == {1: [], 2: [0], 3: [0, 2]}
+    assert not any(r["dropped"] for r in linededup.line_report(docs).collect())
