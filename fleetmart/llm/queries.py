@@ -1,4 +1,4 @@
-"""The ten operators as queries over their whole tables, and their SQL where there is one."""
+"""The operators as queries over their whole tables, and their SQL where there is one."""
 
 from __future__ import annotations
 
@@ -14,11 +14,14 @@ from fleetmart.llm import (
     jaccard,
     linededup,
     mixing,
+    nearest,
+    periods,
     pieces,
     quality,
     tokens,
     topk,
     warc,
+    whitening,
 )
 from fleetmart.llm.common import stored, table
 from fleetmart.llm.oracle import ORACLE
@@ -102,6 +105,57 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth id by hash gets a text that repeats itself from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    found = F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    marked = docs.select(
+        "doc_id", "text", F.when(h % 10 == 0, found).alias("w"), F.expr("crc32(cast(doc_id as string)) div 10").alias("g")
+    )
+    placed = marked.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, g % n, 0L)"))
+    period = F.expr("1 + (n - a) div (3 + g % 8)")
+    repeated = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[a + (i - a) % p])), ' ')")
+    return placed.withColumn("p", period).select(
+        "doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = planted_periods(table(spark, sf_dir, "documents"))
+    found = periods.periodic_runs(texts, min_length=6, exponent=4)
+    # Runs come by start, then period: of equal exponents the first stays.
+    best = F.expr(
+        "reduce(_runs, _runs[0], (b, r) -> if(r.length * b.period > b.length * r.period, r, b))"
+    )
+    lines = F.expr(
+        "array_join(transform(_runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    )
+    return found.select(
+        "doc_id",
+        F.size("_runs").cast("long").alias("n_runs"),
+        F.when(F.size("_runs") > 0, best).alias("best"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("_collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start"),
+        F.col("best.length"),
+        F.col("best.period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), scale=256, components=4)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -115,6 +169,9 @@ QUERIES: dict[str, Query] = {
         op8_tokens,
         op9_warc,
         op10_classifier,
+        op11_periods,
+        op12_nearest,
+        op13_whitening,
     )
 }
 
