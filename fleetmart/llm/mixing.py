@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmart.llm.common import fresh, packed, stored, unpacked
+from fleetmart.operators.ranking import ranked, row_number
 
 
 def word_tokens(text: str = "text") -> Column:
@@ -115,7 +116,7 @@ def _plan(
     total: int | None,
     block_tokens: int,
 ) -> DataFrame:
-    """(_name, _whole, _part, _blocks) of each source: ``budgets`` as a column of ``totals``."""
+    """(_name, _whole, _part, _passes, _blocks) of each source: ``budgets`` by ``totals``."""
     n = F.col("n")
     full = totals.where("n > 0")
     some = full.agg(F.max("n"), F.sum("n")).first()
@@ -134,12 +135,13 @@ def _plan(
         F.col("_source").alias("_name"),
         F.expr("if(n = 0, 1L, budget div n)").alias("_whole"),
         F.expr("if(n = 0, 0L, budget % n)").alias("_part"),
+        F.expr("if(n = 0, 1D, greatest(budget, 1L) / n)").alias("_passes"),
         F.expr(f"greatest(1L, (n + {block_tokens - 1}) div {block_tokens})").alias("_blocks"),
     )
 
 
 def _block_order(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.lit("block"), "_block", "_epoch")
+    return F.xxhash64(F.lit(seed), F.lit("block"), "_source", "_block", "_epoch")
 
 
 def _doc_order(seed: int) -> Column:
@@ -158,6 +160,7 @@ def mix(
     seed: int = 0,
     tokens: Column | None = None,
     places: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
     """A row of ``docs`` for every time a document is taken, with its place in the order.
 
@@ -172,13 +175,19 @@ def mix(
     the last pass stops at the document that reaches the budget. So without ``total`` every
     document is taken at least once.
 
-    A null source is a source of its own. A text without words costs nothing and is taken
-    with its place in the order; a source without any tokens is taken once. Repeated rows
-    share a place and are taken together. An empty table gives no rows.
+    ``ordered`` hands the rows out range-partitioned and sorted in that order, so that what is
+    written next holds the permutation: a source's blocks lie evenly between the first and
+    the last row of the corpus, however often it is read.
 
-    No row moves for this but sums by block, and the rows of one block per source, in which
-    the last pass ends; totals by source are a stored table, which is broadcast up to
-    ``most_sources`` sources. Beyond that rows are shuffled by source to meet it.
+    A null source is a source of its own. A text without words costs nothing and is taken
+    with its place in the order; a source without any tokens is taken once. Rows equal in id
+    and text share a place; where a budget ends among them, the last pass takes as many of
+    them as it needs, by a hash of all their columns. An empty table gives no rows.
+
+    Unless ``ordered``, no row moves for this but sums by block, the sizes of one block per
+    source, in which the last pass ends, and equal rows among which it ends; totals by source
+    are a stored table, which is broadcast up to ``most_sources`` sources. Beyond that rows
+    are shuffled by source to meet it.
     """
     spark = docs.sparkSession
     cost = word_tokens() if tokens is None else tokens
@@ -210,17 +219,19 @@ def mix(
         joined = rows.join(near(sources), rows["_source"].eqNullSafe(sources["_name"]))
         return joined.drop("_name").withColumn("_block", F.pmod("_key", "_blocks"))
 
-    # Where the last pass of each source ends: the block, then the document in it.
-    last = planned(light).where("_part > 0").withColumn("_epoch", F.col("_whole"))
-    sums = last.groupBy("_source", "_block", "_epoch", "_part").agg(F.sum("_tokens").alias("n"))
-    by_block = Window.partitionBy("_source").orderBy("_border", "_block")
+    # Where the last pass of each source ends: the block, then the document in it. Rows equal
+    # in id and text have one key: they are summed before any window, and cut by number.
+    last = planned(light).where("_part > 0 and _tokens > 0").withColumn("_epoch", F.col("_whole"))
+    last = last.withColumn("_border", _block_order(seed)).withColumn("_dorder", _doc_order(seed))
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_block = so_far(Window.partitionBy("_source").orderBy("_border", "_block"))
     ends = (
-        sums.withColumn("_border", _block_order(seed))
+        last.groupBy("_source", "_border", "_block", "_part")
+        .agg(F.sum("_tokens").alias("n"))
         .withColumn("upto", F.sum("n").over(by_block))
         .where("upto >= _part and upto - n < _part")
         .select(
             F.col("_source").alias("_name"),
-            F.col("_border").alias("_cut_border"),
             F.col("_block").alias("_cut_block"),
             (F.col("_part") - F.col("upto") + F.col("n")).alias("_need"),
         )
@@ -230,26 +241,53 @@ def mix(
         near(ends),
         last["_source"].eqNullSafe(ends["_name"]) & (last["_block"] == ends["_cut_block"]),
     )
-    by_doc = Window.partitionBy("_name").orderBy("_dorder", "_key")
+    by_doc = so_far(Window.partitionBy("_name").orderBy("_dorder", "_key"))
     cuts = (
-        inside.withColumn("_dorder", _doc_order(seed))
-        .withColumn("upto", F.sum("_tokens").over(by_doc))
-        .where("upto >= _need and upto - _tokens < _need")
-        .select("_name", "_cut_border", "_cut_block", F.col("_dorder").alias("_cut_dorder"), F.col("_key").alias("_cut_key"))
+        inside.groupBy("_name", "_need", "_border", "_block", "_dorder", "_key")
+        .agg(F.sum("_tokens").alias("n"), F.max("_tokens").alias("one"), F.count(F.lit(1)).alias("_copies"))
+        .withColumn("upto", F.sum("n").over(by_doc))
+        .where("upto >= _need and upto - n < _need")
+        .select(
+            "_name",
+            F.struct("_border", "_block", "_dorder", "_key").alias("_cut"),
+            F.expr("least(_copies, (_need - upto + n + one - 1) div one)").alias("_take"),
+            "_copies",
+        )
     )
     cuts = stored(cuts, "last-documents")
 
     rows = planned(packed(docs, _source=F.col(source), _key=key)).withColumn("_epoch", F.col("_whole"))
     rows = rows.withColumn("_border", _block_order(seed)).withColumn("_dorder", _doc_order(seed))
-    rows = rows.join(near(cuts), rows["_source"].eqNullSafe(cuts["_name"]), "left")
-    taken_last = F.expr(
-        "_cut_key is not null and struct(_border, _block, _dorder, _key) <= "
-        "struct(_cut_border, _cut_block, _cut_dorder, _cut_key)"
-    )
+    rows = rows.withColumn("_at", F.struct("_border", "_block", "_dorder", "_key"))
+    ended = rows.join(near(cuts), rows["_source"].eqNullSafe(cuts["_name"]), "left")
+    taken_last = F.expr("_cut is not null and (_at < _cut or (_at = _cut and _take = _copies))")
     epochs = F.col("_whole") + F.when(taken_last, 1).otherwise(0) - 1
-    taken = rows.withColumn(
-        "_epoch", F.explode(F.when(epochs >= 0, F.sequence(F.lit(0).cast("long"), epochs)))
+    places_of = ["_row", "_source", "_key", "_block", "_passes"]
+    taken = ended.select(
+        *places_of,
+        F.explode(F.when(epochs >= 0, F.sequence(F.lit(0).cast("long"), epochs))).alias("_epoch"),
     )
+    some = cuts.where("_take < _copies")
+    if some.count():
+        # Some of the rows equal in id and text: the first by a hash of all they hold.
+        alike = rows.join(near(some), rows["_source"].eqNullSafe(some["_name"]) & (rows["_at"] == some["_cut"]))
+        alike = alike.withColumn("_hash", F.xxhash64(F.to_json("_row")))
+        alike = alike.withColumnRenamed("_row", "_whole_row")  # ranks have a _row of their own
+        counted = ranked(alike, [("_name", "asc"), ("_hash", "asc")], [], {"_number": row_number()})
+        counted = stored(counted.withColumnRenamed("_whole_row", "_row"), "alike")
+        firsts = counted.groupBy(F.col("_name").alias("_whose")).agg(F.min("_number").alias("_first"))
+        few = counted.join(near(firsts), counted["_name"].eqNullSafe(firsts["_whose"]))
+        taken = taken.unionByName(few.where("_number - _first < _take").select(*places_of, "_epoch"))
+    if ordered:
+        # A source's blocks lie evenly over the whole corpus; rows of one place are many tasks' work.
+        spread = (_block_order(seed).cast("double") + 2.0**63) / 2.0**64
+        at = ((F.col("_epoch") + spread) / F.col("_passes")).alias("_at")
+        order = ["_at", "_source", "_block", "_dorder", "_any"]
+        taken = (
+            taken.select("*", at, _doc_order(seed).alias("_dorder"), F.monotonically_increasing_id().alias("_any"))
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+        )
     if not places:
         return unpacked(taken, docs)
     epoch, block, border, dorder = fresh(docs, "epoch", "block", "block_order", "doc_order")
