@@ -34,8 +34,11 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time a document is read: small sources up to twice, all at least once."""
-    return mixing.mix(docs, repetitions=2.0, places=False)
+    """A row for each time a document is read: small sources up to twice, all at least once.
+
+    Rows are written in the order of the block permutations.
+    """
+    return mixing.mix(docs, repetitions=2.0, places=False, ordered=True)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
