@@ -55,6 +55,33 @@ def keyed_rides(
     return join_unique(with_user, dim_date.select("date_key"), "date_key")
 
 
+def rated_rides(
+    raw_rides: DataFrame,
+    ratings: DataFrame,
+    dim_user: DataFrame,
+    dim_driver: DataFrame,
+    dim_date: DataFrame,
+    *,
+    hot_users: HotKeys | None = None,
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """Keyed rides with their rating (from ``rating_per_ride``), as the fact names them."""
+    keyed = keyed_rides(
+        raw_rides, dim_user, dim_driver, dim_date, hot_users=hot_users, limits=limits
+    )
+    return join_unique(keyed, ratings, "ride_id", "left", spread_by="ride_start_time").select(
+        "ride_id",
+        "user_key",
+        "driver_key",
+        F.col("date_key").alias("start_date_key"),
+        F.col("ride_start_time").alias("start_time"),
+        F.col("ride_end_time").alias("end_time"),
+        "distance_km",
+        "fare_amount",
+        "average_driver_rating",
+    )
+
+
 def _with_previous_end(
     raw_rides: DataFrame,
     ratings: DataFrame,
@@ -75,25 +102,8 @@ def _with_previous_end(
     order, lag = ["start_time", "ride_id"], {"previous_end": "end_time"}
 
     def rated(rides: DataFrame, drivers: DataFrame) -> DataFrame:
-        keyed = keyed_rides(
-            rides,
-            dim_user,
-            drivers,
-            dim_date,
-            hot_drivers=None,
-            hot_users=hot_users,
-            limits=limits,
-        )
-        return join_unique(keyed, ratings, "ride_id", "left", spread_by="ride_start_time").select(
-            "ride_id",
-            "user_key",
-            "driver_key",
-            F.col("date_key").alias("start_date_key"),
-            F.col("ride_start_time").alias("start_time"),
-            F.col("ride_end_time").alias("end_time"),
-            "distance_km",
-            "fare_amount",
-            "average_driver_rating",
+        return rated_rides(
+            rides, ratings, dim_user, drivers, dim_date, hot_users=hot_users, limits=limits
         )
 
     if hot_drivers is None:
@@ -110,22 +120,8 @@ def _with_previous_end(
     return other.unionByName(many)
 
 
-def fact_rides(
-    raw_rides: DataFrame,
-    raw_ratings: DataFrame,
-    dim_user: DataFrame,
-    dim_driver: DataFrame,
-    dim_date: DataFrame,
-    *,
-    peak_hours: list[int] | None = None,
-    limits: Limits = DEFAULT,
-) -> DataFrame:
-    """The fact in its stored layout. Unrated rides and first rides keep NULLs.
-
-    Runs two jobs first that count drivers and users, see ``hot_keys``.
-    """
-    ratings = rating_per_ride(raw_ratings)
-    linked = _with_previous_end(raw_rides, ratings, dim_user, dim_driver, dim_date, limits)
+def with_measures(linked: DataFrame, peak_hours: list[int] | None = None) -> DataFrame:
+    """Rated rides with ``previous_end`` as rows of the fact."""
     peak = F.hour("start_time").isin(PEAK_HOURS if peak_hours is None else peak_hours)
     return linked.select(
         "ride_id",
@@ -145,6 +141,25 @@ def fact_rides(
     )
 
 
+def fact_rides(
+    raw_rides: DataFrame,
+    raw_ratings: DataFrame,
+    dim_user: DataFrame,
+    dim_driver: DataFrame,
+    dim_date: DataFrame,
+    *,
+    peak_hours: list[int] | None = None,
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """The fact in its stored layout. Unrated rides and first rides keep NULLs.
+
+    Runs two jobs first that count drivers and users, see ``hot_keys``.
+    """
+    ratings = rating_per_ride(raw_ratings)
+    linked = _with_previous_end(raw_rides, ratings, dim_user, dim_driver, dim_date, limits)
+    return with_measures(linked, peak_hours)
+
+
 def daily_rides(fact: DataFrame) -> DataFrame:
     """One row per driver and date: sums that add up further, first rides left out."""
     return (

@@ -133,28 +133,47 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     return Warehouse(*[tables.load(spark, f"{root}/{name}", STAR[name]) for name in _TABLES])
 
 
-def refresh_dimensions(
+def load_dimensions(
     raw: dict[str, DataFrame],
     root: str,
     *,
     salt: str | None = None,
     limits: Limits = DEFAULT,
-) -> Warehouse:
-    """Append to the dimensions what is new in ``raw``; a second run adds nothing.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Append to the stored dimensions, if any, what is new in ``raw``; a second run adds nothing.
 
-    New rows are computed and written aside before any table is appended to, so
-    no table is read and written by the same job. ``salt`` must be that of the build.
+    Returns dim_user, dim_driver and dim_date. New rows are computed and written aside before
+    any table is appended to, so no table is read and written by the same job. ``salt`` must
+    be that of the first load.
     """
     spark = raw["users"].sparkSession
-    old = open_warehouse(spark, root)
+
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(f"{root}/{name}").select(*STAR[name].names)
+
+    def old(name: str) -> DataFrame | None:
+        return stored(name) if tables.exists(spark, f"{root}/{name}") else None
+
     fresh = {
-        "dim_date": dimensions.new_dates(raw["rides"], old.dim_date),
-        "dim_user": dimensions.new_users(raw["users"], old.dim_user, salt=salt, limits=limits),
+        "dim_date": dimensions.new_dates(raw["rides"], old("dim_date")),
+        "dim_user": dimensions.new_users(raw["users"], old("dim_user"), salt=salt, limits=limits),
         "dim_driver": dimensions.new_drivers(
-            raw["drivers"], raw["vehicles"], old.dim_driver, limits=limits
+            raw["drivers"], raw["vehicles"], old("dim_driver"), limits=limits
         ),
     }
     aside = together(*[partial(materialize, df, f"new-{name}") for name, df in fresh.items()])
     for name, df in zip(fresh, aside, strict=True):
         tables.append(df, f"{root}/{name}")
-    return open_warehouse(spark, root)
+    return stored("dim_user"), stored("dim_driver"), stored("dim_date")
+
+
+def refresh_dimensions(
+    raw: dict[str, DataFrame],
+    root: str,
+    *,
+    salt: str | None = None,
+    limits: Limits = DEFAULT,
+) -> Warehouse:
+    """``load_dimensions`` for a warehouse that ``build`` stored; its fact stays as it is."""
+    load_dimensions(raw, root, salt=salt, limits=limits)
+    return open_warehouse(raw["users"].sparkSession, root)

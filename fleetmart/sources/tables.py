@@ -22,6 +22,20 @@ def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def replace_parts(df: DataFrame, path: str, parts: list[str]) -> None:
+    """Replace the partitions (folders by ``parts``) that ``df`` has rows of, and no others.
+
+    ``df`` must not read from ``path``. Running it again changes nothing.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).option("maxRecordsPerFile", 20_000_000).parquet(path)
+
+
 def fact_layout(df: DataFrame) -> DataFrame:
     """Rows of a driver together and in time order within each file.
 
