@@ -5,14 +5,15 @@ Two forms, chosen by the caller and not by size:
 * with a ``limit``, the first rows are found by a distributed top-k and only they
   are ranked; what depends on the rest (row count, ties at the cut) is a scalar.
   Nothing runs before the result is read.
-* without one, the frame is written, range-partitioned by the order, ranked inside
-  each part, and shifted by per-part totals; these jobs run at once. Equal values may
-  span parts, so a value that a third of all rows share is split too.
+* without one, the frame is written once, range-partitioned by the order, ranked inside
+  each part, and shifted by the parts' totals (a row a part, which the driver adds up);
+  these jobs run at once. Equal values may span parts, so a value that a third of all rows
+  share is split too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from fleetmart.operators.scale import (
@@ -20,7 +21,6 @@ from fleetmart.operators.scale import (
     Limits,
     materialize,
     sort_columns,
-    tasks_for,
 )
 
 _POSITION, _BELOW, _UPTO, _ORDINAL, _TOTAL = "_position", "_below", "_upto", "_ordinal", "_total"
@@ -76,8 +76,7 @@ def ranked(
     if limit is not None:
         placed = _place_top(df, order, tie, limit)
     else:
-        settled = materialize(df, "ranked")
-        placed = _place_parts(settled, order, tie, settled.count(), limits)
+        placed = _place_parts(df, order, tie, limits)
     return placed.select(*df.columns, *[value.alias(name) for name, value in columns.items()])
 
 
@@ -150,16 +149,14 @@ def _place_parts(
     df: DataFrame,
     order: list[tuple[str, str]],
     tie: list[tuple[str, str]],
-    rows: int,
     limits: Limits,
 ) -> DataFrame:
+    """Ranks within the parts of one written range exchange, shifted by the parts' totals."""
     names = [name for name, _ in order]
     full = sort_columns(order + tie)
+    number = [] if limits.range_parts is None else [limits.range_parts]
     parted = materialize(
-        df.repartitionByRange(tasks_for(rows, limits), *full).withColumn(
-            _PART, F.spark_partition_id()
-        ),
-        "parts",
+        df.repartitionByRange(*number, *full).withColumn(_PART, F.spark_partition_id()), "parts"
     )
     by_value = Window.partitionBy(_PART).orderBy(*sort_columns(order))
     by_row = Window.partitionBy(_PART).orderBy(*full)
@@ -170,65 +167,17 @@ def _place_parts(
         F.dense_rank().over(by_value).cast("bigint").alias("_dense"),
         F.count(F.lit(1)).over(by_value).alias("_peers"),
     )
-
-    # One row per part from here on; every window below runs over part totals.
     value = F.struct(*names)
-    in_order = Window.orderBy(_PART)
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    parts = local.groupBy(_PART).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max("_dense").alias("_values"),
-        F.min_by(value, "_row").alias("_low"),
-        F.max_by(value, "_row").alias("_high"),
-        F.min("_peers").alias("_low_upto"),
-        F.max("_rank").alias("_high_rank"),
-    )
-    parts = materialize(parts, "part-totals").select(
-        "*",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.lit(rows).alias(_TOTAL),
-        F.col("_low").eqNullSafe(F.lag("_high").over(in_order)).cast("bigint").alias("_repeated"),
-    )
-    parts = parts.select(
-        "*",
-        (
-            F.coalesce(F.sum(F.col("_values") - F.col("_repeated")).over(earlier), F.lit(0))
-            - F.col("_repeated")
-        ).alias("_ordinals"),
-    )
-    # Where a part's first and last value really begin and end over all parts.
-    edges = parts.select(
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("_low").alias("value"),
-                    F.col("_before").alias("start"),
-                    (F.col("_before") + F.col("_low_upto")).alias("stop"),
-                ),
-                F.struct(
-                    F.col("_high").alias("value"),
-                    (F.col("_before") + F.col("_high_rank") - 1).alias("start"),
-                    (F.col("_before") + F.col("_rows")).alias("stop"),
-                ),
-            )
-        ).alias("edge")
-    ).select("edge.*")
-    runs = edges.groupBy("value").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-    low, high = runs.alias("low"), runs.alias("high")
-    shifts = (
-        parts.join(low, F.col("_low").eqNullSafe(F.col("low.value")))
-        .join(high, F.col("_high").eqNullSafe(F.col("high.value")))
-        .select(
-            _PART,
-            _TOTAL,
-            "_before",
-            "_ordinals",
-            "_values",
-            F.col("low.start").alias("_low_start"),
-            F.col("high.stop").alias("_high_stop"),
-        )
+    totals = local.groupBy(_PART).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max("_dense").alias("values"),
+        F.min_by(value, "_row").alias("low"),
+        F.max_by(value, "_row").alias("high"),
+        F.min("_peers").alias("low_upto"),
+        F.max("_rank").alias("high_rank"),
     )
-
+    found = totals.collect()  # a row for each part
+    shifts = df.sparkSession.createDataFrame(_shifts(found), _SHIFTS)
     return local.join(F.broadcast(shifts), _PART).select(
         *df.columns,
         (F.col("_before") + F.col("_row")).alias(_POSITION),
@@ -239,5 +188,47 @@ def _place_parts(
         .otherwise(F.col("_before") + F.col("_peers"))
         .alias(_UPTO),
         (F.col("_ordinals") + F.col("_dense")).alias(_ORDINAL),
-        F.col(_TOTAL),
+        F.lit(sum(part["rows"] for part in found)).cast("bigint").alias(_TOTAL),
     )
+
+
+_SHIFTS = (
+    f"{_PART} int, _before bigint, _ordinals bigint, _values bigint, "
+    "_low_start bigint, _high_stop bigint"
+)
+
+
+def _same(left: Row, right: Row) -> bool:
+    """Equal in every column; NULLs, and NaNs, are alike."""
+    return all(a == b or (a != a and b != b) for a, b in zip(left, right, strict=True))
+
+
+def _shifts(parts: list[Row]) -> list[tuple[int, ...]]:
+    """What to add to the ranks of each part, from the totals of all parts.
+
+    A value may end one part and begin the next, or fill several: its rows count once as a
+    value, and its start and end are those of the whole run.
+    """
+    parts = sorted(parts, key=lambda part: part[_PART])
+    before, ordinals, low_start = [], [], []
+    position = distinct = 0
+    high_start = 0
+    for k, part in enumerate(parts):
+        again = k > 0 and _same(part["low"], parts[k - 1]["high"])
+        before.append(position)
+        ordinals.append(distinct - again)
+        low_start.append(high_start if again else position)
+        high_start = low_start[k] if part["values"] == 1 else position + part["high_rank"] - 1
+        position += part["rows"]
+        distinct += part["values"] - again
+    high_stop = [0] * len(parts)
+    low_stop = 0
+    for k in reversed(range(len(parts))):
+        part = parts[k]
+        goes_on = k + 1 < len(parts) and _same(part["high"], parts[k + 1]["low"])
+        high_stop[k] = low_stop if goes_on else before[k] + part["rows"]
+        low_stop = high_stop[k] if part["values"] == 1 else before[k] + part["low_upto"]
+    return [
+        (part[_PART], before[k], ordinals[k], part["values"], low_start[k], high_stop[k])
+        for k, part in enumerate(parts)
+    ]

@@ -20,9 +20,13 @@ BROADCAST_KEYS = 250_000
 
 @dataclass(frozen=True)
 class Limits:
-    """``hot_rows``: rows of one key, or of one part of a ranking, for a single task."""
+    """``hot_rows``: rows of one key for a single task. ``range_parts``: parts of a ranking.
+
+    Spark chooses the parts by its settings and their size where ``range_parts`` is None.
+    """
 
     hot_rows: int = 5_000_000
+    range_parts: int | None = None
 
 
 DEFAULT = Limits()

@@ -89,7 +89,7 @@ def test_reversed_batches_with_hot_driver_months(spark, tmp_path):
     rows, root = raw_rows(7, rides=150), str(tmp_path / "wh")
     for ids in reversed(by_time(rows, 2, 8)):
         wh = increment.load_batch(
-            frames(spark, batch_of(rows, ids)), root, groups=2, limits=Limits(hot_rows=8)
+            frames(spark, batch_of(rows, ids)), root, groups=2, limits=Limits(hot_rows=8, range_parts=3)
         )
     same(spark, wh, rows)
 

@@ -22,7 +22,7 @@ from fleetmart.schemas import RAW, RULES, STAR, value_kinds
 from fleetmart.sources import raw as raw_files
 from fleetmart.sources import tables
 
-TINY = Limits(hot_rows=3)
+TINY = Limits(hot_rows=3, range_parts=5)
 
 
 def _time(text):

@@ -9,7 +9,7 @@ from fleetmart.operators.scale import Limits, hot_keys
 from fleetmart.plans import facts, marts, reports
 from fleetmart.plans.warehouse import Warehouse
 
-TINY = Limits(hot_rows=20)
+TINY = Limits(hot_rows=20, range_parts=6)
 
 
 def _same(left, right):

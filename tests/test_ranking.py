@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetmart.operators import ranking
 from fleetmart.operators.scale import Limits
 
-TINY = Limits(hot_rows=7)
+TINY = Limits(hot_rows=7, range_parts=9)
 
 
 def _columns():
