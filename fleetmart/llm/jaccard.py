@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -24,7 +25,29 @@ from fleetmart.llm.common import (
 )
 from fleetmart.llm.components import components
 
-BANDS, ROWS = 32, 4
+# A pair at the threshold is missed once in 20 million times.
+RECALL = 1 - 5e-8
+_MOST_BANDS = 32
+
+
+def bands_for(threshold: float, recall: float = RECALL) -> tuple[int, int]:
+    """(bands, rows): the most rows a band with which up to 32 bands reach ``recall``.
+
+    A pair of similarity s shares a band with probability 1 - (1 - s**rows)**bands, so pairs
+    at the ``threshold`` are found with at least ``recall``, and others above it more surely.
+    Where even bands of one row are too few, there are as many as it takes.
+    """
+    if not (0 < threshold <= 1 and 0 < recall < 1):
+        raise ValueError(f"threshold and recall must be in (0, 1], got {threshold}, {recall}")
+
+    def needed(rows: int) -> int:
+        shared = threshold**rows
+        return 1 if shared == 1 else max(1, math.ceil(math.log1p(-recall) / math.log1p(-shared) - 1e-9))
+
+    best = 1
+    while best < 16 and needed(best + 1) <= _MOST_BANDS:
+        best += 1
+    return needed(best), best
 
 
 def _constants(n: int, seed: int) -> np.ndarray:
@@ -212,8 +235,7 @@ def similar_documents(
     *,
     n: int = 5,
     threshold: float = 0.8,
-    bands: int = BANDS,
-    rows: int = ROWS,
+    recall: float = RECALL,
     block: int = 256,
 ) -> DataFrame:
     """Documents whose sets of word n-grams have a Jaccard similarity of ``threshold`` or more.
@@ -227,8 +249,8 @@ def similar_documents(
     their own. Ids are meant to be unique; rows that repeat one are documents of their own.
     Rows with a null id take part; ids returned are then the smallest that is not null.
 
-    MinHash banding: with 32 bands of 4 rows, a pair of similarity 0.8 shares a band except
-    for 5 in 10**8. Equal texts are one class, grouped by hash with map-side counts, so
+    MinHash banding, with bands and rows chosen by ``bands_for``: a pair of similarity
+    ``threshold`` shares a band with probability ``recall``; at 0.8 that is 32 bands of 4 rows. Equal texts are one class, grouped by hash with map-side counts, so
     copies are never paired. Band hashes are shuffled; bands with the same classes count
     once. A bucket larger than ``block`` classes is cut into blocks, and each pair of blocks
     is a unit of work of its own, so neither a row per pair nor a large group in one task
@@ -236,7 +258,7 @@ def similar_documents(
     and returns one row per linked class. Only the first band that a pair shares counts it.
     """
     with steps(docs.sparkSession):
-        worded, known, rest = _similar(docs, n, threshold, bands, rows, block)
+        worded, known, rest = _similar(docs, n, threshold, recall, block)
         found = (
             stored(worded.select("cls", "doc_id"), "members-of")
             .join(known, "cls")
@@ -250,15 +272,14 @@ def _similar(
     docs: DataFrame,
     n: int = 5,
     threshold: float = 0.8,
-    bands: int = BANDS,
-    rows: int = ROWS,
+    recall: float = RECALL,
     block: int = 256,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows with words (cls, doc_id), their classes of equal texts, and the answer for the rest.
 
     A class has its ``root``, one for all classes that links connect.
     """
-    sign = stored(signatures(docs, n, bands, rows), "signatures")
+    sign = stored(signatures(docs, n, *bands_for(threshold, recall)), "signatures")
     key = F.concat_ws("-", F.hex("h1"), F.hex("h2")).alias("cls")
     worded = sign.where("grams > 0").select(key, "doc_id", "bands")
     classes = stored(

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import combinations, islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.common import map_batches, packed, possible, steps, stored, text_key, unpacked
-
-MIN_CHARS = 8
+from fleetmart.llm.common import (
+    map_batches,
+    mixed,
+    packed,
+    possible,
+    steps,
+    stored,
+    text_key,
+    unpacked,
+)
+
+MIN_CHARS = 1
 _TRIM = " \t\x0b\x0c\r"
 
 
@@ -39,6 +51,29 @@ def _halves(line: Column) -> Column:
     )
 
 
+def _pieces(line: Column, edits: int) -> Column:
+    """Keys of which two lines within ``edits`` edits share at least one.
+
+    A line is cut into edits + 1 pieces, one of which no edit touches: its partner holds it
+    at a place moved by ``edits`` at most. So a line gives keys for the pieces of every
+    length that its partner may have, at every such place.
+    """
+    n = F.char_length(line)
+    found = []
+    for more in range(-edits, edits + 1):
+        length = n + more
+        for k in range(edits + 1):
+            start = F.floor(length * k / (edits + 1)).cast("int")
+            size = F.floor(length * (k + 1) / (edits + 1)).cast("int") - start
+            for move in range(-edits, edits + 1):
+                at = start + move
+                inside = (length > 0) & (at >= 0) & (at + size <= n)
+                found.append(
+                    F.when(inside, F.xxhash64(F.lit(k), length, F.substring(line, at + 1, size)))
+                )
+    return F.array_distinct(F.array_compact(F.array(*found)))
+
+
 def _spread(points: np.ndarray) -> np.ndarray:
     """A 64-bit value for each code point."""
     values = points.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x632BE59BD9B4E019)
@@ -95,6 +130,94 @@ def _variants(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     )
 
 
+def deletions(line: str, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the line without any set of up to ``edits`` characters, and their gaps.
+
+    A gap is the number of characters left before a deleted one. The hashes are those of
+    ``variant_hashes``: each stretch between deleted characters moves down by their number.
+    """
+    values = _spread(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32))
+    n = len(values)
+    powers = np.full(n + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers)
+    sums = np.zeros((edits + 1, n + 1), dtype=np.uint64)
+    for moved in range(min(edits, n) + 1):
+        np.cumsum(values[moved:] * powers[: n - moved], out=sums[moved, moved + 1 :])
+    for count in range(min(edits, n) + 1):
+        sets = combinations(range(n), count)
+        while chunk := list(islice(sets, _SETS)):
+            gone = np.array(chunk, dtype=np.int64).reshape(len(chunk), count)
+            starts = np.concatenate([np.zeros((len(gone), 1), np.int64), gone + 1], axis=1)
+            ends = np.concatenate([gone, np.full((len(gone), 1), n, np.int64)], axis=1)
+            part = sums[np.arange(count + 1), np.maximum(ends, np.arange(count + 1))]
+            part = part - sums[np.arange(count + 1), np.maximum(starts, np.arange(count + 1))]
+            yield part.sum(axis=1, dtype=np.uint64), gone - np.arange(count)
+
+
+_SETS = 50_000
+
+
+def _meeting_keys(hashes: np.ndarray, gaps: np.ndarray, size: int, shared: int) -> list[np.ndarray]:
+    """Keys of variants of ``size`` deletions by each choice of ``shared`` of their gaps."""
+    out = []
+    for columns in combinations(range(gaps.shape[1]), shared):
+        key = mixed(hashes + np.uint64(1 + size * 64 + shared))
+        for c in columns:
+            key = mixed(key * np.uint64(31) + gaps[:, c].astype(np.uint64) + np.uint64(1))
+        out.append(key)
+    return out
+
+
+def _meetings(edits: int):
+    """Rows (variant, asks, rank): where lines are to be found, and where they look."""
+
+    def run(batches):
+        for batch in batches:
+            ranks, texts = batch.column("rank").to_pylist(), batch.column("line").to_pylist()
+            for rank, line in zip(ranks, texts, strict=True):
+                for hashes, gaps in deletions(line, edits):
+                    p = gaps.shape[1]
+                    told, asked = [], []
+                    # Variants of p and q deletions are within the bound where they share as many
+                    # gaps as p + q exceeds it: those are replacements.
+                    for q in range(edits + 1):
+                        shared = max(0, p + q - edits)
+                        if shared <= min(p, q):
+                            asked += _meeting_keys(hashes, gaps, q, shared)
+                            told += _meeting_keys(hashes, gaps, p, shared)
+                    for keys, asks in ((told, False), (asked, True)):
+                        found = np.unique(np.concatenate(keys)).view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(found),
+                                pa.array(np.full(len(found), asks)),
+                                pa.array(np.full(len(found), rank, dtype=np.int64)),
+                            ],
+                            names=["variant", "asks", "rank"],
+                        )
+
+    return run
+
+
+def _far_partners(lines: DataFrame, edits: int) -> DataFrame:
+    """``_partners`` for any bound: all variants with up to ``edits`` characters deleted.
+
+    Whoever meets under a key is within the bound, so again a minimum per key is enough.
+    """
+    met = stored(
+        map_batches(
+            lines.select("rank", "line"), _meetings(edits), "variant long, asks boolean, rank long"
+        ),
+        "variants",
+    )
+    best = stored(
+        met.where("not asks").groupBy("variant").agg(F.min("rank").alias("best")), "earliest-variants"
+    )
+    asked = met.where("asks").join(best, "variant").where("best < rank")
+    return asked.groupBy("rank").agg(F.min("best").alias("best"))
+
+
 def _row_key(text: str = "text") -> tuple[Column, Column]:
     """Beside its id, what tells a row from others: 128 bits of its text."""
     t1, t2 = text_key(text)
@@ -121,14 +244,19 @@ def _split(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def lines_of(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_equal: int | None = None
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_equal: int | None = None,
+    edits: int = 1,
 ) -> DataFrame:
     """(doc, t1, t2, no, h1, h2, halves) of every line that is compared, without its text.
 
     Lines of ``min_equal`` characters (``min_chars`` if None) up to ``min_chars`` are only
     compared for equality and have no halves.
     """
-    halves = F.when(F.char_length("line") >= min_chars, _halves(F.col("line")))
+    line = F.col("line")
+    keys = _halves(line) if edits == 1 else _pieces(line, edits)
+    halves = F.when(F.char_length("line") >= min_chars, keys)
     return _split(docs, _floor(min_chars, min_equal)).select(
         "doc", "t1", "t2", "no", *text_key("line"), halves.alias("halves")
     )
@@ -203,9 +331,13 @@ def _partners(lines: DataFrame) -> DataFrame:
 
 
 def repeated_lines(
-    docs: DataFrame, *, min_chars: int = MIN_CHARS, min_equal: int | None = None
+    docs: DataFrame,
+    *,
+    min_chars: int = MIN_CHARS,
+    min_equal: int | None = None,
+    edits: int = 1,
 ) -> DataFrame:
-    """(doc, t1, t2, no): lines that an earlier line equals or differs from by one edit.
+    """(doc, t1, t2, no): lines that an earlier line equals or differs from by ``edits`` edits.
 
     An edit inserts, deletes or replaces one character. Earlier is the smaller
     (doc_id, text hash, line number), a null id last, so rows of a null or repeated id are
@@ -213,19 +345,24 @@ def repeated_lines(
     text, don't repeat each other. Every line is held against every earlier one, kept or
     not, so no line's verdict depends on others' verdicts.
 
-    Lines of fewer than ``min_chars`` characters are left alone, or with ``min_equal`` repeat
-    an equal line if they have that many; blank lines never do.
+    All lines that aren't blank are compared. ``min_chars`` may spare shorter lines; with
+    ``min_equal`` these still repeat an equal line if they have that many characters.
+
+    ``edits`` is the bound, 1 or more. A line has about length ** edits variants, so bounds
+    above 1 are for tables of short lines.
 
     Equal lines meet first, by hash, in a map-side minimum. Different lines within one edit
-    agree in one half; lines that share no half with another line have no partner and go no
-    further. For the others all variants with one character deleted are emitted as hashed
-    keys. Two lines reduced at the same place to the same variant differ by a replacement
+    agree in one half (within more edits, in one piece of edits + 1); lines that share none
+    with another line have no partner and go no further. For the others all variants with
+    that many characters deleted are emitted as hashed keys; with a bound of 1 these are as follows. Two lines reduced at the same place to the same variant differ by a replacement
     there; a reduced line and a whole one by a deletion. So a minimum per (variant, place)
     and per whole variant gives every line its earliest partner: no pairs within a group
     are formed, and a group of any size shrinks before it is shuffled. The partners found
     are verified by their edit distance.
     """
-    lines = stored(lines_of(docs, min_chars, min_equal), "lines")
+    if edits < 1:
+        raise ValueError(f"edits must be 1 or more, got {edits}")
+    lines = stored(lines_of(docs, min_chars, min_equal, edits), "lines")
     first = stored(
         lines.groupBy("h1", "h2").agg(F.min(F.expr(_PLACE)).alias("at"), F.count("*").alias("n")),
         "first-lines",
@@ -234,10 +371,10 @@ def repeated_lines(
     late = few.select("rank", "h1", "h2", "line")
     early = few.select(F.col("rank").alias("best"), F.col("line").alias("other"), F.col("at").alias("near"))
     verified = (
-        stored(_partners(few), "partners")
+        stored(_partners(few) if edits == 1 else _far_partners(few, edits), "partners")
         .join(late, "rank")
         .join(early, "best")
-        .where(F.levenshtein("line", "other", 1) >= 0)
+        .where(F.levenshtein("line", "other", edits) >= 0)
         .groupBy("h1", "h2")
         .agg(F.min("near").alias("near"))
     )
@@ -254,10 +391,10 @@ def repeated_lines(
     )
 
 
-def _by_row(docs: DataFrame, min_chars: int, min_equal: int | None) -> DataFrame:
+def _by_row(docs: DataFrame, min_chars: int, min_equal: int | None, edits: int) -> DataFrame:
     """(doc, t1, t2, dropped): the sorted line numbers to drop in each row that has any."""
     with steps(docs.sparkSession):
-        found = repeated_lines(docs, min_chars=min_chars, min_equal=min_equal)
+        found = repeated_lines(docs, min_chars=min_chars, min_equal=min_equal, edits=edits)
         dropped = found.groupBy("doc", "t1", "t2").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
         return stored(dropped, "dropped", keep=True)
 
@@ -276,6 +413,7 @@ def line_report(
     *,
     min_chars: int = MIN_CHARS,
     min_equal: int | None = None,
+    edits: int = 1,
     repeats: bool = False,
 ) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) for every row of ``docs`` (doc_id, text).
@@ -285,7 +423,7 @@ def line_report(
     verdicts of their own; of rows equal in id and text each gets those of the first, or
     with ``repeats`` all but one have all compared lines dropped. Other columns are ignored.
     """
-    drops = _by_row(docs, min_chars, min_equal)
+    drops = _by_row(docs, min_chars, min_equal, edits)
     none = F.expr("cast(array() as array<int>)")
     counts = docs.select(
         F.col("doc_id").cast("long").alias("_id"),
@@ -324,14 +462,18 @@ def line_report(
 
 
 def dedup_lines(
-    docs: DataFrame, *, min_chars: int = MIN_CHARS, min_equal: int | None = None
+    docs: DataFrame,
+    *,
+    min_chars: int = MIN_CHARS,
+    min_equal: int | None = None,
+    edits: int = 1,
 ) -> DataFrame:
     """``docs`` with the repeated lines taken out of its texts, all columns kept.
 
     Documents of which nothing but blanks is left go; those that had nothing to begin with
     stay as they are. Of rows equal in id and text one stays; which, their other columns decide.
     """
-    drops = _by_row(docs, min_chars, min_equal)
+    drops = _by_row(docs, min_chars, min_equal, edits)
     copies = _copies(docs)
     few = stored(
         drops.select("doc", "t1", "t2", "dropped")

@@ -77,6 +77,9 @@ def test_one_row_of_each_class_stays(spark):
 def test_equal_short_lines_are_found(spark):
     rows = [(1, "Home\n\nLog in\na", "a"), (2, "Home\nLog on\n \nHom", "a"), (3, " Home \nb\na", "a")]
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = {r["doc_id"]: r["dropped"] for r in linededup.line_report(docs, min_equal=1).collect()}
+    got = {r["doc_id"]: r["dropped"] for r in linededup.line_report(docs, min_chars=8, min_equal=1).collect()}
     assert got == {1: [], 2: [0], 3: [0, 2]}
-    assert not any(r["dropped"] for r in linededup.line_report(docs).collect())
+    assert not any(r["dropped"] for r in linededup.line_report(docs, min_chars=8).collect())
+    # Without a floor: "Log on", "Hom" and "b" are one edit from earlier lines, too.
+    got = {r["doc_id"]: r["dropped"] for r in linededup.line_report(docs).collect()}
+    assert got == {1: [], 2: [0, 1, 3], 3: [0, 1, 2]}
