@@ -676,6 +676,13 @@ def _load() -> dict[str, str]:
         + """ SELECT ride_id, d.driver_name, vehicle_make, dayname(start_time) AS day_name, masked_name
             FROM fact JOIN dim_driver d USING (driver_key)""",
         "fact_by_date": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
+        "fact_in_batches": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
+        "daily_in_batches": f"""{_steps('events')}
+SELECT driver_key, start_date_key, {_money("sum(gap100)")} AS wait, count(gap100) AS waits,
+       count(ride_id) AS rides, {_money("sum(fare100)")} AS revenue
+FROM fact WHERE gap100 IS NOT NULL GROUP BY driver_key, start_date_key""",
+        "utilization_in_batches": _steps("events", _daily("driver_name"))
+        + _DAILY_ANSWER.format("driver_name"),
         "fact_rides": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
         "orders_fact_rides": f"{_steps('orders')} SELECT {_FACT_COLUMNS} FROM fact",
     }

@@ -23,7 +23,7 @@ from fleetmart.operators.sequence import (
     sequence,
     with_group_values,
 )
-from fleetmart.plans import dimensions, facts, marts, reports, warehouse
+from fleetmart.plans import dimensions, facts, increment, marts, reports, warehouse
 from fleetmart.plans.warehouse import Warehouse
 from fleetmart.schemas import FOREIGN_KEYS, RAW, RULES, STAR, value_kinds
 from fleetmart.sources import raw as raw_files
@@ -306,6 +306,41 @@ def fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.write_fact(fact.where(~rated), path, by_date=True, mode="append")
 
 
+_BATCHES: dict[tuple[str, str], Warehouse] = {}
+
+
+def in_batches(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """All rides in three loads: two by time, of which each tenth ride comes with the last."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BATCHES:
+        root = f"{scratch_dir(spark)}/batches-{uuid.uuid4().hex}"
+        raw = raw_tables(spark, sf_dir)
+        time = F.col("ride_start_time")
+        ends = raw["rides"].agg(F.min("ride_start_time"), F.max("ride_start_time")).first()
+        half = F.lit(ends[0] + (ends[1] - ends[0]) / 2)
+        late = F.col("ride_id").cast("bigint") % 10 == 3
+        batch = F.when(late, 3).when(time < half, 1).otherwise(2)
+        for number in (1, 2, 3):
+            rides = raw["rides"].where(batch == number)
+            _BATCHES[key] = increment.load_batch(raw | {"rides": rides}, root, groups=4)
+    return _BATCHES[key]
+
+
+def fact_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after loads of which the last one holds late rides only."""
+    return in_batches(spark, sf_dir).fact_rides
+
+
+def daily_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums per driver and date, kept up by the differences that each load made."""
+    return in_batches(spark, sf_dir).daily_rides
+
+
+def utilization_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily view over the tables kept by loads in batches."""
+    return marts.driver_daily_utilization(in_batches(spark, sf_dir))
+
+
 # --- windows ----------------------------------------------------------------
 
 
@@ -515,6 +550,9 @@ def registry() -> dict[str, Query]:
             join_left_ratings,
             join_star,
             fact_by_date,
+            fact_in_batches,
+            daily_in_batches,
+            utilization_in_batches,
             win_lag_gap,
             win_numbering,
             win_partition_values,

@@ -70,12 +70,16 @@ def tasks_for(rows: int, limits: Limits = DEFAULT) -> int:
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for written intermediates, below the one named in spark.checkpoint.dir.
 
-    Where that is unset, below the warehouse folder, which all nodes share as well.
+    Where that is unset, below the warehouse folder. On a cluster that must not be a folder of
+    one machine, where executors would write to disks that others don't see.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        alone = context.master.split("[")[0] == "local"
+        if not alone and (base.startswith("file:") or ":/" not in base):
+            raise ValueError(f"{base} is local to a machine: set spark.checkpoint.dir to a shared folder")
     return f"{base}/fleetmart/{context.applicationId}"
 
 
