@@ -643,6 +643,18 @@ def _load() -> dict[str, str]:
             WHERE driver_id NOT IN (SELECT driver_id FROM raw_drivers WHERE available)
             GROUP BY driver_id""",
         "dq_load_losses": _load_losses(),
+        "dq_reasons": _steps("events")
+        + """, doubled AS (
+  SELECT * FROM raw_rides UNION ALL SELECT * FROM raw_rides WHERE ride_id % 29 = 0)
+SELECT ride_id AS number, driver_id, concat_ws('; ',
+  CASE WHEN ride_id % 31 = 0 THEN 'ride_id not_null' END,
+  CASE WHEN ride_id % 37 = 0 THEN 'fare_amount decimal(10,2)' END,
+  CASE WHEN ride_id % 19 <> 0 AND user_id NOT IN (SELECT user_id FROM raw_users WHERE user_id % 5 <> 0)
+    THEN 'user_id reference' END,
+  CASE WHEN driver_id NOT IN (SELECT driver_id FROM raw_drivers WHERE available)
+    THEN 'driver_id reference' END,
+  CASE WHEN ride_id % 29 = 0 AND ride_id % 31 <> 0 THEN 'ride_id key' END) AS reasons
+FROM doubled""",
         "dim_date": _steps("events") + " SELECT * FROM dim_date",
         "dim_user": _steps("events") + " SELECT * FROM dim_user",
         "dim_driver": _steps("events") + " SELECT * FROM dim_driver",

@@ -201,6 +201,28 @@ def dq_broken_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.load_losses(rides, ratings, users, raw["drivers"].where("available"))
 
 
+def dq_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ride with the rules it breaks: some lack an id, a parent or a readable fare, some
+    come twice."""
+    raw = raw_tables(spark, sf_dir)
+    number = F.col("ride_id").cast("bigint")
+    rides = raw["rides"].unionByName(raw["rides"].where(number % 29 == 0))
+    rides = rides.select(
+        F.when(number % 31 != 0, F.col("ride_id")).alias("ride_id"),
+        number.alias("number"),
+        F.when(number % 19 != 0, F.col("user_id")).alias("user_id"),
+        "driver_id",
+        F.when(number % 37 == 0, "no amount").otherwise(F.col("fare_amount").cast("string")).alias("fare_amount"),
+    )
+    tables_ = {
+        "rides": rides,
+        "users": raw["users"].where(F.col("user_id").cast("bigint") % 5 != 0),
+        "drivers": raw["drivers"].where("available"),
+    }
+    rows = quality.with_reasons("rides", tables_, RULES["rides"], FOREIGN_KEYS)
+    return rows.select("number", "driver_id", F.array_join("reasons", "; ").alias("reasons"))
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.new_dates(raw_tables(spark, sf_dir)["rides"])
 
@@ -537,6 +559,7 @@ def registry() -> dict[str, Query]:
             dq_orphans,
             dq_load_losses,
             dq_broken_losses,
+            dq_reasons,
             dim_date,
             dim_user,
             dim_driver,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from fleetmart.operators.joins import join_unique
 from fleetmart.schemas import Rules
 
 
@@ -61,15 +62,10 @@ def declared_keys(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
-def violations(
-    table: str, df: DataFrame, rules: Rules, kinds: dict[str, str] | None = None
-) -> DataFrame:
-    """``(table_name, column_name, rule, n_rows)`` for every declared rule.
-
-    All rules of a table are counted in one scan. Columns may still be text (as
-    ``read_text`` gives them): a value that does not parse or does not fit counts.
-    ``kinds`` names the types that text columns must parse as.
-    """
+def _checks(
+    df: DataFrame, rules: Rules, kinds: dict[str, str] | None = None
+) -> list[tuple[str, str, Column]]:
+    """(column, rule, condition of a row that breaks it) for the columns that ``df`` has."""
     present = set(df.columns)
     checks: list[tuple[str, str, Column]] = []
     for name in rules.not_null:
@@ -85,7 +81,19 @@ def violations(
         if name in texts:
             unread = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
             checks.append((name, kind, unread))
-    checks = [check for check in checks if check[0] in present]
+    return [check for check in checks if check[0] in present]
+
+
+def violations(
+    table: str, df: DataFrame, rules: Rules, kinds: dict[str, str] | None = None
+) -> DataFrame:
+    """``(table_name, column_name, rule, n_rows)`` for every declared rule.
+
+    All rules of a table are counted in one scan. Columns may still be text (as
+    ``read_text`` gives them): a value that does not parse or does not fit counts.
+    ``kinds`` names the types that text columns must parse as.
+    """
+    checks = _checks(df, rules, kinds)
     counted = df.agg(
         F.array(
             *[
@@ -102,6 +110,45 @@ def violations(
     return counted.select(F.explode("found").alias("found")).select("found.*")
 
 
+def with_reasons(
+    table: str,
+    tables: dict[str, DataFrame],
+    rules: Rules,
+    links: tuple[tuple[str, str, str, str], ...] = (),
+    kinds: dict[str, str] | None = None,
+) -> DataFrame:
+    """The rows of a table, each with ``reasons``: an array of the rules it breaks.
+
+    A reason is "column rule": those of ``violations`` in their order, then "column reference"
+    for a value without a parent in the given tables, then "columns key" for every row whose
+    key another row has too, as none of them is known to be the right one. A row without
+    reasons has an empty array, so accepted and rejected rows are filters of one result, and
+    together are the input, row for row.
+
+    The table is read once for this, and its key columns once more. Parents collapse to
+    distinct values, and keys to those that come again, before they meet the rows; NULL
+    values meet nothing and don't move to one task.
+    """
+    df = tables[table]
+    reasons = [F.when(broken, F.lit(f"{name} {rule}")) for name, rule, broken in _checks(df, rules, kinds)]
+    for at, (child, column, parent, parent_column) in enumerate(links):
+        if child != table or parent not in tables or column not in df.columns:
+            continue
+        flag = f"_known_{at}"
+        known = tables[parent].select(F.col(parent_column).alias(column)).where(F.col(column).isNotNull())
+        df = join_unique(
+            df, known.distinct().withColumn(flag, F.lit(True)), column, "left", spread_by=rules.key[0]
+        )
+        lost = F.col(column).isNotNull() & F.col(flag).isNull()
+        reasons.append(F.when(lost, F.lit(f"{column} reference")))
+    for at, key in enumerate((rules.key, *rules.unique)):
+        flag = f"_again_{at}"
+        again = duplicate_keys(tables[table].dropna(subset=list(key)), list(key))
+        df = df.join(again.select(*key, F.lit(True).alias(flag)), list(key), "left")
+        reasons.append(F.when(F.col(flag), F.lit(f"{', '.join(key)} key")))
+    return df.select(*tables[table].columns, F.array_compact(F.array(*reasons)).alias("reasons"))
+
+
 def all_violations(
     tables: dict[str, DataFrame],
     rules: dict[str, Rules],

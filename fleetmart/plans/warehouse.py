@@ -76,6 +76,24 @@ def load_report(raw: dict[str, DataFrame]) -> DataFrame:
     return keys.unionByName(rules).unionByName(links).unionByName(losses)
 
 
+def accepted(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The raw rows that break no declared rule, for ``build`` or a load in batches.
+
+    Every row is stored below ``root`` as ``checked_<table>``, those that break a rule with
+    their reasons in folders of their own (rejected=true), where they can be read and mended.
+    """
+    links = tuple(link for link in FOREIGN_KEYS if link[0] in raw and link[2] in raw)
+    out = {}
+    for name in (name for name in RAW if name in raw):
+        rows = quality.with_reasons(name, raw, RULES[name], links, value_kinds(RAW[name]))
+        marked = rows.withColumn("rejected", F.size("reasons") > 0)
+        path = f"{root}/checked_{name}"
+        marked.write.mode("overwrite").partitionBy("rejected").parquet(path)
+        stored = raw[name].sparkSession.read.schema(marked.schema).parquet(path)
+        out[name] = stored.where(~F.col("rejected")).select(*raw[name].columns)
+    return out
+
+
 def build(
     raw: dict[str, DataFrame],
     root: str,

@@ -153,3 +153,23 @@ def test_empty_batches(spark, tmp_path):
     same(spark, again, rows)
     copies = rows | {"rides": rows["rides"] * 2}
     assert increment.load_batch(frames(spark, copies), root).fact_rides.count() == wh.fact_rides.count()
+
+
+def test_rejected_rows_are_kept_with_their_reasons(spark, tmp_path):
+    from fleetmart.plans import warehouse
+
+    rows, root = raw_rows(12, rides=60), str(tmp_path / "wh")
+    rows["rides"] = rows["rides"] + rows["rides"][:3] + [(None, *rows["rides"][5][1:])]
+    raw = frames(spark, rows)
+    good = warehouse.accepted(raw, root)
+    held = spark.read.parquet(f"{root}/checked_rides")
+    assert held.count() == len(rows["rides"])
+    wrong = {r["ride_id"]: r["reasons"] for r in held.where("rejected = 'true'").collect()}
+    assert all(wrong[r[0]][-1] == "ride_id key" for r in rows["rides"][:3])
+    assert wrong[None] == ["ride_id not_null"]
+    lost = {r[0] for r in rows["rides"] if "nobody" in (r[1], r[8])}
+    assert lost and all("reference" in " ".join(wrong[i]) for i in lost if i is not None)
+    taken = good["rides"].collect()
+    assert len(taken) + held.where("rejected = 'true'").count() == len(rows["rides"])
+    assert good["rides"].columns == raw["rides"].columns
+    assert not {r["ride_id"] for r in taken} & set(wrong)
