@@ -623,6 +623,11 @@ UNION ALL SELECT 'ride of an unknown driver', count(*) FROM raw_rides
 UNION ALL SELECT 'further rating of a ride', count(*) - count(DISTINCT ride_id) FROM raw_ratings"""
 
 
+def _lookup(by: str) -> str:
+    return f"""{_steps("events")} SELECT {_FACT_COLUMNS} FROM fact
+WHERE {by} = (SELECT {by} FROM fact GROUP BY {by} ORDER BY count(*) DESC, {by} LIMIT 1)"""
+
+
 def _load() -> dict[str, str]:
     found = {
         f"csv_{name}": f"{_steps('events')} SELECT {columns} FROM raw_{name}"
@@ -688,6 +693,9 @@ FROM doubled""",
         + """ SELECT ride_id, d.driver_name, vehicle_make, dayname(start_time) AS day_name, masked_name
             FROM fact JOIN dim_driver d USING (driver_key)""",
         "fact_by_date": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
+        "fact_by_user_date": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
+        "lookup_user": _lookup("user_key"),
+        "lookup_date": _lookup("start_date_key"),
         "fact_in_batches": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
         "daily_in_batches": f"""{_steps('events')}
 SELECT driver_key, start_date_key, {_money("sum(gap100)")} AS wait, count(gap100) AS waits,
@@ -720,7 +728,7 @@ FROM counts WINDOW w AS (ORDER BY n_rides DESC) ORDER BY row_no {_limit(limit)}"
 
 def _windows() -> dict[str, str]:
     whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
-    return {
+    found = {
         "win_lag_gap": f"""{_steps("events")}
 SELECT ride_id, previous_end, next_start, {_seconds("previous_end", "start_time")} AS seconds_since,
        {_seconds("end_time", "next_start")} AS seconds_until FROM fact""",
@@ -753,7 +761,10 @@ SELECT driver_name, {_places("wait16", 16, 6)} AS avg_wait,
 FROM waits""",
         "win_rank_family": _rank_family(None),
         "win_rank_family_top": _rank_family(25),
+        "q10_colocated": _q10("events", None, None),
+        "q11_colocated": _q11("events", None, None),
     }
+    return found | {f"{name}_colocated": found[name] for name in ("win_lag_gap", "win_numbering")}
 
 
 # --- reports ----------------------------------------------------------------

@@ -27,7 +27,8 @@ from fleetmart.plans import dimensions, facts, increment, marts, reports, wareho
 from fleetmart.plans.warehouse import Warehouse
 from fleetmart.schemas import FOREIGN_KEYS, RAW, RULES, STAR, value_kinds
 from fleetmart.sources import raw as raw_files
-from fleetmart.sources import tables
+from fleetmart.sources import tables, user_days
+from fleetmart.sources.colocated import Colocated, write_colocated
 from fleetmart.sources.fixtures import raw_tables, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -328,6 +329,38 @@ def fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.write_fact(fact.where(~rated), path, by_date=True, mode="append")
 
 
+_USER_DAYS: dict[tuple[str, str], DataFrame] = {}
+
+
+def fact_by_user_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact stored for look-ups by user and date."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _USER_DAYS:
+        path = f"{scratch_dir(spark)}/user-days-{uuid.uuid4().hex}"
+        fact = built(spark, sf_dir, "events").fact_rides
+        _USER_DAYS[key] = user_days.write_user_days(fact, path)
+    return _USER_DAYS[key]
+
+
+def _most_rides(stored: DataFrame, by: str) -> int:
+    """The value of a column with most rides, the smallest of several."""
+    counts = stored.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.col("n").desc(), by).first()[0]
+
+
+def lookup_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rides of the user with most of them."""
+    stored = fact_by_user_date(spark, sf_dir)
+    return user_days.look_up(stored, users=[_most_rides(stored, "user_key")])
+
+
+def lookup_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rides of the date with most of them."""
+    stored = fact_by_user_date(spark, sf_dir)
+    busiest = _most_rides(stored, "start_date_key")
+    return user_days.look_up(stored, dates=(busiest, busiest))
+
+
 _BATCHES: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -401,6 +434,50 @@ def win_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("ride_id", "ride_number", "first_fare")
 
 
+_COLOCATED: dict[tuple[str, str], Colocated] = {}
+
+
+def colocated(spark: SparkSession, sf_dir: str) -> Colocated:
+    """The fact stored by driver, once per warehouse."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _COLOCATED:
+        path = f"{scratch_dir(spark)}/colocated-{uuid.uuid4().hex}"
+        _COLOCATED[key] = write_colocated(built(spark, sf_dir, "events").fact_rides, path)
+    return _COLOCATED[key]
+
+
+def win_lag_gap_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``win_lag_gap`` over the fact stored by driver."""
+    return colocated(spark, sf_dir).sequence(
+        ["ride_id", "start_time", "end_time"],
+        lag={"previous_end": "end_time"},
+        lead={"next_start": "start_time"},
+    ).select(
+        "ride_id",
+        "previous_end",
+        "next_start",
+        elapsed_seconds(F.col("previous_end"), F.col("start_time")).alias("seconds_since"),
+        elapsed_seconds(F.col("end_time"), F.col("next_start")).alias("seconds_until"),
+    )
+
+
+def win_numbering_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``win_numbering`` over the fact stored by driver."""
+    return colocated(spark, sf_dir).sequence(
+        ["ride_id"], row_number="ride_number", first={"first_fare": "fare_amount"}
+    )
+
+
+def q10_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, stored = built(spark, sf_dir, "events"), colocated(spark, sf_dir)
+    return marts.idle_gaps(wh, driver_keys=None, limit=None, stored=stored)
+
+
+def q11_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh, stored = built(spark, sf_dir, "events"), colocated(spark, sf_dir)
+    return marts.progression(wh, driver_names=None, limit=None, stored=stored)
+
+
 def win_partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_group_values(
         _rides(spark, sf_dir),
@@ -573,11 +650,18 @@ def registry() -> dict[str, Query]:
             join_left_ratings,
             join_star,
             fact_by_date,
+            fact_by_user_date,
+            lookup_user,
+            lookup_date,
             fact_in_batches,
             daily_in_batches,
             utilization_in_batches,
             win_lag_gap,
             win_numbering,
+            win_lag_gap_colocated,
+            win_numbering_colocated,
+            q10_colocated,
+            q11_colocated,
             win_partition_values,
             win_null_partition,
             win_nth_value,

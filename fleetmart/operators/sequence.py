@@ -16,7 +16,7 @@ from fleetmart.operators.scale import DEFAULT, HotKeys, Limits, materialize, tas
 _SEGMENT = "_segment"
 
 
-def _window_columns(
+def window_columns(
     window: WindowSpec,
     row_number: str | None = None,
     lag: dict[str, str] | None = None,
@@ -62,11 +62,11 @@ def sequence(
     wanted = {"row_number": row_number, "lag": lag, "lead": lead, "first": first}
     window = Window.partitionBy(key).orderBy(*order)
     if hot is None:
-        return _append(df, _window_columns(window, **wanted))
+        return _append(df, window_columns(window, **wanted))
 
     flags = hot.flags
     rest = df.join(flags, key, "left_anti").select(*df.columns)
-    plain = _append(rest, _window_columns(window, **wanted))
+    plain = _append(rest, window_columns(window, **wanted))
     large = df.join(flags, key, "left_semi").select(*df.columns)
     split = split_sequence(large, key, order, hot.rows, **wanted, limits=limits)
     return plain.unionByName(split)
@@ -121,7 +121,7 @@ def split_sequence(
     )
 
     window = Window.partitionBy(key, _SEGMENT).orderBy(*order)
-    local = _append(segmented, _window_columns(window, "_local", lag, lead))
+    local = _append(segmented, window_columns(window, "_local", lag, lead))
     joined = local.join(edges, [key, _SEGMENT])
     starts, ends = F.col("_local") == 1, F.col("_local") == F.col("_rows")
     result = {}

@@ -33,6 +33,7 @@ from fleetmart.operators.scale import (
 )
 from fleetmart.operators.sequence import sequence
 from fleetmart.plans.warehouse import Warehouse
+from fleetmart.sources.colocated import Colocated
 
 RIDE_ORDER = ["start_time", "ride_id"]
 # Keys that a filter on a scan may list.
@@ -390,24 +391,26 @@ def idle_gaps(
     driver_keys: list[int] | None = labels.SAMPLE_DRIVER_KEYS,
     limit: int | None = 30,
     hot: HotKeys | None = None,
+    stored: Colocated | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q10: hours until the driver's next ride and the retention risk they signal.
 
     ``driver_keys=None`` covers every driver. ``hot`` names drivers to cut into segments
-    (``hot_keys(wh.fact_rides, "driver_key")``); with it jobs run at once.
+    (``hot_keys(wh.fact_rides, "driver_key")``); with it jobs run at once. ``stored``, the
+    fact by driver, is read in place of the fact and spares the shuffle; it knows its own
+    hot drivers.
     """
-    rides = wh.fact_rides.select("driver_key", "ride_id", "start_time", "end_time", "fare_amount")
+    columns = ["driver_key", "ride_id", "start_time", "end_time", "fare_amount"]
+    rides = wh.fact_rides.select(*columns) if stored is None else stored
     if driver_keys is not None:
         rides = rides.where(F.col("driver_key").isin(driver_keys))
-    followed = sequence(
-        rides,
-        "driver_key",
-        RIDE_ORDER,
-        lead={"next_ride_start": "start_time"},
-        hot=hot,
-        limits=limits,
-    ).where(F.col("next_ride_start").isNotNull())
+    lead = {"next_ride_start": "start_time"}
+    if stored is not None:
+        followed, hot = rides.sequence(columns, lead=lead), stored.keys
+    else:
+        followed = sequence(rides, "driver_key", RIDE_ORDER, lead=lead, hot=hot, limits=limits)
+    followed = followed.where(F.col("next_ride_start").isNotNull())
     named = join_unique(
         followed,
         wh.dim_driver.select("driver_key", "driver_name"),
@@ -450,32 +453,33 @@ def progression(
     driver_names: list[str] | None = labels.SAMPLE_DRIVER_NAMES,
     limit: int | None = 50,
     hot: HotKeys | None = None,
+    stored: Colocated | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q11: each fare against the driver's first fare.
 
     ``driver_names`` picks whole drivers: a small job looks up their keys, which then filter
     the scan of the fact. Where more than ``MOST_KEYS`` drivers bear the names, the fact is
-    joined to them instead. ``driver_names=None`` covers every driver; ``hot`` as in q10.
+    joined to them instead. ``driver_names=None`` covers every driver; ``hot`` and ``stored`` as
+    in q10.
     """
     drivers = wh.dim_driver.select("driver_key", "driver_name")
-    rides = wh.fact_rides.select("driver_key", "ride_id", "start_time", "fare_amount")
+    columns = ["driver_key", "ride_id", "start_time", "fare_amount"]
+    rides = wh.fact_rides.select(*columns) if stored is None else stored
     if driver_names is not None:
         drivers = drivers.where(F.col("driver_name").isin(driver_names))
         wanted = [row.driver_key for row in drivers.select("driver_key").take(MOST_KEYS + 1)]
         if len(wanted) <= MOST_KEYS:
             rides = rides.where(F.col("driver_key").isin(wanted))
+        elif stored is not None:
+            rides = rides.of_drivers(drivers.select("driver_key"))
         else:
             rides = rides.join(drivers.select("driver_key"), "driver_key", "left_semi")
-    numbered = sequence(
-        rides,
-        "driver_key",
-        RIDE_ORDER,
-        row_number="ride_number",
-        first={"first_ever_fare": "fare_amount"},
-        hot=hot,
-        limits=limits,
-    )
+    wanted = {"row_number": "ride_number", "first": {"first_ever_fare": "fare_amount"}}
+    if stored is not None:
+        numbered, hot = rides.sequence(columns, **wanted), stored.keys
+    else:
+        numbered = sequence(rides, "driver_key", RIDE_ORDER, **wanted, hot=hot, limits=limits)
     named = join_unique(
         numbered, drivers, "driver_key", spread_by="ride_id", hot=hot, limits=limits
     )
