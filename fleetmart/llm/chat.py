@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,22 +54,94 @@ def _closing(role: Column) -> Column:
     return _by_role(role, 1, F.lit(_OTHER[1]))
 
 
-def _append(blocks: Column, block: Column) -> Column:
-    """``blocks`` with ``block`` put into the last one if that has its role, else after it."""
-    last = F.get(blocks, F.size(blocks) - 1)
-    joined = F.struct(
-        last["role"].alias("role"), F.concat(last["texts"], block["texts"]).alias("texts")
-    )
-    return F.when(
-        F.coalesce(last["role"] == block["role"], F.lit(False)),
-        F.concat(F.slice(blocks, F.lit(1), F.size(blocks) - 1), F.array(joined)),
-    ).otherwise(F.concat(blocks, F.array(block)))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _merged(blocks: Column) -> Column:
-    """Adjacent blocks of one role as one block."""
-    none = F.expr("cast(array() as array<struct<role:string,texts:array<string>>>)")
-    return F.aggregate(blocks, none, _append)
+    """Adjacent blocks of one role as one block.
+
+    Blocks whose role differs from the one before are starts; what lies between two starts is
+    sliced out, so each block is copied once.
+    """
+
+    def cut(all_: Column, starts: Column) -> Column:
+        def one(start: Column, number: Column) -> Column:
+            end = F.coalesce(F.get(starts, number + 1), F.size(all_) + 1)
+            part = F.slice(all_, start, end - start)
+            return F.struct(
+                F.get(part, F.lit(0))["role"].alias("role"),
+                F.flatten(F.transform(part, lambda block: block["texts"])).alias("texts"),
+            )
+
+        return F.transform(starts, one)
+
+    def starts(all_: Column) -> Column:
+        numbers = F.sequence(F.lit(1), F.size(all_))
+        role = lambda number: F.get(all_, number)["role"]
+        return F.filter(numbers, lambda n: (n == 1) | (role(n - 1) != role(n - 2)))
+
+    return _let(blocks, lambda all_: _let(starts(all_), lambda found: cut(all_, found)))
+
+
+_SPANS = "array<struct<block:int,start:int,chars:int>>"
+_PIECE = 128
+
+
+def _spans(texts: Column, number: Column) -> Column:
+    """(block, start, chars) of each text of an assistant block, after its opening.
+
+    Starts are added up over pieces of ``_PIECE`` texts, then inside each, since an array that
+    grows by one element at a time is copied each time.
+    """
+    joint = F.lit(len(_JOIN))
+
+    def base(pieces: Column) -> Column:
+        chars = lambda piece: F.aggregate(
+            piece, F.lit(0), lambda sum_, text: sum_ + F.char_length(text) + joint
+        )
+        return F.aggregate(
+            pieces,
+            F.array(F.lit(len(MARKS["assistant"][0]))),
+            lambda done, piece: F.concat(
+                done, F.array(F.get(done, F.size(done) - 1) + chars(piece))
+            ),
+        )
+
+    def inside(piece: Column, start: Column) -> Column:
+        return F.aggregate(
+            piece,
+            F.expr(f"cast(array() as {_SPANS})"),
+            lambda done, text: F.concat(
+                done,
+                F.array(
+                    F.struct(
+                        number.cast("int").alias("block"),
+                        F.when(F.size(done) == 0, start)
+                        .otherwise(
+                            F.get(done, F.size(done) - 1)["start"]
+                            + F.get(done, F.size(done) - 1)["chars"]
+                            + joint
+                        )
+                        .alias("start"),
+                        F.char_length(text).alias("chars"),
+                    )
+                ),
+            ),
+        )
+
+    cuts = F.sequence(F.lit(0), F.floor((F.size(texts) - 1) / _PIECE).cast("int"))
+    pieces = F.transform(cuts, lambda cut: F.slice(texts, cut * _PIECE + 1, F.lit(_PIECE)))
+    return _let(
+        pieces,
+        lambda parts: _let(
+            base(parts),
+            lambda starts: F.flatten(
+                F.transform(parts, lambda piece, at: inside(piece, F.get(starts, at)))
+            ),
+        ),
+    )
 
 
 def format_conversations(turns: DataFrame, *, run: int = 256) -> DataFrame:
@@ -123,33 +197,12 @@ def format_conversations(turns: DataFrame, *, run: int = 256) -> DataFrame:
             _closing(block["role"]),
         ),
     )
-    # Where each text of an assistant block starts: after the opening, the texts, the joints.
-    spans = lambda block, number: F.aggregate(
-        block["texts"],
-        F.expr("cast(array() as array<struct<block:int,start:int,chars:int>>)"),
-        lambda done, text: F.concat(
-            done,
-            F.array(
-                F.struct(
-                    number.cast("int").alias("block"),
-                    F.when(F.size(done) == 0, F.lit(len(MARKS["assistant"][0])))
-                    .otherwise(
-                        F.get(done, F.size(done) - 1)["start"]
-                        + F.get(done, F.size(done) - 1)["chars"]
-                        + len(_JOIN)
-                    )
-                    .alias("start"),
-                    F.char_length(text).alias("chars"),
-                )
-            ),
-        ),
-    )
     loss = F.flatten(
         F.transform(
             "blocks",
             lambda block, number: F.when(
-                block["role"] == "assistant", spans(block, number)
-            ).otherwise(F.expr("cast(array() as array<struct<block:int,start:int,chars:int>>)")),
+                block["role"] == "assistant", _spans(block["texts"], number)
+            ).otherwise(F.expr(f"cast(array() as {_SPANS})")),
         )
     )
     return whole.select("conv_id", F.array_join(written, "").alias("formatted"), loss.alias("loss"))
