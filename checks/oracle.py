@@ -444,6 +444,12 @@ def _variants() -> dict[str, str]:
         "q11_five_names": _q11(rides, None, DRIVER_NAMES),
         "q12_all": _q12(rides, None),
         "q13_all": _q13(rides, None),
+        "q5_from_states": _q5(rides, None),
+        "q6_from_states": _q6(rides, None),
+        "q7_from_states": _q7(rides, None),
+        "q9_from_states": _q9(rides, None),
+        "q12_from_states": _q12(rides, None),
+        "q13_from_states": _q13(rides, None),
     }
 
 

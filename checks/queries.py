@@ -396,6 +396,21 @@ def utilization_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.driver_daily_utilization(in_batches(spark, sf_dir))
 
 
+_FROM_STATES = {
+    "q5": marts.revenue_rank,
+    "q6": marts.quality_tiers,
+    "q7": marts.commission,
+    "q9": marts.value_segments,
+    "q12": marts.quality_trend,
+    "q13": marts.driver_milestones,
+}
+
+
+def from_states(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart over the states per driver or user that loads in batches have merged."""
+    return _FROM_STATES[name](in_batches(spark, sf_dir), limit=None)
+
+
 # --- windows ----------------------------------------------------------------
 
 
@@ -673,6 +688,7 @@ def registry() -> dict[str, Query]:
     found["orders_fact_rides"] = partial(fact_rides, "orders")
     found["win_rank_family"] = partial(win_rank_family, None)
     found["win_rank_family_top"] = partial(win_rank_family, 25)
+    found |= {f"{name}_from_states": partial(from_states, name) for name in _FROM_STATES}
     found |= _marts("events")
     found |= {f"orders_{name}": query for name, query in _marts("orders").items()}
     found |= _variants() | _reports()

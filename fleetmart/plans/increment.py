@@ -1,9 +1,10 @@
 """Loads of the fact in batches: new rides meet stored state, not the stored fact.
 
 The fact is stored in parts: by group of drivers, month of the ride and number of the load
-that brought it. Beside it lie two states. ``driver_months`` holds the first and the last ride
+that brought it. Beside it lie states. ``driver_months`` holds the first and the last ride
 of each driver and month, which is all that a later ride of the driver needs to know of
-earlier ones. ``daily_parts`` holds the sums per driver and date, in whole hundredths.
+earlier ones. ``daily_parts`` holds the sums per driver and date, in whole hundredths;
+``driver_states`` and ``user_states`` what the marts per person need, see ``states``.
 
 A load links its rides to that state. Rides later than all of their driver's month are added
 and read nothing of the fact. A late ride reads the parts of its driver group and month, and
@@ -27,7 +28,7 @@ from fleetmart.functions.scalars import minutes_between
 from fleetmart.operators.keys import first_per_key
 from fleetmart.operators.scale import DEFAULT, Limits, hot_keys, materialize, remove, together
 from fleetmart.operators.sequence import sequence
-from fleetmart.plans import facts
+from fleetmart.plans import facts, states
 from fleetmart.plans.warehouse import Warehouse, load_dimensions
 from fleetmart.schemas import STAR
 from fleetmart.sources import tables
@@ -36,12 +37,19 @@ GROUPS = 64
 FACT_PARTS = ["driver_group", "start_month", "load"]
 DAILY_PARTS = ["driver_group", "start_month"]
 MONTH_PARTS = ["driver_group"]
-_TABLES = {"fact_parts": FACT_PARTS, "daily_parts": DAILY_PARTS, "driver_months": MONTH_PARTS}
+USER_PARTS = ["user_group"]
+_TABLES = {
+    "fact_parts": FACT_PARTS,
+    "daily_parts": DAILY_PARTS,
+    "driver_months": MONTH_PARTS,
+    "driver_states": MONTH_PARTS,
+    "user_states": USER_PARTS,
+}
 _SUMS = ["wait100", "waits", "rides", "revenue100", "fares"]
 
 
-def _group(groups: int) -> Column:
-    return F.pmod("driver_key", F.lit(groups)).cast("int").alias("driver_group")
+def _group(groups: int, key: str = "driver_key", name: str = "driver_group") -> Column:
+    return F.pmod(key, F.lit(groups)).cast("int").alias(name)
 
 
 def _month(time: str) -> Column:
@@ -58,7 +66,7 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.withColumn("_place", F.col("driver_key") * 1_000_000 + F.col("start_month"))
 
 
-_LOADS = "load int, groups int, fact_parts string, daily_parts string, driver_months string"
+_LOADS = "load int, groups int, " + ", ".join(f"{name} string" for name in _TABLES)
 
 
 def _last_load(spark: SparkSession, root: str) -> Row | None:
@@ -73,6 +81,8 @@ def _read(spark: SparkSession, root: str, name: str, last: Row | None) -> DataFr
     """A stored table under the schema of its last load: no file is opened for it."""
     if last is None:
         return None
+    if last[name] is None:
+        raise ValueError(f"{root} was loaded before {name} was kept: load it anew")
     schema = StructType.fromJson(json.loads(last[name]))
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
@@ -306,6 +316,19 @@ def load_batch(
         others = state.join(months.select("driver_key").distinct(), "driver_key", "left_anti")
         kept = kept.unionByName(others.select(*kept.columns))
 
+    # States of the new rides merge into those of their groups.
+    user_group = _group(groups, "user_key", "user_group")
+    users = [r[0] for r in new.select(user_group).distinct().collect()]
+    of_drivers, of_users = states.driver_states(new), states.user_states(new)
+    old_drivers, old_users = (_read(spark, root, n, last) for n in ("driver_states", "user_states"))
+    if last is not None:
+        old_drivers = old_drivers.where(F.col("driver_group").isin(touched))
+        of_drivers = of_drivers.unionByName(old_drivers.select(*of_drivers.columns))
+        old_users = old_users.where(F.col("user_group").isin(users))
+        of_users = of_users.unionByName(old_users.select(*of_users.columns))
+    drivers = states.merged_drivers(of_drivers).select("*", _group(groups))
+    users_now = states.merged_users(of_users).select("*", user_group)
+
     staged = _staged(root)
     rows = new if rewritten is None else rewritten.unionByName(new)
     laid = [*FACT_PARTS, *tables.FACT_ORDER]
@@ -314,8 +337,14 @@ def load_batch(
         lambda: rows.write.parquet(f"{staged}/fact_parts"),
         lambda: merged.repartitionByRange(*keyed).write.parquet(f"{staged}/daily_parts"),
         lambda: kept.repartitionByRange("driver_group", *place).write.parquet(f"{staged}/driver_months"),
+        lambda: drivers.repartitionByRange("driver_group", "driver_key").write.parquet(
+            f"{staged}/driver_states"
+        ),
+        lambda: users_now.repartitionByRange("user_group", "user_key").write.parquet(
+            f"{staged}/user_states"
+        ),
     )
-    layouts = [df.schema.json() for df in (rows, merged, kept)]
+    layouts = [df.schema.json() for df in (rows, merged, kept, drivers, users_now)]
     spark.createDataFrame([(load, groups, *layouts)], _LOADS).coalesce(1).write.parquet(f"{staged}/ready")
     _finish(spark, root)
     return open_batches(spark, root)
@@ -347,4 +376,10 @@ def open_batches(spark: SparkSession, root: str) -> Warehouse:
         for name in ("dim_user", "dim_driver", "dim_date")
     ]
     fact = _read(spark, root, "fact_parts", last).select(*STAR["fact_rides"].names)
-    return Warehouse(*dims, fact, daily_rides(_read(spark, root, "daily_parts", last)))
+    return Warehouse(
+        *dims,
+        fact,
+        daily_rides(_read(spark, root, "daily_parts", last)),
+        _read(spark, root, "driver_states", last),
+        _read(spark, root, "user_states", last),
+    )

@@ -32,6 +32,7 @@ from fleetmart.operators.scale import (
     sort_columns,
 )
 from fleetmart.operators.sequence import sequence
+from fleetmart.plans.states import KEPT, amount
 from fleetmart.plans.warehouse import Warehouse
 from fleetmart.sources.colocated import Colocated
 
@@ -111,9 +112,14 @@ def driver_waits(wh: Warehouse, by: str = "driver_name") -> DataFrame:
 
 
 def driver_revenue(wh: Warehouse, by: str = "driver_name") -> DataFrame:
-    per_key = wh.fact_rides.groupBy("driver_key").agg(
-        F.count("ride_id").alias("rides"), exact_sum(F.col("fare_amount")).alias("revenue")
-    )
+    if wh.driver_states is not None:
+        per_key = wh.driver_states.select(
+            "driver_key", "rides", amount("fare100", "fares").alias("revenue")
+        )
+    else:
+        per_key = wh.fact_rides.groupBy("driver_key").agg(
+            F.count("ride_id").alias("rides"), exact_sum(F.col("fare_amount")).alias("revenue")
+        )
     return (
         join_unique(per_key, wh.dim_driver.select("driver_key", "driver_name"), "driver_key")
         .groupBy(by)
@@ -122,12 +128,21 @@ def driver_revenue(wh: Warehouse, by: str = "driver_name") -> DataFrame:
 
 
 def customer_spend(wh: Warehouse, by: str = "masked_name") -> DataFrame:
-    per_key = wh.fact_rides.groupBy("user_key").agg(
-        F.count("ride_id").alias("rides"),
-        exact_sum(F.col("fare_amount")).alias("fare"),
-        exact_sum(F.col("distance_km")).alias("km"),
-        F.count("distance_km").alias("kms"),
-    )
+    if wh.user_states is not None:
+        per_key = wh.user_states.select(
+            "user_key",
+            "rides",
+            amount("fare100", "fares").alias("fare"),
+            amount("km100", "kms").alias("km"),
+            "kms",
+        )
+    else:
+        per_key = wh.fact_rides.groupBy("user_key").agg(
+            F.count("ride_id").alias("rides"),
+            exact_sum(F.col("fare_amount")).alias("fare"),
+            exact_sum(F.col("distance_km")).alias("km"),
+            F.count("distance_km").alias("kms"),
+        )
     return (
         join_unique(per_key, wh.dim_user.select("user_key", "masked_name"), "user_key")
         .groupBy(by)
@@ -254,15 +269,23 @@ def quality_tiers(
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """q6: dense rank by mean rating, and the tier named after the rank."""
-    per_key = (
-        wh.fact_rides.where(F.col("average_driver_rating").isNotNull())
-        .groupBy("driver_key")
-        .agg(
-            F.count("ride_id").alias("rides"),
-            exact_sum(F.col("average_driver_rating")).alias("stars"),
-            F.count("average_driver_rating").alias("ratings"),
+    if wh.driver_states is not None:
+        per_key = wh.driver_states.where("rated > 0").select(
+            "driver_key",
+            F.col("rated").alias("rides"),
+            amount("stars100", "rated").alias("stars"),
+            F.col("rated").alias("ratings"),
+        )
+    else:
+        per_key = (
+            wh.fact_rides.where(F.col("average_driver_rating").isNotNull())
+            .groupBy("driver_key")
+            .agg(
+                F.count("ride_id").alias("rides"),
+                exact_sum(F.col("average_driver_rating")).alias("stars"),
+                F.count("average_driver_rating").alias("ratings"),
+            )
         )
-    )
     rated = (
         join_unique(per_key, wh.dim_driver.select("driver_key", "driver_name"), "driver_key")
         .groupBy(by)
@@ -509,16 +532,27 @@ def quality_trend(wh: Warehouse, *, limit: int | None = 20) -> DataFrame:
     One row per driver is wanted, so the latest rating is an aggregate: it combines
     on the map side and a driver with very many rides needs no window.
     """
-    latest = F.max_by("average_driver_rating", F.struct(*RIDE_ORDER))
-    per_driver = (
-        wh.fact_rides.where(F.col("average_driver_rating").isNotNull())
-        .groupBy("driver_key")
-        .agg(
-            F.count(F.lit(1)).alias("total_rides"),
-            exact_avg(F.col("average_driver_rating"), 2).alias("lifetime_avg_rating"),
-            F.round(latest, 2).alias("most_recent_rating"),
+    if wh.driver_states is not None:
+        mean = exact_ratio(
+            amount("stars100", "rated").cast("decimal(22,2)"), F.col("rated"), 2
+        )
+        per_driver = wh.driver_states.where("rated > 0").select(
+            "driver_key",
+            F.col("rated").alias("total_rides"),
+            mean.alias("lifetime_avg_rating"),
+            F.round("latest.average_driver_rating", 2).alias("most_recent_rating"),
+        )
+    else:
+        latest = F.max_by("average_driver_rating", F.struct(*RIDE_ORDER))
+        per_driver = (
+            wh.fact_rides.where(F.col("average_driver_rating").isNotNull())
+            .groupBy("driver_key")
+            .agg(
+                F.count(F.lit(1)).alias("total_rides"),
+                exact_avg(F.col("average_driver_rating"), 2).alias("lifetime_avg_rating"),
+                F.round(latest, 2).alias("most_recent_rating"),
+            )
         )
-    )
     trend = F.col("most_recent_rating") - F.col("lifetime_avg_rating")
     named = join_unique(
         per_driver, wh.dim_driver.select("driver_key", "driver_name"), "driver_key"
@@ -548,6 +582,15 @@ def milestone_fares(wh: Warehouse, milestones: list[int]) -> DataFrame:
     many rows per map task, however many rides there are.
     """
     last = max(milestones)
+    if wh.driver_states is not None and last <= KEPT:
+        return wh.driver_states.select(
+            "driver_key",
+            F.col("rides").alias("total_rides_to_date"),
+            *[
+                F.get("opening", F.lit(place - 1))["fare_amount"].alias(f"ride_{place}_fare")
+                for place in milestones
+            ],
+        )
     window = Window.partitionBy("driver_key").orderBy(*RIDE_ORDER)
     fares = (
         wh.fact_rides.select("driver_key", "fare_amount", *RIDE_ORDER)

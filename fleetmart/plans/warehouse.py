@@ -17,11 +17,15 @@ from fleetmart.sources import tables
 
 @dataclass(frozen=True)
 class Warehouse:
+    """The stored tables; marts read ``driver_states`` and ``user_states`` where they are kept."""
+
     dim_user: DataFrame
     dim_driver: DataFrame
     dim_date: DataFrame
     fact_rides: DataFrame
     daily_rides: DataFrame
+    driver_states: DataFrame | None = None
+    user_states: DataFrame | None = None
 
     def register_views(self) -> None:
         """Make the tables and the daily view available to SQL."""
