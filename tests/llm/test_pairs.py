@@ -181,7 +181,56 @@ def brute_topk(rows, every, k):
     return sorted(out, key=repr)
 
 
-def test_topk_equals_brute_force(spark, rows_of):
+def test_topk_units_are_bounded():
+    for n in (0, 1, 10**4, 10**6, 10**8, 10**10):
+        rows, chunks, tasks = topk.unit_sizes(n, n // 100, 64)
+        assert 1024 <= rows <= 65_536 and 1 <= tasks <= 20_000
+        assert n // 100 <= chunks * 65_536
+    assert topk.unit_sizes(10**8, 10**6, 64) == (65_536, 16, 20_000)
+    assert topk.unit_sizes(10**6, 10**4, 4096)[0] == 1024  # wider vectors, as many bytes
+    # A side of a third of all rows is cut, the small ones share segments.
+    counts = [(0, 5), *((s, 90) for s in range(1, 60)), (-7, 3000)]
+    places, segments = topk._placed_sides(counts, 1000)
+    assert segments == 3 + 6 and {p[0] for p in places} == {s for s, _ in counts}
+    held = [0.0] * segments
+    for (side, first, parts), n in zip(sorted(places), [n for _, n in sorted(counts)], strict=True):
+        for part in range(parts):
+            held[first + part] += n / parts
+    assert max(held) <= 1000
+    assert topk._placed_sides([], 1000) == ([], 1)
+
+
+def test_topk_floors_spare_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    ids = np.arange(4096)
+    terms = rng.integers(-50, 50, (4096, 8))
+    terms[np.arange(4096), ids // 512] += 2000  # eight directions, one a segment
+    asks, asked = ids[::64], terms[::64]
+    alone, carried, scored = [], [], []
+    real = topk._best
+    monkeypatch.setattr(topk, "_best", lambda s, i, k: scored.append(len(s)) or real(s, i, k))
+    floors = np.full(len(asks), topk._LOWEST)
+    for a in range(0, 4096, 512):
+        part = slice(a, a + 512)
+        scored.clear()
+        alone += zip(*topk.search_segment(ids[part], terms[part], asks, asked, 10, 64), strict=True)
+        without = len(scored)
+        home = np.flatnonzero(asks // 512 == a // 512)
+        got = topk.search_segment(ids[part], terms[part], asks[home], asked[home], 10, 64)
+        for q in home:
+            floors[q] = np.sort(got[2][got[0] == asks[q]])[-10]
+        assert without >= 64
+    scored.clear()
+    for a in range(0, 4096, 512):
+        part = slice(a, a + 512)
+        carried += zip(*topk.search_segment(ids[part], terms[part], asks, asked, 10, 64, floors), strict=True)
+    best = lambda rows: {q: sorted((-s, i) for a, i, s in rows if a == q)[:10] for q in asks}
+    assert best(alone) == best(carried)
+    assert len(carried) == 10 * len(asks)  # other segments return nothing
+    assert len(scored) <= 8 * len(asks)  # nor are their rows merged
+
+
+def test_topk_equals_brute_force(spark, rows_of, monkeypatch):
     rnd = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rnd.normal(size=8).round(1)]) for i in range(300)]
     rows += [(300, None), (301, [1.0, None] * 4), (302, [float("nan")] * 8), (303, [float("inf")] * 8)]
@@ -189,7 +238,10 @@ def test_topk_equals_brute_force(spark, rows_of):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     want = brute_topk(rows, 10, 10)
     assert rows_of(topk.top_k(df, every=10)) == want
-    assert rows_of(topk.top_k(df, every=10, segment_rows=40, chunk_rows=7, block=4)) == want
+    real = topk.unit_sizes
+    monkeypatch.setattr(topk, "unit_sizes", lambda n, q, *_: (40, -(-q // 7), 11))
+    assert rows_of(topk.top_k(df, every=10, block=4)) == want
+    monkeypatch.setattr(topk, "unit_sizes", real)
     assert topk.top_k(df.limit(0)).count() == 0
 
 
