@@ -16,7 +16,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm.common import map_batches, stored
+from fleetmart.llm.common import map_batches, possible, stored
 from fleetmart.operators.scale import scratch_dir
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
@@ -31,14 +31,15 @@ def payload_digest(sha1_hex: str) -> str:
 
 
 def record(
-    page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None, kind: str
+    page_id: int | None, url: str, payload: bytes | None, size: int, digest: str, refers_to: int | None
 ) -> bytes:
-    """One gzip member: a response with its payload, or a revisit with the headers alone."""
+    """One gzip member: a response with its payload, or without one a revisit, headers alone."""
+    kind = "revisit" if payload is None else "response"
     http = (
         f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-        f"Content-Length: {len(payload)}\r\n\r\n"
+        f"Content-Length: {size}\r\n\r\n"
     ).encode("ascii")
-    block = http + (payload if kind == "response" else b"")
+    block = http + (payload or b"")
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
@@ -163,8 +164,10 @@ def write_archives(
     none; rows that repeat page_id and payload are all of the same kind.
 
     Payload digests meet in a group without the payloads, of which a map-side minimum is
-    kept, so a payload that a third of all pages share costs a row per task. The payloads
-    move once, spread by page. Packages hold about ``archive_bytes``, are written under
+    kept, so a payload that a third of all pages share costs a row per task. Revisits are
+    written from the digests. Responses are written where their pages are read: all pages
+    whose id is surely no revisit's by a bitmap, and those that it lets through wrongly, whose
+    payloads alone are shuffled. Packages hold about ``archive_bytes``, are written under
     names of their own, and count only if their task succeeded: the returned rows are
     stored before anything reads them, and a file that a lost task left is never read.
     """
@@ -173,23 +176,36 @@ def write_archives(
         F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
     ).withColumn("sha1", F.sha1(F.encode("html", "utf-8")))
-    firsts = plain.groupBy("sha1").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+    named = stored(
+        plain.select("page_id", "url", "sha1", F.octet_length("html").cast("long").alias("size")), "digests"
+    )
+    firsts = named.groupBy("sha1").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
     # Only payloads that occur again need looking up.
-    again = stored(firsts.where("n > 1").select("sha1", "first_id"), "payloads")
-    named = stored(plain.select("sha1", "page_id"), "digests")
-    firsts_by_page = stored(
-        named.join(again, "sha1").where("page_id is null or page_id <> first_id").distinct(),
+    again = firsts.where("n > 1 and first_id is not null").select("sha1", "first_id")
+    repeats = stored(
+        named.where(F.col("size") >= min_bytes)
+        .join(again, "sha1")
+        .where("page_id is null or page_id <> first_id"),
         "revisits",
     )
-    rows = plain.join(
-        firsts_by_page.select(
-            F.col("sha1").alias("_sha1"), F.col("page_id").alias("_id"), "first_id"
-        ),
-        F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1")),
-        "left",
-    ).select(
-        "page_id", "url", "html", "sha1",
-        F.when(F.octet_length("html") >= min_bytes, F.col("first_id")).alias("first_id"),
+    pair = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1"))
+
+    def pairs(df: DataFrame) -> DataFrame:
+        return df.select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"))
+
+    ids = repeats.select("page_id")
+    wrong = stored(
+        possible(named, "page_id", ids).join(pairs(repeats), pair, "left_anti").select("page_id", "sha1"),
+        "let-through",
+    )
+    sure = possible(plain, "page_id", ids, inverse=True)
+    rest = possible(plain, "page_id", wrong.select("page_id")).join(pairs(wrong), pair, "left_semi")
+    responses = sure.unionByName(rest).select(
+        "page_id", "url", "html", F.octet_length("html").cast("long").alias("size"), "sha1",
+        F.lit(None).cast("long").alias("first_id"),
+    )
+    rows = responses.unionByName(
+        repeats.select("page_id", "url", F.lit(None).cast("string").alias("html"), "size", "sha1", "first_id")
     )
 
     def write(batches):
@@ -198,12 +214,12 @@ def write_archives(
             for row in batch.to_pylist():
                 if out is None:
                     out = _Archive(folder, zip64=True)
-                kind = "response" if row["first_id"] is None else "revisit"
                 url = " ".join(row["url"].split())
                 out.add(
                     record(
-                        row["page_id"], url, row["html"].encode("utf-8"),
-                        payload_digest(row["sha1"]), row["first_id"], kind,
+                        row["page_id"], url,
+                        None if row["html"] is None else row["html"].encode("utf-8"),
+                        row["size"], payload_digest(row["sha1"]), row["first_id"],
                     )
                 )
                 if out.size >= archive_bytes:
@@ -219,12 +235,25 @@ def write_archives(
     return stored(map_batches(rows, write, "path string, bytes long, records long"), "archives")
 
 
-def read_archives(archives: DataFrame, folder: str) -> DataFrame:
+def _runs(source, start: int, index: str, run_bytes: int):
+    """The records named by the lines of an index, read in runs."""
+    spans = [tuple(map(int, line.split())) for line in index.split("\n")]
+    k = 0
+    while k < len(spans):
+        first, stop = spans[k][0], k + 1
+        while stop < len(spans) and sum(spans[stop]) - first <= run_bytes:
+            stop += 1
+        data = source.read_at(sum(spans[stop - 1]) - first, start + first)
+        yield from (data[at - first : at - first + size] for at, size in spans[k:stop])
+        k = stop
+
+
+def read_archives(archives: DataFrame, folder: str, *, run_bytes: int = 1 << 20) -> DataFrame:
     """One row per record of the packages in ``archives`` (path, bytes), read by range.
 
     Each package's end records and central directory (ZIP64 ones too) give the places of
-    the stored archive and its index; each index line the range of one record. Nothing is
-    extracted. Returns page_id, url, payload_bytes and payload_digest (both of the full
+    the stored archive and its index; each index line the range of one record. Records that
+    lie side by side are read in runs of about ``run_bytes``. Nothing is extracted. Returns page_id, url, payload_bytes and payload_digest (both of the full
     payload), record_type, refers_to, and payload (null for revisits). A response whose
     payload contradicts its digest raises an error.
     """
@@ -236,10 +265,10 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                     found = members(source, row["bytes"])
                     start, _ = found[ARCHIVE]
                     at, length = found[INDEX]
-                    out = []
-                    for line in source.read_at(length, at).decode("ascii").split("\n"):
-                        offset, size = map(int, line.split())
-                        got = parse_record(source.read_at(size, start + offset))
+                    index = source.read_at(length, at).decode("ascii")
+                    out, held = [], 0
+                    for raw in _runs(source, start, index, run_bytes):
+                        got = parse_record(raw)
                         fields = got["headers"]
                         head, _, body = got["block"].partition(b"\r\n\r\n")
                         http = dict(
@@ -259,9 +288,10 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                                 body if kind == "response" else None,
                             )
                         )
-                        if len(out) == 256:
+                        held += len(body)
+                        if len(out) == 256 or held >= run_bytes:
                             yield _rows(out)
-                            out = []
+                            out, held = [], 0
                     if out:
                         yield _rows(out)
 

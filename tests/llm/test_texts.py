@@ -252,7 +252,7 @@ def test_archives_read_back(spark, tmp_path, rows_of):
     rows = [
         (5, "http://a/1", "same"), (2, "http://a/2", "same"), (9, None, "same"), (1, "u v", ""),
         (4, "http://a/4", None), (7, "http://a/7", "é" * 40_000), (8, "x", "same"), (8, "x", "same"),
-        (None, "n", "same"), (None, "n", "alone"),
+        (None, "n", "same"), (None, "n", "alone"), (8, "z", "fresh"), (None, "o", "alone"),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("first_id", F.lit(1))
     folder = str(tmp_path / "a")
@@ -277,6 +277,7 @@ def test_archives_read_back(spark, tmp_path, rows_of):
     with zipfile.ZipFile(archives.first()["path"]) as z:
         assert {i.filename for i in z.infolist()} == {warc.ARCHIVE, warc.INDEX}
         assert all(i.compress_type == zipfile.ZIP_STORED for i in z.infolist())
+    assert rows_of(warc.read_archives(archives, folder, run_bytes=1).drop("url", "payload")) == got
     few = warc.write_archives(pages, str(tmp_path / "b"), min_bytes=10)
     kinds = warc.read_archives(few, str(tmp_path / "b")).groupBy("record_type").count().collect()
     assert [tuple(k) for k in kinds] == [("response", len(rows))]
