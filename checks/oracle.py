@@ -680,6 +680,14 @@ FROM doubled""",
             AND user_id NOT IN (SELECT user_id FROM early))
         SELECT * REPLACE (CAST(batch AS BIGINT) AS batch)
         FROM (SELECT * FROM early UNION ALL SELECT * FROM late)""",
+        "durable_keys": _steps("events")
+        + """, halves AS (
+          SELECT user_id, user_id > (SELECT (min(user_id) + max(user_id)) // 2 FROM raw_users) AS early
+          FROM masked)
+        SELECT user_id, early, true AS kept, true AS positive,
+               (SELECT count(*) FROM halves WHERE early) AS n_early,
+               (SELECT count(*) FROM halves) AS n_keys, (SELECT count(*) FROM halves) AS last_key
+        FROM halves""",
         "distinct_dates": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS full_date FROM lineitem"
         " WHERE l_orderkey IN (SELECT o_orderkey FROM orders)",
         "mask_pii": _steps("events") + " SELECT * FROM masked",
@@ -702,6 +710,11 @@ FROM doubled""",
         "fact_by_user_date": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
         "lookup_user": _lookup("user_key"),
         "lookup_date": _lookup("start_date_key"),
+        "ride_uses": _steps("events")
+        + """ SELECT r.ride_id, CASE WHEN r.ride_id % 10 = 3 THEN 2 ELSE 1 END AS n_batch,
+               CASE WHEN f.ride_id IS NULL THEN 0 ELSE 1 END AS n_stored
+        FROM raw_rides r LEFT JOIN fact f ON f.ride_id = r.ride_id
+        UNION ALL SELECT -ride_id - 1, 1, 0 FROM raw_rides""",
         "fact_in_batches": f"{_steps('events')} SELECT {_FACT_COLUMNS} FROM fact",
         "daily_in_batches": f"""{_steps('events')}
 SELECT driver_key, start_date_key, {_money("sum(gap100)")} AS wait, count(gap100) AS waits,

@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType, IntegerType, ShortType
 from fleetmart.functions.scalars import elapsed_seconds
 from fleetmart.operators import keys, quality, ranking
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import HotKeys, hot_keys, scratch_dir
+from fleetmart.operators.scale import HotKeys, hot_keys, materialize, scratch_dir
 from fleetmart.operators.sequence import (
     last_value,
     latest_per_key,
@@ -249,6 +249,28 @@ def upsert_ignore_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.withColumn("batch", F.lit(1)).unionByName(second.withColumn("batch", F.lit(2)))
 
 
+def durable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of users before and after a rebuild that brings new ids smaller than the known ones."""
+    users = raw_tables(spark, sf_dir)["users"]
+    path = f"{scratch_dir(spark)}/register-{uuid.uuid4().hex}"
+    middle = users.agg(F.expr("(min(user_id) + max(user_id)) div 2")).first()[0]
+    early = users.where(F.col("user_id") > middle)
+    before = materialize(dimensions.new_users(early, register=path), "before")
+    after = materialize(dimensions.new_users(users, register=path), "after")
+    n_early = before.count()
+    n_keys, last_key = after.agg(F.countDistinct("user_key"), F.max("user_key")).first()
+    old = before.select("user_id", F.col("user_key").alias("old_key"))
+    return after.join(old, "user_id", "left").select(
+        "user_id",
+        F.col("old_key").isNotNull().alias("early"),
+        F.coalesce(F.col("old_key") == F.col("user_key"), F.col("user_key") > n_early).alias("kept"),
+        (F.col("user_key") >= 1).alias("positive"),
+        F.lit(n_early).alias("n_early"),
+        F.lit(n_keys).alias("n_keys"),
+        F.lit(last_key).alias("last_key"),
+    )
+
+
 def distinct_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.ride_dates(raw_tables(spark, sf_dir, "orders")["rides"])
 
@@ -362,13 +384,14 @@ def lookup_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BATCHES: dict[tuple[str, str], Warehouse] = {}
+_BATCH_ROOTS: dict[tuple[str, str], str] = {}
 
 
 def in_batches(spark: SparkSession, sf_dir: str) -> Warehouse:
     """All rides in three loads: two by time, of which each tenth ride comes with the last."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BATCHES:
-        root = f"{scratch_dir(spark)}/batches-{uuid.uuid4().hex}"
+        root = _BATCH_ROOTS[key] = f"{scratch_dir(spark)}/batches-{uuid.uuid4().hex}"
         raw = raw_tables(spark, sf_dir)
         time = F.col("ride_start_time")
         ends = raw["rides"].agg(F.min("ride_start_time"), F.max("ride_start_time")).first()
@@ -396,6 +419,16 @@ def utilization_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.driver_daily_utilization(in_batches(spark, sf_dir))
 
 
+def ride_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uses of the ids of a batch: all rides again, each tenth twice, and as many new ids."""
+    in_batches(spark, sf_dir)
+    ids = raw_tables(spark, sf_dir)["rides"].select("ride_id")
+    number = F.col("ride_id").cast("bigint")
+    new = ids.select((-number - 1).cast(ids.schema["ride_id"].dataType).alias("ride_id"))
+    batch = ids.unionByName(ids.where(number % 10 == 3)).unionByName(new)
+    return increment.ride_uses(batch, _BATCH_ROOTS[spark.sparkContext.applicationId, sf_dir])
+
+
 _FROM_STATES = {
     "q5": marts.revenue_rank,
     "q6": marts.quality_tiers,
@@ -656,6 +689,7 @@ def registry() -> dict[str, Query]:
             dim_user,
             dim_driver,
             upsert_ignore_dim,
+            durable_keys,
             distinct_dates,
             mask_pii,
             mask_pii_salted,
@@ -671,6 +705,7 @@ def registry() -> dict[str, Query]:
             fact_in_batches,
             daily_in_batches,
             utilization_in_batches,
+            ride_uses,
             win_lag_gap,
             win_numbering,
             win_lag_gap_colocated,

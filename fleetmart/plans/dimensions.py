@@ -9,6 +9,7 @@ from fleetmart.functions.scalars import date_key, day_of_week, fingerprint, init
 from fleetmart.operators.joins import join_unique
 from fleetmart.operators.keys import insert_if_absent
 from fleetmart.operators.scale import DEFAULT, Limits
+from fleetmart.sources.registers import insert_registered
 
 
 def masked_users(raw_users: DataFrame, salt: str | None = None) -> DataFrame:
@@ -66,12 +67,14 @@ def new_users(
     existing: DataFrame | None = None,
     *,
     salt: str | None = None,
+    register: str | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Rows to add to dim_user."""
-    return insert_if_absent(
-        existing, masked_users(raw_users, salt), "user_key", "user_id", limits=limits
-    )
+    """Rows to add to dim_user; keys come from the register at that path, if one is given."""
+    users = masked_users(raw_users, salt)
+    if register:
+        return insert_registered(existing, users, "user_key", "user_id", register)
+    return insert_if_absent(existing, users, "user_key", "user_id", limits=limits)
 
 
 def new_drivers(
@@ -79,10 +82,13 @@ def new_drivers(
     raw_vehicles: DataFrame,
     existing: DataFrame | None = None,
     *,
+    register: str | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Rows to add to dim_driver."""
+    """Rows to add to dim_driver; keys come from the register at that path, if one is given."""
     drivers = drivers_with_vehicles(raw_drivers, raw_vehicles)
+    if register:
+        return insert_registered(existing, drivers, "driver_key", "driver_id", register)
     return insert_if_absent(
         existing, drivers, "driver_key", "driver_id", limits=limits
     )

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fleetmart.functions.scalars import minutes_between
+from fleetmart.operators import bitmaps
 from fleetmart.operators.keys import first_per_key
 from fleetmart.operators.scale import DEFAULT, Limits, hot_keys, materialize, remove, together
 from fleetmart.operators.sequence import sequence
@@ -350,6 +351,52 @@ def load_batch(
     return open_batches(spark, root)
 
 
+_COVERED = "version int, load int, n bigint, bits int"
+
+
+def ride_bitmaps(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
+    """Bitmaps of all stored ride ids below ``root`` and their bits, brought up to the last load.
+
+    Only the ids of loads that came since the last call are read, and set in maps of their own.
+    When the places are an eighth full, all ids are set anew in 4 times as many or more.
+    """
+    last = _last_load(spark, root)
+    fact, path = _read(spark, root, "fact_parts", last), f"{root}/ride_bitmaps"
+    version, upto, rows, bits = 0, 0, 0, 0
+    if tables.exists(spark, f"{path}/covered"):
+        covered = spark.read.schema(_COVERED).parquet(f"{path}/covered")
+        of_version = covered.groupBy("version").agg(F.max("load"), F.sum("n"), F.max("bits"))
+        version, upto, rows, bits = of_version.orderBy(F.col("version").desc()).first()
+    old = version
+    if version == 0 or upto < last["load"]:
+        fresh = fact.where(F.col("load") > upto)
+        added = fresh.count()
+        if version == 0 or (rows + added) * 8 > 1 << bits:
+            version, bits = version + 1, bitmaps.bits_for(rows + added)
+            fresh, added = fact, rows + added
+        maps = bitmaps.bitmaps(fresh, "ride_id", bits)
+        tables.recreate(maps, f"{path}/maps/version={version}/upto={last['load']}")
+        now = spark.createDataFrame([(version, last["load"], added, bits)], _COVERED)
+        tables.append(now.coalesce(1), f"{path}/covered")
+        if old not in (0, version):
+            remove(spark, f"{path}/maps/version={old}")
+    return spark.read.parquet(f"{path}/maps/version={version}"), bits
+
+
+def ride_uses(raw_rides: DataFrame, root: str) -> DataFrame:
+    """(ride_id, n_batch, n_stored): how often each id of a batch occurs in it and below ``root``.
+
+    To be asked before a load: ids of more than one row, or stored with another driver or month,
+    break the key. Bitmaps kept beside the fact say of nearly all new ids that they are new.
+    """
+    spark = raw_rides.sparkSession
+    maps, bits = ride_bitmaps(spark, root)
+    fact = _read(spark, root, "fact_parts", _last_load(spark, root))
+    return bitmaps.key_uses(
+        raw_rides.select("ride_id"), fact, "ride_id", maps, bits, lambda df: materialize(df, "ride-ids")
+    )
+
+
 def daily_rides(parts: DataFrame) -> DataFrame:
     """The stored sums as ``daily_rides`` of a warehouse."""
 

@@ -98,6 +98,12 @@ def accepted(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     return out
 
 
+def _registers(spark: SparkSession, root: str, durable_keys: bool) -> list[str | None]:
+    """Paths of the key registers of users and drivers, where they are kept or asked for."""
+    paths = [f"{root}/key_registers/{name}" for name in ("users", "drivers")]
+    return [path if durable_keys or tables.exists(spark, f"{path}/keys") else None for path in paths]
+
+
 def build(
     raw: dict[str, DataFrame],
     root: str,
@@ -105,10 +111,15 @@ def build(
     checks: str = "report",
     salt: str | None = None,
     peak_hours: list[int] | None = None,
+    durable_keys: bool = False,
     limits: Limits = DEFAULT,
 ) -> Warehouse:
     """Drop and rebuild all tables under ``root``.
 
+    With ``durable_keys`` users and drivers take their keys from registers below ``root``, which
+    no build drops: an id keeps its key whatever ids come or go. They are used from then on, by
+    later builds and refreshes as well. Without, keys follow the order of the ids.
+
     ``checks="report"`` stores ``load_report`` beside the tables and loads all the same;
     ``"fail"`` stores it first and raises ``LoadRefused`` where a key is repeated or NULL;
     ``"none"`` runs no check. Dimensions are stored first: their keys are allocated once,
@@ -122,13 +133,15 @@ def build(
         found = [f"{r.check} {r.subject}: {r.n_rows}" for r in broken.orderBy("subject").take(20)]
         if found:
             raise LoadRefused("; ".join(found))
+    of_users, of_drivers = _registers(raw["users"].sparkSession, root, durable_keys)
     made = together(
         lambda: tables.recreate(dimensions.new_dates(raw["rides"]), f"{root}/dim_date"),
         lambda: tables.recreate(
-            dimensions.new_users(raw["users"], salt=salt, limits=limits), f"{root}/dim_user"
+            dimensions.new_users(raw["users"], salt=salt, register=of_users, limits=limits),
+            f"{root}/dim_user",
         ),
         lambda: tables.recreate(
-            dimensions.new_drivers(raw["drivers"], raw["vehicles"], limits=limits),
+            dimensions.new_drivers(raw["drivers"], raw["vehicles"], register=of_drivers, limits=limits),
             f"{root}/dim_driver",
         ),
         *([report] if checks == "report" else []),
@@ -176,11 +189,14 @@ def load_dimensions(
     def old(name: str) -> DataFrame | None:
         return stored(name) if tables.exists(spark, f"{root}/{name}") else None
 
+    of_users, of_drivers = _registers(spark, root, durable_keys=False)
     fresh = {
         "dim_date": dimensions.new_dates(raw["rides"], old("dim_date")),
-        "dim_user": dimensions.new_users(raw["users"], old("dim_user"), salt=salt, limits=limits),
+        "dim_user": dimensions.new_users(
+            raw["users"], old("dim_user"), salt=salt, register=of_users, limits=limits
+        ),
         "dim_driver": dimensions.new_drivers(
-            raw["drivers"], raw["vehicles"], old("dim_driver"), limits=limits
+            raw["drivers"], raw["vehicles"], old("dim_driver"), register=of_drivers, limits=limits
         ),
     }
     aside = together(*[partial(materialize, df, f"new-{name}") for name, df in fresh.items()])
