@@ -680,6 +680,9 @@ FROM doubled""",
             AND user_id NOT IN (SELECT user_id FROM early))
         SELECT * REPLACE (CAST(batch AS BIGINT) AS batch)
         FROM (SELECT * FROM early UNION ALL SELECT * FROM late)""",
+        "csv_line_breaks": _steps("events")
+        + """ SELECT *, '"' || rating_id || '"' || chr(10) || ', "' || chr(10) AS comments
+        FROM raw_ratings""",
         "durable_keys": _steps("events")
         + """, halves AS (
           SELECT user_id, user_id > (SELECT (min(user_id) + max(user_id)) // 2 FROM raw_users) AS early

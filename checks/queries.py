@@ -93,6 +93,15 @@ def csv_table(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_files.read_csv(spark, path, RAW[name])
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings whose comments hold line breaks and quotes, written as text and read in splits."""
+    path = f"{scratch_dir(spark)}/breaks-{uuid.uuid4().hex}.csv"
+    said = F.concat(F.lit('"'), F.col("rating_id"), F.lit('"\n, "\n'))
+    ratings = raw_tables(spark, sf_dir)["ratings"].withColumn("comments", said)
+    raw_files.write_csv(ratings, path)
+    return raw_files.read_csv(spark, path, ratings.schema, multiline=True)
+
+
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(
         read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
@@ -674,6 +683,7 @@ def registry() -> dict[str, Query]:
     found |= {
         function.__name__: function
         for function in (
+            csv_line_breaks,
             dq_duplicate_keys,
             dq_violations,
             dq_broken_rows,

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetmart.schemas import RAW
+from fleetmart.sources.quoted import read_quoted
+
+
+_OPTIONS = {"nullValue": r"\N", "escape": '"'}
 
 
 def read_csv(
@@ -15,17 +19,12 @@ def read_csv(
 
     An unquoted empty field is NULL and a quoted one is the empty text (that is
     what the odd null marker does); a quote inside a quoted field is doubled.
-    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+    ``multiline`` allows line breaks inside quotes; it runs jobs and shuffles the text once.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("nullValue", r"\N")
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    options = _OPTIONS | {"mode": "FAILFAST"}
+    if multiline:
+        return read_quoted(spark, path, schema, options)
+    return spark.read.schema(schema).options(header=True, **options).csv(path)
 
 
 def read_text(
@@ -36,14 +35,9 @@ def read_text(
     Nothing fails here: ``quality.violations`` counts what would not parse.
     """
     plain = StructType([StructField(f.name, StringType()) for f in schema])
-    return (
-        spark.read.schema(plain)
-        .option("header", True)
-        .option("nullValue", r"\N")
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    if multiline:
+        return read_quoted(spark, path, plain, _OPTIONS)
+    return spark.read.schema(plain).options(header=True, **_OPTIONS).csv(path)
 
 
 def read_raw(
