@@ -892,6 +892,7 @@ FROM tiers GROUP BY tier_name""",
         "report_milestone_funnel": _funnel(30),
         "report_milestone_funnel_full": _funnel(None),
         "report_manifest": _manifest(),
+        "report_manifest_shared": _manifest(),
     }
 
 

@@ -658,7 +658,14 @@ def _reports() -> dict[str, Query]:
         return lambda spark, sf_dir: report(mart(built(spark, sf_dir, "events"), **arguments))
 
     def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-        catalog = reports.catalog(built(spark, sf_dir, "events"), driver_names=DRIVER_NAMES)
+        return _manifest(spark, sf_dir, shared=False)
+
+    def shared_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _manifest(spark, sf_dir, shared=True)
+
+    def _manifest(spark: SparkSession, sf_dir: str, shared: bool) -> DataFrame:
+        wh = built(spark, sf_dir, "events")
+        catalog = reports.catalog(wh, driver_names=DRIVER_NAMES, shared=shared)
         folder = f"{scratch_dir(spark)}/reports-{uuid.uuid4().hex}"
         return reports.write_reports(catalog, folder)
 
@@ -675,6 +682,7 @@ def _reports() -> dict[str, Query]:
             reports.milestone_funnel, marts.driver_milestones, limit=None
         ),
         "report_manifest": manifest,
+        "report_manifest_shared": shared_manifest,
     }
 
 

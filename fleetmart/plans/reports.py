@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions import labels
 from fleetmart.operators.scale import sort_columns, together
 from fleetmart.plans import marts
+from fleetmart.plans.shared import reduced
 from fleetmart.plans.warehouse import Warehouse
 
 
@@ -140,15 +141,31 @@ def milestone_funnel(
     return one_row.select(F.explode("steps").alias("step")).select("step.*")
 
 
+def _sample_keys(wh: Warehouse, driver_names: list[str] | None) -> list[int]:
+    """Keys of the drivers whose rides the reports list."""
+    if driver_names is None:
+        raise ValueError("a shared run lists the rides of named drivers only")
+    named = wh.dim_driver.where(F.col("driver_name").isin(driver_names)).select("driver_key")
+    keys = [row.driver_key for row in named.take(marts.MOST_KEYS + 1)]
+    if len(keys) > marts.MOST_KEYS:
+        raise ValueError(f"more than {marts.MOST_KEYS} drivers bear these names")
+    return sorted({*keys, *labels.SAMPLE_DRIVER_KEYS})
+
+
 def catalog(
     wh: Warehouse,
     *,
     driver_names: list[str] | None = labels.SAMPLE_DRIVER_NAMES,
+    shared: bool = False,
 ) -> dict[str, Callable[[], DataFrame]]:
     """The reports in the order they are produced, each a function of no arguments.
 
-    Fixed values: the names, which must match for the manifest to match.
+    Fixed values: the names, which must match for the manifest to match. With ``shared`` two
+    jobs reduce the fact at once, and the reports read what these stored (see ``shared``); each
+    named driver's rides are among that, so all drivers can't be asked for.
     """
+    if shared:
+        wh = reduced(wh, _sample_keys(wh, driver_names))
     return {
         "01_driver_efficiency": lambda: marts.driver_efficiency(wh),
         "02_peak_hours_heatmap": lambda: peak_heatmap(marts.peak_hours(wh)),

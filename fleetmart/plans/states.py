@@ -33,6 +33,28 @@ def amount(total: str, count: str) -> Column:
     return F.when(F.col(count) > 0, value)
 
 
+def _ride_totals() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("rides"),
+        _total("fare_amount").alias("fare100"),
+        F.count("fare_amount").alias("fares"),
+    ]
+
+
+def driver_totals() -> list[Column]:
+    """The counts and sums of a driver's state."""
+    return [
+        *_ride_totals(),
+        F.count("average_driver_rating").alias("rated"),
+        _total("average_driver_rating").alias("stars100"),
+    ]
+
+
+def user_totals() -> list[Column]:
+    """The counts and sums of a user's state."""
+    return [*_ride_totals(), _total("distance_km").alias("km100"), F.count("distance_km").alias("kms")]
+
+
 def driver_states(rides: DataFrame) -> DataFrame:
     """One row per driver of rows of the fact.
 
@@ -42,11 +64,7 @@ def driver_states(rides: DataFrame) -> DataFrame:
     """
     ride = F.struct("start_time", "ride_id", "average_driver_rating")
     totals = rides.groupBy("driver_key").agg(
-        F.count(F.lit(1)).alias("rides"),
-        _total("fare_amount").alias("fare100"),
-        F.count("fare_amount").alias("fares"),
-        F.count("average_driver_rating").alias("rated"),
-        _total("average_driver_rating").alias("stars100"),
+        *driver_totals(),
         F.max(F.when(F.col("average_driver_rating").isNotNull(), ride)).alias("latest"),
     )
     in_order = Window.partitionBy("driver_key").orderBy("start_time", "ride_id")
@@ -75,13 +93,7 @@ def merged_drivers(states: DataFrame) -> DataFrame:
 
 def user_states(rides: DataFrame) -> DataFrame:
     """One row per user of rows of the fact."""
-    return rides.groupBy("user_key").agg(
-        F.count(F.lit(1)).alias("rides"),
-        _total("fare_amount").alias("fare100"),
-        F.count("fare_amount").alias("fares"),
-        _total("distance_km").alias("km100"),
-        F.count("distance_km").alias("kms"),
-    )
+    return rides.groupBy("user_key").agg(*user_totals())
 
 
 def merged_users(states: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from fleetmart.sources import tables
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The stored tables; marts read ``driver_states`` and ``user_states`` where they are kept."""
+    """The stored tables; marts read the states of drivers, users and hours where they are kept."""
 
     dim_user: DataFrame
     dim_driver: DataFrame
@@ -26,6 +26,7 @@ class Warehouse:
     daily_rides: DataFrame
     driver_states: DataFrame | None = None
     user_states: DataFrame | None = None
+    hour_states: DataFrame | None = None
 
     def register_views(self) -> None:
         """Make the tables and the daily view available to SQL."""
