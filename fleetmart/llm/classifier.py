@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -57,11 +58,13 @@ class Model:
     bias: float
     prior: float
 
-    def scores(self, column: pa.Array) -> np.ndarray:
+    def margins(self, column: pa.Array) -> np.ndarray:
         s = stats(column)
         buckets, begins = byte_grams(s.data, s.offsets, GRAM, BITS)
-        z = mean_of(self.grams[buckets], begins) + _shares(s) @ self.dense + self.bias
-        return np.round(1 / (1 + np.exp(-np.clip(z, -40, 40))), 9)
+        return mean_of(self.grams[buckets], begins) + _shares(s) @ self.dense + self.bias
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        return np.round(1 / (1 + np.exp(-np.clip(self.margins(column), -40, 40))), 9)
 
 
 def _descend(positive, unlabelled, prior, steps, rate, decay):
@@ -100,51 +103,135 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     the bound is tightest where few negatives score as high. Shares carry a margin for
     their size of sample.
     """
-    if not len(positive) or not len(unlabelled):
+    if not len(positive):
+        return 0.5
+    cuts = _cuts(positive)
+    return _prior(positive, cuts, np.array([(unlabelled >= c).sum() for c in cuts]), len(unlabelled))
+
+
+def _cuts(positive: np.ndarray) -> np.ndarray:
+    return np.quantile(positive, np.linspace(0.02, 0.8, 79))
+
+
+def _prior(positive: np.ndarray, cuts: np.ndarray, above: np.ndarray, n: int) -> float:
+    """``class_prior`` of ``n`` unlabelled rows of which ``above`` reach the cuts."""
+    if not n:
         return 0.5
-    cuts = np.quantile(positive, np.linspace(0.02, 0.8, 79))
-    p = np.array([(positive >= c).mean() for c in cuts])
-    u = np.array([(unlabelled >= c).mean() for c in cuts])
-    margin = np.sqrt(1 / len(unlabelled)) * 0.5 + np.sqrt(1 / len(positive)) * 0.5
+    p, u = np.array([(positive >= c).mean() for c in cuts]), above / n
+    margin = np.sqrt(1 / n) * 0.5 + np.sqrt(1 / len(positive)) * 0.5
     bound = (u + margin * np.sqrt(u * (1 - u))) / p
     return float(np.clip(bound.min(), 0.05, 0.98))
 
 
+_UNIT = 1 << 24
+_WIDTH = (1 << BITS) + _DENSE
+
+
+def moments(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of every feature over all texts of ``docs``.
+
+    Tasks add up whole numbers, so the sums don't depend on the order of tasks; a row a
+    feature reaches the driver.
+    """
+
+    def run(batches):
+        total = np.zeros(_WIDTH, dtype=object)
+        square, n = total.copy(), 0
+        for batch in batches:
+            for part in text_slices(batch):
+                x = _vectors(part.column("text")).astype(np.float64)
+                n += len(x)
+                for into, values in ((total, x.sum(axis=0)), (square, (x * x).sum(axis=0))):
+                    into += np.array([int(v) for v in np.rint(values * _UNIT)], dtype=object)
+        whole = lambda xs: pa.array([Decimal(v) for v in xs], pa.decimal128(38, 0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(_WIDTH), pa.int32()), whole(total), whole(square), pa.array([n] * _WIDTH, pa.int64())],
+            names=["feature", "total", "square", "n"],
+        )
+
+    schema = "feature int, total decimal(38,0), square decimal(38,0), n long"
+    sums = map_batches(docs.select("text"), run, schema).groupBy("feature")
+    mean, spread = np.zeros(_WIDTH), np.zeros(_WIDTH)
+    for r in sums.agg(F.sum("total").alias("t"), F.sum("square").alias("s"), F.sum("n").alias("n")).collect():
+        if r["n"]:
+            mean[r["feature"]] = float(r["t"]) / _UNIT / r["n"]
+            left = float(r["s"]) / _UNIT / r["n"] - mean[r["feature"]] ** 2
+            spread[r["feature"]] = np.sqrt(max(left, 0.0))
+    return mean, spread
+
+
+def counts_above(docs: DataFrame, model: Model, cuts: np.ndarray, without: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many texts of (_order, text) reach each cut, and of how many.
+
+    Rows whose ``_order`` is among ``without``, those trained on, don't count.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((model, cuts, without))
+
+    def run(batches):
+        model, cuts, without = sent.value
+        reached, n = np.zeros(len(cuts) + 1, dtype=np.int64), 0
+        for batch in batches:
+            for part in text_slices(batch):
+                z = model.margins(part.column("text"))
+                z = z[~np.isin(part.column("_order").to_numpy(), without)]
+                n += len(z)
+                reached += np.bincount(np.searchsorted(cuts, z, side="right"), minlength=len(cuts) + 1)
+        above = np.append(reached[::-1].cumsum()[::-1][1:], n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(above)), pa.int32()), pa.array(above)], names=["cut", "n"]
+        )
+
+    found = map_batches(docs.select("_order", "text"), run, "cut int, n long")
+    above = np.zeros(len(cuts) + 1, dtype=np.int64)
+    for r in found.groupBy("cut").agg(F.sum("n").alias("n")).collect():
+        above[r["cut"]] = r["n"]
+    return above[:-1], int(above[-1])
+
+
 def fit(
-    positive: np.ndarray, unlabelled: np.ndarray, *, steps: int = 400, rate: float = 0.02,
-    decay: float = 0.1,
+    docs: DataFrame, positive: np.ndarray, unlabelled: np.ndarray, orders: np.ndarray, *,
+    steps: int = 400, rate: float = 0.02, decay: float = 0.1,
 ) -> Model:
     """Learn from feature rows of trusted positives and of unlabelled texts.
 
-    Both arrays are scaled in place.
+    Centre and spread of the unlabelled features and the class prior come from all texts of
+    ``docs`` (_order, text); ``orders`` are those of the unlabelled rows. Both arrays are
+    scaled in place.
     """
     width = 1 << BITS
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(width), np.zeros(_DENSE), 0.0, 0.5)
     p, u = positive, unlabelled
-    n = len(p) + len(u)
-    centre = sum(x.sum(axis=0, dtype=np.float64) for x in (p, u)) / n
-    square = sum(
-        ((x[k : k + 512] - centre) ** 2).sum(axis=0) for x in (p, u) for k in range(0, len(x), 512)
-    )
-    spread = np.sqrt(square / n) + 1e-4
+    # Positives and the corpus, weighted as the rows that the risk sees.
+    share = len(p) / (len(p) + len(u))
+    mean, deviation = moments(docs)
+    of_p = p.mean(axis=0, dtype=np.float64)
+    centre = share * of_p + (1 - share) * mean
+    within = share * p.var(axis=0, dtype=np.float64) + (1 - share) * deviation**2
+    spread = np.sqrt(within + share * (1 - share) * (of_p - mean) ** 2) + 1e-4
     spread[width:] /= _WEIGHT
     for x in (p, u):
         x -= centre.astype(np.float32)
         x /= spread.astype(np.float32)
-    # Prior: positives against unlabelled on one half, read off on the other half.
+
+    def model(w: np.ndarray, b: float, prior: float) -> Model:
+        scaled = w.astype(np.float64) / spread
+        return Model(scaled[:width], scaled[width:], float(b - scaled @ centre), prior)
+
+    # Prior: positives against unlabelled on one half, read off on all other texts.
     w, b = _descend(p[::2], u[::2], 0.5, steps // 2, rate, decay)
-    prior = class_prior(p[1::2] @ w + b, u[1::2] @ w + b)
-    w, b = _descend(p, u, prior, steps, rate, decay)
-    scaled = w.astype(np.float64) / spread
-    return Model(scaled[:width], scaled[width:], float(b - scaled @ centre), prior)
+    held, prior = p[1::2] @ w + b, 0.5
+    if len(held):
+        cuts = _cuts(held.astype(np.float64))
+        prior = _prior(held, cuts, *counts_above(docs, model(w, b, prior), cuts, orders[::2]))
+    return model(*_descend(p, u, prior, steps, rate, decay), prior)
 
 
-def _sample(docs: DataFrame, rows: int, seed: int) -> np.ndarray:
-    """Feature rows of the ``rows`` documents whose id hashes lowest."""
-    chosen = (
-        docs.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id")).orderBy("_order", "doc_id").limit(rows)
-    )
+def _sample(docs: DataFrame, rows: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Feature rows of the ``rows`` documents whose id hashes lowest, and the hashes.
+
+    Features are taken where the texts are; of those the lowest are chosen.
+    """
 
     def run(batches):
         for batch in batches:
@@ -154,13 +241,18 @@ def _sample(docs: DataFrame, rows: int, seed: int) -> np.ndarray:
                     names=["_order", "features"],
                 )
 
-    found = map_batches(chosen.select("_order", "text"), run, "_order long, features binary")
-    table = found.toArrow()
-    width = (1 << BITS) + _DENSE
-    rows = [np.frombuffer(x.as_py(), dtype=np.float32) for x in table.column("features")]
-    out = np.concatenate(rows).reshape(-1, width) if rows else np.zeros((0, width), np.float32)
+    found = map_batches(_ordered(docs, seed), run, "_order long, features binary")
+    table = found.orderBy("_order", "features").limit(rows).toArrow()
+    kept = [np.frombuffer(x.as_py(), dtype=np.float32) for x in table.column("features")]
+    out = np.concatenate(kept).reshape(-1, _WIDTH) if kept else np.zeros((0, _WIDTH), np.float32)
     # In the order of the hashes, whatever the order of the tasks.
-    return out[np.lexsort((out[:, -3], out[:, 0], table.column("_order").to_numpy()))]
+    orders = table.column("_order").to_numpy()
+    by = np.lexsort((out[:, -3], out[:, 0], orders))
+    return out[by], orders[by]
+
+
+def _ordered(docs: DataFrame, seed: int) -> DataFrame:
+    return docs.select(F.xxhash64(F.lit(seed), "doc_id").alias("_order"), "text")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -174,7 +266,9 @@ def learn(
     """Fit on at most ``positives`` trusted and ``unlabelled`` other texts of the learning folds.
 
     The bounds are parameters; what is drawn depends on ids alone. Trusted are documents
-    whose labels all say 1; unlabelled texts are any texts, whatever their label.
+    whose labels all say 1; unlabelled texts are any texts, whatever their label. Rows of
+    null ids and copies take no place in the sample. The features' centre and spread and
+    the class prior come from all texts of these folds.
     """
     plain = docs.selectExpr("cast(doc_id as long) as doc_id", "text").where(~held_out())
     trusted = (
@@ -186,12 +280,12 @@ def learn(
         .select("doc_id")
     )
     few = trusted.orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").limit(positives)
-    p = _sample(possible(plain, "doc_id", few).join(few, "doc_id"), positives, 1)
+    p, _ = _sample(possible(plain, "doc_id", few).join(few, "doc_id"), positives, 1)
     # Documents with the lowest id hashes, found without their texts.
-    ids = plain.select("doc_id").orderBy(F.xxhash64(F.lit(2), "doc_id"), "doc_id").limit(unlabelled)
-    ids = ids.where("doc_id is not null").distinct()
-    u = _sample(possible(plain, "doc_id", ids).join(ids, "doc_id"), unlabelled, 2)
-    return fit(p, u)
+    ids = plain.select("doc_id").where("doc_id is not null").distinct()
+    ids = ids.orderBy(F.xxhash64(F.lit(2), "doc_id"), "doc_id").limit(unlabelled)
+    u, orders = _sample(possible(plain, "doc_id", ids).join(ids, "doc_id"), unlabelled, 2)
+    return fit(_ordered(plain, 2), p, u, orders)
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:

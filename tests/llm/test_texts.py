@@ -195,6 +195,22 @@ def test_class_prior_is_near_the_truth():
         assert classifier.class_prior(good[:3000], mixed) == pytest.approx(share, abs=0.06)
 
 
+def test_corpus_statistics_cover_all_texts(spark):
+    texts = [t for t in odd_texts(300)] + ["", None, "x y " * 20_000]
+    docs = with_texts(spark, texts).repartition(7).withColumnRenamed("doc_id", "_order")
+    rows = classifier._vectors(pa.array(texts)).astype(np.float64)
+    mean, spread = classifier.moments(docs)
+    assert np.allclose(mean, rows.mean(axis=0), atol=1e-6) and np.allclose(spread, rows.std(axis=0), atol=1e-4)
+    rnd = np.random.default_rng(3)
+    model = classifier.Model(rnd.normal(size=1 << classifier.BITS), rnd.normal(size=7), 0.1, 0.5)
+    z = model.margins(pa.array(texts))
+    cuts, without = np.sort(rnd.choice(z, 40)), np.arange(0, 303, 4)  # cuts that rows reach exactly
+    above, n = classifier.counts_above(docs, model, cuts, without)
+    left = np.delete(z, without)
+    assert n == len(left) and above.tolist() == [(left >= c).sum() for c in cuts]
+    assert classifier.counts_above(docs.limit(0), model, cuts, without)[1] == 0
+
+
 def test_classifier_on_awkward_rows(awkward, labels, no_docs):
     out = classifier.quality_scores(awkward, labels).collect()
     assert len(out) == awkward.count()
