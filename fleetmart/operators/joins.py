@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fleetmart.operators.scale import DEFAULT, HotKeys, Limits
 
-_SALT, _ROWS = "_salt", "_n"
+_SALT, _ROWS, _HASH, _KIND = "_salt", "_n", "_hash", "_kind"
+# Partitions of a layout whose narrow pairs fill one task.
+_NARROW = 4
 
 
 def join_unique(
@@ -51,3 +54,53 @@ def join_unique(
         )
     fact = left.withColumn(_SALT, F.when(F.col(key).isNull(), everywhere).otherwise(salt))
     return fact.drop(_ROWS).join(dimension, [key, _SALT], how).drop(_SALT)
+
+
+def meet(
+    source: DataFrame,
+    right: DataFrame,
+    key: str,
+    near: str,
+    parts: int,
+    *,
+    hot: HotKeys | None = None,
+    limits: Limits = DEFAULT,
+) -> DataFrame:
+    """(``near``, ``key``, columns of ``right``) for the pairs of ``source``, for ``bring_near``.
+
+    Only the two columns of ``source`` are shuffled, text keys as hashes, so that there may be
+    pairs of keys that hash alike as well. Pairs may repeat; those with a NULL are left out.
+    """
+    asked = source.select(key, near).where(F.col(key).isNotNull() & F.col(near).isNotNull())
+    if hot is not None:
+        met = join_unique(asked, right, key, spread_by=near, hot=hot, limits=limits)
+    else:
+        by, few = key, -(-parts // _NARROW)
+        if source.schema[key].dataType == right.schema[key].dataType == StringType():
+            by = _HASH
+            asked = asked.select(F.xxhash64(key).alias(by), near)
+            right = right.withColumn(by, F.xxhash64(key))
+        met = asked.repartition(few, by).join(right.repartition(few, by), by)
+    return met.select(near, key, *[name for name in right.columns if name not in (key, _HASH)])
+
+
+def bring_near(
+    left: DataFrame, near: str, parts: int, met: dict[str, DataFrame]
+) -> DataFrame:
+    """``left`` in ``parts`` by ``near``, with the columns of frames that ``meet`` gave, by key.
+
+    A left join that shuffles wide rows once, however many frames there are: what has met comes
+    as rows beside them into the part of ``near``, and a running window hands its values over.
+    """
+    rows = left.withColumn(_KIND, F.lit(0))
+    for kind, found in enumerate(met.values(), 1):
+        rows = rows.unionByName(found.withColumn(_KIND, F.lit(-kind)), allowMissingColumns=True)
+    rows = rows.repartition(parts, near)
+    for kind, (key, found) in enumerate(met.items(), 1):
+        window = Window.partitionBy(near, key).orderBy(_KIND)
+        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        given = [name for name in found.columns if name not in (near, key)]
+        kept = [name for name in rows.columns if name not in given]
+        values = [F.last(name, ignorenulls=True).over(so_far).alias(name) for name in given]
+        rows = rows.select(*kept, *values).where(F.col(_KIND) != -kind)
+    return rows.drop(_KIND)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 T = TypeVar("T")
 
+# Codec of all stored tables and intermediates.
+CODEC = "zstd"
 # Rows of a frame of hot keys that may be broadcast: some 16 MB in memory.
 BROADCAST_KEYS = 250_000
 
@@ -23,10 +25,12 @@ class Limits:
     """``hot_rows``: rows of one key for a single task. ``range_parts``: parts of a ranking.
 
     Spark chooses the parts by its settings and their size where ``range_parts`` is None.
+    ``task_rows``: rows of a wide table that one task sorts in memory, see ``parts_for``.
     """
 
     hot_rows: int = 5_000_000
     range_parts: int | None = None
+    task_rows: int = 500_000
 
 
 DEFAULT = Limits()
@@ -67,6 +71,16 @@ def tasks_for(rows: int, limits: Limits = DEFAULT) -> int:
     return max(1, -(-rows // limits.hot_rows))
 
 
+def parts_for(spark: SparkSession, rows: int, limits: Limits = DEFAULT) -> int | None:
+    """Partitions of at most some ``task_rows`` rows; None where one task can hold them all.
+
+    A number by the rows, so that sorts don't spill where the session has few partitions. Never
+    fewer than the session has: Spark would shuffle a join's sides into those again.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-rows // limits.task_rows)) if rows > limits.task_rows else None
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for written intermediates, below the one named in spark.checkpoint.dir.
 
@@ -98,7 +112,7 @@ def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFra
     """Write ``df`` once and read it back: cuts lineage, fixes partition ids."""
     spark = df.sparkSession
     path = f"{folder or scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return spark.read.schema(df.schema).parquet(path)
 
 

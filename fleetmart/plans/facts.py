@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.labels import PEAK_HOURS
 from fleetmart.functions.scalars import date_key, exact_sum, minutes_between
-from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import DEFAULT, HotKeys, Limits, hot_keys, together
+from fleetmart.operators.joins import bring_near, join_unique, meet
+from fleetmart.operators.scale import (
+    BROADCAST_KEYS,
+    DEFAULT,
+    HotKeys,
+    Limits,
+    hot_keys,
+    parts_for,
+    together,
+)
 from fleetmart.operators.sequence import sequence, split_sequence
 
 
@@ -30,28 +38,43 @@ def keyed_rides(
     *,
     hot_drivers: HotKeys | None = None,
     hot_users: HotKeys | None = None,
+    ratings: DataFrame | None = None,
+    parts: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Rides with their three dimension keys; rides without a match are dropped."""
-    rides = raw_rides.drop("start_location", "end_location").withColumn(
-        "date_key", date_key(F.to_date("ride_start_time"))
-    )
+    """Rides with their three dimension keys; rides without a match are dropped.
+
+    With ``parts`` the rides are shuffled whole once, by driver_id into so many parts, and stay
+    there. Ratings, and keys of more users than may be broadcast, are brought to them.
+    """
+    rides = raw_rides.drop("start_location", "end_location")
+    drivers = dim_driver.select("driver_id", "driver_key")
+    users = dim_user.select("user_id", "user_key")
+    many_users = parts is not None and users.count() > min(BROADCAST_KEYS, limits.task_rows)
+    if parts is not None:
+        met = {}
+        if many_users:
+            met["user_id"] = meet(
+                raw_rides, users, "user_id", "driver_id", parts, hot=hot_users, limits=limits
+            )
+        if ratings is not None:
+            met["ride_id"] = meet(raw_rides, ratings, "ride_id", "driver_id", parts, limits=limits)
+        rides = bring_near(rides.where(F.col("driver_id").isNotNull()), "driver_id", parts, met)
+        drivers = drivers.repartition(parts, "driver_id")
     with_driver = join_unique(
-        rides,
-        dim_driver.select("driver_id", "driver_key"),
+        rides.withColumn("date_key", date_key(F.to_date("ride_start_time"))),
+        drivers,
         "driver_id",
         spread_by="ride_id",
         hot=hot_drivers,
         limits=limits,
     )
-    with_user = join_unique(
-        with_driver,
-        dim_user.select("user_id", "user_key"),
-        "user_id",
-        spread_by="ride_id",
-        hot=hot_users,
-        limits=limits,
-    )
+    if many_users:
+        with_user = with_driver.where(F.col("user_key").isNotNull())
+    else:
+        with_user = join_unique(
+            with_driver, users, "user_id", spread_by="ride_id", hot=hot_users, limits=limits
+        )
     return join_unique(with_user, dim_date.select("date_key"), "date_key")
 
 
@@ -63,13 +86,26 @@ def rated_rides(
     dim_date: DataFrame,
     *,
     hot_users: HotKeys | None = None,
+    parts: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Keyed rides with their rating (from ``rating_per_ride``), as the fact names them."""
-    keyed = keyed_rides(
-        raw_rides, dim_user, dim_driver, dim_date, hot_users=hot_users, limits=limits
+    """Keyed rides with their rating (from ``rating_per_ride``), as the fact names them.
+
+    With ``parts`` they stay in their parts by driver_id, see ``keyed_rides``, and keep it.
+    """
+    rated = keyed_rides(
+        raw_rides,
+        dim_user,
+        dim_driver,
+        dim_date,
+        hot_users=hot_users,
+        ratings=ratings,
+        parts=parts,
+        limits=limits,
     )
-    return join_unique(keyed, ratings, "ride_id", "left", spread_by="ride_start_time").select(
+    if parts is None:
+        rated = join_unique(rated, ratings, "ride_id", "left", spread_by="ride_start_time")
+    return rated.select(
         "ride_id",
         "user_key",
         "driver_key",
@@ -79,6 +115,7 @@ def rated_rides(
         "distance_km",
         "fare_amount",
         "average_driver_rating",
+        *([] if parts is None else ["driver_id"]),
     )
 
 
@@ -93,27 +130,34 @@ def _with_previous_end(
     """Keyed and rated rides with the end of the driver's previous ride.
 
     Hot drivers and users are counted on the raw table, one column each, before any
-    join; so every ride passes through the joins once.
+    join; so every ride passes through the joins once. More rides than a task holds are laid
+    out by driver first, and windows and joins work in those parts.
     """
-    hot_drivers, hot_users = together(
+    hot_drivers, hot_users, rows = together(
         lambda: hot_keys(raw_rides, "driver_id", limits),
         lambda: hot_keys(raw_rides, "user_id", limits),
+        raw_rides.count,
     )
+    parts = parts_for(raw_rides.sparkSession, rows - (hot_drivers.rows if hot_drivers else 0), limits)
     order, lag = ["start_time", "ride_id"], {"previous_end": "end_time"}
 
-    def rated(rides: DataFrame, drivers: DataFrame) -> DataFrame:
+    def rated(rides: DataFrame, drivers: DataFrame, parts: int | None = None) -> DataFrame:
         return rated_rides(
-            rides, ratings, dim_user, drivers, dim_date, hot_users=hot_users, limits=limits
+            rides, ratings, dim_user, drivers, dim_date, hot_users=hot_users, parts=parts, limits=limits
         )
 
+    def linked(rides: DataFrame) -> DataFrame:
+        key = "driver_key" if parts is None else "driver_id"
+        return sequence(rated(rides, dim_driver, parts), key, order, lag=lag).drop("driver_id")
+
     if hot_drivers is None:
-        return sequence(rated(raw_rides, dim_driver), "driver_key", order, lag=lag)
+        return linked(raw_rides)
 
     flags = hot_drivers.flags
     few = dim_driver.join(flags, "driver_id", "left_semi")
     many_rides = raw_rides.join(flags, "driver_id", "left_semi")
     other_rides = raw_rides.join(flags, "driver_id", "left_anti")
-    other = sequence(rated(other_rides, dim_driver), "driver_key", order, lag=lag)
+    other = linked(other_rides)
     many = split_sequence(
         rated(many_rides, few), "driver_key", order, hot_drivers.rows, lag=lag, limits=limits
     )
@@ -153,22 +197,31 @@ def fact_rides(
 ) -> DataFrame:
     """The fact in its stored layout. Unrated rides and first rides keep NULLs.
 
-    Runs two jobs first that count drivers and users, see ``hot_keys``.
+    Runs jobs first that count rides, drivers and users, see ``hot_keys``.
     """
     ratings = rating_per_ride(raw_ratings)
     linked = _with_previous_end(raw_rides, ratings, dim_user, dim_driver, dim_date, limits)
     return with_measures(linked, peak_hours)
 
 
-def daily_rides(fact: DataFrame) -> DataFrame:
-    """One row per driver and date: sums that add up further, first rides left out."""
-    return (
-        fact.where(F.col("time_to_next_ride_minutes").isNotNull())
-        .groupBy("driver_key", "start_date_key")
-        .agg(
-            exact_sum(F.col("time_to_next_ride_minutes")).alias("wait"),
-            F.count("time_to_next_ride_minutes").alias("waits"),
-            F.count("ride_id").alias("rides"),
-            exact_sum(F.col("fare_amount")).alias("revenue"),
-        )
+def daily_rides(fact: DataFrame, parts: int | None = None) -> DataFrame:
+    """One row per driver and date: sums that add up further, first rides left out.
+
+    With ``parts`` they are added up in so many partitions.
+    """
+    rides = fact.where(F.col("time_to_next_ride_minutes").isNotNull())
+    rides = rides.select(
+        "driver_key",
+        "start_date_key",
+        "time_to_next_ride_minutes",
+        "fare_amount",
+        F.when(F.col("ride_id").isNotNull(), True).alias("_has_id"),
+    )
+    if parts is not None:
+        rides = rides.repartition(parts, "driver_key", "start_date_key")
+    return rides.groupBy("driver_key", "start_date_key").agg(
+        exact_sum(F.col("time_to_next_ride_minutes")).alias("wait"),
+        F.count("time_to_next_ride_minutes").alias("waits"),
+        F.count("_has_id").alias("rides"),
+        exact_sum(F.col("fare_amount")).alias("revenue"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.operators import quality
-from fleetmart.operators.scale import DEFAULT, Limits, materialize, together
+from fleetmart.operators.scale import DEFAULT, Limits, materialize, parts_for, together
 from fleetmart.plans import dimensions, facts
 from fleetmart.schemas import FOREIGN_KEYS, RAW, RULES, STAR, value_kinds
 from fleetmart.sources import tables
@@ -105,6 +105,30 @@ def _registers(spark: SparkSession, root: str, durable_keys: bool) -> list[str |
     return [path if durable_keys or tables.exists(spark, f"{path}/keys") else None for path in paths]
 
 
+def build_dimensions(
+    raw: dict[str, DataFrame],
+    root: str,
+    *,
+    salt: str | None = None,
+    durable_keys: bool = False,
+    limits: Limits = DEFAULT,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Drop and rebuild dim_user, dim_driver and dim_date, in this order, for ``build``."""
+    of_users, of_drivers = _registers(raw["users"].sparkSession, root, durable_keys)
+    dim_user, dim_driver, dim_date = together(
+        lambda: tables.recreate(
+            dimensions.new_users(raw["users"], salt=salt, register=of_users, limits=limits),
+            f"{root}/dim_user",
+        ),
+        lambda: tables.recreate(
+            dimensions.new_drivers(raw["drivers"], raw["vehicles"], register=of_drivers, limits=limits),
+            f"{root}/dim_driver",
+        ),
+        lambda: tables.recreate(dimensions.new_dates(raw["rides"]), f"{root}/dim_date"),
+    )
+    return dim_user, dim_driver, dim_date
+
+
 def build(
     raw: dict[str, DataFrame],
     root: str,
@@ -134,20 +158,11 @@ def build(
         found = [f"{r.check} {r.subject}: {r.n_rows}" for r in broken.orderBy("subject").take(20)]
         if found:
             raise LoadRefused("; ".join(found))
-    of_users, of_drivers = _registers(raw["users"].sparkSession, root, durable_keys)
     made = together(
-        lambda: tables.recreate(dimensions.new_dates(raw["rides"]), f"{root}/dim_date"),
-        lambda: tables.recreate(
-            dimensions.new_users(raw["users"], salt=salt, register=of_users, limits=limits),
-            f"{root}/dim_user",
-        ),
-        lambda: tables.recreate(
-            dimensions.new_drivers(raw["drivers"], raw["vehicles"], register=of_drivers, limits=limits),
-            f"{root}/dim_driver",
-        ),
+        lambda: build_dimensions(raw, root, salt=salt, durable_keys=durable_keys, limits=limits),
         *([report] if checks == "report" else []),
     )
-    dim_date, dim_user, dim_driver = made[:3]
+    dim_user, dim_driver, dim_date = made[0]
     fact = facts.fact_rides(
         raw["rides"],
         raw["ratings"],
@@ -158,7 +173,8 @@ def build(
         limits=limits,
     )
     stored = tables.write_fact(fact, f"{root}/fact_rides")
-    daily = tables.recreate(facts.daily_rides(stored), f"{root}/daily_rides")
+    parts = parts_for(stored.sparkSession, stored.count(), limits)
+    daily = tables.recreate(facts.daily_rides(stored, parts), f"{root}/daily_rides")
     return Warehouse(dim_user, dim_driver, dim_date, stored, daily)
 
 

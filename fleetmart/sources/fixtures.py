@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.functions.scalars import date_key
+from fleetmart.operators.scale import parts_for
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -109,6 +110,10 @@ def _event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
+    parts = parts_for(spark, lineitem.count())
+    if parts is not None:
+        lineitem = lineitem.repartition(parts, "l_orderkey")
+        orders = orders.repartition(parts, "o_orderkey")
     day = F.col("l_shipdate").cast("timestamp_ntz")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws(

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from fleetmart.operators.scale import CODEC
+
 FACT_ORDER = ["driver_key", "start_time", "ride_id"]
 
 
 def recreate(df: DataFrame, path: str) -> DataFrame:
     """Replace the table at ``path``. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").parquet(path, compression=CODEC)
 
 
 def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -33,7 +35,8 @@ def replace_parts(df: DataFrame, path: str, parts: list[str]) -> None:
     ``df`` must not read from ``path``. Running it again changes nothing.
     """
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*parts).option("maxRecordsPerFile", 20_000_000).parquet(path)
+    writer = writer.partitionBy(*parts).option("maxRecordsPerFile", 20_000_000)
+    writer.parquet(path, compression=CODEC)
 
 
 def fact_layout(df: DataFrame) -> DataFrame:
@@ -58,5 +61,6 @@ def write_fact(
         writer = laid_out.write.partitionBy("start_date_key")
     else:
         writer = fact_layout(df).write
-    writer.mode(mode).option("maxRecordsPerFile", 20_000_000).parquet(path)
+    writer = writer.mode(mode).option("maxRecordsPerFile", 20_000_000)
+    writer.parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
