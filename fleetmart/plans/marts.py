@@ -29,6 +29,7 @@ from fleetmart.operators.scale import (
     DEFAULT,
     Limits,
     HotKeys,
+    parts_for,
     sort_columns,
 )
 from fleetmart.operators.sequence import sequence
@@ -37,6 +38,8 @@ from fleetmart.plans.warehouse import Warehouse
 from fleetmart.sources.colocated import Colocated
 
 RIDE_ORDER = ["start_time", "ride_id"]
+# Rows of daily sums that take the place of a ride in a task.
+_NARROW = 4
 # Keys that a filter on a scan may list.
 MOST_KEYS = 10_000
 
@@ -58,21 +61,27 @@ def _mean(total: str, count: str) -> Column:
 def _daily(wh: Warehouse, by: str) -> DataFrame:
     """One row per driver and date key, first ride of each driver left out.
 
-    Reads the stored sums per driver key and date; only their names are joined here.
+    Reads the stored sums per driver key and date; only their names are joined here. Days of
+    drivers who share their name are added up, those of all others stay where they are. A small
+    job counts the days, so that the partitions of the sums follow their number.
     """
     days = wh.daily_rides
     if by != "driver_key":
-        names = wh.dim_driver.select("driver_key", "driver_name")
-        days = (
-            join_unique(days, names, "driver_key")
-            .groupBy(by, "start_date_key")
-            .agg(
-                exact_sum(F.col("wait")).alias("wait"),
-                F.sum("waits").alias("waits"),
-                F.sum("rides").alias("rides"),
-                exact_sum(F.col("revenue")).alias("revenue"),
-            )
+        alike = F.count(F.lit(1)).over(Window.partitionBy("driver_name")) > 1
+        names = wh.dim_driver.select("driver_key", "driver_name", alike.alias("_alike"))
+        sums = ["wait", "waits", "rides", "revenue"]
+        named = join_unique(days, names, "driver_key").select(by, "start_date_key", *sums, "_alike")
+        shared = named.where("_alike")
+        parts = parts_for(days.sparkSession, -(-days.count() // _NARROW))
+        if parts is not None:
+            shared = shared.repartition(parts, by, "start_date_key")
+        shared = shared.groupBy(by, "start_date_key").agg(
+            exact_sum(F.col("wait")).alias("wait"),
+            F.sum("waits").alias("waits"),
+            F.sum("rides").alias("rides"),
+            exact_sum(F.col("revenue")).alias("revenue"),
         )
+        days = named.where("not _alike").drop("_alike").unionByName(shared)
     return days.select(
         by,
         "start_date_key",
