@@ -39,14 +39,24 @@ SALT = "fleet"
 DECLARED = RAW | STAR
 STAR_NAMES = ("dim_user", "dim_driver", "dim_date", "fact_rides")
 
+_STAGED: dict[tuple[str, str, str], tuple[dict[str, DataFrame], str]] = {}
 _BUILT: dict[tuple[str, str, str], Warehouse] = {}
 
 
+def staged(spark: SparkSession, sf_dir: str, rides: str) -> tuple[dict[str, DataFrame], str]:
+    """The raw tables that a load reads, and the folder of their warehouse."""
+    key = (spark.sparkContext.applicationId, sf_dir, rides)
+    if key not in _STAGED:
+        root = f"{scratch_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+        _STAGED[key] = stage_from(raw_tables(spark, sf_dir, rides), root, rides), root
+    return _STAGED[key]
+
+
 def built(spark: SparkSession, sf_dir: str, rides: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir, rides)
     if key not in _BUILT:
-        root = f"{scratch_dir(spark)}/warehouse-{uuid.uuid4().hex}"
-        _BUILT[key] = build_from(raw_tables(spark, sf_dir, rides), root, rides)
+        raw, root = staged(spark, sf_dir, rides)
+        _BUILT[key] = warehouse.build(raw, root, checks="none")
     return _BUILT[key]
 
 
@@ -61,11 +71,15 @@ def hot_drivers(spark: SparkSession, sf_dir: str, rides: str) -> HotKeys | None:
     return _HOT[key]
 
 
+def stage_from(raw: dict[str, DataFrame], root: str, rides: str) -> dict[str, DataFrame]:
+    # Rides from order lines come out of a join and are read several times, so they are stored
+    # before use. A load reads the other tables once.
+    return raw | warehouse.stage({"rides": raw["rides"]}, root) if rides == "orders" else raw
+
+
 def build_from(raw: dict[str, DataFrame], root: str, rides: str) -> Warehouse:
-    # Rides from order lines come out of a join, so they are stored before use. The checks
-    # of a load have queries of their own.
-    staged = warehouse.stage(raw, root) if rides == "orders" else raw
-    return warehouse.build(staged, root, checks="none")
+    # The checks of a load have queries of their own.
+    return warehouse.build(stage_from(raw, root, rides), root, checks="none")
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -345,10 +359,10 @@ def join_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_rides(rides: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh, raw = built(spark, sf_dir, rides), raw_tables(spark, sf_dir, rides)
-    return facts.fact_rides(
-        raw["rides"], raw["ratings"], wh.dim_user, wh.dim_driver, wh.dim_date
-    )
+    """The fact as a load computes it, from the raw rides and dimensions of its own."""
+    raw, root = staged(spark, sf_dir, rides)
+    dims = warehouse.build_dimensions(raw, f"{root}/fact-{uuid.uuid4().hex}")
+    return facts.fact_rides(raw["rides"], raw["ratings"], *dims)
 
 
 def fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
