@@ -80,7 +80,7 @@ def meet(
             by = _HASH
             asked = asked.select(F.xxhash64(key).alias(by), near)
             right = right.withColumn(by, F.xxhash64(key))
-        met = asked.repartition(few, by).join(right.repartition(few, by), by)
+        met = asked.repartition(few, by).join(right.repartition(few, by).hint("merge"), by)
     return met.select(near, key, *[name for name in right.columns if name not in (key, _HASH)])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.operators import ranking
-from fleetmart.operators.scale import DEFAULT, Limits
+from fleetmart.operators.scale import DEFAULT, Limits, shuffled
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -70,7 +70,8 @@ def insert_if_absent(
     """
     fresh, start = incoming.where(F.col(natural).isNotNull()), 1
     if target is not None:
-        fresh = fresh.join(target.select(natural), natural, "left_anti").select(*fresh.columns)
+        known = shuffled(target).select(natural)
+        fresh = fresh.join(known, natural, "left_anti").select(*fresh.columns)
         start = (target.agg(F.max(key)).first()[0] or 0) + 1
     return with_surrogate_key(
         first_per_key(fresh, [natural], order), key, natural, start=start, limits=limits

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions.scalars import date_key, day_of_week, fingerprint, initial
 from fleetmart.operators.joins import join_unique
 from fleetmart.operators.keys import insert_if_absent
-from fleetmart.operators.scale import DEFAULT, Limits
+from fleetmart.operators.scale import DEFAULT, Limits, shuffled
 from fleetmart.sources.registers import insert_registered
 
 
@@ -30,7 +30,7 @@ def masked_users(raw_users: DataFrame, salt: str | None = None) -> DataFrame:
 def drivers_with_vehicles(
     raw_drivers: DataFrame, raw_vehicles: DataFrame
 ) -> DataFrame:
-    vehicles = raw_vehicles.select(
+    vehicles = shuffled(raw_vehicles).select(
         "vehicle_id",
         F.col("make").alias("vehicle_make"),
         F.col("model").alias("vehicle_model"),

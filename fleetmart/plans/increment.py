@@ -27,7 +27,15 @@ from pyspark.sql.types import StructType
 from fleetmart.functions.scalars import minutes_between
 from fleetmart.operators import bitmaps
 from fleetmart.operators.keys import first_per_key
-from fleetmart.operators.scale import DEFAULT, Limits, hot_keys, materialize, remove, together
+from fleetmart.operators.scale import (
+    DEFAULT,
+    Limits,
+    hot_keys,
+    materialize,
+    remove,
+    shuffled,
+    together,
+)
 from fleetmart.operators.sequence import sequence
 from fleetmart.plans import facts, states
 from fleetmart.plans.warehouse import Warehouse, load_dimensions
@@ -224,11 +232,12 @@ def load_batch(
     load, groups = (last["load"] + 1, last["groups"]) if last else (1, groups)
 
     hot_users = hot_keys(raw["rides"], "user_id", limits)
+    # What grows with the rides or users is shuffled: a broadcast would pass the driver.
     rated = facts.rated_rides(
         first_per_key(raw["rides"], ["ride_id"]),
-        facts.rating_per_ride(raw["ratings"]),
-        dim_user,
-        dim_driver,
+        facts.rating_per_ride(raw["ratings"]).hint("merge"),
+        shuffled(dim_user),
+        shuffled(dim_driver),
         dim_date,
         hot_users=hot_users,
         limits=limits,
@@ -259,7 +268,7 @@ def load_batch(
         held_late = held.join(of_kind("late"), place, "left_semi").select(*names)
         late = batch.join(of_kind("late"), place, "left_semi").select(*batch.columns)
         # A ride that is stored already isn't new.
-        known = held_late.select("ride_id", *place)
+        known = held_late.select("ride_id", *place).hint("merge")
         late = late.join(known, ["ride_id", *place], "left_anti").select(*batch.columns)
         gap = held.schema["time_to_next_ride_minutes"].dataType
         both = held_late.unionByName(
@@ -295,7 +304,7 @@ def load_batch(
                 F.struct(*FACT_PARTS).isin([F.struct(*(F.lit(v) for v in w)) for w in whole])
             )
             gaps = changed.select("ride_id", *FACT_PARTS, F.lit(True).alias("_new"), "gap")
-            rewritten = here.join(gaps, ["ride_id", *FACT_PARTS], "left").select(
+            rewritten = here.join(gaps.hint("merge"), ["ride_id", *FACT_PARTS], "left").select(
                 *[
                     F.when(F.col("_new"), F.col("gap")).otherwise(F.col(name)).alias(name)
                     if name == "time_to_next_ride_minutes"

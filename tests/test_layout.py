@@ -106,3 +106,27 @@ def test_stored_tables_are_compressed_well(spark, tmp_path):
     tables.recreate(spark.range(10).coalesce(1), str(tmp_path / "t"))
     [file] = (tmp_path / "t").glob("*.parquet")
     assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_large_right_sides_are_not_broadcast(spark, monkeypatch):
+    from fleetmart.operators import scale
+    from fleetmart.plans import dimensions
+
+    def broadcasts(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+    def few(df):
+        return scale.shuffled(df, 5)
+
+    drivers = spark.createDataFrame([("1", "Joe", "7", True)], "driver_id string, name string, vehicle_id string, available boolean")
+    vehicles = spark.range(9).select(
+        F.col("id").cast("string").alias("vehicle_id"), F.lit("a").alias("make"), F.lit("b").alias("model"),
+        F.lit(2001).alias("year"), F.lit(4).alias("capacity"),
+    )
+    before = dimensions.drivers_with_vehicles(drivers, vehicles)
+    monkeypatch.setattr(dimensions, "shuffled", few)
+    after = dimensions.drivers_with_vehicles(drivers, vehicles)
+    assert (broadcasts(before), broadcasts(after)) == (1, 0) and _rows(before) == _rows(after)
+    assert scale.shuffled(vehicles, 9) is vehicles
+    met = meet(_raw(spark)[0], _raw(spark)[2], "user_id", "driver_id", 8)
+    assert broadcasts(met) == 0
