@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -63,6 +65,7 @@ def meet(
     near: str,
     parts: int,
     *,
+    unique: Callable[[DataFrame, list[str]], DataFrame] | None = None,
     hot: HotKeys | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
@@ -70,7 +73,11 @@ def meet(
 
     Only the two columns of ``source`` are shuffled, text keys as hashes, so that there may be
     pairs of keys that hash alike as well. Pairs may repeat; those with a NULL are left out.
+    ``unique`` makes one row per key (the columns it is given) of a ``right`` that isn't unique,
+    in the parts where it is joined, so that it is shuffled once. ``hot`` needs a unique one.
     """
+    if hot is not None and unique is not None:
+        raise ValueError("hot keys need a right side that is unique")
     asked = source.select(key, near).where(F.col(key).isNotNull() & F.col(near).isNotNull())
     if hot is not None:
         met = join_unique(asked, right, key, spread_by=near, hot=hot, limits=limits)
@@ -80,7 +87,10 @@ def meet(
             by = _HASH
             asked = asked.select(F.xxhash64(key).alias(by), near)
             right = right.withColumn(by, F.xxhash64(key))
-        met = asked.repartition(few, by).join(right.repartition(few, by).hint("merge"), by)
+        right = right.repartition(few, by)
+        if unique is not None:
+            right = unique(right, list(dict.fromkeys([by, key])))
+        met = asked.repartition(few, by).join(right.hint("merge"), by)
     return met.select(near, key, *[name for name in right.columns if name not in (key, _HASH)])
 
 

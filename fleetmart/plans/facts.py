@@ -20,12 +20,15 @@ from fleetmart.operators.scale import (
 from fleetmart.operators.sequence import sequence, split_sequence
 
 
-def rating_per_ride(raw_ratings: DataFrame) -> DataFrame:
-    """One rating per ride: the latest, then the one with the highest id."""
+def rating_per_ride(raw_ratings: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One rating per ride: the latest, then the one with the highest id.
+
+    ``keys`` are the columns to group by where there is another one beside ``ride_id``.
+    """
     by = F.struct("rating_date", "rating_id")
     return (
         raw_ratings.where(F.col("ride_id").isNotNull())
-        .groupBy("ride_id")
+        .groupBy(*(keys or ["ride_id"]))
         .agg(F.max_by("rating_value", by).cast("decimal(3,2)").alias("average_driver_rating"))
     )
 
@@ -38,7 +41,7 @@ def keyed_rides(
     *,
     hot_drivers: HotKeys | None = None,
     hot_users: HotKeys | None = None,
-    ratings: DataFrame | None = None,
+    raw_ratings: DataFrame | None = None,
     parts: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
@@ -57,8 +60,10 @@ def keyed_rides(
             met["user_id"] = meet(
                 raw_rides, users, "user_id", "driver_id", parts, hot=hot_users, limits=limits
             )
-        if ratings is not None:
-            met["ride_id"] = meet(raw_rides, ratings, "ride_id", "driver_id", parts, limits=limits)
+        if raw_ratings is not None:
+            met["ride_id"] = meet(
+                raw_rides, raw_ratings, "ride_id", "driver_id", parts, unique=rating_per_ride
+            )
         rides = bring_near(rides.where(F.col("driver_id").isNotNull()), "driver_id", parts, met)
         drivers = drivers.repartition(parts, "driver_id")
     with_driver = join_unique(
@@ -80,7 +85,7 @@ def keyed_rides(
 
 def rated_rides(
     raw_rides: DataFrame,
-    ratings: DataFrame,
+    raw_ratings: DataFrame,
     dim_user: DataFrame,
     dim_driver: DataFrame,
     dim_date: DataFrame,
@@ -89,7 +94,7 @@ def rated_rides(
     parts: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Keyed rides with their rating (from ``rating_per_ride``), as the fact names them.
+    """Keyed rides with their rating (``rating_per_ride``), as the fact names them.
 
     With ``parts`` they stay in their parts by driver_id, see ``keyed_rides``, and keep it.
     """
@@ -99,11 +104,12 @@ def rated_rides(
         dim_driver,
         dim_date,
         hot_users=hot_users,
-        ratings=ratings,
+        raw_ratings=raw_ratings,
         parts=parts,
         limits=limits,
     )
     if parts is None:
+        ratings = rating_per_ride(raw_ratings)
         rated = join_unique(rated, ratings, "ride_id", "left", spread_by="ride_start_time")
     return rated.select(
         "ride_id",
@@ -121,7 +127,7 @@ def rated_rides(
 
 def _with_previous_end(
     raw_rides: DataFrame,
-    ratings: DataFrame,
+    raw_ratings: DataFrame,
     dim_user: DataFrame,
     dim_driver: DataFrame,
     dim_date: DataFrame,
@@ -143,7 +149,7 @@ def _with_previous_end(
 
     def rated(rides: DataFrame, drivers: DataFrame, parts: int | None = None) -> DataFrame:
         return rated_rides(
-            rides, ratings, dim_user, drivers, dim_date, hot_users=hot_users, parts=parts, limits=limits
+            rides, raw_ratings, dim_user, drivers, dim_date, hot_users=hot_users, parts=parts, limits=limits
         )
 
     def linked(rides: DataFrame) -> DataFrame:
@@ -199,8 +205,7 @@ def fact_rides(
 
     Runs jobs first that count rides, drivers and users, see ``hot_keys``.
     """
-    ratings = rating_per_ride(raw_ratings)
-    linked = _with_previous_end(raw_rides, ratings, dim_user, dim_driver, dim_date, limits)
+    linked = _with_previous_end(raw_rides, raw_ratings, dim_user, dim_driver, dim_date, limits)
     return with_measures(linked, peak_hours)
 
 
