@@ -97,29 +97,21 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return map_batches(plain, run, "doc_id long, h1 long, h2 long, grams long, bands array<long>")
 
 
-def _sets(texts: DataFrame, n: int) -> DataFrame:
-    """(cls, grams): the sorted distinct n-gram hashes of each class's text, as bytes."""
-
-    def run(batches):
-        for batch in batches:
-            for part in text_slices(batch):
-                _, _, _, hashes, first = words(part.column("text"))
-                grams, begins = ngrams(hashes, first, n)
-                sets = [
-                    np.unique(grams[a:b]).tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("cls"), pa.array(sets, pa.binary())], names=["cls", "grams"]
-                )
-
-    return map_batches(texts, run, "cls string, grams binary")
+def _grams(rows: pa.RecordBatch, n: int) -> list[np.ndarray]:
+    """The sorted distinct n-gram hashes of each row's text."""
+    out = []
+    for part in text_slices(rows):
+        _, _, _, hashes, first = words(part.column("text"))
+        grams, begins = ngrams(hashes, first, n)
+        out += [np.unique(grams[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    return out
 
 
-def _verify(threshold: float, most: int):
+def _verify(threshold: float, n: int):
     """Counts links among the rows of each unit, which come together and in order of side."""
 
-    def links(bands, sizes, sets, copies, side, band):
-        """Pairs of one unit: those whose first shared band is this one and that are similar."""
+    def links(buckets, sizes, sets, side, band):
+        """Similar pairs of one unit: those that share no unit's bucket of an earlier band."""
         crossed = bool(side.any())
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if crossed else left
@@ -157,7 +149,12 @@ def _verify(threshold: float, most: int):
         union = sizes[left][:, None] + sizes[right][None, :] - common
         alike = common >= threshold * union
         for k in range(band):  # found in an earlier band
-            alike &= bands[left, k][:, None] != bands[right, k][None, :]
+            here = [x.get(k) for x in buckets]
+            if len(set(here)) > 1 or here[0] is not None:
+                there = np.array([x is not None for x in here])
+                value = np.array([x or 0 for x in here], dtype=np.int64)
+                same = value[left][:, None] == value[right][None, :]
+                alike &= ~(same & there[left][:, None] & there[right][None, :])
         if not crossed:
             np.fill_diagonal(alike, False)
         return left, right, alike
@@ -186,24 +183,24 @@ def _verify(threshold: float, most: int):
         side = whole.column("side").to_numpy()
         if len(names) < 2 or (side.any() and side.all()):
             return None
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in whole.column("grams").to_pylist()]
+        sets = [x for batch in rows for x in _grams(batch, n)]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        bands = np.array(whole.column("bands").to_pylist(), dtype=np.int64)
+        buckets = [{b["band"]: b["hash"] for b in x} for x in whole.column("buckets").to_pylist()]
         copies = whole.column("copies").to_numpy()
         band = int(whole.column("band")[0].as_py())
-        left, right, alike = links(bands, sizes, sets, copies, side, band)
-        n = np.zeros(len(names), dtype=np.int64)
-        n[left] += alike @ copies[right]
+        left, right, alike = links(buckets, sizes, sets, side, band)
+        linked = np.zeros(len(names), dtype=np.int64)
+        linked[left] += alike @ copies[right]
         if side.any():
-            n[right] += alike.T @ copies[left]
-        if not n.any():
+            linked[right] += alike.T @ copies[left]
+        if not linked.any():
             return None
         top = roots(len(names), left, right, alike)
-        some = np.flatnonzero(n)
+        some = np.flatnonzero(linked)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([names[k] for k in some]),
-                pa.array(n[some], pa.int64()),
+                pa.array(linked[some], pa.int64()),
                 pa.array([names[top[k]] for k in some]),
             ],
             names=["cls", "links", "other"],
@@ -230,6 +227,24 @@ def _verify(threshold: float, most: int):
     return run
 
 
+def _uncovered(members: DataFrame) -> DataFrame:
+    """``members`` (cls, band, hash, size) of the buckets that don't lie in one larger bucket.
+
+    Every class names its largest bucket; one that all classes of a bucket name holds all of its
+    pairs. So each class keeps its largest bucket, and its text needs to go to fewer units.
+    """
+    bucket = F.struct("size", "band", "hash")
+    of_class = members.groupBy("cls").agg(F.collect_list(bucket).alias("_all"))
+    named = of_class.select(F.array_max("_all").alias("_top"), F.explode("_all").alias("_own"))
+    covered = (
+        named.groupBy("_own")
+        .agg(F.min("_top").alias("_low"), F.max("_top").alias("_high"))
+        .where("_low = _high and _low <> _own")
+        .select("_own.band", "_own.hash")
+    )
+    return members.join(covered, ["band", "hash"], "left_anti").select(*members.columns)
+
+
 def similar_documents(
     docs: DataFrame,
     *,
@@ -252,10 +267,11 @@ def similar_documents(
     MinHash banding, with bands and rows chosen by ``bands_for``: a pair of similarity
     ``threshold`` shares a band with probability ``recall``; at 0.8 that is 32 bands of 4 rows. Equal texts are one class, grouped by hash with map-side counts, so
     copies are never paired. Band hashes are shuffled; bands with the same classes count
-    once. A bucket larger than ``block`` classes is cut into blocks, and each pair of blocks
-    is a unit of work of its own, so neither a row per pair nor a large group in one task
-    occurs. A unit counts the n-grams that its classes share exactly, over their full sets,
-    and returns one row per linked class. Only the first band that a pair shares counts it.
+    once, and one inside another isn't looked at (see ``_uncovered``). A bucket larger than
+    ``block`` classes is cut into blocks, and each pair of blocks is a unit of work of its own,
+    so neither a row per pair nor a large group in one task occurs. A unit gets one text of each
+    of its classes, counts the n-grams that they share exactly, over their full sets, and returns
+    one row per linked class. Only the first of the buckets left that a pair shares counts it.
     """
     with steps(docs.sparkSession):
         worded, known, rest = _similar(docs, n, threshold, recall, block)
@@ -308,32 +324,42 @@ def _similar(
         .select("cls", "band", "hash", "size"),
         "members",
     )
-    wanted = stored(members.select("cls").distinct(), "similar")
-    # One text per class: the rows of its smallest id, found by a bitmap of ids first.
+    # One row per class with its buckets, and one text: of the rows of its smallest id, found by
+    # a bitmap of ids first. Ids are met as two columns, since joins hash null-safe keys otherwise.
+    wanted = stored(
+        _uncovered(members)
+        .groupBy("cls")
+        .agg(F.collect_list(F.struct("band", "hash", "size")).alias("buckets")),
+        "similar",
+    )
+    id_keys = lambda name: (F.coalesce(name, F.lit(0)).alias("_id"), F.isnull(name).alias("_null"))
     owners = stored(
-        classes.join(wanted, "cls").select("cls", F.col("copy_id").alias("doc_id")), "owners"
+        classes.join(wanted, "cls").select(
+            "cls", F.col("copy_id").alias("doc_id"), *id_keys("copy_id"), "copies", "buckets"
+        ),
+        "owners",
     )
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         F.concat_ws(
             "-", F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text"))
-        ).alias("_cls"),
+        ).alias("cls"),
     )
     held = possible(plain, "doc_id", owners.select("doc_id").where("doc_id is not null"))
+    one = ["cls", "_id", "_null"]
     texts = (
         held.unionByName(plain.where("doc_id is null"))
-        .join(
-            owners.withColumnRenamed("doc_id", "_id"),
-            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_cls") == F.col("cls")),
-        )
-        .select("cls", "text")
+        .select("cls", *id_keys("doc_id"), "text")
+        .join(owners.drop("doc_id"), one)
+        .dropDuplicates(one)
     )
-    sets = stored(_sets(texts, n).dropDuplicates(["cls"]), "sets")
     blocks = F.ceil(F.col("size") / block).cast("long")
     own = F.pmod(F.xxhash64(F.lit(9), "cls"), F.col("blocks"))
     units = (
-        members.withColumn("blocks", blocks)
+        texts.withColumn("bucket", F.explode("buckets"))
+        .select("cls", "text", "copies", "buckets", "bucket.*")
+        .withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
@@ -343,16 +369,18 @@ def _similar(
                 "-", F.hex("hash"), "band", F.least("own", "other"), F.greatest("own", "other")
             ).alias("unit"),
             F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
+            "copies",
+            F.transform("buckets", lambda x: F.struct(x["band"].alias("band"), x["hash"].alias("hash"))).alias(
+                "buckets"
+            ),
+            "text",
         )
     )
-    loaded = stored(
-        units.join(sets, "cls").join(classes.select("cls", "copies", "bands"), "cls"), "units"
-    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = stored(
         map_batches(
-            loaded.repartition(parts, "unit").sortWithinPartitions("unit", "side", "cls"),
-            _verify(threshold, block),
+            units.repartition(parts, "unit").sortWithinPartitions("unit", "side", "cls"),
+            _verify(threshold, n),
             "cls string, links long, other string",
         ),
         "links",

@@ -149,6 +149,37 @@ def test_large_group_in_blocks_equals_brute_force(spark, rows_of):
     assert rows_of(jaccard.similar_documents(docs, block=16)) == want
 
 
+def test_buckets_inside_others_go(spark):
+    buckets = {(0, 1): "abc", (1, 2): "ab", (2, 3): "bc", (3, 4): "cd", (4, 5): "de", (5, 6): "ac"}
+    rows = [(c, band, h, len(m)) for (band, h), m in buckets.items() for c in m]
+    left = jaccard._uncovered(
+        spark.createDataFrame(rows, "cls string, band int, hash long, size long")
+    ).collect()
+    assert sorted(map(tuple, left)) == sorted(r for r in rows if (r[1], r[2]) in ((0, 1), (3, 4), (4, 5)))
+
+
+def test_texts_of_near_copies_go_to_few_units(spark, monkeypatch):
+    rnd = np.random.default_rng(6)
+    rows = []
+    for group in range(40):
+        base = [f"g{group}w{k}" for k in range(120)]
+        for _ in range(3):
+            text = list(base)
+            text[rnd.integers(120)] = f"v{rnd.integers(10**6)}"
+            rows.append((len(rows), " ".join(text)))
+    sent, plain = [], jaccard.map_batches
+
+    def counted(df, function, schema, **options):
+        if "links" in schema:
+            sent.append(df.count())
+        return plain(df, function, schema, **options)
+
+    monkeypatch.setattr(jaccard, "map_batches", counted)
+    out = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["n_links"] == 2 and r["class_id"] == r["doc_id"] // 3 * 3 for r in out)
+    assert sent[0] < 1.5 * len(rows)
+
+
 def test_keep_one_of_each_class(awkward, no_docs):
     out = jaccard.keep_one(awkward)
     assert out.columns == awkward.columns
