@@ -85,7 +85,7 @@ def keyed_rides(
 
 def rated_rides(
     raw_rides: DataFrame,
-    raw_ratings: DataFrame,
+    raw_ratings: DataFrame | None,
     dim_user: DataFrame,
     dim_driver: DataFrame,
     dim_date: DataFrame,
@@ -97,6 +97,7 @@ def rated_rides(
     """Keyed rides with their rating (``rating_per_ride``), as the fact names them.
 
     With ``parts`` they stay in their parts by driver_id, see ``keyed_rides``, and keep it.
+    ``raw_ratings`` is None where the rides bring ``average_driver_rating``.
     """
     rated = keyed_rides(
         raw_rides,
@@ -108,7 +109,7 @@ def rated_rides(
         parts=parts,
         limits=limits,
     )
-    if parts is None:
+    if parts is None and raw_ratings is not None:
         ratings = rating_per_ride(raw_ratings)
         rated = join_unique(rated, ratings, "ride_id", "left", spread_by="ride_start_time")
     return rated.select(

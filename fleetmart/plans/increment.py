@@ -29,6 +29,7 @@ from fleetmart.operators import bitmaps
 from fleetmart.operators.keys import first_per_key
 from fleetmart.operators.scale import (
     DEFAULT,
+    HotKeys,
     Limits,
     hot_keys,
     materialize,
@@ -102,13 +103,15 @@ def _months_after(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
     ``kind`` is "add" where the batch only has rides later than the stored ones, "late" where
     it also has earlier ones, null where it has none. ``follows`` marks other months than late
     ones whose stored first ride now has another ride before it. ``before`` is the end of the
-    ride before the month's first one, ``was_last`` the stored last ride.
+    ride before the month's first one, ``was_last`` the stored last ride, ``n_new`` the number
+    of rides in the batch.
     """
     place = ["driver_group", "driver_key", "start_month"]
     ride = F.struct("start_time", "ride_id")
     new = batch.groupBy(*place).agg(
         F.min(ride).alias("new_first"),
         F.max(F.struct("start_time", "ride_id", "end_time")).alias("new_last"),
+        F.count(F.lit(1)).alias("n_new"),
     )
     if stored is None:
         kinds = {f.name: f.dataType for f in new.schema}
@@ -131,6 +134,7 @@ def _months_after(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
         F.when(later, F.col("new_last")).otherwise(F.col("was_last")).alias("last"),
         "was_first",
         "was_last",
+        "n_new",
         later.alias("moved"),
         F.when(is_new & is_old & (F.col("new_first") <= last_ride("was_last")), "late")
         .when(is_new, "add")
@@ -144,10 +148,21 @@ def _months_after(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
     )
 
 
-def _linked(rides: DataFrame, months: DataFrame, before: Column, limits: Limits) -> DataFrame:
+def _hot_places(counts: DataFrame, limits: Limits) -> HotKeys | None:
+    """``hot_keys`` of drivers and months by ``_n``, the number of their rides or an upper bound.
+
+    Rides that come out of joins aren't computed once more to be counted.
+    """
+    hot = _placed(counts).where(F.col("_n") > limits.hot_rows).select("_place", "_n")
+    number, rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    return HotKeys(materialize(hot, "hot-keys"), number, rows) if number else None
+
+
+def _linked(
+    rides: DataFrame, months: DataFrame, before: Column, hot: HotKeys | None, limits: Limits
+) -> DataFrame:
     """``rides`` with ``previous_end``: the ride before, or ``before`` of the driver's month."""
     placed = _placed(rides)
-    hot = hot_keys(placed, "_place", limits)
     chained = sequence(
         placed,
         "_place",
@@ -189,6 +204,15 @@ def _listed(df: DataFrame) -> list[int]:
     return sorted(r[0] for r in df.select(_part().alias("_part")).distinct().collect())
 
 
+def _together_by(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the rows of a folder of table ``name`` in few tasks, and large ones split.
+
+    Adaptive execution cuts by the sizes it has seen; a range would compute ``df`` twice, once to
+    sample it.
+    """
+    return df.hint("rebalance", *_TABLES[name])
+
+
 def _staged(root: str) -> str:
     return f"{root}/_load"
 
@@ -227,15 +251,19 @@ def load_batch(
     spark = raw["rides"].sparkSession
     _finish(spark, root)
     remove(spark, _staged(root))
-    dim_user, dim_driver, dim_date = load_dimensions(raw, root, salt=salt, limits=limits)
+    (dim_user, dim_driver, dim_date), hot_users = together(
+        lambda: load_dimensions(raw, root, salt=salt, limits=limits),
+        lambda: hot_keys(raw["rides"], "user_id", limits),
+    )
     last = _last_load(spark, root)
     load, groups = (last["load"] + 1, last["groups"]) if last else (1, groups)
 
-    hot_users = hot_keys(raw["rides"], "user_id", limits)
-    # What grows with the rides or users is shuffled: a broadcast would pass the driver.
+    # What grows with the rides or users is shuffled: a broadcast would pass the driver. Ratings
+    # meet the rides where copies of an id have met, before any other join moves them.
+    ratings = facts.rating_per_ride(raw["ratings"]).hint("merge")
     rated = facts.rated_rides(
-        first_per_key(raw["rides"], ["ride_id"]),
-        raw["ratings"].hint("merge"),
+        first_per_key(raw["rides"], ["ride_id"]).join(ratings, "ride_id", "left"),
+        None,
         shuffled(dim_user),
         shuffled(dim_driver),
         dim_date,
@@ -257,7 +285,8 @@ def load_batch(
     added = batch.join(of_kind("add"), place, "left_semi").select(*batch.columns)
     last_end = F.when(F.col("was_last").isNotNull(), F.col("was_last.end_time"))
     since = last_end.otherwise(F.col("before"))
-    fresh = _linked(added, of_kind("add"), since, limits)
+    hot = _hot_places(of_kind("add").select(*place, F.col("n_new").alias("_n")), limits)
+    fresh = _linked(added, of_kind("add"), since, hot, limits)
     changed = None
 
     fact = _read(spark, root, "fact_parts", last)
@@ -276,7 +305,12 @@ def load_batch(
                 "load", F.lit(None).cast("int")
             )
         )
-        relinked = materialize(_linked(both, of_kind("late"), F.col("before"), limits), "relinked")
+        held_rides = held.groupBy(*place).agg(F.count(F.lit(1)).alias("n_held"))
+        counts = of_kind("late").join(held_rides, place, "left")
+        at_most = F.col("n_new") + F.coalesce("n_held", F.lit(0))
+        hot = _hot_places(counts.select(*place, at_most.alias("_n")), limits)
+        linked = _linked(both, of_kind("late"), F.col("before"), hot, limits)
+        relinked = materialize(linked, "relinked")
         fresh = fresh.unionByName(relinked.where("load is null").select(*fresh.columns))
         following = months.where("follows").select(
             *place, F.col("was_first.ride_id").alias("ride_id"), F.col("before").alias("previous_end")
@@ -342,17 +376,13 @@ def load_batch(
     staged = _staged(root)
     rows = new if rewritten is None else rewritten.unionByName(new)
     laid = [*FACT_PARTS, *tables.FACT_ORDER]
-    rows = rows.repartitionByRange(*laid).sortWithinPartitions(*laid)
+    rows = _together_by(rows, "fact_parts").sortWithinPartitions(*laid)
     together(
         lambda: rows.write.parquet(f"{staged}/fact_parts"),
-        lambda: merged.repartitionByRange(*keyed).write.parquet(f"{staged}/daily_parts"),
-        lambda: kept.repartitionByRange("driver_group", *place).write.parquet(f"{staged}/driver_months"),
-        lambda: drivers.repartitionByRange("driver_group", "driver_key").write.parquet(
-            f"{staged}/driver_states"
-        ),
-        lambda: users_now.repartitionByRange("user_group", "user_key").write.parquet(
-            f"{staged}/user_states"
-        ),
+        lambda: _together_by(merged, "daily_parts").write.parquet(f"{staged}/daily_parts"),
+        lambda: _together_by(kept, "driver_months").write.parquet(f"{staged}/driver_months"),
+        lambda: _together_by(drivers, "driver_states").write.parquet(f"{staged}/driver_states"),
+        lambda: _together_by(users_now, "user_states").write.parquet(f"{staged}/user_states"),
     )
     layouts = [df.schema.json() for df in (rows, merged, kept, drivers, users_now)]
     spark.createDataFrame([(load, groups, *layouts)], _LOADS).coalesce(1).write.parquet(f"{staged}/ready")

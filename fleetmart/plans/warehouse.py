@@ -207,16 +207,19 @@ def load_dimensions(
         return stored(name) if tables.exists(spark, f"{root}/{name}") else None
 
     of_users, of_drivers = _registers(spark, root, durable_keys=False)
+    # Keys are allocated by jobs of their own, which run side by side too.
     fresh = {
-        "dim_date": dimensions.new_dates(raw["rides"], old("dim_date")),
-        "dim_user": dimensions.new_users(
+        "dim_date": lambda: dimensions.new_dates(raw["rides"], old("dim_date")),
+        "dim_user": lambda: dimensions.new_users(
             raw["users"], old("dim_user"), salt=salt, register=of_users, limits=limits
         ),
-        "dim_driver": dimensions.new_drivers(
+        "dim_driver": lambda: dimensions.new_drivers(
             raw["drivers"], raw["vehicles"], old("dim_driver"), register=of_drivers, limits=limits
         ),
     }
-    aside = together(*[partial(materialize, df, f"new-{name}") for name, df in fresh.items()])
+    aside = together(
+        *[lambda new=new, name=name: materialize(new(), f"new-{name}") for name, new in fresh.items()]
+    )
     for name, df in zip(fresh, aside, strict=True):
         tables.append(df, f"{root}/{name}")
     return stored("dim_user"), stored("dim_driver"), stored("dim_date")
