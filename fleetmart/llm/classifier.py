@@ -227,6 +227,10 @@ def fit(
     return model(*_descend(p, u, prior, steps, rate, decay), prior)
 
 
+# Feature rows that the driver fetches at once: some 8 MB.
+_PIECE = 2000
+
+
 def _sample(docs: DataFrame, rows: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows of the ``rows`` documents whose id hashes lowest, and the hashes.
 
@@ -242,11 +246,14 @@ def _sample(docs: DataFrame, rows: int, seed: int) -> tuple[np.ndarray, np.ndarr
                 )
 
     found = map_batches(_ordered(docs, seed), run, "_order long, features binary")
-    table = found.orderBy("_order", "features").limit(rows).toArrow()
-    kept = [np.frombuffer(x.as_py(), dtype=np.float32) for x in table.column("features")]
-    out = np.concatenate(kept).reshape(-1, _WIDTH) if kept else np.zeros((0, _WIDTH), np.float32)
+    # The sample comes in pieces, so that the driver's JVM holds one of them at a time.
+    pieces = found.orderBy("_order", "features").limit(rows).repartition(-(-rows // _PIECE))
+    out, orders, n = np.zeros((rows, _WIDTH), np.float32), np.zeros(rows, np.int64), 0
+    for row in pieces.toLocalIterator():
+        orders[n], out[n] = row["_order"], np.frombuffer(row["features"], dtype=np.float32)
+        n += 1
+    out, orders = out[:n], orders[:n]
     # In the order of the hashes, whatever the order of the tasks.
-    orders = table.column("_order").to_numpy()
     by = np.lexsort((out[:, -3], out[:, 0], orders))
     return out[by], orders[by]
 
