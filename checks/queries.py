@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType, IntegerType, ShortType
 from fleetmart.functions.scalars import elapsed_seconds
 from fleetmart.operators import keys, quality, ranking
 from fleetmart.operators.joins import join_unique
-from fleetmart.operators.scale import HotKeys, hot_keys, materialize, scratch_dir
+from fleetmart.operators.scale import HotKeys, hot_keys, materialize, parts_for, scratch_dir
 from fleetmart.operators.sequence import (
     last_value,
     latest_per_key,
@@ -327,8 +327,17 @@ def join_inner_dropping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = built(spark, sf_dir, "orders")
-    rides = raw_tables(spark, sf_dir, "orders")["rides"]
-    keyed = facts.keyed_rides(rides, wh.dim_user, wh.dim_driver, wh.dim_date)
+    rides = staged(spark, sf_dir, "orders")[0]["rides"]
+    parts = parts_for(spark, rides.count())
+    keyed = facts.keyed_rides(
+        rides,
+        wh.dim_user,
+        wh.dim_driver,
+        wh.dim_date,
+        hot_users=None if parts is None else hot_keys(rides, "user_id"),
+        parts=parts,
+        by_driver=False,
+    )
     return keyed.select("ride_id", "date_key")
 
 

@@ -23,6 +23,7 @@ def join_unique(
     *,
     spread_by: str | None = None,
     hot: HotKeys | None = None,
+    parts: int | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """``left`` joined to ``right`` (unique on ``key``), inner or left outer.
@@ -32,14 +33,22 @@ def join_unique(
     spreads known hot keys beforehand: each over as many salts as its own number of rows
     needs, taken from ``spread_by`` (a column with many values), and only its one right row
     is repeated that often. NULL keys of an outer join match nothing, so with ``spread_by``
-    their salt is a whole hash and they go everywhere. Nothing runs here.
+    their salt is a whole hash and they go everywhere. With ``parts`` nothing is broadcast: both
+    sides are shuffled into so many partitions, whose sorts fit their tasks. Adaptive execution
+    doesn't split those, so hot keys must be known. Nothing runs here.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     if hot is not None and spread_by is None:
         raise ValueError("hot keys need a column to spread them by")
+
+    def joined(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+        if parts is not None:
+            left, right = left.repartition(parts, *by), right.repartition(parts, *by).hint("merge")
+        return left.join(right, by, how)
+
     if spread_by is None or (hot is None and how == "inner"):
-        return left.join(right, key, how)
+        return joined(left, right, [key])
 
     everywhere = F.xxhash64(spread_by)
     # Always 0, but not a literal: Catalyst would take that out of the join keys.
@@ -55,7 +64,7 @@ def join_unique(
             right.join(hot.flags, key, "left").withColumn(_SALT, F.explode(salts)).drop(_ROWS)
         )
     fact = left.withColumn(_SALT, F.when(F.col(key).isNull(), everywhere).otherwise(salt))
-    return fact.drop(_ROWS).join(dimension, [key, _SALT], how).drop(_SALT)
+    return joined(fact.drop(_ROWS), dimension, [key, _SALT]).drop(_SALT)
 
 
 def meet(

@@ -43,18 +43,23 @@ def keyed_rides(
     hot_users: HotKeys | None = None,
     raw_ratings: DataFrame | None = None,
     parts: int | None = None,
+    by_driver: bool = True,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
     """Rides with their three dimension keys; rides without a match are dropped.
 
     With ``parts`` the rides are shuffled whole once, by driver_id into so many parts, and stay
     there. Ratings, and keys of more users than may be broadcast, are brought to them.
+    Where nothing needs them by driver (``by_driver`` False, no ratings), they are shuffled to
+    such users instead, with the columns that are read later.
     """
+    if raw_ratings is not None and not by_driver:
+        raise ValueError("ratings are brought to rides that lie by driver")
     rides = raw_rides.drop("start_location", "end_location")
     drivers = dim_driver.select("driver_id", "driver_key")
     users = dim_user.select("user_id", "user_key")
     many_users = parts is not None and users.count() > min(BROADCAST_KEYS, limits.task_rows)
-    if parts is not None:
+    if parts is not None and by_driver:
         met = {}
         if many_users:
             met["user_id"] = meet(
@@ -74,11 +79,17 @@ def keyed_rides(
         hot=hot_drivers,
         limits=limits,
     )
-    if many_users:
+    if many_users and by_driver:
         with_user = with_driver.where(F.col("user_key").isNotNull())
     else:
         with_user = join_unique(
-            with_driver, users, "user_id", spread_by="ride_id", hot=hot_users, limits=limits
+            with_driver,
+            users,
+            "user_id",
+            spread_by="ride_id",
+            hot=hot_users,
+            parts=parts if many_users else None,
+            limits=limits,
         )
     return join_unique(with_user, dim_date.select("date_key"), "date_key")
 
