@@ -37,13 +37,17 @@ class Warehouse:
         driver_daily_utilization(self).createOrReplaceTempView("v_driver_daily_utilization")
 
 
-def stage(raw: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def stage(raw: dict[str, DataFrame], root: str, rows_per_file: int = 0) -> dict[str, DataFrame]:
     """Store the raw tables as columns, so that the build reads only what it needs.
 
-    For raw text and for raw tables that are themselves the result of a join.
+    For raw text and for raw tables that are themselves the result of a join. ``rows_per_file``
+    (no limit if 0) keeps tasks that read narrow tables from getting too many rows.
     """
     stored = together(
-        *[partial(tables.recreate, df, f"{root}/raw_{name}") for name, df in raw.items()]
+        *[
+            partial(tables.recreate, df, f"{root}/raw_{name}", rows_per_file)
+            for name, df in raw.items()
+        ]
     )
     return dict(zip(raw, stored, strict=True))
 

@@ -107,36 +107,43 @@ def _event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their order's customer: what rides and ratings of orders are made of."""
     lineitem = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
     parts = parts_for(spark, lineitem.count())
     if parts is not None:
         lineitem = lineitem.repartition(parts, "l_orderkey")
         orders = orders.repartition(parts, "o_orderkey")
-    day = F.col("l_shipdate").cast("timestamp_ntz")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_custkey",
+        F.col("l_shipdate").cast("timestamp_ntz").alias("day"),
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        "l_suppkey",
+        "l_quantity",
+        "l_extendedprice",
+    )
+
+
+def _identified(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.concat_ws(
             "-",
             "l_orderkey",
             "l_linenumber",
             "l_partkey",
             "l_suppkey",
-            date_key(F.to_date(day)).cast("string"),
+            date_key(F.to_date("day")).cast("string"),
         ).alias("ride_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_suppkey").alias("driver_id"),
-        day.alias("day"),
-        "l_orderkey",
-        "l_partkey",
-        "l_linenumber",
-        "l_suppkey",
-        "l_quantity",
-        "l_extendedprice",
+        *[name for name in lines.columns if name != "o_custkey"],
     )
 
 
-def _order_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_rides(lines: DataFrame) -> DataFrame:
     second = (
         F.col("l_orderkey") * 97
         + F.col("l_partkey") * 31
@@ -144,7 +151,7 @@ def _order_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.col("l_suppkey") * 53
     ) % 86400
     length = 300 + (F.col("l_partkey") * 37 + F.col("l_orderkey")) % 5400
-    return _order_lines(spark, sf_dir).select(
+    return _identified(lines).select(
         "ride_id",
         "user_id",
         F.lit(None).cast("string").alias("start_location"),
@@ -157,10 +164,10 @@ def _order_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_ratings(lines: DataFrame) -> DataFrame:
     value = 1 + (F.col("l_orderkey") * 7 + F.col("l_linenumber") + F.col("user_id")) % 5
     return (
-        _order_lines(spark, sf_dir)
+        _identified(lines)
         .where(F.col("l_orderkey") % 10 < 3)
         .select(
             F.col("ride_id").alias("rating_id"),
@@ -173,12 +180,18 @@ def _order_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, rides: str = "events") -> dict[str, DataFrame]:
-    """The five raw tables; ``rides`` is "events" or "orders"."""
+def raw_tables(
+    spark: SparkSession, sf_dir: str, rides: str = "events", lines: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The five raw tables; ``rides`` is "events" or "orders".
+
+    ``lines`` are the ``order_lines`` of the folder where these are stored.
+    """
     if rides == "events":
         trips, ratings = _event_rides(spark, sf_dir), _event_ratings(spark, sf_dir)
     elif rides == "orders":
-        trips, ratings = _order_rides(spark, sf_dir), _order_ratings(spark, sf_dir)
+        lines = order_lines(spark, sf_dir) if lines is None else lines
+        trips, ratings = _order_rides(lines), _order_ratings(lines)
     else:
         raise ValueError(f"unknown ride mapping {rides!r}")
     return {

@@ -10,9 +10,13 @@ from fleetmart.operators.scale import CODEC
 FACT_ORDER = ["driver_key", "start_time", "ride_id"]
 
 
-def recreate(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path``. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path, compression=CODEC)
+def recreate(df: DataFrame, path: str, rows_per_file: int = 0) -> DataFrame:
+    """Replace the table at ``path``. ``df`` must not read from ``path``.
+
+    ``rows_per_file`` limits the rows of a file where it isn't 0.
+    """
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from test_layout import SMALL, _raw, _rows
 from checks import queries
 from fleetmart.operators.joins import join_unique
 from fleetmart.operators.scale import Limits, hot_keys
-from fleetmart.plans import facts
+from fleetmart.plans import facts, warehouse
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +80,19 @@ def test_join_in_parts_equals_plain(spark, how):
             left, right, "k", how, spread_by="id", hot=known, parts=9, limits=Limits(hot_rows=20)
         )
         assert _rows(found) == plain and found.rdd.getNumPartitions() == 9
+
+
+def test_rides_and_ratings_come_from_stored_lines(spark, tables):
+    raw, root = queries.staged(spark, tables, "orders")
+    plain = queries.raw_tables(spark, tables, "orders")
+    for name in ("rides", "ratings"):
+        assert all(f"{root}/raw_order_lines" in file for file in raw[name].inputFiles())
+        assert raw[name].dtypes == plain[name].dtypes
+        assert _rows(raw[name]) == _rows(plain[name]) and raw[name].count() > 50
+
+
+def test_files_of_staged_tables_hold_few_rows(spark, tmp_path):
+    df = spark.range(100).coalesce(1)
+    assert len(warehouse.stage({"t": df}, str(tmp_path / "whole"))["t"].inputFiles()) == 1
+    cut = warehouse.stage({"t": df}, str(tmp_path / "cut"), 30)["t"]
+    assert len(cut.inputFiles()) == 4 and _rows(cut) == _rows(df)
